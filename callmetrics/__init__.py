@@ -1,0 +1 @@
+"""Call-centre analytics on Spark: coding rate, paid post call, value recovered, inbound drivers."""

@@ -1,0 +1,35 @@
+"""Column functions."""
+
+from callmetrics.functions.keys import plain_number, surrogate_key
+from callmetrics.functions.labels import (
+    CURRENCIES,
+    CURRENCY_BY_TENANT,
+    MARKET_BY_CENTRE,
+    MARKET_BY_TENANT,
+    label,
+)
+from callmetrics.functions.text import (
+    blank_to_null,
+    note_to_id,
+    strip_outer_whitespace,
+    trim_blanks,
+)
+from callmetrics.functions.times import ntz, plus_days, second_index, window_close
+
+__all__ = [
+    "CURRENCIES",
+    "CURRENCY_BY_TENANT",
+    "MARKET_BY_CENTRE",
+    "MARKET_BY_TENANT",
+    "blank_to_null",
+    "label",
+    "note_to_id",
+    "ntz",
+    "plain_number",
+    "plus_days",
+    "second_index",
+    "strip_outer_whitespace",
+    "surrogate_key",
+    "trim_blanks",
+    "window_close",
+]

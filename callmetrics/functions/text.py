@@ -1,0 +1,34 @@
+"""Free-text cleaning without regular-expression replaces or UDFs."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+# The characters a plain SQL trim removes in the warehouse (Unicode space separators).
+BLANKS = (
+    "\u0020\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
+)
+# The characters of the warehouse's regex class \s.
+WHITESPACE = " \t\n\f\r"
+
+
+def trim_blanks(text: Column) -> Column:
+    """Trim space separators at both ends; tabs and newlines stay."""
+    return F.trim(text, F.lit(BLANKS))
+
+
+def blank_to_null(text: Column) -> Column:
+    return F.nullif(trim_blanks(text), F.lit(""))
+
+
+def strip_outer_whitespace(text: Column) -> Column:
+    """Remove whitespace, newlines included, at both ends; whitespace inside stays."""
+    return F.trim(text, F.lit(WHITESPACE))
+
+
+def note_to_id(note: Column) -> Column:
+    """Id pasted into a note: digits only once stripped, else null; null beyond 64 bits."""
+    stripped = strip_outer_whitespace(note)
+    return F.when(stripped.rlike(r"\A[0-9]+\z"), stripped.try_cast("bigint"))

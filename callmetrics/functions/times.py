@@ -1,0 +1,36 @@
+"""Timestamps without a zone: every calculation is independent of the session time zone."""
+
+from __future__ import annotations
+
+from datetime import datetime
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+ATTRIBUTION_DAYS = 3
+
+
+def ntz(value: datetime) -> Column:
+    """A literal naive timestamp."""
+    if value.tzinfo is not None:
+        raise ValueError("expected a naive UTC timestamp")
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
+def plus_days(at: Column, days: int) -> Column:
+    return at + F.make_dt_interval(F.lit(days))
+
+
+def window_close(disposed_at: Column) -> Column:
+    """End, inclusive, of the period in which a payment can belong to a disposition."""
+    return plus_days(disposed_at, ATTRIBUTION_DAYS)
+
+
+def second_index(at: Column) -> Column:
+    """Whole seconds since 1970-01-01 on the clock the timestamp was written in."""
+    return (
+        F.unix_date(F.to_date(at)).cast("bigint") * 86400
+        + F.hour(at) * 3600
+        + F.minute(at) * 60
+        + F.second(at)
+    )

@@ -1,0 +1,260 @@
+"""Payment attribution: as-of match of each payment to the nearest preceding disposition.
+
+A payment belongs to the latest disposition of its contract that is at most three days older, both
+ends included; of dispositions at the same instant the one with the largest id. Payments equal in
+contract, instant and amount count once.
+
+Both inputs become one timeline per contract, sorted once. Following it, a payment belongs to the
+last disposition passed, and a disposition is paid exactly if the next entry is a payment inside its
+window. So one shuffle on the contract gives the attributed payments and the unpaid dispositions,
+without candidate pairs and without joining back. If the nearest preceding disposition is more than
+three days old, so are all others, hence checking the nearest alone is enough.
+
+A contract too large for one task is cut by time into slots. Each slot gets one extra row, the last
+disposition before it, so slots are independent of each other.
+"""
+
+from __future__ import annotations
+
+from datetime import datetime
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from callmetrics.functions import ntz, plain_number, second_index, surrogate_key, window_close
+from callmetrics.operators.skew import SPLIT_ROWS, heavy_keys
+
+DISPOSITION, PAYMENT = 0, 1
+_ROW = (
+    "call_log_id",
+    "market",
+    "contract_id",
+    "disposed_at_utc",
+    "pay_timestamp_utc",
+    "currency",
+    "amount_local",
+)
+
+
+def assessable_dispositions(dispositions: DataFrame) -> DataFrame:
+    """Without a contract a disposition cannot be assessed; that is not the same as unpaid."""
+    return dispositions.filter(F.col("contract_id").isNotNull()).select(
+        "call_log_id", "market", "contract_id", "disposed_at_utc"
+    )
+
+
+def recoverable_payments(payments: DataFrame) -> DataFrame:
+    return payments.filter(
+        F.col("contract_id").isNotNull()
+        & F.col("pay_timestamp_utc").isNotNull()
+        & (F.col("amount_local") > 0)
+    ).select("contract_id", "pay_timestamp_utc", "currency", "amount_local")
+
+
+def _timeline(dispositions: DataFrame, payments: DataFrame) -> DataFrame:
+    return dispositions.select(
+        "contract_id",
+        F.col("disposed_at_utc").alias("at"),
+        F.lit(DISPOSITION).alias("kind"),
+        "call_log_id",
+        "market",
+        F.lit(None).cast("string").alias("currency"),
+        F.lit(None).cast("double").alias("amount_local"),
+    ).unionByName(
+        payments.select(
+            "contract_id",
+            F.col("pay_timestamp_utc").alias("at"),
+            F.lit(PAYMENT).alias("kind"),
+            F.lit(None).cast("bigint").alias("call_log_id"),
+            F.lit(None).cast("string").alias("market"),
+            "currency",
+            "amount_local",
+        )
+    )
+
+
+def _last_disposition():
+    return F.last(
+        F.when(F.col("kind") == DISPOSITION, F.struct("at", "call_log_id", "market")),
+        ignorenulls=True,
+    )
+
+
+def _attribute_whole(dispositions: DataFrame, payments: DataFrame) -> DataFrame:
+    """All of a contract in one sorted group."""
+    order = Window.partitionBy("contract_id").orderBy(
+        "at", "kind", "call_log_id", "amount_local", F.asc_nulls_last("currency")
+    )
+    is_payment = F.col("kind") == PAYMENT
+    walked = _timeline(dispositions, payments).select(
+        "*",
+        _last_disposition()
+        .over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        .alias("owner"),
+        F.lag(F.struct("kind", "at", "amount_local")).over(order).alias("before"),
+        F.lead(F.struct("kind", "at")).over(order).alias("after"),
+    )
+    here = F.struct("kind", "at", "amount_local")
+    attributed = (
+        is_payment
+        & (F.col("at") <= window_close(F.col("owner.at")))
+        & ~F.coalesce(F.col("before") == here, F.lit(False))
+    )
+    paid = (F.col("after.kind") == PAYMENT) & (F.col("after.at") <= window_close(F.col("at")))
+    unpaid = ~is_payment & ~F.coalesce(paid, F.lit(False))
+    return walked.filter(attributed | unpaid).select(
+        F.col("owner.call_log_id").alias("call_log_id"),
+        F.col("owner.market").alias("market"),
+        "contract_id",
+        F.col("owner.at").alias("disposed_at_utc"),
+        F.when(is_payment, F.col("at")).alias("pay_timestamp_utc"),
+        "currency",
+        "amount_local",
+    )
+
+
+def _slot_seconds(timeline: DataFrame, split_rows: int) -> DataFrame:
+    """Per contract, the widest slot of which none holds more than ``split_rows`` rows.
+
+    A second is the narrowest: after de-duplication it has at most a million instants.
+    """
+    widths = {"minute": 60, "hour": 3600, "day": 86400}
+    counts = timeline.groupBy("contract_id", second_index(F.col("at")).alias("slot")).agg(
+        F.count("*").alias("n")
+    )
+    found: list[str] = []
+    for name, seconds in widths.items():
+        counts = counts.groupBy(
+            "contract_id", (F.floor(F.col("slot") / seconds) * seconds).alias("slot")
+        ).agg(
+            F.sum("n").alias("n"),
+            *[F.max(c).alias(c) for c in found],
+            F.max("n").alias(f"below_{name}"),
+        )
+        found.append(f"below_{name}")
+    peaks = counts.groupBy("contract_id").agg(
+        F.max("n").alias("day"),
+        F.max("below_day").alias("hour"),
+        F.max("below_hour").alias("minute"),
+    )
+    width = F.lit(1)
+    for name in ("minute", "hour", "day"):
+        width = F.when(F.col(name) <= split_rows, widths[name]).otherwise(width)
+    return peaks.select("contract_id", width.cast("bigint").alias("width"))
+
+
+def _attribute_split(dispositions: DataFrame, payments: DataFrame, split_rows: int) -> DataFrame:
+    """For at most ``MAX_HEAVY_KEYS`` contracts: slots of time instead of whole contracts.
+
+    Copies collapse map-side before any row is shuffled: of the dispositions at one instant only
+    the winner can own a payment, and equal payments are one.
+    """
+    winners = (
+        dispositions.filter(F.col("disposed_at_utc").isNotNull())
+        .groupBy("contract_id", "disposed_at_utc")
+        .agg(F.max(F.struct("call_log_id", "market")).alias("winner"))
+        .select("contract_id", "disposed_at_utc", "winner.*")
+    )
+    distinct_payments = payments.groupBy("contract_id", "pay_timestamp_utc", "amount_local").agg(
+        F.min("currency").alias("currency")
+    )
+    timeline = _timeline(winners, distinct_payments)
+    # One row per contract in the heavy list.
+    widths = F.broadcast(_slot_seconds(timeline, split_rows))
+    slotted = timeline.join(widths, "contract_id").withColumn(
+        "slot", F.floor(second_index(F.col("at")) / F.col("width"))
+    )
+    latest = (
+        slotted.groupBy("contract_id", "slot")
+        .agg(
+            F.max(
+                F.when(F.col("kind") == DISPOSITION, F.struct("at", "call_log_id", "market"))
+            ).alias("latest")
+        )
+        .select(
+            "contract_id",
+            "slot",
+            F.last("latest", ignorenulls=True)
+            .over(
+                Window.partitionBy("contract_id")
+                .orderBy("slot")
+                .rowsBetween(Window.unboundedPreceding, -1)
+            )
+            .alias("latest"),
+        )
+    )
+    before_slot = latest.filter(F.col("latest").isNotNull()).select(
+        "contract_id",
+        "slot",
+        F.lit(DISPOSITION).alias("kind"),
+        "latest.*",
+    )
+    order = Window.partitionBy("contract_id", "slot").orderBy("at", "kind")
+    attributed = (
+        slotted.drop("width")
+        .unionByName(before_slot, allowMissingColumns=True)
+        .withColumn(
+            "owner",
+            _last_disposition().over(
+                order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+            ),
+        )
+        .filter((F.col("kind") == PAYMENT) & (F.col("at") <= window_close(F.col("owner.at"))))
+        .select(
+            F.col("owner.call_log_id").alias("call_log_id"),
+            F.col("owner.market").alias("market"),
+            "contract_id",
+            F.col("owner.at").alias("disposed_at_utc"),
+            F.col("at").alias("pay_timestamp_utc"),
+            "currency",
+            "amount_local",
+        )
+    )
+    unpaid = dispositions.join(
+        attributed.select("call_log_id").distinct(), "call_log_id", "left_anti"
+    )
+    return attributed.unionByName(unpaid, allowMissingColumns=True).select(*_ROW)
+
+
+def attribute_payments(
+    dispositions: DataFrame, payments: DataFrame, split_rows: int = SPLIT_ROWS
+) -> DataFrame:
+    """Rows (disposition x attributed payment), and one row with null payment per unpaid one.
+
+    Takes staging frames. One pass over the contract ids finds contracts with more than
+    ``split_rows`` rows; only those take the split route.
+    """
+    dispositions = assessable_dispositions(dispositions)
+    payments = recoverable_payments(payments)
+    contract = F.col("contract_id")
+    heavy = heavy_keys(
+        dispositions.select(contract).unionAll(payments.select(contract)), contract, split_rows
+    )
+    if not heavy:
+        return _attribute_whole(dispositions, payments)
+    in_heavy = contract.isin(list(heavy))
+    return _attribute_whole(
+        dispositions.filter(~in_heavy), payments.filter(~in_heavy)
+    ).unionByName(
+        _attribute_split(dispositions.filter(in_heavy), payments.filter(in_heavy), split_rows)
+    )
+
+
+def with_window_state(attributed: DataFrame, as_of: datetime) -> DataFrame:
+    """Key, window close time, settled flag as of a given time, and paid flag."""
+    closes = window_close(F.col("disposed_at_utc"))
+    return attributed.select(
+        surrogate_key(
+            F.col("call_log_id"), F.col("pay_timestamp_utc"), plain_number(F.col("amount_local"))
+        ).alias("attribution_id"),
+        "call_log_id",
+        "market",
+        "contract_id",
+        "disposed_at_utc",
+        closes.alias("window_closes_at_utc"),
+        (ntz(as_of) >= closes).alias("is_window_closed"),
+        "pay_timestamp_utc",
+        "currency",
+        "amount_local",
+        F.col("pay_timestamp_utc").isNotNull().alias("is_paid_post_call"),
+    )

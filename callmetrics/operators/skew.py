@@ -1,0 +1,70 @@
+"""Heavy keys: find them with a bounded result, and spread them over many tasks."""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# Rows of one key that a single task may hold; a key above it is split.
+SPLIT_ROWS = 2_000_000
+# At most this many keys are treated as heavy. The key ranked next holds less than 1/1000 of all
+# rows, so leaving it whole is safe, and everything derived from the list has a fixed size.
+MAX_HEAVY_KEYS = 1000
+
+
+def heavy_keys(df: DataFrame, key: Column, split_rows: int = SPLIT_ROWS) -> dict[int, int]:
+    """``{key: rows}`` of the keys with more than ``split_rows`` rows, the largest first.
+
+    Reads the key column only and counts map-side first; top-n keeps at most ``MAX_HEAVY_KEYS``
+    rows per task and on the driver.
+    """
+    counts = (
+        df.select(key.alias("key"))
+        .filter(F.col("key").isNotNull())
+        .groupBy("key")
+        .agg(F.count("*").alias("n"))
+        .filter(F.col("n") > split_rows)
+        .orderBy(F.desc("n"), "key")
+        .limit(MAX_HEAVY_KEYS)
+    )
+    return {r["key"]: r["n"] for r in counts.collect()}
+
+
+def salted_join(
+    left: DataFrame,
+    right: DataFrame,
+    left_key: str,
+    right_key: str,
+    spread_by: str,
+    how: str = "left",
+    split_rows: int = SPLIT_ROWS,
+) -> DataFrame:
+    """Equi join for a left side whose keys may be null or very frequent.
+
+    ``right`` holds at most one row per key. Rows without a key match nothing, so each goes
+    wherever its ``spread_by`` hash says. A heavy key is cut into parts of about ``split_rows``
+    rows, and its one right row is repeated once per part. Keeps the columns of both sides for
+    ``how="left"``, of the left side for ``how="left_anti"``.
+    """
+    spark = left.sparkSession
+    heavy = heavy_keys(left, F.col(left_key), split_rows)
+    spread = F.xxhash64(spread_by)
+    if heavy:
+        rows = [(k, math.ceil(n / split_rows)) for k, n in heavy.items()]
+        # At most MAX_HEAVY_KEYS rows.
+        parts = F.broadcast(spark.createDataFrame(rows, "_heavy_key bigint, _parts bigint"))
+        left = left.join(parts, F.col(left_key) == F.col("_heavy_key"), "left")
+        right = right.join(parts, F.col(right_key) == F.col("_heavy_key"), "left")
+        part = F.when(F.col("_parts").isNotNull(), F.pmod(spread, F.col("_parts")))
+        copies = F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))
+    else:
+        part = F.when(F.lit(False), F.lit(0).cast("bigint"))
+        copies = F.lit(0)
+    left = left.withColumn(
+        "_part", part.when(F.col(left_key).isNull(), spread).otherwise(F.lit(0)).cast("bigint")
+    )
+    right = right.withColumn("_copy", copies.cast("bigint"))
+    on = (F.col(left_key) == F.col(right_key)) & (F.col("_part") == F.col("_copy"))
+    return left.join(right, on, how).drop("_part", "_copy", "_heavy_key", "_parts")
