@@ -1,0 +1,224 @@
+"""The daily job: land files and rates, rebuild the marts' dates that can have changed, check."""
+
+from __future__ import annotations
+
+from dataclasses import dataclass, field
+from datetime import date, datetime
+from typing import Literal
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from callmetrics import schemas
+from callmetrics.functions import ntz
+from callmetrics.functions.times import ATTRIBUTION_DAYS
+from callmetrics.operators import quality
+from callmetrics.operators.skew import SPLIT_ROWS
+from callmetrics.plans import incremental, intermediate, marts, staging
+from callmetrics.plans.incremental import Scope
+from callmetrics.sources import fx, landing, manifest
+from callmetrics.sources.landing import EVENT_DATE, Landed, read_raw
+from callmetrics.sources.tables import Tables
+
+ATTRIBUTION = ("intermediate", "int_calls_payment_attribution")
+DIM_AGENT = ("marts", "dim_agent")
+CODING = ("marts", "fct_coding_rate")
+PAID = ("marts", "fct_paid_post_call")
+VALUE = ("marts", "fct_value_recovered_usd")
+DRIVERS = ("marts", "fct_inbound_call_drivers")
+MARTS = (CODING, PAID, VALUE, DRIVERS, DIM_AGENT)
+RUN_STATE = ("intermediate", "_run_state")
+
+DISPOSED_DATE = "disposed_date"
+CALL_DATE = "call_date"
+
+
+@dataclass
+class DailyReport:
+    landed: list[Landed] = field(default_factory=list)
+    rows: dict[str, int] = field(default_factory=dict)
+
+
+def raw_since(tables: Tables, table: str, scope: Scope) -> DataFrame:
+    """Raw rows of the dates in scope; other event-date partitions are not read."""
+    return read_raw(tables, table).filter(scope.holds(F.col(EVENT_DATE).cast("date")))
+
+
+def _last_as_of(tables: Tables) -> datetime | None:
+    if not tables.exists(*RUN_STATE):
+        return None
+    return tables.read(*RUN_STATE).select("as_of").head()[0]
+
+
+def land(
+    spark: SparkSession, tables: Tables, raw_dir: str, full_refresh: bool = False
+) -> list[Landed]:
+    """All files on a full refresh or a first run, else the new and changed ones.
+
+    The hashes are taken first and count as known only after the whole run: a run that breaks off
+    lands the same files again and still knows which dates they touch.
+    """
+    known = None if full_refresh else manifest.known_files(tables)
+    tables.overwrite(manifest.file_hashes(spark, raw_dir), *manifest.SEEN)
+    if known is None:
+        return landing.land_all(spark, tables, raw_dir)
+    changed = manifest.changed_files(tables.read(*manifest.SEEN), known)
+    # Paths of one run's new files.
+    paths = [r["path"] for r in changed.select("path").collect()]
+    return landing.land_files(spark, tables, raw_dir, paths)
+
+
+def build(
+    spark: SparkSession,
+    tables: Tables,
+    landed: list[Landed],
+    as_of: datetime,
+    full_refresh: bool = False,
+    fx_rule: Literal["latest", "nearest"] = "latest",
+    split_rows: int = SPLIT_ROWS,
+) -> dict[str, int]:
+    """Bring intermediate and mart tables up to date with raw. Returns rows written per table."""
+    touched: dict[str, set[date]] = {n: set() for n in schemas.ENTITIES}
+    for load in landed:
+        touched[load.table] |= load.event_dates
+    moved = touched[schemas.DISPOSITIONS] | touched[schemas.PAYMENTS]
+    rows = {}
+
+    # Attribution and paid post call, by disposition date.
+    scope = (
+        Scope.everything()
+        if full_refresh
+        else incremental.attribution_scope(
+            tables.dates(*ATTRIBUTION, DISPOSED_DATE), moved, as_of, _last_as_of(tables)
+        )
+    )
+    reads = scope.and_days_after(ATTRIBUTION_DAYS)
+    attribution = intermediate.int_calls_payment_attribution(
+        staging.stg_dispositions(raw_since(tables, schemas.DISPOSITIONS, reads)),
+        staging.stg_payments(raw_since(tables, schemas.PAYMENTS, reads)),
+        as_of,
+        split_rows,
+    ).withColumn(DISPOSED_DATE, F.to_date("disposed_at_utc"))
+    rows[ATTRIBUTION[1]] = incremental.rebuild(
+        tables, attribution.filter(scope.holds(F.col(DISPOSED_DATE))), *ATTRIBUTION, DISPOSED_DATE, scope
+    )
+    attributed = tables.read(*ATTRIBUTION)
+    disposed = F.col(DISPOSED_DATE).cast("date")
+    paid = marts.fct_paid_post_call(attributed.filter(scope.holds(disposed)))
+    rows[PAID[1]] = incremental.rebuild(
+        tables, paid.withColumn(DISPOSED_DATE, F.to_date("disposed_at_utc")), *PAID, DISPOSED_DATE, scope
+    )
+
+    # Value recovered, by payment date: a rebuilt disposition can own payments of the three days
+    # after it, so those dates are summed again from all their rows.
+    value_scope = scope.and_days_after(ATTRIBUTION_DAYS)
+    quality.require_rates(
+        marts.priced_payments(attributed.filter(scope.holds(disposed)), fx.read_rates(tables), fx_rule)
+    )
+    owners = value_scope.and_days_before(ATTRIBUTION_DAYS)
+    value = marts.fct_value_recovered_usd(
+        attributed.filter(
+            owners.holds(disposed) & value_scope.holds(F.to_date("pay_timestamp_utc"))
+        ),
+        fx.read_rates(tables),
+        fx_rule,
+    )
+    rows[VALUE[1]] = incremental.rebuild(tables, value, *VALUE, CALL_DATE, value_scope)
+
+    # Agents are few against calls and can change at any time: rebuilt whole.
+    agents = marts.dim_agent(
+        staging.stg_agent_mapping(read_raw(tables, schemas.AGENT_MAPPING))
+    )
+    rows[DIM_AGENT[1]] = tables.overwrite(agents, *DIM_AGENT)
+
+    # Coding rate, by local call date.
+    calls_scope = (
+        Scope.everything()
+        if full_refresh
+        else incremental.lookback(
+            tables.dates(*CODING, CALL_DATE), incremental.LOOKBACK_DAYS, touched[schemas.CALLS]
+        )
+    )
+    coded = intermediate.int_calls_coded(
+        staging.stg_calls(raw_since(tables, schemas.CALLS, calls_scope)),
+        staging.stg_dispositions(read_raw(tables, schemas.DISPOSITIONS)),
+        split_rows,
+    )
+    rows[CODING[1]] = incremental.rebuild(
+        tables, marts.fct_coding_rate(coded, tables.read(*DIM_AGENT)), *CODING, CALL_DATE, calls_scope
+    )
+
+    # Inbound drivers, by disposition date.
+    drivers_scope = (
+        Scope.everything()
+        if full_refresh
+        else incremental.lookback(
+            tables.dates(*DRIVERS, CALL_DATE),
+            incremental.LOOKBACK_DAYS,
+            touched[schemas.DISPOSITIONS],
+        )
+    )
+    hierarchy = intermediate.int_dispositions_hierarchy(
+        staging.stg_dispositions(raw_since(tables, schemas.DISPOSITIONS, drivers_scope))
+    )
+    rows[DRIVERS[1]] = incremental.rebuild(
+        tables, marts.fct_inbound_call_drivers(hierarchy), *DRIVERS, CALL_DATE, drivers_scope
+    )
+
+    # Last: a run that broke off before this is repeated with the same scope.
+    tables.overwrite(spark.range(1).select(ntz(as_of).alias("as_of")), *RUN_STATE)
+    return rows
+
+
+def source_checks(tables: Tables) -> list[quality.Check]:
+    calls = read_raw(tables, schemas.CALLS)
+    dispositions = read_raw(tables, schemas.DISPOSITIONS)
+    return [
+        quality.unique(schemas.CALLS, calls, "ch_call_id"),
+        quality.not_null(schemas.CALLS, calls, "ch_call_id"),
+        quality.unique(schemas.DISPOSITIONS, dispositions, "call_log_id"),
+        quality.not_null(schemas.DISPOSITIONS, dispositions, "call_log_id"),
+    ]
+
+
+def mart_checks(tables: Tables) -> list[quality.Check]:
+    agents, coding = tables.read(*DIM_AGENT), tables.read(*CODING)
+    paid, value = tables.read(*PAID), tables.read(*VALUE)
+    return [
+        quality.unique(DIM_AGENT[1], agents, "ameyo_user_id"),
+        quality.not_null(DIM_AGENT[1], agents, "ameyo_user_id"),
+        quality.accepted_range(CODING[1], coding, "coding_rate", 0, 1),
+        quality.unique(PAID[1], paid, "call_log_id"),
+        quality.not_null(PAID[1], paid, "call_log_id"),
+        quality.not_null(VALUE[1], value, "value_recovered_usd"),
+    ]
+
+
+def run_daily(
+    spark: SparkSession,
+    raw_dir: str,
+    out_dir: str,
+    as_of: datetime,
+    full_refresh: bool = False,
+    fx_payload: str | None = None,
+    fx_rule: Literal["latest", "nearest"] = "latest",
+    split_rows: int = SPLIT_ROWS,
+) -> DailyReport:
+    """Land what is new, load the day's rates, rebuild and check. ``as_of`` is naive UTC.
+
+    Steps follow each other; a failing check raises after its tables have been written.
+    """
+    tables = Tables(spark, out_dir)
+    report = DailyReport(land(spark, tables, raw_dir, full_refresh))
+    if fx_payload:
+        report.rows[schemas.FX_RATES] = fx.load_payload(tables, fx_payload, as_of)
+    quality.run_checks(source_checks(tables))
+    report.rows |= build(spark, tables, report.landed, as_of, full_refresh, fx_rule, split_rows)
+    quality.run_checks(mart_checks(tables))
+    manifest.remember(tables, tables.read(*manifest.SEEN))
+    return report
+
+
+def serving(tables: Tables) -> dict[str, DataFrame]:
+    """The marts as ``marts.<name>`` for ``SELECT *``."""
+    return {name: tables.register(schema, name) for schema, name in MARTS}

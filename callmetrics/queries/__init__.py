@@ -1,6 +1,6 @@
 """Queries over the test tables with their comparison SQL."""
 
-from callmetrics.queries import models  # noqa: F401
+from callmetrics.queries import checks, ingestion, models, refresh  # noqa: F401
 from callmetrics.queries.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

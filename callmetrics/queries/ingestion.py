@@ -1,0 +1,244 @@
+"""Queries about landing files, exchange rates and serving."""
+
+from __future__ import annotations
+
+from datetime import date
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from callmetrics import fixtures as fx
+from callmetrics import schemas
+from callmetrics.operators.rates import latest_rates
+from callmetrics.plans import daily, marts, staging
+from callmetrics.queries import ctes, deliveries, models
+from callmetrics.queries.registry import query, with_ctes
+from callmetrics.session import shared_folder
+from callmetrics.sources import fx as fx_source
+from callmetrics.sources import landing, manifest
+from callmetrics.sources.tables import Tables
+from callmetrics.streaming.ingest import ingest_stream
+
+DAY_ONE, DAY_TWO = date(2024, 1, 16), date(2024, 1, 31)
+
+# Which rows arrive first; the rest arrives on the second day.
+_EARLY = {
+    schemas.CALLS: "ch_date_added < timestamp_ntz '1996-01-01'",
+    schemas.DISPOSITIONS: "created_timestamp_utc < timestamp_ntz '2024-01-16'",
+    schemas.PAYMENTS: "pay_timestamp_utc < timestamp_ntz '2024-01-16'",
+    schemas.AGENT_MAPPING: "team < 'F'",
+}
+_LATE = {entity: f"not ({early})" for entity, early in _EARLY.items()}
+
+
+def _folder(spark: SparkSession, name: str) -> tuple[str, Tables]:
+    base = shared_folder(spark, name)
+    return f"{base}/raw", Tables(spark, f"{base}/out")
+
+
+def _deliver_both(spark: SparkSession, sf_dir: str, raw_dir: str, *entities: str) -> None:
+    for day, parts, reorder in ((DAY_ONE, _EARLY, False), (DAY_TWO, _LATE, True)):
+        deliveries.deliver(
+            spark, sf_dir, raw_dir, day, {e: parts[e] for e in entities or parts}, reorder
+        )
+
+
+@query(
+    "s1_landed_calls",
+    with_ctes(
+        fx.CALLS_SQL,
+        select="""
+        SELECT ch_call_id::VARCHAR AS ch_call_id, ch_date_added::VARCHAR AS ch_date_added,
+               ch_contact_center_id::VARCHAR AS ch_contact_center_id, ch_system_disposition,
+               ch_call_type, total_talk_time::VARCHAR AS total_talk_time, udh_user_id,
+               campaign_name, udh_notes,
+               'raw/' || CASE WHEN ch_date_added < TIMESTAMP '1996-01-01' THEN '2024-01-16'
+                              ELSE '2024-01-31' END || '/ameyo_outbound_calls.csv' AS _source_file
+        FROM raw_calls""",
+    ),
+)
+def landed_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two days of files, the second with other column order and one column more."""
+    raw_dir, _ = _folder(spark, "landed-calls")
+    _deliver_both(spark, sf_dir, raw_dir, schemas.CALLS)
+    entity = schemas.ENTITIES[schemas.CALLS]
+    raw = landing.read_extracts(spark, entity, landing.extract_files(spark, raw_dir, entity))
+    return raw.select(
+        *entity.columns, F.regexp_replace("_source_file", r"/part-[^/]*$", "").alias("_source_file")
+    )
+
+
+@query(
+    "s9_s10_rows_loaded",
+    """
+    SELECT 'ameyo_outbound_calls' AS table_name, count(*) AS rows_loaded FROM orders
+    UNION ALL
+    SELECT 'atlas_calls_dispositions', count(*) FROM events WHERE event_type <> 'purchase'
+    UNION ALL
+    SELECT 'atlas_payments', count(*) FROM events WHERE event_type = 'purchase'
+    UNION ALL
+    SELECT 'atlas_ameyo_mapping', count(*) FROM customer WHERE c_custkey % 20 < 18""",
+)
+def rows_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw_dir, tables = _folder(spark, "rows-loaded")
+    _deliver_both(spark, sf_dir, raw_dir)
+    report = landing.land_all(spark, tables, raw_dir)
+    return spark.createDataFrame(
+        [(r.table, r.rows) for r in report], "table_name string, rows_loaded bigint"
+    )
+
+
+@query(
+    "s11_streamed_payments",
+    with_ctes(*ctes.PAYMENTS, select="SELECT * FROM stg_payments"),
+)
+def streamed_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each day's files are landed by the stream run after their arrival, once."""
+    raw_dir, tables = _folder(spark, "streamed")
+    for day, parts in ((DAY_ONE, _EARLY), (DAY_TWO, _LATE)):
+        deliveries.deliver(
+            spark, sf_dir, raw_dir, day, {schemas.PAYMENTS: parts[schemas.PAYMENTS]}
+        )
+        ingest_stream(spark, raw_dir, tables.root, f"{tables.root}/checkpoint").awaitTermination()
+    return staging.stg_payments(landing.read_raw(tables, schemas.PAYMENTS)).drop(*schemas.LINEAGE)
+
+
+@query(
+    "s12_changed_files_landed",
+    """
+    SELECT 'atlas_payments' AS table_name, count(*) AS rows_loaded FROM events
+    WHERE event_type = 'purchase' AND ts >= TIMESTAMP '2024-01-16'
+    UNION ALL
+    SELECT 'atlas_calls_dispositions', count(*) FROM events
+    WHERE event_type <> 'purchase' AND date_trunc('hour', ts) >= TIMESTAMP '2024-01-16'
+    """,
+)
+def changed_files_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of all files present only those the manifest does not know are landed."""
+    raw_dir, tables = _folder(spark, "changed")
+    entities = (schemas.PAYMENTS, schemas.DISPOSITIONS)
+    deliveries.deliver(spark, sf_dir, raw_dir, DAY_ONE, {e: _EARLY[e] for e in entities})
+    manifest.remember(tables, manifest.file_hashes(spark, raw_dir))
+    deliveries.deliver(spark, sf_dir, raw_dir, DAY_TWO, {e: _LATE[e] for e in entities})
+    changed = manifest.changed_files(
+        manifest.file_hashes(spark, raw_dir), manifest.known_files(tables)
+    )
+    report = landing.land_files(
+        spark, tables, raw_dir, [r["path"] for r in changed.select("path").collect()]
+    )
+    return spark.createDataFrame(
+        [(r.table, r.rows) for r in report], "table_name string, rows_loaded bigint"
+    )
+
+
+def fx_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fx_source.rate_rows(
+        fx.fx_payloads(spark, sf_dir),
+        F.col("rate_date"),
+        F.col("rate_date").cast("timestamp_ntz"),
+    )
+
+
+@query(
+    "s13_fx_payload_rates",
+    with_ctes(
+        fx.FX_HISTORY_SQL,
+        select="""
+        SELECT rate_date, currency, local_units_per_usd, rate_date::TIMESTAMP AS fetched_at,
+               'exchangerate-api.com' AS source FROM raw_fx""",
+    ),
+)
+def fx_payload_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fx_history(spark, sf_dir)
+
+
+@query(
+    "s15_fx_upsert",
+    with_ctes(
+        fx.FX_HISTORY_SQL,
+        select="""
+        SELECT rate_date, currency,
+               CASE WHEN rate_date >= DATE '2024-01-20' THEN 2 * local_units_per_usd
+                    ELSE local_units_per_usd END AS local_units_per_usd,
+               rate_date::TIMESTAMP AS fetched_at
+        FROM raw_fx""",
+    ),
+)
+def fx_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loading the later dates again, at twice the rate, replaces them and leaves the others."""
+    _, tables = _folder(spark, "fx")
+    history = fx_history(spark, sf_dir)
+    fx_source.upsert_rates(tables, history)
+    again = history.filter(F.col("rate_date") >= F.lit(date(2024, 1, 20)))
+    fx_source.upsert_rates(
+        tables, again.withColumn("local_units_per_usd", F.col("local_units_per_usd") * 2)
+    )
+    return staging.stg_fx_rates(fx_source.read_rates(tables))
+
+
+@query(
+    "stg_fx_rates",
+    with_ctes(
+        fx.FX_HISTORY_SQL,
+        select="""
+        SELECT rate_date, currency, local_units_per_usd, rate_date::TIMESTAMP AS fetched_at
+        FROM raw_fx""",
+    ),
+)
+def stg_fx_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return staging.stg_fx_rates(fx_history(spark, sf_dir))
+
+
+@query(
+    "w3_latest_rate_per_currency",
+    with_ctes(
+        fx.FX_HISTORY_SQL,
+        select="""
+        SELECT currency, max(rate_date) AS rate_date,
+               arg_max(local_units_per_usd, rate_date) AS local_units_per_usd
+        FROM raw_fx GROUP BY currency""",
+    ),
+)
+def w3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return latest_rates(fx_history(spark, sf_dir))
+
+
+@query(
+    "g9_value_at_nearest_rate",
+    with_ctes(
+        *ctes.ALL_ATTRIBUTION,
+        fx.FX_HISTORY_SQL,
+        """
+        needed AS (
+          SELECT DISTINCT pay_timestamp_utc::DATE AS pay_date, currency
+          FROM attribution WHERE is_paid_post_call),
+        nearest AS (
+          SELECT DISTINCT ON (n.pay_date, n.currency)
+                 n.pay_date, n.currency, f.rate_date, f.local_units_per_usd AS rate
+          FROM needed n LEFT JOIN raw_fx f USING (currency)
+          ORDER BY n.pay_date, n.currency, abs(n.pay_date - f.rate_date), f.rate_date)""",
+        select="""
+        SELECT pay_date AS call_date, market, max(rate_date) AS fx_rate_date_used,
+               round(sum(amount_local / rate), 4) AS value_recovered_usd
+        FROM attribution a JOIN nearest n
+          ON n.pay_date = a.pay_timestamp_utc::DATE AND n.currency IS NOT DISTINCT FROM a.currency
+        GROUP BY ALL""",
+    ),
+)
+def g9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    value = marts.fct_value_recovered_usd(
+        models.attribution(spark, sf_dir), fx_history(spark, sf_dir), fx="nearest"
+    )
+    return models.money(value.drop("value_recovered_id"), "value_recovered_usd")
+
+
+@query(
+    "s17_s18_served_drivers",
+    with_ctes(*ctes.ALL_DRIVERS, select="SELECT * FROM fct_drivers"),
+)
+def served_drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mart written as partitioned Parquet and read back by its schema-qualified name."""
+    _, tables = _folder(spark, "served")
+    tables.overwrite(models.inbound_drivers(spark, sf_dir), *daily.DRIVERS, [daily.CALL_DATE])
+    tables.register(*daily.DRIVERS)
+    return spark.sql("SELECT * FROM marts.fct_inbound_call_drivers")

@@ -1,0 +1,59 @@
+"""Which files are new or changed, by content hash."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from callmetrics.sources.tables import Tables
+
+MANIFEST = ("raw", "_file_manifest")
+SEEN = ("raw", "_files_seen")
+
+
+# Above this size a file is not held in one task's memory to hash it.
+WHOLE_FILE_BYTES = 128 * 1024 * 1024
+
+
+def file_hashes(
+    spark: SparkSession, raw_dir: str, whole_file_bytes: int = WHOLE_FILE_BYTES
+) -> DataFrame:
+    """(path, md5) of every delivered file.
+
+    A large file is read in splits instead: md5 over its line count and two sums of line hashes.
+    """
+    files = spark.read.format("binaryFile").load(f"{raw_dir.rstrip('/')}/*/*.csv")
+    whole = files.filter(F.col("length") <= whole_file_bytes).select(
+        "path", F.md5("content").alias("md5")
+    )
+    large = [
+        r["path"] for r in files.filter(F.col("length") > whole_file_bytes).select("path").collect()
+    ]
+    if not large:
+        return whole
+    lines = spark.read.text(large).select(F.col("_metadata.file_path").alias("path"), "value")
+    digest = F.md5(
+        F.concat_ws(
+            "-",
+            F.count("*").cast("string"),
+            F.sum(F.xxhash64("value").cast("decimal(20,0)")).cast("string"),
+            F.bit_xor(F.xxhash64(F.lit("x"), "value")).cast("string"),
+        )
+    )
+    return whole.unionByName(lines.groupBy("path").agg(digest.alias("md5")))
+
+
+def changed_files(hashes: DataFrame, known: DataFrame | None) -> DataFrame:
+    """Files whose content the manifest does not have under that path."""
+    return hashes if known is None else hashes.join(known, ["path", "md5"], "left_anti")
+
+
+def known_files(tables: Tables) -> DataFrame | None:
+    if not tables.exists(*MANIFEST):
+        return None
+    return tables.read(*MANIFEST).select("path", "md5")
+
+
+def remember(tables: Tables, hashes: DataFrame) -> None:
+    """Store the hashes of all files present, after they have been landed."""
+    tables.overwrite(hashes, *MANIFEST)

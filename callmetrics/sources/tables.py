@@ -1,0 +1,150 @@
+"""Parquet tables below one root folder, replaced whole partitions at a time.
+
+Layout: ``{root}/{schema}/{table}/{partition=value}/...``. Paths go through Hadoop's file system, so
+any storage that Spark can write to will do.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterable
+from datetime import date
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+Partition = dict[str, str | None]
+
+
+class Tables:
+    """Tables of one warehouse folder."""
+
+    def __init__(self, spark: SparkSession, root: str) -> None:
+        self.spark = spark
+        self.root = root.rstrip("/")
+
+    def path(self, schema: str, table: str) -> str:
+        return f"{self.root}/{schema}/{table}"
+
+    def exists(self, schema: str, table: str) -> bool:
+        """True once a write has been completed."""
+        return _exists(self.spark, f"{self.path(schema, table)}/_SUCCESS")
+
+    def read(self, schema: str, table: str) -> DataFrame:
+        return self.spark.read.parquet(self.path(schema, table))
+
+    def partitions(self, schema: str, table: str) -> list[Partition]:
+        """Values of the partition folders, from a listing; reads no data."""
+        path = self.path(schema, table)
+        return [p for p, _ in _partitions(self.spark, path)] if _exists(self.spark, path) else []
+
+    def dates(self, schema: str, table: str, column: str) -> set[date]:
+        values = {p[column] for p in self.partitions(schema, table)}
+        return {date.fromisoformat(v) for v in values if v is not None}
+
+    def overwrite(
+        self, df: DataFrame, schema: str, table: str, partition_by: Iterable[str] = ()
+    ) -> int:
+        """Replace the table and return its number of rows."""
+        rows, _ = _write(df, self.path(schema, table), list(partition_by), dynamic=False)
+        return rows
+
+    def replace_partitions(
+        self,
+        df: DataFrame,
+        schema: str,
+        table: str,
+        partition_by: Iterable[str],
+        in_scope: Callable[[Partition], bool],
+    ) -> int:
+        """Replace exactly the partitions ``in_scope`` by the rows of ``df``.
+
+        ``df`` holds all rows these partitions shall have and must not read this table. Partitions
+        for which it has no rows are removed. Running it again gives the same table.
+        """
+        path, keys = self.path(schema, table), list(partition_by)
+        if not self.exists(schema, table):
+            return self.overwrite(df, schema, table, keys)
+        rows, written = _write(df, path, keys, dynamic=True)
+        for values, folder in _partitions(self.spark, path):
+            key = tuple(values[k] for k in keys)
+            if in_scope(values) and key not in written:
+                _delete(self.spark, folder)
+        return rows
+
+    def register(self, schema: str, table: str) -> DataFrame:
+        """Make the table known as ``schema.table`` and return it."""
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}`")
+        self.spark.sql(f"DROP TABLE IF EXISTS `{schema}`.`{table}`")
+        self.spark.catalog.createTable(
+            f"{schema}.{table}", path=self.path(schema, table), source="parquet"
+        )
+        if self.partitions(schema, table):
+            self.spark.catalog.recoverPartitions(f"{schema}.{table}")
+        return self.spark.table(f"{schema}.{table}")
+
+
+def _write(
+    df: DataFrame, path: str, keys: list[str], dynamic: bool
+) -> tuple[int, set[tuple[str | None, ...]]]:
+    """Write, and report the rows and the partitions written.
+
+    The rebalance lets adaptive execution join small and cut large partitions, so a date holding
+    much of the data is written by many tasks and a small one as few files.
+    """
+    if keys:
+        df = df.hint("rebalance", *keys)
+    observed = Observation()
+    metrics = [F.count(F.lit(1)).alias("rows")]
+    if keys:
+        # One entry per partition folder, not per row.
+        metrics.append(F.collect_set(F.struct(*[_as_text(k) for k in keys])).alias("folders"))
+    df = df.observe(observed, *metrics)
+    writer = df.write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic" if dynamic else "static"
+    )
+    (writer.partitionBy(*keys) if keys else writer).parquet(path)
+    result = observed.get
+    return result["rows"], {tuple(v or None for v in f) for f in result.get("folders") or ()}
+
+
+def _as_text(key: str) -> Column:
+    return F.coalesce(F.col(key).cast("string"), F.lit("")).alias(key)
+
+
+def file_system(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, at = file_system(spark, path)
+    return fs.exists(at)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, at = file_system(spark, path)
+    fs.delete(at, True)
+
+
+def _partitions(spark: SparkSession, path: str) -> list[tuple[Partition, str]]:
+    """Leaf partition folders, depth first; stops at folders that hold files only."""
+    fs, at = file_system(spark, path)
+    found = []
+    for status in fs.listStatus(at):
+        name = status.getPath().getName()
+        if not status.isDirectory() or "=" not in name or name.startswith((".", "_")):
+            continue
+        column, value = name.split("=", 1)
+        here = {column: None if value == NULL_PARTITION else unquote(value)}
+        folder = status.getPath().toString()
+        below = _partitions(spark, folder)
+        found += [({**here, **v}, f) for v, f in below] or [(here, folder)]
+    return found
+
+
+def list_files(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths matching a glob, sorted."""
+    fs, at = file_system(spark, pattern)
+    return sorted(s.getPath().toString() for s in fs.globStatus(at) or () if s.isFile())
