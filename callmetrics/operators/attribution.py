@@ -18,13 +18,12 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from callmetrics.functions import ntz, plain_number, second_index, surrogate_key, window_close
 from callmetrics.operators.skew import SPLIT_ROWS, heavy_keys
 
-DISPOSITION, PAYMENT = 0, 1
 _ROW = (
     "call_log_id",
     "market",
@@ -52,65 +51,75 @@ def recoverable_payments(payments: DataFrame) -> DataFrame:
 
 
 def _timeline(dispositions: DataFrame, payments: DataFrame) -> DataFrame:
+    """Both inputs as one kind of row; only payments have an amount.
+
+    All window functions below read plain columns of it, so the shuffle carries nothing else. An
+    unknown market is an empty string here, as nulls mark the rows that are payments.
+    """
     return dispositions.select(
         "contract_id",
         F.col("disposed_at_utc").alias("at"),
-        F.lit(DISPOSITION).alias("kind"),
+        "disposed_at_utc",
         "call_log_id",
-        "market",
-        F.lit(None).cast("string").alias("currency"),
-        F.lit(None).cast("double").alias("amount_local"),
+        F.coalesce("market", F.lit("")).alias("market"),
     ).unionByName(
         payments.select(
-            "contract_id",
-            F.col("pay_timestamp_utc").alias("at"),
-            F.lit(PAYMENT).alias("kind"),
-            F.lit(None).cast("bigint").alias("call_log_id"),
-            F.lit(None).cast("string").alias("market"),
-            "currency",
-            "amount_local",
-        )
+            "contract_id", F.col("pay_timestamp_utc").alias("at"), "currency", "amount_local"
+        ),
+        allowMissingColumns=True,
     )
 
 
-def _last_disposition():
-    return F.last(
-        F.when(F.col("kind") == DISPOSITION, F.struct("at", "call_log_id", "market")),
-        ignorenulls=True,
-    )
+_IS_PAYMENT = "amount_local is not null"
+_OWNER = ("call_log_id", "market", "disposed_at_utc")
+
+
+def _owners(order: WindowSpec) -> list[Column]:
+    """The last disposition up to each row; of a disposition, itself."""
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return [F.last(c, ignorenulls=True).over(so_far).alias(f"owner_{c}") for c in _OWNER]
+
+
+def _rows() -> list[Column]:
+    """Output columns of a walked timeline row."""
+    return [
+        F.col("owner_call_log_id").alias("call_log_id"),
+        F.nullif(F.col("owner_market"), F.lit("")).alias("market"),
+        F.col("contract_id"),
+        F.col("owner_disposed_at_utc").alias("disposed_at_utc"),
+        F.when(F.expr(_IS_PAYMENT), F.col("at")).alias("pay_timestamp_utc"),
+        F.col("currency"),
+        F.col("amount_local"),
+    ]
+
+
+def _in_owners_window() -> Column:
+    return F.expr(_IS_PAYMENT) & (F.col("at") <= window_close(F.col("owner_disposed_at_utc")))
 
 
 def _attribute_whole(dispositions: DataFrame, payments: DataFrame) -> DataFrame:
-    """All of a contract in one sorted group."""
+    """All of a contract in one sorted group.
+
+    Dispositions have no amount and so come before the payments of their instant, and equal
+    payments are neighbours.
+    """
     order = Window.partitionBy("contract_id").orderBy(
-        "at", "kind", "call_log_id", "amount_local", F.asc_nulls_last("currency")
+        "at", F.asc_nulls_first("amount_local"), "call_log_id", F.asc_nulls_last("currency")
     )
-    is_payment = F.col("kind") == PAYMENT
     walked = _timeline(dispositions, payments).select(
         "*",
-        _last_disposition()
-        .over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        .alias("owner"),
-        F.lag(F.struct("kind", "at", "amount_local")).over(order).alias("before"),
-        F.lead(F.struct("kind", "at")).over(order).alias("after"),
-    )
-    here = F.struct("kind", "at", "amount_local")
-    attributed = (
-        is_payment
-        & (F.col("at") <= window_close(F.col("owner.at")))
-        & ~F.coalesce(F.col("before") == here, F.lit(False))
-    )
-    paid = (F.col("after.kind") == PAYMENT) & (F.col("after.at") <= window_close(F.col("at")))
+        *_owners(order),
+        F.lag("at").over(order).alias("at_before"),
+        F.lag("amount_local").over(order).alias("amount_before"),
+        F.lead("at").over(order).alias("at_after"),
+        F.lead("amount_local").over(order).alias("amount_after"),
+    )
+    is_payment = F.expr(_IS_PAYMENT)
+    copy = (F.col("at_before") == F.col("at")) & (F.col("amount_before") == F.col("amount_local"))
+    paid = F.col("amount_after").isNotNull() & (F.col("at_after") <= window_close(F.col("at")))
+    attributed = _in_owners_window() & ~F.coalesce(copy, F.lit(False))
     unpaid = ~is_payment & ~F.coalesce(paid, F.lit(False))
-    return walked.filter(attributed | unpaid).select(
-        F.col("owner.call_log_id").alias("call_log_id"),
-        F.col("owner.market").alias("market"),
-        "contract_id",
-        F.col("owner.at").alias("disposed_at_utc"),
-        F.when(is_payment, F.col("at")).alias("pay_timestamp_utc"),
-        "currency",
-        "amount_local",
-    )
+    return walked.filter(attributed | unpaid).select(*_rows())
 
 
 def _slot_seconds(timeline: DataFrame, split_rows: int) -> DataFrame:
@@ -164,51 +173,28 @@ def _attribute_split(dispositions: DataFrame, payments: DataFrame, split_rows: i
     slotted = timeline.join(widths, "contract_id").withColumn(
         "slot", F.floor(second_index(F.col("at")) / F.col("width"))
     )
-    latest = (
-        slotted.groupBy("contract_id", "slot")
-        .agg(
-            F.max(
-                F.when(F.col("kind") == DISPOSITION, F.struct("at", "call_log_id", "market"))
-            ).alias("latest")
-        )
-        .select(
-            "contract_id",
-            "slot",
-            F.last("latest", ignorenulls=True)
-            .over(
-                Window.partitionBy("contract_id")
-                .orderBy("slot")
-                .rowsBetween(Window.unboundedPreceding, -1)
-            )
-            .alias("latest"),
-        )
+    latest = slotted.groupBy("contract_id", "slot").agg(
+        F.max(F.when(~F.expr(_IS_PAYMENT), F.struct("at", *_OWNER))).alias("latest")
     )
-    before_slot = latest.filter(F.col("latest").isNotNull()).select(
-        "contract_id",
-        "slot",
-        F.lit(DISPOSITION).alias("kind"),
-        "latest.*",
+    earlier_slots = (
+        Window.partitionBy("contract_id")
+        .orderBy("slot")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    before_slot = (
+        latest.withColumn("latest", F.last("latest", ignorenulls=True).over(earlier_slots))
+        .filter(F.col("latest").isNotNull())
+        .select("contract_id", "slot", "latest.*")
+    )
+    order = Window.partitionBy("contract_id", "slot").orderBy(
+        "at", F.asc_nulls_first("amount_local")
     )
-    order = Window.partitionBy("contract_id", "slot").orderBy("at", "kind")
     attributed = (
         slotted.drop("width")
         .unionByName(before_slot, allowMissingColumns=True)
-        .withColumn(
-            "owner",
-            _last_disposition().over(
-                order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-            ),
-        )
-        .filter((F.col("kind") == PAYMENT) & (F.col("at") <= window_close(F.col("owner.at"))))
-        .select(
-            F.col("owner.call_log_id").alias("call_log_id"),
-            F.col("owner.market").alias("market"),
-            "contract_id",
-            F.col("owner.at").alias("disposed_at_utc"),
-            F.col("at").alias("pay_timestamp_utc"),
-            "currency",
-            "amount_local",
-        )
+        .select("*", *_owners(order))
+        .filter(_in_owners_window())
+        .select(*_rows())
     )
     unpaid = dispositions.join(
         attributed.select("call_log_id").distinct(), "call_log_id", "left_anti"

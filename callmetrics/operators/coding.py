@@ -16,21 +16,28 @@ def with_candidate_id(calls: DataFrame) -> DataFrame:
 def match_calls(
     calls: DataFrame, dispositions: DataFrame, split_rows: int = SPLIT_ROWS
 ) -> DataFrame:
-    """Every call, with the disposition its note names if there is one."""
+    """Every call, with the disposition its note names if there is one.
+
+    More than half of all notes name none. Those calls cannot match and skip the join, instead of
+    being shuffled to the one place of the null key.
+    """
     matched = dispositions.select(
         F.col("call_log_id").alias("matched_call_log_id"),
         F.col("contract_id").alias("matched_contract_id"),
         F.col("disposed_at_utc").alias("matched_disposed_at_utc"),
     )
+    candidates = with_candidate_id(calls)
+    has_id = F.col("candidate_call_log_id").isNotNull()
     joined = salted_join(
-        with_candidate_id(calls),
+        candidates.filter(has_id),
         matched,
         "candidate_call_log_id",
         "matched_call_log_id",
         spread_by="call_id",
         split_rows=split_rows,
     )
-    return joined.select(
+    every_call = joined.unionByName(candidates.filter(~has_id), allowMissingColumns=True)
+    return every_call.select(
         "call_id",
         "called_at_local",
         "market",

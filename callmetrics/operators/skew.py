@@ -41,30 +41,31 @@ def salted_join(
     how: str = "left",
     split_rows: int = SPLIT_ROWS,
 ) -> DataFrame:
-    """Equi join for a left side whose keys may be null or very frequent.
+    """Equi join for a left side with very frequent keys; rows without a key must be gone before.
 
-    ``right`` holds at most one row per key. Rows without a key match nothing, so each goes
-    wherever its ``spread_by`` hash says. A heavy key is cut into parts of about ``split_rows``
-    rows, and its one right row is repeated once per part. Keeps the columns of both sides for
-    ``how="left"``, of the left side for ``how="left_anti"``.
+    ``right`` holds at most one row per key. A heavy key is cut into parts of about ``split_rows``
+    rows by the hash of ``spread_by``, and its one right row is repeated once per part. Keeps the
+    columns of both sides for ``how="left"``, of the left side for ``how="left_anti"``.
     """
-    spark = left.sparkSession
     heavy = heavy_keys(left, F.col(left_key), split_rows)
-    spread = F.xxhash64(spread_by)
-    if heavy:
-        rows = [(k, math.ceil(n / split_rows)) for k, n in heavy.items()]
-        # At most MAX_HEAVY_KEYS rows.
-        parts = F.broadcast(spark.createDataFrame(rows, "_heavy_key bigint, _parts bigint"))
-        left = left.join(parts, F.col(left_key) == F.col("_heavy_key"), "left")
-        right = right.join(parts, F.col(right_key) == F.col("_heavy_key"), "left")
-        part = F.when(F.col("_parts").isNotNull(), F.pmod(spread, F.col("_parts")))
-        copies = F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))
-    else:
-        part = F.when(F.lit(False), F.lit(0).cast("bigint"))
-        copies = F.lit(0)
-    left = left.withColumn(
-        "_part", part.when(F.col(left_key).isNull(), spread).otherwise(F.lit(0)).cast("bigint")
+    same_key = F.col(left_key) == F.col(right_key)
+    if not heavy:
+        return left.join(right, same_key, how)
+    rows = [(k, math.ceil(n / split_rows)) for k, n in heavy.items()]
+    # At most MAX_HEAVY_KEYS rows.
+    parts = F.broadcast(
+        left.sparkSession.createDataFrame(rows, "_heavy_key bigint, _parts bigint")
+    )
+    spread = F.pmod(F.xxhash64(spread_by), F.coalesce("_parts", F.lit(1)))
+    left = left.join(parts, F.col(left_key) == F.col("_heavy_key"), "left").withColumn(
+        "_part", spread
+    )
+    copies = F.sequence(F.lit(0).cast("bigint"), F.coalesce("_parts", F.lit(1)) - 1)
+    right = (
+        right.join(parts, F.col(right_key) == F.col("_heavy_key"), "left")
+        .withColumn("_copy", F.explode(copies))
+        .drop("_heavy_key", "_parts")
+    )
+    return left.join(right, same_key & (F.col("_part") == F.col("_copy")), how).drop(
+        "_part", "_copy", "_heavy_key", "_parts"
     )
-    right = right.withColumn("_copy", copies.cast("bigint"))
-    on = (F.col(left_key) == F.col(right_key)) & (F.col("_part") == F.col("_copy"))
-    return left.join(right, on, how).drop("_part", "_copy", "_heavy_key", "_parts")
