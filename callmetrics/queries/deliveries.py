@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from callmetrics import fixtures as fx
 from callmetrics.schemas import AGENT_MAPPING, CALLS, DISPOSITIONS, PAYMENTS
-from callmetrics.sources.tables import file_system
 
 TABLES = {
     CALLS: fx.calls,
@@ -54,14 +53,5 @@ def payload(rates: Iterable[tuple[str, float]]) -> str:
     return f'{{"result": "success", "conversion_rates": {{{body}}}}}'
 
 
-def write_payload(spark: SparkSession, path: str, text: str) -> None:
-    fs, at = file_system(spark, path)
-    out = fs.create(at, True)
-    try:
-        out.write(bytearray(text.encode()))
-    finally:
-        out.close()
-
-
 def midnight(day: date) -> datetime:
     return datetime(day.year, day.month, day.day)

@@ -6,14 +6,17 @@ any storage that Spark can write to will do.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable
 from datetime import date
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+_SCHEMA_FILE = "_schema.json"
 Partition = dict[str, str | None]
 
 
@@ -29,10 +32,15 @@ class Tables:
 
     def exists(self, schema: str, table: str) -> bool:
         """True once a write has been completed."""
-        return _exists(self.spark, f"{self.path(schema, table)}/_SUCCESS")
+        return _exists(self.spark, f"{self.path(schema, table)}/{_SCHEMA_FILE}")
+
+    def schema(self, schema: str, table: str) -> T.StructType:
+        """As written; files of an empty table do not exist, and folder names have no types."""
+        text = read_text(self.spark, f"{self.path(schema, table)}/{_SCHEMA_FILE}")
+        return T.StructType.fromJson(json.loads(text))
 
     def read(self, schema: str, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(schema, table))
+        return self.spark.read.schema(self.schema(schema, table)).parquet(self.path(schema, table))
 
     def partitions(self, schema: str, table: str) -> list[Partition]:
         """Values of the partition folders, from a listing; reads no data."""
@@ -78,7 +86,10 @@ class Tables:
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}`")
         self.spark.sql(f"DROP TABLE IF EXISTS `{schema}`.`{table}`")
         self.spark.catalog.createTable(
-            f"{schema}.{table}", path=self.path(schema, table), source="parquet"
+            f"{schema}.{table}",
+            path=self.path(schema, table),
+            source="parquet",
+            **({} if self.partitions(schema, table) else {"schema": self.schema(schema, table)}),
         )
         if self.partitions(schema, table):
             self.spark.catalog.recoverPartitions(f"{schema}.{table}")
@@ -105,6 +116,7 @@ def _write(
         "partitionOverwriteMode", "dynamic" if dynamic else "static"
     )
     (writer.partitionBy(*keys) if keys else writer).parquet(path)
+    write_text(df.sparkSession, f"{path}/{_SCHEMA_FILE}", df.schema.json())
     result = observed.get
     return result["rows"], {tuple(v or None for v in f) for f in result.get("folders") or ()}
 
@@ -118,6 +130,24 @@ def file_system(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, at = file_system(spark, path)
+    out = fs.create(at, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, at = file_system(spark, path)
+    stream = fs.open(at)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     fs, at = file_system(spark, path)
     return fs.exists(at)
