@@ -1,0 +1,139 @@
+"""Large CSV files, read by many tasks although quoted values may hold newlines.
+
+Spark reads a multi-line CSV file in one task. A large file is instead read as lines in blocks. A
+line belongs to an open quoted value if an odd number of quotes precedes it, which follows from the
+quotes counted per block and within its block. Lines of one record are put together again, and each
+record is parsed by itself.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+_BLOCK = ("path", "block")
+
+
+def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Lines with the block they start in. Only ``\\n`` ends a line, so ``\\r`` stays in the text."""
+    return (
+        spark.read.option("lineSep", "\n")
+        .text(paths)
+        .select(
+            F.col("_metadata.file_path").alias("path"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("line"),
+            "value",
+        )
+    )
+
+
+def _odd_quotes(text: Column) -> Column:
+    return (F.length(text) - F.length(F.replace(text, F.lit('"'), F.lit("")))) % 2
+
+
+def needs_assembly(spark: SparkSession, paths: list[str]) -> set[str]:
+    """Files in which a record may span lines; the others can be split at any line end.
+
+    A file with a quote that is never closed is an error.
+    """
+    per_file = (
+        _lines(spark, paths)
+        .groupBy("path")
+        .agg(
+            F.sum(_odd_quotes(F.col("value"))).alias("odd"),
+            F.bool_or(F.col("value").contains("\r")).alias("returns"),
+        )
+        .filter("odd > 0 or returns")
+    )
+    # At most the paths given.
+    rows = per_file.collect()
+    open_quotes = [r["path"] for r in rows if r["odd"] % 2]
+    if open_quotes:
+        raise ValueError(f"quote never closed in {open_quotes}")
+    return {r["path"] for r in rows}
+
+
+def read_records(
+    spark: SparkSession, paths: list[str], header: tuple[str, ...], options: dict
+) -> DataFrame:
+    """Columns of ``header`` as text, and ``_source_file``. A file with another header fails.
+
+    Blocks are of equal size and are the unit of the shuffle, however large a file is.
+    """
+    in_block = Window.partitionBy(*_BLOCK).orderBy("line")
+    so_far = in_block.rowsBetween(Window.unboundedPreceding, -1)
+    lines = _lines(spark, paths).withColumn("odd", _odd_quotes(F.col("value")))
+
+    # One row per block: is a value open at its start?
+    blocks = lines.groupBy(*_BLOCK).agg(F.sum("odd").alias("odd_in_block"))
+    earlier_blocks = (
+        Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    blocks = blocks.select(
+        *_BLOCK, F.coalesce(F.sum("odd_in_block").over(earlier_blocks), F.lit(0)).alias("odd_before")
+    )
+    placed = lines.select(
+        "*",
+        F.coalesce(F.sum("odd").over(so_far), F.lit(0)).alias("odd_so_far"),
+        F.row_number().over(in_block).alias("n"),
+    ).join(blocks, list(_BLOCK))
+    inside = (F.col("odd_before") + F.col("odd_so_far")) % 2 == 1
+    placed = placed.withColumn("starts", ~inside)
+
+    is_first = (F.col("block") == 0) & (F.col("n") == 1)
+    whole = placed.filter("starts and odd = 0").select("path", "value", is_first.alias("is_header"))
+
+    # The lines between the start of a record and the line that closes it. Where the start is in an
+    # earlier block, it is the last start there that was left open.
+    start = F.struct("block", "line")
+    broken = placed.filter("not starts or odd = 1").withColumn(
+        "record",
+        F.last(F.when(F.col("starts"), start), ignorenulls=True).over(
+            in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        ),
+    )
+    last_starts = (
+        blocks.select(*_BLOCK)
+        .join(
+            placed.filter("starts and odd = 1").groupBy(*_BLOCK).agg(F.max(start).alias("last")),
+            list(_BLOCK),
+            "left",
+        )
+        .select(*_BLOCK, F.last("last", ignorenulls=True).over(earlier_blocks).alias("carried"))
+    )
+    records = (
+        broken.join(last_starts, list(_BLOCK))
+        .groupBy("path", F.coalesce("record", "carried").alias("record"))
+        .agg(
+            F.sort_array(F.collect_list(F.struct("block", "line", "value"))).alias("parts"),
+            F.bool_or(is_first).alias("is_header"),
+        )
+        .select("path", F.array_join(F.col("parts.value"), "\n").alias("value"), "is_header")
+    )
+    return _parse(whole.unionByName(records), header, options)
+
+
+def _parse(records: DataFrame, header: tuple[str, ...], options: dict) -> DataFrame:
+    names = [f"c{i}" for i in range(len(header))]
+    text = F.when(
+        F.col("value").endswith("\r"), F.expr("left(value, length(value) - 1)")
+    ).otherwise(F.col("value"))
+    parsed = (
+        records.withColumn("value", text)
+        .filter("value <> ''")
+        .select(
+            "path",
+            "is_header",
+            F.from_csv("value", ", ".join(f"{n} string" for n in names), options).alias("c"),
+        )
+    )
+    same = F.lit(True)
+    for n, name in zip(names, header, strict=True):
+        same &= F.coalesce(F.lower(f"c.{n}"), F.lit("")) == name.lower()
+    other = F.raise_error(F.concat(F.lit("other header in "), "path")).cast("boolean")
+    is_row = F.when(~F.col("is_header"), F.lit(True)).when(same, F.lit(False)).otherwise(other)
+    return parsed.filter(is_row).select(
+        *[F.col(f"c.{n}").alias(name) for n, name in zip(names, header, strict=True)],
+        F.col("path").alias("_source_file"),
+    )

@@ -7,7 +7,7 @@ any storage that Spark can write to will do.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Collection, Iterable
 from datetime import date
 from urllib.parse import unquote
 
@@ -42,10 +42,17 @@ class Tables:
     def read(self, schema: str, table: str) -> DataFrame:
         return self.spark.read.schema(self.schema(schema, table)).parquet(self.path(schema, table))
 
-    def partitions(self, schema: str, table: str) -> list[Partition]:
-        """Values of the partition folders, from a listing; reads no data."""
+    def partitions(
+        self, schema: str, table: str, first: Collection[str] | None = None
+    ) -> list[Partition]:
+        """Values of the partition folders, from a listing; reads no data.
+
+        With ``first`` only folders of these values of the first partition column are listed.
+        """
         path = self.path(schema, table)
-        return [p for p, _ in _partitions(self.spark, path)] if _exists(self.spark, path) else []
+        if not _exists(self.spark, path):
+            return []
+        return [p for p, _ in _partitions(self.spark, path, first)]
 
     def dates(self, schema: str, table: str, column: str) -> set[date]:
         values = {p[column] for p in self.partitions(schema, table)}
@@ -65,17 +72,19 @@ class Tables:
         table: str,
         partition_by: Iterable[str],
         in_scope: Callable[[Partition], bool],
+        first: Collection[str] | None = None,
     ) -> int:
         """Replace exactly the partitions ``in_scope`` by the rows of ``df``.
 
         ``df`` holds all rows these partitions shall have and must not read this table. Partitions
-        for which it has no rows are removed. Running it again gives the same table.
+        for which it has no rows are removed. Running it again gives the same table. ``first`` says
+        which values of the first partition column can be in scope, to list no other folders.
         """
         path, keys = self.path(schema, table), list(partition_by)
         if not self.exists(schema, table):
             return self.overwrite(df, schema, table, keys)
         rows, written = _write(df, path, keys, dynamic=True)
-        for values, folder in _partitions(self.spark, path):
+        for values, folder in _partitions(self.spark, path, first):
             key = tuple(values[k] for k in keys)
             if in_scope(values) and key not in written:
                 _delete(self.spark, folder)
@@ -158,7 +167,9 @@ def _delete(spark: SparkSession, path: str) -> None:
     fs.delete(at, True)
 
 
-def _partitions(spark: SparkSession, path: str) -> list[tuple[Partition, str]]:
+def _partitions(
+    spark: SparkSession, path: str, first: Collection[str] | None = None
+) -> list[tuple[Partition, str]]:
     """Leaf partition folders, depth first; stops at folders that hold files only."""
     fs, at = file_system(spark, path)
     found = []
@@ -166,15 +177,18 @@ def _partitions(spark: SparkSession, path: str) -> list[tuple[Partition, str]]:
         name = status.getPath().getName()
         if not status.isDirectory() or "=" not in name or name.startswith((".", "_")):
             continue
-        column, value = name.split("=", 1)
-        here = {column: None if value == NULL_PARTITION else unquote(value)}
+        column, text = name.split("=", 1)
+        value = None if text == NULL_PARTITION else unquote(text)
+        if first is not None and value not in first:
+            continue
         folder = status.getPath().toString()
         below = _partitions(spark, folder)
-        found += [({**here, **v}, f) for v, f in below] or [(here, folder)]
+        found += [({column: value, **v}, f) for v, f in below] or [({column: value}, folder)]
     return found
 
 
-def list_files(spark: SparkSession, pattern: str) -> list[str]:
-    """Paths matching a glob, sorted."""
+def list_files(spark: SparkSession, pattern: str) -> dict[str, int]:
+    """Size of each file matching a glob, by path."""
     fs, at = file_system(spark, pattern)
-    return sorted(s.getPath().toString() for s in fs.globStatus(at) or () if s.isFile())
+    found = {s.getPath().toString(): s.getLen() for s in fs.globStatus(at) or () if s.isFile()}
+    return dict(sorted(found.items()))

@@ -1,3 +1,4 @@
+import csv
 import os
 from datetime import date
 
@@ -151,3 +152,67 @@ def test_served_under_its_schema_name(spark, folder):
     tables.overwrite(spark.sql("select date '2024-01-01' d, 1 v"), "test_marts", "t", ["d"])
     assert tables.register("test_marts", "t").count() == 1
     assert spark.sql("select v from test_marts.t").head()[0] == 1
+
+
+def notes(n):
+    """Every kind of line end inside and outside quotes."""
+    kinds = ["plain", "two\nlines", '"quoted"', 'a "b\nc" d', "\n\n", "cr\r\nlf", "x,y", "", "\r", None]
+    return [rf.call(i, "2024-01-05 10:00:00", kinds[i % len(kinds)]) for i in range(n)]
+
+
+@pytest.mark.parametrize("line_end", ["\n", "\r\n"])
+@pytest.mark.parametrize("block", [64, 1000, 10**6])
+def test_large_file_in_blocks(spark, folder, line_end, block):
+    path = rf.write(folder, "2024-01-05", CALLS.name, [])
+    with open(path, "w", newline="") as f:
+        out = csv.writer(f, lineterminator=line_end)
+        out.writerow(rf.COLUMNS[CALLS.name].split())
+        out.writerows(notes(60))
+    files = landing.extract_files(spark, folder, CALLS)
+    expected = {
+        str(i): (n or "").replace("\r\n", "\n") or None for i, *_, n in notes(60)
+    }
+    spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        df = landing.read_extracts(spark, CALLS, files, split_bytes=10)
+        rows = df.select("ch_call_id", "udh_notes", "campaign_name", "_source_file").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert len(rows) == 60
+    got = {r["ch_call_id"]: (r["udh_notes"] or "").replace("\r\n", "\n") or None for r in rows}
+    assert got == expected
+    assert {r["campaign_name"] for r in rows} == {"camp"}
+    assert {r["_source_file"].split("/", 1)[1] for r in rows} == {
+        "2024-01-05/ameyo_outbound_calls.csv"
+    }
+
+
+def test_large_file_without_broken_records_is_split_by_lines(spark, folder):
+    rows = [rf.call(i, "2024-01-05 10:00:00", str(i)) for i in range(50)]
+    rf.write(folder, "2024-01-05", CALLS.name, rows)
+    path = next(iter(landing.extract_files(spark, folder, CALLS)))
+    with open(rf.local(path), newline="") as f:
+        text = f.read().replace("\r\n", "\n")
+    rf.write_text(path, text)
+    files = landing.extract_files(spark, folder, CALLS)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 500)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        df = landing.read_extracts(spark, CALLS, files, split_bytes=10)
+        assert df.rdd.getNumPartitions() > 3
+        assert "multiLine" not in str(df._jdf.queryExecution().executedPlan())
+        assert {r["udh_notes"] for r in df.collect()} == {str(i) for i in range(50)}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_unclosed_quote_in_large_file_fails(spark, folder):
+    path = rf.write(folder, "2024-01-05", CALLS.name, notes(3))
+    with open(path, "a") as f:
+        f.write('9,2024-01-05 10:00:00,1,done,out,1,u,camp,"open\n')
+    files = landing.extract_files(spark, folder, CALLS)
+    with pytest.raises(ValueError, match="never closed"):
+        landing.read_extracts(spark, CALLS, files, split_bytes=10)
