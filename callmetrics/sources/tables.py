@@ -36,6 +36,8 @@ class Tables:
 
     def schema(self, schema: str, table: str) -> T.StructType:
         """As written; files of an empty table do not exist, and folder names have no types."""
+        if not self.exists(schema, table):
+            raise FileNotFoundError(f"no table {schema}.{table} in {self.root}")
         text = read_text(self.spark, f"{self.path(schema, table)}/{_SCHEMA_FILE}")
         return T.StructType.fromJson(json.loads(text))
 
