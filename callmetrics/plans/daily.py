@@ -194,6 +194,18 @@ def mart_checks(tables: Tables) -> list[quality.Check]:
     ]
 
 
+def drift_checks(
+    tables: Tables, max_blank_notes: float, providers: list[str]
+) -> list[quality.Check]:
+    """Optional checks that notice a change in the deliveries: blank notes, unknown providers."""
+    calls = staging.stg_calls(read_raw(tables, schemas.CALLS))
+    payments = staging.stg_payments(read_raw(tables, schemas.PAYMENTS))
+    return [
+        quality.blank_share_at_most("stg_calls", calls, "call_notes_raw", max_blank_notes),
+        quality.accepted_values("stg_payments", payments, "payment_request_provider", providers),
+    ]
+
+
 def run_daily(
     spark: SparkSession,
     raw_dir: str,

@@ -1,9 +1,10 @@
-from datetime import date, datetime
+import random
+from datetime import date, datetime, timedelta
 
 import pytest
 import raw_files as rf
 
-from callmetrics.operators.quality import QualityError
+from callmetrics.operators.quality import QualityError, run_checks
 from callmetrics.plans import daily
 from callmetrics.sources.tables import Tables
 from callmetrics.streaming.ingest import ingest_stream, refresh_stream
@@ -192,3 +193,57 @@ def test_stream_keeps_marts_like_a_full_build(world):
             clock=lambda: datetime(2024, 1, 31),
         ).awaitTermination()
     world.assert_like_full_build("2024-01-31")
+
+
+@pytest.mark.parametrize("seed", [1])
+def test_random_arrivals_and_corrections_equal_a_full_build(world, seed):
+    """Rows arrive up to nine days late; later days also correct extracts of earlier ones."""
+    rng = random.Random(seed)
+
+    def moment():
+        return datetime(2024, 1, 1) + timedelta(hours=rng.randrange(24 * 12))
+
+    def arrival(at):
+        return min(at + timedelta(days=rng.choice([0, 0, 1, 2, 9])), datetime(2024, 1, 12)).date()
+
+    dispositions, payments, calls = {}, {}, {}
+    for n in range(90):
+        at = moment()
+        row = rf.disposition(
+            n, rng.choice([1, 1, 2, 3, ""]), rng.choice([str(at)] * 9 + [""]), 1001 + n % 4
+        )
+        dispositions.setdefault(arrival(at), []).append(row)
+    for n in range(120):
+        at = moment()
+        row = rf.payment(rng.choice([1, 1, 2, 3, 4]), str(at), rng.randrange(-1, 6))
+        payments.setdefault(arrival(at), []).append(row)
+    for n in range(40):
+        at = moment()
+        calls.setdefault(at.date(), []).append(rf.call(n, str(at), rng.choice(["", "x", "zz\n7"])))
+    for run in (date(2024, 1, 4), date(2024, 1, 8), date(2024, 1, 12)):
+        due = [date(2024, 1, 1) + timedelta(n) for n in range(run.day)]
+        for day in due:
+            if day < run and rng.random() < 0.2:
+                payments[day] = payments.get(day, [])[1:]
+                dispositions[day] = dispositions.get(day, [])[1:]
+            world.day(
+                str(day),
+                dispositions=dispositions.get(day, []),
+                payments=payments.get(day, []),
+                calls=calls.get(day, []),
+            )
+        world.run(f"{run} 23:00", split_rows=20)
+        world.assert_like_full_build(f"{run} 23:00")
+
+
+def test_drift_checks(world):
+    world.day(
+        "2024-01-05",
+        dispositions=[rf.disposition(1, 10, "2024-01-05 10:00:00")],
+        payments=[rf.payment(10, "2024-01-05 11:00:00", 5)],
+        calls=[rf.call(1, "2024-01-05 10:00:00", "1"), rf.call(2, "2024-01-05 10:00:00", " ")],
+    )
+    world.run("2024-01-05 23:00")
+    assert run_checks(daily.drift_checks(world.tables, 0.5, ["MPESA"]))
+    with pytest.raises(QualityError, match="blank_share.*accepted_values"):
+        run_checks(daily.drift_checks(world.tables, 0.4, ["CARD"]))
