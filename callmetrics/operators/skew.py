@@ -18,18 +18,18 @@ def heavy_keys(df: DataFrame, key: Column, split_rows: int = SPLIT_ROWS) -> dict
     """``{key: rows}`` of the keys with more than ``split_rows`` rows, the largest first.
 
     Reads the key column only and counts map-side first; top-n keeps at most ``MAX_HEAVY_KEYS``
-    rows per task and on the driver.
+    rows, and one for the null key, per task and on the driver. Null counts as no key.
     """
     counts = (
         df.select(key.alias("key"))
-        .filter(F.col("key").isNotNull())
         .groupBy("key")
         .agg(F.count("*").alias("n"))
         .filter(F.col("n") > split_rows)
         .orderBy(F.desc("n"), "key")
-        .limit(MAX_HEAVY_KEYS)
+        .limit(MAX_HEAVY_KEYS + 1)
     )
-    return {r["key"]: r["n"] for r in counts.collect()}
+    found = [(r["key"], r["n"]) for r in counts.collect() if r["key"] is not None]
+    return dict(found[:MAX_HEAVY_KEYS])
 
 
 def salted_join(
@@ -41,25 +41,27 @@ def salted_join(
     how: str = "left",
     split_rows: int = SPLIT_ROWS,
 ) -> DataFrame:
-    """Equi join for a left side with very frequent keys; rows without a key must be gone before.
+    """Equi join for a left side whose keys are missing or very frequent. Left keys are at least 0.
 
-    ``right`` holds at most one row per key. A heavy key is cut into parts of about ``split_rows``
-    rows by the hash of ``spread_by``, and its one right row is repeated once per part. Keeps the
-    columns of both sides for ``how="left"``, of the left side for ``how="left_anti"``.
+    A row without a key matches nothing; it gets a negative key from the hash of ``spread_by``, so
+    that such rows do not meet in one task. ``right`` holds at most one row per key. A heavy key is
+    cut into parts of about ``split_rows`` rows, and its one right row is repeated once per part.
+    Keeps the columns of both sides for ``how="left"``, of the left side for ``how="left_anti"``.
     """
     heavy = heavy_keys(left, F.col(left_key), split_rows)
-    same_key = F.col(left_key) == F.col(right_key)
+    no_key = -1 - F.pmod(F.xxhash64(spread_by), F.lit(2**62))
+    left = left.withColumn("_key", F.coalesce(left_key, no_key))
+    right = right.filter(F.col(right_key) >= 0)
+    same_key = F.col("_key") == F.col(right_key)
     if not heavy:
-        return left.join(right, same_key, how)
+        return left.join(right, same_key, how).drop("_key")
     rows = [(k, math.ceil(n / split_rows)) for k, n in heavy.items()]
     # At most MAX_HEAVY_KEYS rows.
     parts = F.broadcast(
         left.sparkSession.createDataFrame(rows, "_heavy_key bigint, _parts bigint")
     )
-    spread = F.pmod(F.xxhash64(spread_by), F.coalesce("_parts", F.lit(1)))
-    left = left.join(parts, F.col(left_key) == F.col("_heavy_key"), "left").withColumn(
-        "_part", spread
-    )
+    part = F.pmod(F.xxhash64(spread_by), F.coalesce("_parts", F.lit(1)))
+    left = left.join(parts, F.col("_key") == F.col("_heavy_key"), "left").withColumn("_part", part)
     copies = F.sequence(F.lit(0).cast("bigint"), F.coalesce("_parts", F.lit(1)) - 1)
     right = (
         right.join(parts, F.col(right_key) == F.col("_heavy_key"), "left")
@@ -67,5 +69,5 @@ def salted_join(
         .drop("_heavy_key", "_parts")
     )
     return left.join(right, same_key & (F.col("_part") == F.col("_copy")), how).drop(
-        "_part", "_copy", "_heavy_key", "_parts"
+        "_key", "_part", "_copy", "_heavy_key", "_parts"
     )

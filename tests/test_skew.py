@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from callmetrics.operators import skew
@@ -14,23 +15,26 @@ def test_heavy_keys_counts_and_ignores_null(spark):
 
 
 def test_salted_join_equals_plain_join(spark):
-    left = spark.range(3000).selectExpr("id as row", "if(id % 3 = 0, 7L, id % 50) as k")
-    right = spark.range(40).selectExpr("id as r", "id * 10 as v")
+    left = spark.range(3000).selectExpr(
+        "id as row", "case id % 4 when 0 then 7L when 1 then null else id % 50 end as k"
+    )
+    right = spark.range(-2000, 40).selectExpr("id as r", "id * 10 as v")
     for how in ("left", "left_anti"):
         plain = left.join(right, F.col("k") == F.col("r"), how)
-        salted = skew.salted_join(left, right, "k", "r", "row", how, split_rows=100)
-        assert salted.columns == plain.columns
-        assert sorted(map(tuple, salted.collect()), key=repr) == sorted(
-            map(tuple, plain.collect()), key=repr
-        )
+        expected = sorted(map(tuple, plain.collect()), key=repr)
+        for split_rows in (100, 10**9):
+            salted = skew.salted_join(left, right, "k", "r", "row", how, split_rows)
+            assert salted.columns == plain.columns
+            assert sorted(map(tuple, salted.collect()), key=repr) == expected
 
 
-def test_heavy_key_is_spread(spark):
+@pytest.mark.parametrize("key", ["7L", "cast(null as bigint)"])
+def test_heavy_or_missing_key_is_spread(spark, key):
     """With 1000 rows and 100 per part, the one key lands in several partitions."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        left = spark.range(1000).selectExpr("id as row", "7L as k")
+        left = spark.range(1000).selectExpr("id as row", f"{key} as k")
         right = spark.range(20).selectExpr("id as r")
         joined = skew.salted_join(left, right, "k", "r", "row", split_rows=100)
         tasks = joined.groupBy(F.spark_partition_id()).count().count()
