@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -79,12 +80,16 @@ def require_rates(priced: DataFrame) -> None:
     run_checks([Check("rate for every attributed payment", missing_rates(priced))])
 
 
-def run_checks(checks: Iterable[Check]) -> Mapping[str, int]:
-    """Run all checks, then raise one error naming every one that failed."""
-    found = {c.name: c.violations.count() for c in checks}
-    failed = {name: n for name, n in found.items() if n}
+def run_checks(checks: Iterable[Check]) -> dict[str, int]:
+    """Run all checks as one job, then raise one error naming every one that failed."""
+    checks = list(checks)
+    counted = [
+        c.violations.agg(F.count("*").alias("n")).select(F.lit(c.name).alias("name"), "n")
+        for c in checks
+    ]
+    # One row per check.
+    found = {r["name"]: r["n"] for r in reduce(DataFrame.unionAll, counted).collect()}
+    failed = [f"{c.name}: {found[c.name]} violation(s)" for c in checks if found[c.name]]
     if failed:
-        raise QualityError(
-            "; ".join(f"{name}: {n} violation(s)" for name, n in failed.items())
-        )
+        raise QualityError("; ".join(failed))
     return found

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
@@ -27,6 +28,22 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int = 8, **conf: str)
     return spark
 
 
+def cluster_settings(shuffled_bytes: int, cores: int) -> dict[str, str]:
+    """Settings for a large run, given the size of its largest shuffle and the executor cores.
+
+    Shuffle partitions of about 200 MB sort in memory; there are at least two per core. Adaptive
+    execution joins the small ones and cuts skewed ones.
+    """
+    partitions = max(2 * cores, math.ceil(shuffled_bytes / (200 * 1024**2)))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+        "spark.sql.files.maxPartitionBytes": "256m",
+    }
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new path below ``spark.checkpoint.dir``.
 
