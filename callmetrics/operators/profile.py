@@ -102,7 +102,9 @@ def contract_load(dispositions: DataFrame, payments: DataFrame) -> DataFrame:
         dispositions.filter(contract)
         .select("contract_id", F.lit(1).alias("d"), F.lit(0).alias("p"))
         .unionAll(
-            payments.filter(contract).select("contract_id", F.lit(0).alias("d"), F.lit(1).alias("p"))
+            payments.filter(contract).select(
+                "contract_id", F.lit(0).alias("d"), F.lit(1).alias("p")
+            )
         )
         .groupBy("contract_id")
         .agg(F.sum("d").alias("d"), F.sum("p").alias("p"))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 from datetime import date, datetime
-from typing import Literal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +15,7 @@ from callmetrics.operators import quality
 from callmetrics.operators.skew import SPLIT_ROWS
 from callmetrics.plans import incremental, intermediate, marts, staging
 from callmetrics.plans.incremental import Scope
+from callmetrics.plans.marts import FxRule
 from callmetrics.sources import fx, landing, manifest
 from callmetrics.sources.landing import EVENT_DATE, Landed, read_raw
 from callmetrics.sources.tables import Tables
@@ -39,9 +39,9 @@ class DailyReport:
     rows: dict[str, int] = field(default_factory=dict)
 
 
-def raw_since(tables: Tables, table: str, scope: Scope) -> DataFrame:
+def raw_of(tables: Tables, table: str, scope: Scope) -> DataFrame:
     """Raw rows of the dates in scope; other event-date partitions are not read."""
-    return read_raw(tables, table).filter(scope.holds(F.col(EVENT_DATE).cast("date")))
+    return read_raw(tables, table).filter(scope.holds(F.col(EVENT_DATE)))
 
 
 def _last_as_of(tables: Tables) -> datetime | None:
@@ -59,7 +59,7 @@ def land(
     lands the same files again and still knows which dates they touch.
     """
     known = None if full_refresh else manifest.known_files(tables)
-    tables.overwrite(manifest.file_hashes(spark, raw_dir), *manifest.SEEN)
+    tables.overwrite(manifest.file_hashes(spark, raw_dir, known), *manifest.SEEN)
     if known is None:
         return landing.land_all(spark, tables, raw_dir)
     changed = manifest.changed_files(tables.read(*manifest.SEEN), known)
@@ -68,103 +68,109 @@ def land(
     return landing.land_files(spark, tables, raw_dir, paths)
 
 
-def build(
-    spark: SparkSession,
-    tables: Tables,
-    landed: list[Landed],
-    as_of: datetime,
-    full_refresh: bool = False,
-    fx_rule: Literal["latest", "nearest"] = "latest",
-    split_rows: int = SPLIT_ROWS,
+def build_attribution(
+    tables: Tables, scope: Scope, as_of: datetime, split_rows: int = SPLIT_ROWS
 ) -> dict[str, int]:
-    """Bring intermediate and mart tables up to date with raw. Returns rows written per table."""
-    touched: dict[str, set[date]] = {n: set() for n in schemas.ENTITIES}
-    for load in landed:
-        touched[load.table] |= load.event_dates
-    moved = touched[schemas.DISPOSITIONS] | touched[schemas.PAYMENTS]
-    rows = {}
+    """Attribution and paid post call of the disposition dates in scope.
 
-    # Attribution and paid post call, by disposition date.
-    scope = (
-        Scope.everything()
-        if full_refresh
-        else incremental.attribution_scope(
-            tables.dates(*ATTRIBUTION, DISPOSED_DATE), moved, as_of, _last_as_of(tables)
-        )
-    )
+    Who owns a payment is decided by the dispositions of the three days before it, so a date needs
+    the rows of the three days after it and none of earlier ones.
+    """
     reads = scope.and_days_after(ATTRIBUTION_DAYS)
+    disposed_date = F.to_date("disposed_at_utc")
     attribution = intermediate.int_calls_payment_attribution(
-        staging.stg_dispositions(raw_since(tables, schemas.DISPOSITIONS, reads)),
-        staging.stg_payments(raw_since(tables, schemas.PAYMENTS, reads)),
+        staging.stg_dispositions(raw_of(tables, schemas.DISPOSITIONS, reads)),
+        staging.stg_payments(raw_of(tables, schemas.PAYMENTS, reads)),
         as_of,
         split_rows,
-    ).withColumn(DISPOSED_DATE, F.to_date("disposed_at_utc"))
-    rows[ATTRIBUTION[1]] = incremental.rebuild(
-        tables, attribution.filter(scope.holds(F.col(DISPOSED_DATE))), *ATTRIBUTION, DISPOSED_DATE, scope
-    )
-    attributed = tables.read(*ATTRIBUTION)
-    disposed = F.col(DISPOSED_DATE).cast("date")
-    paid = marts.fct_paid_post_call(attributed.filter(scope.holds(disposed)))
-    rows[PAID[1]] = incremental.rebuild(
-        tables, paid.withColumn(DISPOSED_DATE, F.to_date("disposed_at_utc")), *PAID, DISPOSED_DATE, scope
+    ).filter(scope.holds(disposed_date))
+    attribution = attribution.withColumn(DISPOSED_DATE, disposed_date)
+    attributed = incremental.rebuild(tables, attribution, *ATTRIBUTION, DISPOSED_DATE, scope)
+    paid = marts.fct_paid_post_call(
+        tables.read(*ATTRIBUTION).filter(scope.holds(F.col(DISPOSED_DATE)))
     )
+    paid = paid.withColumn(DISPOSED_DATE, disposed_date)
+    calls = incremental.rebuild(tables, paid, *PAID, DISPOSED_DATE, scope)
+    return {ATTRIBUTION[1]: attributed, PAID[1]: calls}
 
-    # Value recovered, by payment date: a rebuilt disposition can own payments of the three days
-    # after it, so those dates are summed again from all their rows.
-    value_scope = scope.and_days_after(ATTRIBUTION_DAYS)
-    quality.require_rates(
-        marts.priced_payments(attributed.filter(scope.holds(disposed)), fx.read_rates(tables), fx_rule)
-    )
-    owners = value_scope.and_days_before(ATTRIBUTION_DAYS)
-    value = marts.fct_value_recovered_usd(
-        attributed.filter(
-            owners.holds(disposed) & value_scope.holds(F.to_date("pay_timestamp_utc"))
-        ),
-        fx.read_rates(tables),
-        fx_rule,
-    )
-    rows[VALUE[1]] = incremental.rebuild(tables, value, *VALUE, CALL_DATE, value_scope)
 
-    # Agents are few against calls and can change at any time: rebuilt whole.
-    agents = marts.dim_agent(
-        staging.stg_agent_mapping(read_raw(tables, schemas.AGENT_MAPPING))
-    )
-    rows[DIM_AGENT[1]] = tables.overwrite(agents, *DIM_AGENT)
+def build_value(tables: Tables, scope: Scope, fx_rule: FxRule = "latest") -> dict[str, int]:
+    """Value recovered, by payment date, after the disposition dates in scope were rebuilt.
 
-    # Coding rate, by local call date.
-    calls_scope = (
-        Scope.everything()
-        if full_refresh
-        else incremental.lookback(
-            tables.dates(*CODING, CALL_DATE), incremental.LOOKBACK_DAYS, touched[schemas.CALLS]
-        )
+    These can own payments of the three days after them. Those payment dates are summed again from
+    all dispositions that can own their payments. A payment without a rate fails the run.
+    """
+    rates = fx.read_rates(tables)
+    attribution = tables.read(*ATTRIBUTION)
+    disposed = F.col(DISPOSED_DATE)
+    rebuilt = attribution.filter(scope.holds(disposed))
+    quality.require_rates(marts.priced_payments(rebuilt, rates, fx_rule))
+    pay_dates = scope.and_days_after(ATTRIBUTION_DAYS)
+    owners = pay_dates.and_days_before(ATTRIBUTION_DAYS)
+    payments = attribution.filter(
+        owners.holds(disposed) & pay_dates.holds(F.to_date("pay_timestamp_utc"))
     )
+    value = marts.fct_value_recovered_usd(payments, rates, fx_rule)
+    return {VALUE[1]: incremental.rebuild(tables, value, *VALUE, CALL_DATE, pay_dates)}
+
+
+def build_coding(tables: Tables, scope: Scope, split_rows: int = SPLIT_ROWS) -> dict[str, int]:
+    """Agents, few and rebuilt whole, and the coding rate of the call dates in scope."""
+    mapping = staging.stg_agent_mapping(read_raw(tables, schemas.AGENT_MAPPING))
+    agents = tables.overwrite(marts.dim_agent(mapping), *DIM_AGENT)
     coded = intermediate.int_calls_coded(
-        staging.stg_calls(raw_since(tables, schemas.CALLS, calls_scope)),
+        staging.stg_calls(raw_of(tables, schemas.CALLS, scope)),
         staging.stg_dispositions(read_raw(tables, schemas.DISPOSITIONS)),
         split_rows,
     )
-    rows[CODING[1]] = incremental.rebuild(
-        tables, marts.fct_coding_rate(coded, tables.read(*DIM_AGENT)), *CODING, CALL_DATE, calls_scope
+    coding = marts.fct_coding_rate(coded, tables.read(*DIM_AGENT))
+    rows = incremental.rebuild(tables, coding, *CODING, CALL_DATE, scope)
+    return {DIM_AGENT[1]: agents, CODING[1]: rows}
+
+
+def build_drivers(tables: Tables, scope: Scope) -> dict[str, int]:
+    """Inbound drivers of the disposition dates in scope."""
+    hierarchy = intermediate.int_dispositions_hierarchy(
+        staging.stg_dispositions(raw_of(tables, schemas.DISPOSITIONS, scope))
     )
+    drivers = marts.fct_inbound_call_drivers(hierarchy)
+    return {DRIVERS[1]: incremental.rebuild(tables, drivers, *DRIVERS, CALL_DATE, scope)}
+
+
+def build(
+    spark: SparkSession,
+    tables: Tables,
+    landed: list[Landed],
+    as_of: datetime,
+    full_refresh: bool = False,
+    fx_rule: FxRule = "latest",
+    split_rows: int = SPLIT_ROWS,
+) -> dict[str, int]:
+    """Bring intermediate and mart tables up to date with raw. Returns rows written per table."""
+    touched: dict[str, set[date]] = {name: set() for name in schemas.ENTITIES}
+    for load in landed:
+        touched[load.table] |= load.event_dates
 
-    # Inbound drivers, by disposition date.
-    drivers_scope = (
+    def lookback(table: tuple[str, str], source: str) -> Scope:
+        if full_refresh:
+            return Scope.everything()
+        existing = tables.dates(*table, CALL_DATE)
+        return incremental.lookback(existing, incremental.LOOKBACK_DAYS, touched[source])
+
+    attribution_scope = (
         Scope.everything()
         if full_refresh
-        else incremental.lookback(
-            tables.dates(*DRIVERS, CALL_DATE),
-            incremental.LOOKBACK_DAYS,
-            touched[schemas.DISPOSITIONS],
+        else incremental.attribution_scope(
+            tables.dates(*ATTRIBUTION, DISPOSED_DATE),
+            touched[schemas.DISPOSITIONS] | touched[schemas.PAYMENTS],
+            as_of,
+            _last_as_of(tables),
         )
     )
-    hierarchy = intermediate.int_dispositions_hierarchy(
-        staging.stg_dispositions(raw_since(tables, schemas.DISPOSITIONS, drivers_scope))
-    )
-    rows[DRIVERS[1]] = incremental.rebuild(
-        tables, marts.fct_inbound_call_drivers(hierarchy), *DRIVERS, CALL_DATE, drivers_scope
-    )
-
+    rows = build_attribution(tables, attribution_scope, as_of, split_rows)
+    rows |= build_value(tables, attribution_scope, fx_rule)
+    rows |= build_coding(tables, lookback(CODING, schemas.CALLS), split_rows)
+    rows |= build_drivers(tables, lookback(DRIVERS, schemas.DISPOSITIONS))
     # Last: a run that broke off before this is repeated with the same scope.
     tables.overwrite(spark.range(1).select(ntz(as_of).alias("as_of")), *RUN_STATE)
     return rows
@@ -213,7 +219,7 @@ def run_daily(
     as_of: datetime,
     full_refresh: bool = False,
     fx_payload: str | None = None,
-    fx_rule: Literal["latest", "nearest"] = "latest",
+    fx_rule: FxRule = "latest",
     split_rows: int = SPLIT_ROWS,
 ) -> DailyReport:
     """Land what is new, load the day's rates, rebuild and check. ``as_of`` is naive UTC.

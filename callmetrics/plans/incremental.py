@@ -91,7 +91,7 @@ def lookback(
 def attribution_scope(
     existing: set[date], touched: Iterable[date], as_of: datetime, last_as_of: datetime | None
 ) -> Scope:
-    """Lookback plus one window, also from the last and the present ``as_of`` if they are earlier."""
+    """Lookback plus one window, also before the last and the present ``as_of`` if earlier."""
     if not existing or last_as_of is None:
         return Scope.everything()
     anchors = {max(existing), as_of.date(), last_as_of.date()}

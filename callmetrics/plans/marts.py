@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from callmetrics.functions import surrogate_key
 from callmetrics.operators.rates import price_latest, price_nearest
 
+FxRule = Literal["latest", "nearest"]
+
 
 def dim_agent(mapping: DataFrame) -> DataFrame:
     return mapping.select("ameyo_user_id", "atlas_user_name", "team", "market")
@@ -62,7 +64,7 @@ def fct_paid_post_call(attribution: DataFrame) -> DataFrame:
 
 
 def priced_payments(
-    attribution: DataFrame, rates: DataFrame, fx: Literal["latest", "nearest"] = "latest"
+    attribution: DataFrame, rates: DataFrame, fx: FxRule = "latest"
 ) -> DataFrame:
     """Attributed amounts by payment date, market and currency, with the rate to convert them.
 
@@ -92,7 +94,7 @@ def value_by_day(priced: DataFrame) -> DataFrame:
 
 
 def fct_value_recovered_usd(
-    attribution: DataFrame, rates: DataFrame, fx: Literal["latest", "nearest"] = "latest"
+    attribution: DataFrame, rates: DataFrame, fx: FxRule = "latest"
 ) -> DataFrame:
     """USD recovered by payment date and market of the call."""
     return value_by_day(priced_payments(attribution, rates, fx))

@@ -98,7 +98,9 @@ def stg_agent_mapping(raw: DataFrame) -> DataFrame:
     """
     order = ("atlas_user_name", "team", "contact_centre")
     smallest = F.min(
-        F.struct(*[c for name in order for c in (F.isnull(name).alias(f"{name}_absent"), F.col(name))])
+        F.struct(
+            *[c for n in order for c in (F.isnull(n).alias(f"{n}_absent"), F.col(n))],
+        )
     )
     return (
         raw.groupBy(F.col("ameyo_user_id").cast("string").alias("ameyo_user_id"))

@@ -120,9 +120,8 @@ def changed_files_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     deliveries.deliver(spark, sf_dir, raw_dir, DAY_ONE, {e: _EARLY[e] for e in entities})
     manifest.remember(tables, manifest.file_hashes(spark, raw_dir))
     deliveries.deliver(spark, sf_dir, raw_dir, DAY_TWO, {e: _LATE[e] for e in entities})
-    changed = manifest.changed_files(
-        manifest.file_hashes(spark, raw_dir), manifest.known_files(tables)
-    )
+    known = manifest.known_files(tables)
+    changed = manifest.changed_files(manifest.file_hashes(spark, raw_dir, known), known)
     report = landing.land_files(
         spark, tables, raw_dir, [r["path"] for r in changed.select("path").collect()]
     )

@@ -1,4 +1,9 @@
-"""Which files are new or changed, by content hash."""
+"""Which files are new or changed, by content hash.
+
+The manifest holds path, size, modification time and hash of every landed file. A file with the
+size and time it had is taken as unchanged without being read, so a daily run reads the new and
+rewritten files only. A rewritten file whose content is the same is not landed again.
+"""
 
 from __future__ import annotations
 
@@ -9,29 +14,29 @@ from callmetrics.sources.tables import Tables
 
 MANIFEST = ("raw", "_file_manifest")
 SEEN = ("raw", "_files_seen")
-
-
 # Above this size a file is not held in one task's memory to hash it.
 WHOLE_FILE_BYTES = 128 * 1024 * 1024
+_STAT = ("path", "length", "modificationTime")
 
 
-def file_hashes(
-    spark: SparkSession, raw_dir: str, whole_file_bytes: int = WHOLE_FILE_BYTES
-) -> DataFrame:
-    """(path, md5) of every delivered file.
+def _files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Delivered files; as long as ``content`` is not selected they are only listed."""
+    return spark.read.format("binaryFile").load(paths)
+
 
-    A large file is read in splits instead: md5 over its line count and two sums of line hashes.
+def _hashed(spark: SparkSession, paths: str | list[str], whole_file_bytes: int) -> DataFrame:
+    """(path, length, modificationTime, md5) of files.
+
+    A large file is read in splits: md5 over its line count and two sums of line hashes.
     """
-    files = spark.read.format("binaryFile").load(f"{raw_dir.rstrip('/')}/*/*.csv")
-    whole = files.filter(F.col("length") <= whole_file_bytes).select(
-        "path", F.md5("content").alias("md5")
-    )
-    large = [
-        r["path"] for r in files.filter(F.col("length") > whole_file_bytes).select("path").collect()
-    ]
-    if not large:
+    files = _files(spark, paths)
+    small = F.col("length") <= whole_file_bytes
+    whole = files.filter(small).select(*_STAT, F.md5("content").alias("md5"))
+    large = files.filter(~small).select(*_STAT)
+    large_paths = [r["path"] for r in large.select("path").collect()]
+    if not large_paths:
         return whole
-    lines = spark.read.text(large).select(F.col("_metadata.file_path").alias("path"), "value")
+    lines = spark.read.text(large_paths).select(F.col("_metadata.file_path").alias("path"), "value")
     digest = F.md5(
         F.concat_ws(
             "-",
@@ -40,7 +45,25 @@ def file_hashes(
             F.bit_xor(F.xxhash64(F.lit("x"), "value")).cast("string"),
         )
     )
-    return whole.unionByName(lines.groupBy("path").agg(digest.alias("md5")))
+    digests = lines.groupBy("path").agg(digest.alias("md5"))
+    return whole.unionByName(large.join(digests, "path", "left"))
+
+
+def file_hashes(
+    spark: SparkSession,
+    raw_dir: str,
+    known: DataFrame | None = None,
+    whole_file_bytes: int = WHOLE_FILE_BYTES,
+) -> DataFrame:
+    """The manifest of all files present, taking over what is known of files not written since."""
+    everything = f"{raw_dir.rstrip('/')}/*/*.csv"
+    if known is None:
+        return _hashed(spark, everything, whole_file_bytes)
+    present = _files(spark, everything).select(*_STAT)
+    # Paths of the files written since the last run.
+    written = [r["path"] for r in present.join(known, list(_STAT), "left_anti").collect()]
+    kept = known.join(present, list(_STAT), "left_semi").select(*_STAT, "md5")
+    return kept.unionByName(_hashed(spark, written, whole_file_bytes)) if written else kept
 
 
 def changed_files(hashes: DataFrame, known: DataFrame | None) -> DataFrame:
@@ -49,11 +72,9 @@ def changed_files(hashes: DataFrame, known: DataFrame | None) -> DataFrame:
 
 
 def known_files(tables: Tables) -> DataFrame | None:
-    if not tables.exists(*MANIFEST):
-        return None
-    return tables.read(*MANIFEST).select("path", "md5")
+    return tables.read(*MANIFEST) if tables.exists(*MANIFEST) else None
 
 
 def remember(tables: Tables, hashes: DataFrame) -> None:
-    """Store the hashes of all files present, after they have been landed."""
+    """Store the manifest, after the files have been landed."""
     tables.overwrite(hashes, *MANIFEST)

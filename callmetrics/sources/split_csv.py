@@ -15,7 +15,7 @@ _BLOCK = ("path", "block")
 
 
 def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Lines with the block they start in. Only ``\\n`` ends a line, so ``\\r`` stays in the text."""
+    """Lines with the block they start in. Only a line feed ends a line."""
     return (
         spark.read.option("lineSep", "\n")
         .text(paths)
@@ -70,9 +70,8 @@ def read_records(
     earlier_blocks = (
         Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     )
-    blocks = blocks.select(
-        *_BLOCK, F.coalesce(F.sum("odd_in_block").over(earlier_blocks), F.lit(0)).alias("odd_before")
-    )
+    odd_before = F.coalesce(F.sum("odd_in_block").over(earlier_blocks), F.lit(0))
+    blocks = blocks.select(*_BLOCK, odd_before.alias("odd_before"))
     placed = lines.select(
         "*",
         F.coalesce(F.sum("odd").over(so_far), F.lit(0)).alias("odd_so_far"),

@@ -1,8 +1,9 @@
 """Continuous form of the daily job: every file that arrives is landed once, then the marts follow.
 
-The stream carries file paths only. Its checkpoint remembers which files were taken; each micro-batch
-lands its files and rebuilds the dates they touch, however late these are. A payment window of three
-days is thus never held as stream state, and a replayed batch writes the same partitions again.
+The stream carries file paths only. Its checkpoint remembers which files were taken; each
+micro-batch lands its files and rebuilds the dates they touch, however late these are. A payment
+window of three days is thus never held as stream state, and a replayed batch writes the same
+partitions again.
 """
 
 from __future__ import annotations

@@ -89,10 +89,10 @@ def test_only_changed_files_are_landed_and_replace_their_rows(spark, folder):
     manifest.remember(tables, hashes)
 
     def changed():
-        found = manifest.changed_files(
-            manifest.file_hashes(spark, raw_dir), manifest.known_files(tables)
-        )
-        return [r["path"] for r in found.collect()]
+        known = manifest.known_files(tables)
+        hashes = manifest.file_hashes(spark, raw_dir, known)
+        assert hashes.count() == 2
+        return [r["path"] for r in manifest.changed_files(hashes, known).collect()]
 
     rf.write(raw_dir, "2024-01-06", PAYMENTS.name, [two])  # same content, new time
     assert changed() == []
@@ -110,6 +110,18 @@ def test_only_changed_files_are_landed_and_replace_their_rows(spark, folder):
     ]
 
 
+def test_file_not_written_since_is_not_read(spark, folder):
+    rf.write(folder, "2024-01-05", PAYMENTS.name, [rf.payment(1, "2024-01-05 10:00:00", 5)])
+    known = spark.createDataFrame(
+        [(*r[:3], "known") for r in manifest.file_hashes(spark, folder).collect()],
+        "path string, length bigint, modificationTime timestamp, md5 string",
+    )
+    assert [r["md5"] for r in manifest.file_hashes(spark, folder, known).collect()] == ["known"]
+    rf.write(folder, "2024-01-05", PAYMENTS.name, [rf.payment(1, "2024-01-05 10:00:00", 50)])
+    (row,) = manifest.file_hashes(spark, folder, known).collect()
+    assert row["md5"] != "known"
+
+
 def test_large_files_are_hashed_in_splits(spark, folder):
     rf.write(folder, "2024-01-05", PAYMENTS.name, [rf.payment(1, "2024-01-05 10:00:00", 5)])
 
