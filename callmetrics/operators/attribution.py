@@ -10,31 +10,20 @@ window. So one shuffle on the contract gives the attributed payments and the unp
 without candidate pairs and without joining back. If the nearest preceding disposition is more than
 three days old, so are all others, hence checking the nearest alone is enough.
 
-A contract too large for one task is cut by time into slots. Each slot gets one extra row, the last
-disposition before it, so slots are independent of each other.
+A contract too large for one task is cut by time into slots. Each slot gets its neighbours as extra
+rows, the last disposition before it and the next entry after it, so that slots are independent.
 """
 
 from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from callmetrics.functions import ntz, plain_number, second_index, surrogate_key, window_close
 from callmetrics.operators.skew import SPLIT_ROWS, heavy_keys
 
-_ROW = (
-    "call_log_id",
-    "market",
-    "contract_id",
-    "disposed_at_utc",
-    "pay_timestamp_utc",
-    "currency",
-    "amount_local",
-)
-
-
 def assessable_dispositions(dispositions: DataFrame) -> DataFrame:
     """Without a contract a disposition cannot be assessed; that is not the same as unpaid."""
     return dispositions.filter(F.col("contract_id").isNotNull()).select(
@@ -74,41 +63,20 @@ _IS_PAYMENT = "amount_local is not null"
 _OWNER = ("call_log_id", "market", "disposed_at_utc")
 
 
-def _owners(order: WindowSpec) -> list[Column]:
-    """The last disposition up to each row; of a disposition, itself."""
-    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return [F.last(c, ignorenulls=True).over(so_far).alias(f"owner_{c}") for c in _OWNER]
-
-
-def _rows() -> list[Column]:
-    """Output columns of a walked timeline row."""
-    return [
-        F.col("owner_call_log_id").alias("call_log_id"),
-        F.nullif(F.col("owner_market"), F.lit("")).alias("market"),
-        F.col("contract_id"),
-        F.col("owner_disposed_at_utc").alias("disposed_at_utc"),
-        F.when(F.expr(_IS_PAYMENT), F.col("at")).alias("pay_timestamp_utc"),
-        F.col("currency"),
-        F.col("amount_local"),
-    ]
-
-
-def _in_owners_window() -> Column:
-    return F.expr(_IS_PAYMENT) & (F.col("at") <= window_close(F.col("owner_disposed_at_utc")))
-
-
-def _attribute_whole(dispositions: DataFrame, payments: DataFrame) -> DataFrame:
-    """All of a contract in one sorted group.
+def _walk(timeline: DataFrame, *group: str) -> DataFrame:
+    """Attributed payments and unpaid dispositions of each group, in one sort.
 
     Dispositions have no amount and so come before the payments of their instant, and equal
     payments are neighbours.
     """
-    order = Window.partitionBy("contract_id").orderBy(
+    order = Window.partitionBy(*group).orderBy(
         "at", F.asc_nulls_first("amount_local"), "call_log_id", F.asc_nulls_last("currency")
     )
-    walked = _timeline(dispositions, payments).select(
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    walked = timeline.select(
         "*",
-        *_owners(order),
+        # The last disposition up to the row; of a disposition, itself.
+        *[F.last(c, ignorenulls=True).over(so_far).alias(f"owner_{c}") for c in _OWNER],
         F.lag("at").over(order).alias("at_before"),
         F.lag("amount_local").over(order).alias("amount_before"),
         F.lead("at").over(order).alias("at_after"),
@@ -116,21 +84,42 @@ def _attribute_whole(dispositions: DataFrame, payments: DataFrame) -> DataFrame:
     )
     is_payment = F.expr(_IS_PAYMENT)
     copy = (F.col("at_before") == F.col("at")) & (F.col("amount_before") == F.col("amount_local"))
+    in_window = F.col("at") <= window_close(F.col("owner_disposed_at_utc"))
     paid = F.col("amount_after").isNotNull() & (F.col("at_after") <= window_close(F.col("at")))
-    attributed = _in_owners_window() & ~F.coalesce(copy, F.lit(False))
+    attributed = is_payment & in_window & ~F.coalesce(copy, F.lit(False))
     unpaid = ~is_payment & ~F.coalesce(paid, F.lit(False))
-    return walked.filter(attributed | unpaid).select(*_rows())
+    return walked.filter(attributed | unpaid)
+
+
+def _result(walked: DataFrame) -> DataFrame:
+    return walked.select(
+        F.col("owner_call_log_id").alias("call_log_id"),
+        F.nullif(F.col("owner_market"), F.lit("")).alias("market"),
+        "contract_id",
+        F.col("owner_disposed_at_utc").alias("disposed_at_utc"),
+        F.when(F.expr(_IS_PAYMENT), F.col("at")).alias("pay_timestamp_utc"),
+        "currency",
+        "amount_local",
+    )
 
 
-def _slot_seconds(timeline: DataFrame, split_rows: int) -> DataFrame:
+def _attribute_whole(dispositions: DataFrame, payments: DataFrame) -> DataFrame:
+    """All of a contract in one group."""
+    return _result(_walk(_timeline(dispositions, payments), "contract_id"))
+
+
+def _slot_seconds(dispositions: DataFrame, payments: DataFrame, split_rows: int) -> DataFrame:
     """Per contract, the widest slot of which none holds more than ``split_rows`` rows.
 
-    A second is the narrowest: after de-duplication it has at most a million instants.
+    A second is the narrowest: without copies it has at most a million instants.
     """
-    widths = {"minute": 60, "hour": 3600, "day": 86400}
-    counts = timeline.groupBy("contract_id", second_index(F.col("at")).alias("slot")).agg(
+    times = dispositions.select("contract_id", F.col("disposed_at_utc").alias("at")).unionAll(
+        payments.select("contract_id", "pay_timestamp_utc")
+    )
+    counts = times.groupBy("contract_id", second_index(F.col("at")).alias("slot")).agg(
         F.count("*").alias("n")
     )
+    widths = {"minute": 60, "hour": 3600, "day": 86400}
     found: list[str] = []
     for name, seconds in widths.items():
         counts = counts.groupBy(
@@ -152,6 +141,51 @@ def _slot_seconds(timeline: DataFrame, split_rows: int) -> DataFrame:
     return peaks.select("contract_id", width.cast("bigint").alias("width"))
 
 
+def _slot_edges(slotted: DataFrame, winners: DataFrame) -> DataFrame:
+    """What each slot must know of its neighbours: the last disposition before it, and its next
+    entry after it if that is a payment. Marked by ``edge``.
+
+    One row per slot is left before the contract's slots are put in order.
+    """
+    first_paid = F.min(F.when(F.expr(_IS_PAYMENT), F.col("at")))
+    ends = slotted.groupBy("contract_id", "slot").agg(
+        F.max("disposed_at_utc").alias("last_disposed"),
+        F.min("disposed_at_utc").alias("first_disposed"),
+        first_paid.alias("first_paid"),
+    )
+    payment_is_first = F.col("first_disposed").isNull() | (
+        F.col("first_paid") < F.col("first_disposed")
+    )
+    order = Window.partitionBy("contract_id").orderBy("slot")
+    ends = ends.withColumn("starts_with", F.when(payment_is_first, F.col("first_paid"))).select(
+        "contract_id",
+        "slot",
+        F.last("last_disposed", ignorenulls=True)
+        .over(order.rowsBetween(Window.unboundedPreceding, -1))
+        .alias("before"),
+        F.lead("starts_with").over(order).alias("after"),
+    )
+    no_amount, an_amount = F.lit(None).cast("double"), F.lit(1.0)
+    both = F.array(
+        F.struct(F.col("before").alias("at"), no_amount.alias("amount_local")),
+        F.struct(F.col("after").alias("at"), an_amount.alias("amount_local")),
+    )
+    edges = (
+        ends.select("contract_id", "slot", F.explode(both).alias("e"), F.lit(True).alias("edge"))
+        .select("contract_id", "slot", "edge", "e.*")
+        .filter("at is not null")
+    )
+    owner = winners.select(
+        F.col("contract_id").alias("owner_contract"), "disposed_at_utc", "call_log_id", "market"
+    )
+    is_owner = (
+        F.col("amount_local").isNull()
+        & (F.col("contract_id") == F.col("owner_contract"))
+        & (F.col("at") == F.col("disposed_at_utc"))
+    )
+    return edges.join(owner, is_owner, "left").drop("owner_contract")
+
+
 def _attribute_split(dispositions: DataFrame, payments: DataFrame, split_rows: int) -> DataFrame:
     """For at most ``MAX_HEAVY_KEYS`` contracts: slots of time instead of whole contracts.
 
@@ -167,39 +201,18 @@ def _attribute_split(dispositions: DataFrame, payments: DataFrame, split_rows: i
     distinct_payments = payments.groupBy("contract_id", "pay_timestamp_utc", "amount_local").agg(
         F.min("currency").alias("currency")
     )
-    timeline = _timeline(winners, distinct_payments)
     # One row per contract in the heavy list.
-    widths = F.broadcast(_slot_seconds(timeline, split_rows))
-    slotted = timeline.join(widths, "contract_id").withColumn(
-        "slot", F.floor(second_index(F.col("at")) / F.col("width"))
-    )
-    latest = slotted.groupBy("contract_id", "slot").agg(
-        F.max(F.when(~F.expr(_IS_PAYMENT), F.struct("at", *_OWNER))).alias("latest")
-    )
-    earlier_slots = (
-        Window.partitionBy("contract_id")
-        .orderBy("slot")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    before_slot = (
-        latest.withColumn("latest", F.last("latest", ignorenulls=True).over(earlier_slots))
-        .filter(F.col("latest").isNotNull())
-        .select("contract_id", "slot", "latest.*")
-    )
-    order = Window.partitionBy("contract_id", "slot").orderBy(
-        "at", F.asc_nulls_first("amount_local")
-    )
-    attributed = (
-        slotted.drop("width")
-        .unionByName(before_slot, allowMissingColumns=True)
-        .select("*", *_owners(order))
-        .filter(_in_owners_window())
-        .select(*_rows())
-    )
-    unpaid = dispositions.join(
-        attributed.select("call_log_id").distinct(), "call_log_id", "left_anti"
+    widths = F.broadcast(_slot_seconds(dispositions, payments, split_rows))
+    slotted = (
+        _timeline(winners, distinct_payments)
+        .join(widths, "contract_id")
+        .withColumn("slot", F.floor(second_index(F.col("at")) / F.col("width")))
+        .drop("width")
     )
-    return attributed.unionByName(unpaid, allowMissingColumns=True).select(*_ROW)
+    with_edges = slotted.unionByName(_slot_edges(slotted, winners), allowMissingColumns=True)
+    walked = _walk(with_edges, "contract_id", "slot").filter("edge is null")
+    others = dispositions.join(winners.select("call_log_id"), "call_log_id", "left_anti")
+    return _result(walked).unionByName(others, allowMissingColumns=True)
 
 
 def attribute_payments(
