@@ -15,8 +15,8 @@ import time
 
 import duckdb
 
-from callmetrics.queries import ORACLES, QUERIES
-from callmetrics.session import local_session
+from callscope.queries import ORACLES, QUERIES
+from callscope.session import local_session
 
 HEADLINE = (
     "m1_coding_rate",

@@ -1,4 +1,4 @@
-"""The daily job, e.g. ``python -m callmetrics RAW_DIR OUT_DIR --as-of 2024-01-31T06:00``."""
+"""The daily job, e.g. ``python -m callscope RAW_DIR OUT_DIR --as-of 2024-01-31T06:00``."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import SparkSession
 
-from callmetrics.plans.daily import run_daily
+from callscope.plans.daily import run_daily
 
 
 def main() -> None:
@@ -20,7 +20,7 @@ def main() -> None:
     parser.add_argument("--full-refresh", action="store_true")
     args = parser.parse_args()
 
-    spark = SparkSession.builder.appName("callmetrics").getOrCreate()
+    spark = SparkSession.builder.appName("callscope").getOrCreate()
     report = run_daily(
         spark,
         args.raw_dir,

@@ -1,20 +1,20 @@
 """Column functions."""
 
-from callmetrics.functions.keys import plain_number, surrogate_key
-from callmetrics.functions.labels import (
+from callscope.functions.keys import plain_number, surrogate_key
+from callscope.functions.labels import (
     CURRENCIES,
     CURRENCY_BY_TENANT,
     MARKET_BY_CENTRE,
     MARKET_BY_TENANT,
     label,
 )
-from callmetrics.functions.text import (
+from callscope.functions.text import (
     blank_to_null,
     note_to_id,
     strip_outer_whitespace,
     trim_blanks,
 )
-from callmetrics.functions.times import ntz, plus_days, second_index, window_close
+from callscope.functions.times import ntz, plus_days, second_index, window_close
 
 __all__ = [
     "CURRENCIES",

@@ -21,8 +21,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from callmetrics.functions import ntz, plain_number, second_index, surrogate_key, window_close
-from callmetrics.operators.skew import SPLIT_ROWS, heavy_keys
+from callscope.functions import ntz, plain_number, second_index, surrogate_key, window_close
+from callscope.operators.skew import SPLIT_ROWS, heavy_keys
 
 def assessable_dispositions(dispositions: DataFrame) -> DataFrame:
     """Without a contract a disposition cannot be assessed; that is not the same as unpaid."""

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callmetrics.functions import note_to_id
-from callmetrics.operators.skew import SPLIT_ROWS, salted_join
+from callscope.functions import note_to_id
+from callscope.operators.skew import SPLIT_ROWS, salted_join
 
 
 def with_candidate_id(calls: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callmetrics.operators.coding import with_candidate_id
+from callscope.operators.coding import with_candidate_id
 
 # Provider names that are no payment providers.
 NON_PROVIDERS = ("MANUAL", "UNKNOWN", "LOYALTY_DISCOUNT")

@@ -8,17 +8,17 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callmetrics import schemas
-from callmetrics.functions import ntz
-from callmetrics.functions.times import ATTRIBUTION_DAYS
-from callmetrics.operators import quality
-from callmetrics.operators.skew import SPLIT_ROWS
-from callmetrics.plans import incremental, intermediate, marts, staging
-from callmetrics.plans.incremental import Scope
-from callmetrics.plans.marts import FxRule
-from callmetrics.sources import fx, landing, manifest
-from callmetrics.sources.landing import EVENT_DATE, Landed, read_raw
-from callmetrics.sources.tables import Tables
+from callscope import schemas
+from callscope.functions import ntz
+from callscope.functions.times import ATTRIBUTION_DAYS
+from callscope.operators import quality
+from callscope.operators.skew import SPLIT_ROWS
+from callscope.plans import incremental, intermediate, marts, staging
+from callscope.plans.incremental import Scope
+from callscope.plans.marts import FxRule
+from callscope.sources import fx, landing, manifest
+from callscope.sources.landing import EVENT_DATE, Landed, read_raw
+from callscope.sources.tables import Tables
 
 ATTRIBUTION = ("intermediate", "int_calls_payment_attribution")
 DIM_AGENT = ("marts", "dim_agent")

@@ -15,8 +15,8 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from callmetrics.functions.times import ATTRIBUTION_DAYS
-from callmetrics.sources.tables import Partition, Tables
+from callscope.functions.times import ATTRIBUTION_DAYS
+from callscope.sources.tables import Partition, Tables
 
 # Fixed value: days looked back, one more than the attribution window.
 LOOKBACK_DAYS = 4

@@ -7,9 +7,9 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callmetrics.operators.attribution import attribute_payments, with_window_state
-from callmetrics.operators.coding import match_calls
-from callmetrics.operators.skew import SPLIT_ROWS
+from callscope.operators.attribution import attribute_payments, with_window_state
+from callscope.operators.coding import match_calls
+from callscope.operators.skew import SPLIT_ROWS
 
 # Fixed value: the only call type that is certain to be inbound.
 INBOUND = "Inbound Team"

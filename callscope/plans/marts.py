@@ -7,8 +7,8 @@ from typing import Literal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callmetrics.functions import surrogate_key
-from callmetrics.operators.rates import price_latest, price_nearest
+from callscope.functions import surrogate_key
+from callscope.operators.rates import price_latest, price_nearest
 
 FxRule = Literal["latest", "nearest"]
 

@@ -8,8 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from callmetrics import schemas
-from callmetrics.functions import (
+from callscope import schemas
+from callscope.functions import (
     CURRENCY_BY_TENANT,
     MARKET_BY_CENTRE,
     MARKET_BY_TENANT,

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from callmetrics import fixtures as fx
-from callmetrics.functions import note_to_id, strip_outer_whitespace
-from callmetrics.operators import profile, quality
-from callmetrics.operators.attribution import attribute_payments
-from callmetrics.plans import marts
-from callmetrics.queries import ctes, models
-from callmetrics.queries.registry import query, with_ctes
+from callscope import fixtures as fx
+from callscope.functions import note_to_id, strip_outer_whitespace
+from callscope.operators import profile, quality
+from callscope.operators.attribution import attribute_payments
+from callscope.plans import marts
+from callscope.queries import ctes, models
+from callscope.queries.registry import query, with_ctes
 
 
 @query(

@@ -3,8 +3,8 @@ labels, ASOF JOIN for the attribution."""
 
 from __future__ import annotations
 
-from callmetrics import fixtures as fx
-from callmetrics.functions.keys import NULL_MARKER
+from callscope import fixtures as fx
+from callscope.functions.keys import NULL_MARKER
 
 
 def key_sql(*columns: str) -> str:

@@ -8,8 +8,8 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callmetrics import fixtures as fx
-from callmetrics.schemas import AGENT_MAPPING, CALLS, DISPOSITIONS, PAYMENTS
+from callscope import fixtures as fx
+from callscope.schemas import AGENT_MAPPING, CALLS, DISPOSITIONS, PAYMENTS
 
 TABLES = {
     CALLS: fx.calls,

@@ -7,17 +7,17 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callmetrics import fixtures as fx
-from callmetrics import schemas
-from callmetrics.operators.rates import latest_rates
-from callmetrics.plans import daily, marts, staging
-from callmetrics.queries import ctes, deliveries, models
-from callmetrics.queries.registry import query, with_ctes
-from callmetrics.session import shared_folder
-from callmetrics.sources import fx as fx_source
-from callmetrics.sources import landing, manifest
-from callmetrics.sources.tables import Tables
-from callmetrics.streaming.ingest import ingest_stream
+from callscope import fixtures as fx
+from callscope import schemas
+from callscope.operators.rates import latest_rates
+from callscope.plans import daily, marts, staging
+from callscope.queries import ctes, deliveries, models
+from callscope.queries.registry import query, with_ctes
+from callscope.session import shared_folder
+from callscope.sources import fx as fx_source
+from callscope.sources import landing, manifest
+from callscope.sources.tables import Tables
+from callscope.streaming.ingest import ingest_stream
 
 DAY_ONE, DAY_TWO = date(2024, 1, 16), date(2024, 1, 31)
 

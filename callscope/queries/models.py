@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callmetrics import fixtures as fx
-from callmetrics.operators.coding import unmatched_notes
-from callmetrics.plans import intermediate, marts, rollups, staging
-from callmetrics.queries import ctes
-from callmetrics.queries.registry import query, with_ctes
+from callscope import fixtures as fx
+from callscope.operators.coding import unmatched_notes
+from callscope.plans import intermediate, marts, rollups, staging
+from callscope.queries import ctes
+from callscope.queries.registry import query, with_ctes
 
 
 def calls(spark: SparkSession, sf_dir: str) -> DataFrame:

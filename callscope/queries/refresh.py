@@ -6,14 +6,14 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-from callmetrics import fixtures as fx
-from callmetrics import schemas
-from callmetrics.plans import daily
-from callmetrics.queries import ctes, deliveries, models
-from callmetrics.queries.registry import query, with_ctes
-from callmetrics.session import shared_folder
-from callmetrics.sources.tables import Tables, write_text
-from callmetrics.streaming.ingest import refresh_stream
+from callscope import fixtures as fx
+from callscope import schemas
+from callscope.plans import daily
+from callscope.queries import ctes, deliveries, models
+from callscope.queries.registry import query, with_ctes
+from callscope.session import shared_folder
+from callscope.sources.tables import Tables, write_text
+from callscope.streaming.ingest import refresh_stream
 
 _RUNS = (date(2024, 1, 12), date(2024, 1, 20), date(2024, 1, 31))
 _RATES = (("KES", 129.5), ("UGX", 3700.0), ("TZS", 2600.0), ("NGN", 1550.0), ("USD", 1.0))

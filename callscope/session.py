@@ -14,7 +14,7 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int = 8, **conf: str)
     """A session for tests and benchmarks; on a cluster the submitter's settings apply."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
-        .appName("callmetrics")
+        .appName("callscope")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.session.timeZone", "UTC")
@@ -53,5 +53,5 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = os.path.join(tempfile.gettempdir(), "callmetrics")
+        base = os.path.join(tempfile.gettempdir(), "callscope")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -10,9 +10,9 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from callmetrics.functions import CURRENCIES, ntz
-from callmetrics.schemas import FX_RATES, FX_SCHEMA
-from callmetrics.sources.tables import Tables
+from callscope.functions import CURRENCIES, ntz
+from callscope.schemas import FX_RATES, FX_SCHEMA
+from callscope.sources.tables import Tables
 
 # Fixed value: name of the rate provider.
 SOURCE = "exchangerate-api.com"

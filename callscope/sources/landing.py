@@ -22,9 +22,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from callmetrics.schemas import ENTITIES, Entity
-from callmetrics.sources import split_csv
-from callmetrics.sources.tables import Tables, list_files
+from callscope.schemas import ENTITIES, Entity
+from callscope.sources import split_csv
+from callscope.sources.tables import Tables, list_files
 
 EXTRACT_DATE, EVENT_DATE = "extract_date", "event_date"
 # A larger file is read by many tasks.

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callmetrics.sources.tables import Tables
+from callscope.sources.tables import Tables
 
 MANIFEST = ("raw", "_file_manifest")
 SEEN = ("raw", "_files_seen")

@@ -14,11 +14,11 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from callmetrics.operators.skew import SPLIT_ROWS
-from callmetrics.plans import daily
-from callmetrics.schemas import ENTITIES
-from callmetrics.sources.landing import Landed, land_files
-from callmetrics.sources.tables import Tables
+from callscope.operators.skew import SPLIT_ROWS
+from callscope.plans import daily
+from callscope.schemas import ENTITIES
+from callscope.sources.landing import Landed, land_files
+from callscope.sources.tables import Tables
 
 _FILE = "path string, modificationTime timestamp, length bigint, content binary"
 

@@ -13,7 +13,7 @@ import duckdb
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import __spark_entry__ as contract  # noqa: E402
-from callmetrics.session import local_session  # noqa: E402
+from callscope.session import local_session  # noqa: E402
 
 
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:

@@ -7,7 +7,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from callmetrics.session import local_session  # noqa: E402
+from callscope.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -25,6 +25,6 @@ def at():
 
 @pytest.fixture
 def folder(spark):
-    from callmetrics.session import shared_folder
+    from callscope.session import shared_folder
 
     return shared_folder(spark, "test")

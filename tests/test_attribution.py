@@ -3,8 +3,8 @@ from datetime import datetime, timedelta
 
 import pytest
 
-from callmetrics.operators.attribution import attribute_payments, with_window_state
-from callmetrics.plans import marts
+from callscope.operators.attribution import attribute_payments, with_window_state
+from callscope.plans import marts
 
 DISPOSITION = "call_log_id bigint, market string, contract_id bigint, disposed_at_utc timestamp_ntz"
 PAYMENT = "contract_id bigint, pay_timestamp_utc timestamp_ntz, currency string, amount_local double"

@@ -4,10 +4,10 @@ from datetime import date, datetime, timedelta
 import pytest
 import raw_files as rf
 
-from callmetrics.operators.quality import QualityError, run_checks
-from callmetrics.plans import daily
-from callmetrics.sources.tables import Tables
-from callmetrics.streaming.ingest import ingest_stream, refresh_stream
+from callscope.operators.quality import QualityError, run_checks
+from callscope.plans import daily
+from callscope.sources.tables import Tables
+from callscope.streaming.ingest import ingest_stream, refresh_stream
 
 MARTS = (daily.ATTRIBUTION, *daily.MARTS)
 

@@ -3,8 +3,8 @@ from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
-from callmetrics import functions as fn
-from callmetrics.functions.keys import NULL_MARKER
+from callscope import functions as fn
+from callscope.functions.keys import NULL_MARKER
 
 
 def column(spark, values, type_, expression):

@@ -5,9 +5,9 @@ from datetime import date
 import pytest
 import raw_files as rf
 
-from callmetrics import schemas
-from callmetrics.sources import landing, manifest
-from callmetrics.sources.tables import Tables
+from callscope import schemas
+from callscope.sources import landing, manifest
+from callscope.sources.tables import Tables
 
 CALLS = schemas.ENTITIES[schemas.CALLS]
 PAYMENTS = schemas.ENTITIES[schemas.PAYMENTS]

@@ -1,6 +1,6 @@
 import pytest
 
-from callmetrics.operators import quality
+from callscope.operators import quality
 
 
 def test_checks(spark):

@@ -3,11 +3,11 @@ from datetime import date, datetime
 import pytest
 import raw_files as rf
 
-from callmetrics.operators import quality
-from callmetrics.operators.rates import latest_rates, price_nearest
-from callmetrics.plans import marts
-from callmetrics.sources import fx
-from callmetrics.sources.tables import Tables
+from callscope.operators import quality
+from callscope.operators.rates import latest_rates, price_nearest
+from callscope.plans import marts
+from callscope.sources import fx
+from callscope.sources.tables import Tables
 
 NOW = datetime(2024, 1, 5, 6)
 

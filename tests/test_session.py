@@ -1,6 +1,6 @@
 import pytest
 
-from callmetrics import session
+from callscope import session
 
 
 def test_cluster_settings():

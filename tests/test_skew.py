@@ -1,8 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from callmetrics.operators import skew
-from callmetrics.operators.coding import match_calls, unmatched_notes
+from callscope.operators import skew
+from callscope.operators.coding import match_calls, unmatched_notes
 
 
 def test_heavy_keys_counts_and_ignores_null(spark):

@@ -1,6 +1,6 @@
 import pytest
 
-from callmetrics.plans import staging
+from callscope.plans import staging
 
 
 def test_calls(spark, at):
