@@ -108,14 +108,22 @@ def _attribute_whole(dispositions: DataFrame, payments: DataFrame) -> DataFrame:
     return _result(_walk(_timeline(dispositions, payments), "contract_id"))
 
 
-def _slot_seconds(dispositions: DataFrame, payments: DataFrame, split_rows: int) -> DataFrame:
+def _times(dispositions: DataFrame, payments: DataFrame) -> DataFrame:
+    """Contract and time of all rows; copies do not matter where only times are compared."""
+    disposed, paid = F.col("disposed_at_utc"), F.col("pay_timestamp_utc")
+    never = F.lit(None).cast("timestamp_ntz")
+    return (
+        dispositions.filter(disposed.isNotNull())
+        .select("contract_id", disposed.alias("at"), disposed.alias("disposed"), never.alias("paid"))
+        .unionAll(payments.select("contract_id", paid, never, paid))
+    )
+
+
+def _slot_seconds(times: DataFrame, split_rows: int) -> DataFrame:
     """Per contract, the widest slot of which none holds more than ``split_rows`` rows.
 
     A second is the narrowest: without copies it has at most a million instants.
     """
-    times = dispositions.select("contract_id", F.col("disposed_at_utc").alias("at")).unionAll(
-        payments.select("contract_id", "pay_timestamp_utc")
-    )
     counts = times.groupBy("contract_id", second_index(F.col("at")).alias("slot")).agg(
         F.count("*").alias("n")
     )
@@ -141,17 +149,21 @@ def _slot_seconds(dispositions: DataFrame, payments: DataFrame, split_rows: int)
     return peaks.select("contract_id", width.cast("bigint").alias("width"))
 
 
-def _slot_edges(slotted: DataFrame, winners: DataFrame) -> DataFrame:
+def _in_slots(rows: DataFrame, widths: DataFrame) -> DataFrame:
+    slot = F.floor(second_index(F.col("at")) / F.col("width"))
+    return rows.join(widths, "contract_id").withColumn("slot", slot).drop("width")
+
+
+def _slot_edges(slotted_times: DataFrame, winners: DataFrame) -> DataFrame:
     """What each slot must know of its neighbours: the last disposition before it, and its next
     entry after it if that is a payment. Marked by ``edge``.
 
     One row per slot is left before the contract's slots are put in order.
     """
-    first_paid = F.min(F.when(F.expr(_IS_PAYMENT), F.col("at")))
-    ends = slotted.groupBy("contract_id", "slot").agg(
-        F.max("disposed_at_utc").alias("last_disposed"),
-        F.min("disposed_at_utc").alias("first_disposed"),
-        first_paid.alias("first_paid"),
+    ends = slotted_times.groupBy("contract_id", "slot").agg(
+        F.max("disposed").alias("last_disposed"),
+        F.min("disposed").alias("first_disposed"),
+        F.min("paid").alias("first_paid"),
     )
     payment_is_first = F.col("first_disposed").isNull() | (
         F.col("first_paid") < F.col("first_disposed")
@@ -175,15 +187,11 @@ def _slot_edges(slotted: DataFrame, winners: DataFrame) -> DataFrame:
         .select("contract_id", "slot", "edge", "e.*")
         .filter("at is not null")
     )
-    owner = winners.select(
-        F.col("contract_id").alias("owner_contract"), "disposed_at_utc", "call_log_id", "market"
+    owner = winners.select("contract_id", F.col("disposed_at_utc").alias("at"), *_OWNER)
+    before = edges.filter("amount_local is null").join(owner, ["contract_id", "at"])
+    return before.unionByName(
+        edges.filter("amount_local is not null"), allowMissingColumns=True
     )
-    is_owner = (
-        F.col("amount_local").isNull()
-        & (F.col("contract_id") == F.col("owner_contract"))
-        & (F.col("at") == F.col("disposed_at_utc"))
-    )
-    return edges.join(owner, is_owner, "left").drop("owner_contract")
 
 
 def _attribute_split(dispositions: DataFrame, payments: DataFrame, split_rows: int) -> DataFrame:
@@ -201,15 +209,12 @@ def _attribute_split(dispositions: DataFrame, payments: DataFrame, split_rows: i
     distinct_payments = payments.groupBy("contract_id", "pay_timestamp_utc", "amount_local").agg(
         F.min("currency").alias("currency")
     )
+    times = _times(dispositions, payments)
     # One row per contract in the heavy list.
-    widths = F.broadcast(_slot_seconds(dispositions, payments, split_rows))
-    slotted = (
-        _timeline(winners, distinct_payments)
-        .join(widths, "contract_id")
-        .withColumn("slot", F.floor(second_index(F.col("at")) / F.col("width")))
-        .drop("width")
-    )
-    with_edges = slotted.unionByName(_slot_edges(slotted, winners), allowMissingColumns=True)
+    widths = F.broadcast(_slot_seconds(times, split_rows))
+    edges = _slot_edges(_in_slots(times, widths), winners)
+    slotted = _in_slots(_timeline(winners, distinct_payments), widths)
+    with_edges = slotted.unionByName(edges, allowMissingColumns=True)
     walked = _walk(with_edges, "contract_id", "slot").filter("edge is null")
     others = dispositions.join(winners.select("call_log_id"), "call_log_id", "left_anti")
     return _result(walked).unionByName(others, allowMissingColumns=True)
