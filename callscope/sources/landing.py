@@ -103,7 +103,7 @@ def _scans(
     spelled = {_plain(p) for p in suspects}
     assembled = [p for p in large if _plain(p) in spelled]
     by_line = [p for p in large if _plain(p) not in spelled]
-    whole = [p for p in files if p not in large]
+    whole = [p for p, size in files.items() if size <= split_bytes]
     schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
 
     def csv(paths: list[str], **options) -> DataFrame:
