@@ -43,31 +43,41 @@ def _deliver_both(spark: SparkSession, sf_dir: str, raw_dir: str, *entities: str
         )
 
 
-@query(
-    "s1_landed_calls",
-    with_ctes(
-        fx.CALLS_SQL,
-        select="""
-        SELECT ch_call_id::VARCHAR AS ch_call_id, ch_date_added::VARCHAR AS ch_date_added,
-               ch_contact_center_id::VARCHAR AS ch_contact_center_id, ch_system_disposition,
-               ch_call_type, total_talk_time::VARCHAR AS total_talk_time, udh_user_id,
-               campaign_name, udh_notes,
-               'raw/' || CASE WHEN ch_date_added < TIMESTAMP '1996-01-01' THEN '2024-01-16'
-                              ELSE '2024-01-31' END || '/ameyo_outbound_calls.csv' AS _source_file
-        FROM raw_calls""",
-    ),
+_LANDED_CALLS_SQL = with_ctes(
+    fx.CALLS_SQL,
+    select="""
+    SELECT ch_call_id::VARCHAR AS ch_call_id, ch_date_added::VARCHAR AS ch_date_added,
+           ch_contact_center_id::VARCHAR AS ch_contact_center_id, ch_system_disposition,
+           ch_call_type, total_talk_time::VARCHAR AS total_talk_time, udh_user_id,
+           campaign_name, udh_notes,
+           'raw/' || CASE WHEN ch_date_added < TIMESTAMP '1996-01-01' THEN '2024-01-16'
+                          ELSE '2024-01-31' END || '/ameyo_outbound_calls.csv' AS _source_file
+    FROM raw_calls""",
 )
-def landed_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two days of files, the second with other column order and one column more."""
+
+
+def _landed_calls(spark: SparkSession, sf_dir: str, split_bytes: int) -> DataFrame:
     raw_dir, _ = _folder(spark, "landed-calls")
     _deliver_both(spark, sf_dir, raw_dir, schemas.CALLS)
     entity = schemas.ENTITIES[schemas.CALLS]
-    raw = landing.read_extracts(spark, entity, landing.extract_files(spark, raw_dir, entity))
-    return raw.select(
+    files = landing.extract_files(spark, raw_dir, entity)
+    return landing.read_extracts(spark, entity, files, split_bytes).select(
         *entity.columns, F.regexp_replace("_source_file", r"/part-[^/]*$", "").alias("_source_file")
     )
 
 
+@query("s1_landed_calls", _LANDED_CALLS_SQL)
+def landed_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two days of files, the second with other column order and one column more."""
+    return _landed_calls(spark, sf_dir, landing.SPLIT_FILE_BYTES)
+
+
+@query("s3_landed_calls_in_blocks", _LANDED_CALLS_SQL)
+def landed_calls_in_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows when every file counts as too large for one task."""
+    return _landed_calls(spark, sf_dir, 0)
+
+
 @query(
     "s9_s10_rows_loaded",
     """

@@ -56,6 +56,14 @@ def int_calls_coded(spark, sf_dir):
     return intermediate.int_calls_coded(calls(spark, sf_dir), dispositions(spark, sf_dir))
 
 
+@query("j1_calls_coded_salted", with_ctes(*ctes.ALL_CODED, select="SELECT * FROM coded"))
+def calls_coded_salted(spark, sf_dir):
+    """The same rows when an id on two notes already counts as too frequent for one task."""
+    return intermediate.int_calls_coded(
+        calls(spark, sf_dir), dispositions(spark, sf_dir), split_rows=1
+    )
+
+
 @query(
     "int_dispositions_hierarchy", with_ctes(*ctes.ALL_DRIVERS, select="SELECT * FROM hierarchy")
 )
