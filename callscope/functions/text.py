@@ -20,7 +20,7 @@ def trim_blanks(text: Column) -> Column:
     In text of single-byte characters only the plain space can occur, which trims much faster.
     """
     single_bytes = F.octet_length(text) == F.length(text)
-    return F.when(single_bytes, F.trim(text)).otherwise(F.trim(text, F.lit(BLANKS)))
+    return F.when(single_bytes, F.trim(text)).otherwise(F.btrim(text, F.lit(BLANKS)))
 
 
 def blank_to_null(text: Column) -> Column:
@@ -29,7 +29,7 @@ def blank_to_null(text: Column) -> Column:
 
 def strip_outer_whitespace(text: Column) -> Column:
     """Remove whitespace, newlines included, at both ends; whitespace inside stays."""
-    return F.trim(text, F.lit(WHITESPACE))
+    return F.btrim(text, F.lit(WHITESPACE))
 
 
 def note_to_id(note: Column) -> Column:

@@ -27,7 +27,7 @@ PAID = ("marts", "fct_paid_post_call")
 VALUE = ("marts", "fct_value_recovered_usd")
 DRIVERS = ("marts", "fct_inbound_call_drivers")
 MARTS = (CODING, PAID, VALUE, DRIVERS, DIM_AGENT)
-RUN_STATE = ("intermediate", "_run_state")
+RUN_STATE = ("intermediate", "run_state")
 
 DISPOSED_DATE = "disposed_date"
 CALL_DATE = "call_date"

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from callscope.sources.tables import Tables
 
-MANIFEST = ("raw", "_file_manifest")
-SEEN = ("raw", "_files_seen")
+MANIFEST = ("raw", "file_manifest")
+SEEN = ("raw", "files_seen")
 # Above this size a file is not held in one task's memory to hash it.
 WHOLE_FILE_BYTES = 128 * 1024 * 1024
 _STAT = ("path", "length", "modificationTime")
