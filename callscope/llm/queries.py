@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from callscope.llm import bpe, decontamination, exact_dedup, quality
+from callscope.llm import bpe, decontamination, exact_dedup, near_dedup, quality
 from callscope.llm.vocabularies import vocabulary_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,6 +71,29 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"), vocabulary_file("byte_bpe_50k.json"))
 
 
+@_query(
+    "op9_near_dedup",
+    r"""
+    WITH RECURSIVE d AS (SELECT doc_id, string_split(trim(regexp_replace(translate(coalesce(text, ''),
+                 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g'), ' '), ' ') AS w
+               FROM documents),
+    s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+          FROM d, unnest(range(1, greatest(len(w) - 3, 2))) t(i) WHERE w <> ['']),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    pairs AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL),
+    links AS (SELECT a, b FROM pairs JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * c >= 75 * (p.n + q.n - c)),
+    sym AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+    reach(x, y) AS (SELECT doc_id, doc_id FROM documents UNION SELECT x, b FROM reach JOIN sym ON a = y),
+    least AS (SELECT x, min(y) AS c FROM reach GROUP BY x)
+    SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, c AS component_id, doc_id = c AS kept
+    FROM documents LEFT JOIN n USING (doc_id) JOIN least ON x = doc_id
+    """,
+)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its number of shingles and its component of near copies."""
+    return near_dedup.near_components(_table(spark, sf_dir, "documents"))
+
+
 @_query(
     "op10_exact_dedup",
     """
