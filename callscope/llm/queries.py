@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from callscope.llm import bpe, decontamination, exact_dedup, near_dedup, quality
+from callscope.llm import bpe, decontamination, exact_dedup, near_dedup, quality, token_counts
 from callscope.llm.vocabularies import vocabulary_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,6 +71,12 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"), vocabulary_file("byte_bpe_50k.json"))
 
 
+@_query("op6_token_counts")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: bytes, tokens, and whether there are more tokens than 4096."""
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents"), vocabulary_file("piece_bpe_32k.model"))
+
+
 @_query(
     "op9_near_dedup",
     r"""
