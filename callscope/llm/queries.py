@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from callscope.llm import bpe, decontamination, exact_dedup, near_dedup, quality, token_counts
+from callscope.llm import bpe, decontamination, exact_dedup, near_dedup, quality, token_counts, token_files
 from callscope.llm.vocabularies import vocabulary_file
+from callscope.llm.work import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -77,6 +78,14 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"), vocabulary_file("piece_bpe_32k.model"))
 
 
+@_query("op8_token_files")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document, read back from the files: first place, number and checksum of its ids."""
+    docs = _table(spark, sf_dir, "documents")
+    files = token_files.write_token_files(docs, vocabulary_file("word_bpe_49k.json"), Scratch(spark, "token-files"))
+    return token_files.read_digest(files)
+
+
 @_query(
     "op9_near_dedup",
     r"""
