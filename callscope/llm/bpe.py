@@ -310,7 +310,8 @@ def loaded(path: str) -> tuple[Encoder, Decoder]:
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """The documents with their token ids; null and empty texts have none. ``ids`` must be a new name."""
+    """The documents with their token ids; null and empty texts have none. An older column ``ids`` is replaced."""
+    docs = docs.drop(ids)
 
     def run(batches):
         encoder, _ = loaded(path)
@@ -324,7 +325,8 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
-    """The rows with the text of their ids; null counts as no ids. ``text`` must be a new name."""
+    """The rows with the text of their ids; null counts as no ids. An older column ``text`` is replaced."""
+    encoded = encoded.drop(text)
 
     def run(batches):
         _, decoder = loaded(path)

@@ -216,10 +216,10 @@ def score(docs: DataFrame, model: OrdinalModel, selected: int, text: str = "text
 
     ``selected`` is true where a grade of at least ``selected`` has probability 0.5 or more. Null
     and empty texts have no words and get the grade that their style marks give. Equal rows get
-    equal results. Choose a prefix where columns have the same names.
+    equal results. Columns of the new names, with their prefix, are replaced.
     """
-    keep = docs.columns if keep is None else keep
     names = tuple(prefix + n for n in ("n_words", "expected_grade", "tail_probability", "selected"))
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in names]
     kinds = (T.LongType(), T.DoubleType(), T.DoubleType(), T.BooleanType())
     schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(n, k) for n, k in zip(names, kinds, strict=True)])
     shared = docs.sparkSession.sparkContext.broadcast(model)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from callscope.llm import bpe, decontamination, exact_dedup, near_dedup, quality, token_counts, token_files
+from callscope.llm import bpe, decontamination, exact_dedup, html_text, near_dedup, quality, token_counts, token_files
 from callscope.llm.vocabularies import vocabulary_file
 from callscope.llm.work import Scratch
 
@@ -78,6 +78,12 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"), vocabulary_file("piece_bpe_32k.model"))
 
 
+@_query("op7_html_text")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per page: the main text and its length."""
+    return html_text.extract_pages(_table(spark, sf_dir, "pages"))
+
+
 @_query("op8_token_files")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document, read back from the files: first place, number and checksum of its ids."""
