@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from callscope.llm import bpe, decontamination, exact_dedup, html_text, near_dedup, quality, token_counts, token_files
+from callscope.llm import bpe, decontamination, exact_dedup, html_text, near_dedup, quality, substring_dedup, token_counts, token_files
 from callscope.llm.vocabularies import vocabulary_file
 from callscope.llm.work import Scratch
 
@@ -36,6 +36,28 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model, selected=2, keep=["doc_id"])
 
 
+@_query(
+    "op2_substring_dedup",
+    r"""
+    WITH d AS (SELECT doc_id, string_split(trim(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g'), ' '), ' ') AS s
+               FROM documents),
+    words AS (SELECT doc_id, CASE WHEN s = [''] THEN [] ELSE s END AS w FROM d),
+    windows AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS s
+                FROM words, unnest(range(1, greatest(len(w) - 11, 1))) t(i)),
+    firsts AS (SELECT s, min(doc_id) AS first FROM windows GROUP BY s),
+    gone AS (SELECT DISTINCT doc_id, p FROM windows JOIN firsts USING (s), unnest(range(i, i + 13)) t(p) WHERE first < doc_id),
+    by_doc AS (SELECT doc_id, count(*) AS n, list(p) AS ps FROM gone GROUP BY doc_id)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
+           sha256(CASE WHEN n IS NULL THEN array_to_string(w, ' ')
+                       ELSE array_to_string(list_filter(w, lambda x, i: NOT list_contains(ps, i)), ' ') END) AS kept_sha256
+    FROM words LEFT JOIN by_doc USING (doc_id)
+    """,
+)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: words, words removed as repeats, and the hash of what is kept."""
+    return substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 @_query(
     "op4_decontamination",
     r"""
