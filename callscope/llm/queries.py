@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from callscope.llm import bpe, decontamination, exact_dedup, html_text, near_dedup, quality, substring_dedup, token_counts, token_files
+from callscope.llm import bpe, decontamination, exact_dedup, html_text, katz, near_dedup, quality, substring_dedup, token_counts, token_files
 from callscope.llm.vocabularies import vocabulary_file
 from callscope.llm.work import Scratch
 
@@ -58,6 +58,12 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
 
 
+@_query("op3_katz_scores")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: tokens, known tokens, add-one base score and the model's log10 probability."""
+    return katz.scored(_table(spark, sf_dir, "documents"))
+
+
 @_query(
     "op4_decontamination",
     r"""

@@ -16,23 +16,35 @@ from pyspark.sql import functions as F
 GROUP_BYTES = 24 << 20
 
 
-def grouped(docs: DataFrame, id_column: str, text: str, groups: int) -> DataFrame:
-    """doc_id, text and ``bucket``, the group of the document."""
-    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text"))
+def grouped(docs: DataFrame, id_column: str, text: str, groups: int, *others: str) -> DataFrame:
+    """doc_id, text, the others and ``bucket``, the group of the document."""
+    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text"), *others)
     return rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", F.xxhash64("text")), F.lit(groups)).cast("int"))
 
 
-def groups_for(spark: SparkSession, docs: DataFrame, text: str) -> int:
-    """So many groups that each holds GROUP_BYTES of text, and one per shuffle partition at least."""
+def groups_for(spark: SparkSession, docs: DataFrame, text: str, group_bytes: int = GROUP_BYTES) -> int:
+    """So many groups that each holds ``group_bytes`` of text, and one per shuffle partition at least."""
     total = docs.agg(F.sum(F.octet_length(text)).alias("n")).first().n or 0
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // GROUP_BYTES))
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // group_bytes))
+
+
+def unique(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different keys in ascending order, a place of each, and the number of each key."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    number = np.empty(len(keys), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return ordered[new], order[new], number
 
 
 def dealt(bucket: int, owners: int, keys: np.ndarray, **columns: np.ndarray) -> pa.Table:
-    """(owner, bucket, keys, columns...) with each owner's part of the arrays, keys in ascending order."""
-    order = np.lexsort((keys, keys % np.uint64(owners)))
-    keys = keys[order]
-    owner = (keys % np.uint64(owners)).astype(np.int64)
+    """(owner, bucket, keys, columns...): each owner's part of the arrays, of ascending keys.
+
+    Owners have ranges of hashes, so their parts follow each other.
+    """
+    owner = ((keys >> np.uint64(32)) * np.uint64(owners) >> np.uint64(32)).astype(np.int64)
     present, starts = np.unique(owner, return_index=True)
     bounds = np.concatenate([starts, [len(keys)]]).astype(np.int64)
     table = {
@@ -40,7 +52,7 @@ def dealt(bucket: int, owners: int, keys: np.ndarray, **columns: np.ndarray) ->
         "bucket": pa.array(np.full(len(present), bucket), pa.int32()),
         "keys": packed(keys, bounds),
     }
-    return pa.table(table | {n: packed(c[order], bounds) for n, c in columns.items()})
+    return pa.table(table | {n: packed(c, bounds) for n, c in columns.items()})
 
 
 def packed(values: np.ndarray, bounds: np.ndarray) -> pa.Array:

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from callscope.llm.requests import dealt, grouped, groups_for, packed, unpacked
+from callscope.llm.requests import dealt, grouped, groups_for, packed, unique, unpacked
 from callscope.llm.words import SPACED, Words, grams, words_of
 from callscope.llm.work import Scratch
 
@@ -47,6 +47,14 @@ def _doc_ids(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return column.fill_null(0).to_numpy(), column.is_valid().to_numpy(zero_copy_only=False)
 
 
+def _ends(values: np.ndarray, group: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The smallest and the largest value of each group."""
+    least, most = np.full(n, np.iinfo(np.int64).max), np.full(n, np.iinfo(np.int64).min)
+    np.minimum.at(least, group, values)
+    np.maximum.at(most, group, values)
+    return least, most
+
+
 def _ask_anchors(owners: int):
     def ask(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         ids, known = _doc_ids(table)
@@ -59,12 +67,9 @@ def _ask_anchors(owners: int):
             anchors.append(anchor[new])
             docs.append(ids[row[new]])
         anchor, doc = np.concatenate(anchors), np.concatenate(docs)
-        unique, place = np.unique(anchor, return_inverse=True)
-        least = np.full(len(unique), np.iinfo(np.int64).max)
-        most = np.full(len(unique), np.iinfo(np.int64).min)
-        np.minimum.at(least, place, doc)
-        np.maximum.at(most, place, doc)
-        return dealt(key[0].as_py(), owners, unique, several=(least != most).astype(np.uint8))
+        keys, _, number = unique(anchor)
+        least, most = _ends(doc, number, len(keys))
+        return dealt(key[0].as_py(), owners, keys, several=(least != most).astype(np.uint8))
 
     return ask
 
@@ -73,10 +78,10 @@ def _shared_anchors(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     """To each group, those of its anchors that another group or several of its documents have."""
     anchor, row = unpacked(table.column("keys"), np.uint64)
     several, _ = unpacked(table.column("several"), np.uint8)
-    unique, place, counts = np.unique(anchor, return_inverse=True, return_counts=True)
-    shared = counts > 1
-    shared[place[several > 0]] = True
-    wanted = shared[place]
+    keys, _, number = unique(anchor)
+    shared = np.bincount(number, minlength=len(keys)) > 1
+    shared[number[several > 0]] = True
+    wanted = shared[number]
     bounds = np.concatenate([[0], np.cumsum(np.bincount(row[wanted], minlength=table.num_rows))])
     return pa.table({"bucket": table.column("bucket"), "anchors": packed(anchor[wanted], bounds)})
 
@@ -93,12 +98,9 @@ def _ask_windows(owners: int):
             windows.append(window[seeded])
             of_doc.append(ids[row[seeded]])
         window, doc = np.concatenate(windows), np.concatenate(of_doc)
-        unique, place = np.unique(window, return_inverse=True)
-        least = np.full(len(unique), np.iinfo(np.int64).max)
-        most = np.full(len(unique), np.iinfo(np.int64).min)
-        np.minimum.at(least, place, doc)
-        np.maximum.at(most, place, doc)
-        return dealt(key[0].as_py(), owners, unique, least=least, several=(least != most).astype(np.uint8))
+        keys, _, number = unique(window)
+        least, most = _ends(doc, number, len(keys))
+        return dealt(key[0].as_py(), owners, keys, least=least, several=(least != most).astype(np.uint8))
 
     return ask
 
@@ -114,16 +116,15 @@ def _first_documents(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     window, row = unpacked(table.column("keys"), np.uint64)
     least, _ = unpacked(table.column("least"), np.int64)
     several, _ = unpacked(table.column("several"), np.uint8)
-    unique, place = np.unique(window, return_inverse=True)
-    first = np.full(len(unique), np.iinfo(np.int64).max)
-    np.minimum.at(first, place, least)
-    wanted = (first[place] < least) | (several > 0)
+    keys, _, number = unique(window)
+    first = _ends(least, number, len(keys))[0][number]
+    wanted = (first < least) | (several > 0)
     bounds = np.concatenate([[0], np.cumsum(np.bincount(row[wanted], minlength=table.num_rows))])
     return pa.table(
         {
             "bucket": table.column("bucket"),
             "windows": packed(window[wanted], bounds),
-            "first": packed(first[place][wanted], bounds),
+            "first": packed(first[wanted], bounds),
         }
     )
 
