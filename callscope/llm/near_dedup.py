@@ -7,9 +7,11 @@ candidates. Their Jaccard similarity is estimated from equal registers, correcte
 that agree by chance, and what may reach the threshold is verified on the full shingle sets.
 
 Documents with the same words form one class, which its smallest id stands for. No bucket of equal
-bands emits all its pairs: first every member is compared with one leader. Buckets that are then in
-several components get more leaders, four times as many in each turn, compared only with members of
-other components, until all members are connected or every pair across components was compared.
+bands emits all its pairs. First every member is paired with one leader of its bucket. Buckets that
+are then still in several components are compared a second time, in blocks: only members of
+different components, by their registers and by ``WIDE`` more rounds of 8-bit registers, inside one
+task; a pair is emitted for verification only if both estimates allow the threshold, and only by the
+first of the bands that it shares.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from pyspark.sql import functions as F
 
 from callscope.llm.components import components
 from callscope.llm.words import SPACED_LOWER, Words, grams, mix, whole_grams, words_of
-from callscope.llm.work import Scratch, free_prefix
+from callscope.llm.work import Scratch, free_prefix, partitions_for
 
 SHINGLE = 5
 THRESHOLD = 75
@@ -29,9 +31,13 @@ ROUNDS, BUCKETS, ROWS = 8, 16, 4
 MANTISSA = 10
 #: Standard deviations below the threshold at which an estimate still leads to verification.
 SLACK = 5.0
+#: Rounds of the wide registers, and their standard deviations of slack.
+WIDE, WIDE_SLACK = 64, 4.5
+#: Members of a bucket that are compared with as many others in one task at once.
+BLOCK = 2048
 #: Of a register's collision probability at equal sizes, in units of 2**-MANTISSA.
 _COLLISION = 0.169919487159739093975315012348
-_SEEDS = mix(np.arange(1, ROUNDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_SEEDS = mix(np.arange(1, ROUNDS + WIDE + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
 def shingle_sets(words: Words) -> list[np.ndarray]:
@@ -48,20 +54,20 @@ def shingle_sets(words: Words) -> list[np.ndarray]:
     return out
 
 
-def registers(sets: list[np.ndarray]) -> np.ndarray:
-    """One row of ROUNDS * BUCKETS registers per set; an empty bucket is 0."""
+def registers(sets: list[np.ndarray], seeds: np.ndarray = _SEEDS[:ROUNDS]) -> np.ndarray:
+    """One row of BUCKETS registers per set and seed; an empty bucket is 0."""
     sizes = np.array([len(s) for s in sets], np.int64)
     values = np.concatenate([np.empty(0, np.uint64), *sets])
     row = np.repeat(np.arange(len(sets)), sizes)
     bits = BUCKETS.bit_length() - 1
-    out = np.zeros((len(sets), ROUNDS, BUCKETS), np.uint16)
-    for r, seed in enumerate(_SEEDS):
+    out = np.zeros((len(sets), len(seeds), BUCKETS), np.uint16)
+    for r, seed in enumerate(seeds):
         dealt = mix(values ^ seed)
         place = row * BUCKETS + (dealt >> np.uint64(64 - bits)).astype(np.int64)
         least = np.full(len(sets) * BUCKETS, np.iinfo(np.uint64).max, np.uint64)
         np.minimum.at(least, place, dealt << np.uint64(bits))
         out[:, r, :] = _compress(least).reshape(len(sets), BUCKETS)
-    return out.reshape(len(sets), ROUNDS * BUCKETS)
+    return out.reshape(len(sets), len(seeds) * BUCKETS)
 
 
 def _compress(least: np.ndarray) -> np.ndarray:
@@ -75,14 +81,19 @@ def _compress(least: np.ndarray) -> np.ndarray:
     return np.where(empty, 0, packed).astype(np.uint16)
 
 
-def band_keys(regs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, key) of each band that has a filled register."""
+def _band_matrix(regs: np.ndarray) -> np.ndarray:
+    """The key of every band of every row."""
     bands = regs.reshape(len(regs), -1, ROWS).astype(np.uint64)
     keys = np.zeros(bands.shape[:2], np.uint64) + mix(np.arange(bands.shape[1], dtype=np.uint64) + np.uint64(1))
     for j in range(ROWS):
         keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + bands[:, :, j])
-    row, band = np.nonzero(bands.any(axis=2))
-    return row, keys[row, band]
+    return keys
+
+
+def band_keys(regs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, key) of each band that has a filled register."""
+    row, band = np.nonzero(regs.reshape(len(regs), -1, ROWS).any(axis=2))
+    return row, _band_matrix(regs)[row, band]
 
 
 def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -151,6 +162,78 @@ def _sets(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(words.first_row, words.rows), packed], names=["rep", "shingles"])
 
 
+def _widen(batches):
+    """The low bits of WIDE rounds of registers; 0 where both may be empty."""
+    for batch in batches:
+        sets = [np.frombuffer(x, np.uint64) for x in batch.column(1).to_pylist()]
+        wide = (registers(sets, _SEEDS[ROUNDS:]) & np.uint16(255)).astype(np.uint8)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array([w.tobytes() for w in wide], pa.binary())], names=["rep", "wide"]
+        )
+
+
+def _alike(a: np.ndarray, b: np.ndarray, chance: float, slack: float) -> np.ndarray:
+    """Whether registers of pairs agree so often that the threshold is possible."""
+    least = THRESHOLD / 100
+    used = np.maximum(((a != 0) | (b != 0)).sum(axis=1), 1)
+    similar = (((a == b) & (a != 0)).sum(axis=1) / used - chance) / (1 - chance)
+    return similar >= least - slack * np.sqrt(least * (1 - least) / used)
+
+
+def _across(band: int, same_block: bool, block: np.ndarray, component, n, regs, wide) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the pairs of a bucket's members that may be links between components."""
+    first, second = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    left = np.arange(len(n)) if same_block else np.flatnonzero(block == block.min())
+    right = np.arange(len(n)) if same_block else np.flatnonzero(block != block.min())
+    for start in range(0, len(left), 64):
+        rows = left[start : start + 64]
+        fit = component[rows, None] != component[None, right]
+        fit &= 100 * np.minimum(n[rows, None], n[None, right]) >= THRESHOLD * np.maximum(n[rows, None], n[None, right])
+        if same_block:
+            fit &= rows[:, None] < right[None, :]
+        i, j = np.nonzero(fit)
+        for at in range(0, len(i), 8192):
+            a, b = rows[i[at : at + 8192]], right[j[at : at + 8192]]
+            keep = _alike(regs[a], regs[b], _COLLISION * 2.0**-MANTISSA, SLACK)
+            a, b = a[keep], b[keep]
+            # a filled register is 0 in one case of 256 and then counts as empty
+            keep = _alike(wide[a], wide[b], 1 / 256, WIDE_SLACK)
+            first.append(a[keep])
+            second.append(b[keep])
+    i, j = np.concatenate(first), np.concatenate(second)
+    if len(i):
+        equal = (regs[i] == regs[j]).reshape(len(i), -1, ROWS).all(axis=2)
+        filled = (regs[i] != 0).reshape(len(i), -1, ROWS).any(axis=2)
+        shared = (equal & filled).argmax(axis=1)
+        own = _band_matrix(regs[i])[np.arange(len(i)), shared].view(np.int64) == band
+        i, j = i[own], j[own]
+    return i, j
+
+
+def _compare(batches):
+    """Pairs of members of different components; rows come in order of band and blocks."""
+    key, held = None, []
+
+    def pairs():
+        columns = list(zip(*held, strict=True))
+        rep, block, component, n = (np.array(columns[k], np.int64) for k in range(4))
+        regs = np.frombuffer(b"".join(columns[4]), np.uint16).reshape(len(n), -1)
+        wide = np.frombuffer(b"".join(columns[5]), np.uint8).reshape(len(n), -1)
+        i, j = _across(key[0], key[1] == key[2], block, component, n, regs, wide)
+        a, b = np.minimum(rep[i], rep[j]), np.maximum(rep[i], rep[j])
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if row[:3] != key:
+                if len(held) > 1:
+                    yield pairs()
+                key, held = row[:3], []
+            held.append(row[3:])
+    if len(held) > 1:
+        yield pairs()
+
+
 def _verified(batches):
     """Pairs whose full sets reach the threshold."""
     for batch in batches:
@@ -170,17 +253,21 @@ class _Linker:
     def __init__(self, scratch: Scratch, reps: DataFrame, sets: DataFrame) -> None:
         self.scratch, self.reps, self.sets = scratch, reps, sets
 
-    def links(self, pairs: DataFrame, turn: int) -> DataFrame:
-        def side(name: str, table: DataFrame, *columns: str) -> DataFrame:
-            return table.select(F.col("rep").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in columns))
+    def likely(self, pairs: DataFrame) -> DataFrame:
+        """Pairs whose registers allow the threshold."""
+        a, b = self._side("a", self.reps, "n", "regs"), self._side("b", self.reps, "n", "regs")
+        known = pairs.join(a, "a").join(b, "b").select("a", "b", "n_a", "n_b", "regs_a", "regs_b")
+        return self.scratch.store(known.mapInArrow(_likely, "a long, b long"), "likely")
 
-        known = pairs.join(side("a", self.reps, "n", "regs"), "a").join(side("b", self.reps, "n", "regs"), "b")
-        likely = known.select("a", "b", "n_a", "n_b", "regs_a", "regs_b").mapInArrow(_likely, "a long, b long")
-        likely = self.scratch.store(likely, f"likely-{turn}")
-        whole = likely.join(side("a", self.sets, "shingles"), "a").join(side("b", self.sets, "shingles"), "b")
-        return self.scratch.store(
-            whole.select("a", "b", "shingles_a", "shingles_b").mapInArrow(_verified, "a long, b long"), f"links-{turn}"
-        )
+    def verified(self, pairs: DataFrame, name: str) -> DataFrame:
+        """Pairs whose full sets reach the threshold."""
+        a, b = self._side("a", self.sets, "shingles"), self._side("b", self.sets, "shingles")
+        whole = pairs.join(a, "a").join(b, "b").select("a", "b", "shingles_a", "shingles_b")
+        return self.scratch.store(whole.mapInArrow(_verified, "a long, b long"), name)
+
+    @staticmethod
+    def _side(name: str, table: DataFrame, *columns: str) -> DataFrame:
+        return table.select(F.col("rep").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in columns))
 
 
 def _ordered(x: str, y: str) -> list:
@@ -224,29 +311,18 @@ def near_components(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     sets = scratch.store(texts.select("rep", "text").mapInArrow(_sets, "rep long, shingles binary"), "sets")
     linker = _Linker(scratch, reps, sets)
     pairs = scratch.store(members.where("rep != leader").select(*_ordered("leader", "rep")).distinct(), "pairs-0")
-    tested, links = pairs, linker.links(pairs, 0).union(_one_document(linked.join(classes, ["key1", "key2"])))
+    links = linker.verified(linker.likely(pairs), "links-0").union(_one_document(linked.join(classes, ["key1", "key2"])))
     found = components(links, scratch, "components-0")
-    turn, leaders, left = 0, 1, members
-    while True:
-        turn, complete, leaders = turn + 1, max(leaders, 2), leaders * 4
-        labelled = left.where(F.col("size") > complete).select("band", "rep", "size")
-        labelled = labelled.join(found.withColumnRenamed("node", "rep"), "rep", "left")
-        labelled = labelled.withColumn("component", F.coalesce("component", "rep"))
-        several = labelled.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-        left = scratch.store(labelled.join(several.where("x != y"), "band", "left_semi"), f"members-{turn}")
-        if left.isEmpty():
-            break
-        # this many leaders are expected; all members lead once that many are wanted
-        place = F.shiftrightunsigned(F.xxhash64("band", "rep"), 11) / F.lit(float(1 << 53))
-        leading = left.where(place < F.lit(float(leaders)) / F.col("size"))
-        leading = leading.select("band", F.col("rep").alias("leader"), F.col("component").alias("own"))
-        pairs = left.join(leading, "band").where("component != own").select(*_ordered("leader", "rep")).distinct()
-        pairs = scratch.store(pairs.join(tested, ["a", "b"], "left_anti"), f"pairs-{turn}")
-        tested = tested.union(pairs)
-        fresh = linker.links(pairs, turn)
-        if not fresh.isEmpty():
-            links = links.union(fresh)
-            found = components(links, scratch, f"components-{turn}")
+    # buckets of which not every pair was compared, and which are not one component
+    left = members.where("size > 2").select("band", "rep", "size")
+    left = left.join(found.withColumnRenamed("node", "rep"), "rep", "left")
+    left = left.withColumn("component", F.coalesce("component", "rep"))
+    several = left.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y")
+    left = scratch.store(left.join(several.select("band"), "band", "left_semi"), "unresolved")
+    pairs = scratch.store(_across_components(left, reps, sets).distinct(), "pairs-1")
+    # components are joined by what is found between them
+    fresh = linker.verified(pairs, "links-1")
+    found = components(found.select(F.col("component").alias("a"), F.col("node").alias("b")).union(fresh), scratch, "components-1")
     by_class = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
         "key1", "key2", F.coalesce("component", "rep").alias("component")
     )
@@ -258,6 +334,20 @@ def near_components(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     )
 
 
+def _across_components(left: DataFrame, reps: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs to verify of buckets in several components, a bucket in blocks of BLOCK members."""
+    wide = sets.join(left.select("rep").distinct(), "rep", "left_semi").mapInArrow(_widen, "rep long, wide binary")
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
+    rows = left.withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    rows = rows.join(reps, "rep").join(wide, "rep")
+    keys = ["band", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y")]
+    rows = rows.select(*keys, "rep", "block", "component", "n", "regs", "wide")
+    parts = partitions_for(left.sparkSession)
+    ordered = rows.repartition(parts, "band", "x", "y").sortWithinPartitions("band", "x", "y")
+    return ordered.mapInArrow(_compare, "a long, b long")
+
+
 def _one_document(rows: DataFrame) -> DataFrame:
     """Links between the classes of an id that has several texts."""
     several = rows.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a != z")
