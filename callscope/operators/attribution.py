@@ -10,20 +10,24 @@ window. So one shuffle on the contract gives the attributed payments and the unp
 without candidate pairs and without joining back. If the nearest preceding disposition is more than
 three days old, so are all others, hence checking the nearest alone is enough.
 
-A contract too large for one task is cut by time into slots. Each slot gets its neighbours as extra
-rows, the last disposition before it and the next entry after it, so that slots are independent.
+A contract too large for one task is cut by time into slots; every other contract is one slot. Each
+slot of a cut contract gets its neighbours as extra rows, the last disposition before it and the
+next entry after it, so that slots are independent and all contracts take the same route.
 """
 
 from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from callscope.functions import ntz, plain_number, second_index, surrogate_key, window_close
 from callscope.operators.skew import SPLIT_ROWS, heavy_keys
 
+_DAY = 86400
+
+
 def assessable_dispositions(dispositions: DataFrame) -> DataFrame:
     """Without a contract a disposition cannot be assessed; that is not the same as unpaid."""
     return dispositions.filter(F.col("contract_id").isNotNull()).select(
@@ -103,35 +107,48 @@ def _result(walked: DataFrame) -> DataFrame:
     )
 
 
-def _attribute_whole(dispositions: DataFrame, payments: DataFrame) -> DataFrame:
-    """All of a contract in one group."""
-    return _result(_walk(_timeline(dispositions, payments), "contract_id"))
+def _per_second(timeline: DataFrame, heavy: DataFrame) -> DataFrame:
+    """Per heavy contract and second: rows, the last disposition in it, and its first entries.
 
-
-def _times(dispositions: DataFrame, payments: DataFrame) -> DataFrame:
-    """Contract and time of all rows; copies do not matter where only times are compared."""
-    disposed, paid = F.col("disposed_at_utc"), F.col("pay_timestamp_utc")
-    never = F.lit(None).cast("timestamp_ntz")
-    return (
-        dispositions.filter(disposed.isNotNull())
-        .select("contract_id", disposed.alias("at"), disposed.alias("disposed"), never.alias("paid"))
-        .unionAll(payments.select("contract_id", paid, never, paid))
+    Of the dispositions at one instant the one with the largest id can own a payment.
+    """
+    rows = timeline.filter("at is not null").select(
+        "contract_id",
+        "at",
+        F.when(F.expr(_IS_PAYMENT), F.col("at")).alias("paid"),
+        F.when(~F.expr(_IS_PAYMENT), F.col("at")).alias("disposed"),
+        F.when(~F.expr(_IS_PAYMENT), F.struct("disposed_at_utc", "call_log_id", "market")).alias("owner"),
+    )
+    rows = rows.join(heavy, "contract_id", "left_semi")
+    return rows.groupBy("contract_id", second_index(F.col("at")).alias("second")).agg(
+        F.count("*").alias("n"),
+        F.max("owner").alias("last_owner"),
+        F.min("disposed").alias("first_disposed"),
+        F.min("paid").alias("first_paid"),
     )
 
 
-def _slot_seconds(times: DataFrame, split_rows: int) -> DataFrame:
+def _ends() -> list[Column]:
+    """The last disposition of a stretch of time, and its first entry if that is a payment.
+
+    A struct, so that a next stretch without a payment in front differs from no next one.
+    """
+    disposed, paid = F.min("first_disposed"), F.min("first_paid")
+    starts = F.when(disposed.isNull() | (paid < disposed), paid)
+    return [F.max("last_owner").alias("last_owner"), F.struct(starts.alias("at")).alias("starts")]
+
+
+def _slot_seconds(seconds: DataFrame, split_rows: int) -> DataFrame:
     """Per contract, the widest slot of which none holds more than ``split_rows`` rows.
 
-    A second is the narrowest: without copies it has at most a million instants.
+    A second is the narrowest: its rows stay together.
     """
-    counts = times.groupBy("contract_id", second_index(F.col("at")).alias("slot")).agg(
-        F.count("*").alias("n")
-    )
-    widths = {"minute": 60, "hour": 3600, "day": 86400}
+    counts = seconds.select("contract_id", F.col("second").alias("slot"), "n")
+    widths = {"minute": 60, "hour": 3600, "day": _DAY}
     found: list[str] = []
-    for name, seconds in widths.items():
+    for name, width in widths.items():
         counts = counts.groupBy(
-            "contract_id", (F.floor(F.col("slot") / seconds) * seconds).alias("slot")
+            "contract_id", (F.floor(F.col("slot") / width) * width).alias("slot")
         ).agg(
             F.sum("n").alias("n"),
             *[F.max(c).alias(c) for c in found],
@@ -143,81 +160,55 @@ def _slot_seconds(times: DataFrame, split_rows: int) -> DataFrame:
         F.max("below_day").alias("hour"),
         F.max("below_hour").alias("minute"),
     )
-    width = F.lit(1)
+    chosen = F.lit(1)
     for name in ("minute", "hour", "day"):
-        width = F.when(F.col(name) <= split_rows, widths[name]).otherwise(width)
-    return peaks.select("contract_id", width.cast("bigint").alias("width"))
-
+        chosen = F.when(F.col(name) <= split_rows, widths[name]).otherwise(chosen)
+    return peaks.select("contract_id", chosen.cast("bigint").alias("width"))
 
-def _in_slots(rows: DataFrame, widths: DataFrame) -> DataFrame:
-    slot = F.floor(second_index(F.col("at")) / F.col("width"))
-    return rows.join(widths, "contract_id").withColumn("slot", slot).drop("width")
 
-
-def _slot_edges(slotted_times: DataFrame, winners: DataFrame) -> DataFrame:
+def _slot_edges(seconds: DataFrame, widths: DataFrame) -> DataFrame:
     """What each slot must know of its neighbours: the last disposition before it, and its next
     entry after it if that is a payment. Marked by ``edge``.
 
-    One row per slot is left before the contract's slots are put in order.
+    Slots are put in order within each day, and days within each contract, so no task holds all
+    slots of a contract.
     """
-    ends = slotted_times.groupBy("contract_id", "slot").agg(
-        F.max("disposed").alias("last_disposed"),
-        F.min("disposed").alias("first_disposed"),
-        F.min("paid").alias("first_paid"),
-    )
-    payment_is_first = F.col("first_disposed").isNull() | (
-        F.col("first_paid") < F.col("first_disposed")
-    )
-    order = Window.partitionBy("contract_id").orderBy("slot")
-    ends = ends.withColumn("starts_with", F.when(payment_is_first, F.col("first_paid"))).select(
+    day_order = Window.partitionBy("contract_id").orderBy("day")
+    days = seconds.groupBy("contract_id", F.floor(F.col("second") / _DAY).alias("day")).agg(*_ends())
+    days = days.select(
+        "contract_id",
+        "day",
+        F.max("last_owner")
+        .over(day_order.rowsBetween(Window.unboundedPreceding, -1))
+        .alias("owner_of_days"),
+        F.lead("starts").over(day_order).alias("next_day"),
+    )
+    slot = F.floor(F.col("second") / F.col("width"))
+    ends = (
+        seconds.join(widths, "contract_id")
+        .groupBy("contract_id", F.floor(F.col("second") / _DAY).alias("day"), slot.alias("slot"))
+        .agg(*_ends())
+    )
+    order = Window.partitionBy("contract_id", "day").orderBy("slot")
+    neighbours = ends.join(days, ["contract_id", "day"]).select(
         "contract_id",
         "slot",
-        F.last("last_disposed", ignorenulls=True)
-        .over(order.rowsBetween(Window.unboundedPreceding, -1))
-        .alias("before"),
-        F.lead("starts_with").over(order).alias("after"),
+        F.coalesce(
+            F.max("last_owner").over(order.rowsBetween(Window.unboundedPreceding, -1)),
+            "owner_of_days",
+        ).alias("before"),
+        F.coalesce(F.lead("starts").over(order), "next_day")["at"].alias("after"),
     )
-    no_amount, an_amount = F.lit(None).cast("double"), F.lit(1.0)
-    both = F.array(
-        F.struct(F.col("before").alias("at"), no_amount.alias("amount_local")),
-        F.struct(F.col("after").alias("at"), an_amount.alias("amount_local")),
+    nobody, no_amount = F.lit(None).cast(ends.schema["last_owner"].dataType), F.lit(None).cast("double")
+    entry = F.array(
+        F.struct(F.col("before.disposed_at_utc").alias("at"), F.col("before").alias("owner"), no_amount.alias("amount_local")),
+        F.struct(F.col("after").alias("at"), nobody.alias("owner"), F.lit(1.0).alias("amount_local")),
     )
-    edges = (
-        ends.select("contract_id", "slot", F.explode(both).alias("e"), F.lit(True).alias("edge"))
-        .select("contract_id", "slot", "edge", "e.*")
-        .filter("at is not null")
-    )
-    owner = winners.select("contract_id", F.col("disposed_at_utc").alias("at"), *_OWNER)
-    before = edges.filter("amount_local is null").join(owner, ["contract_id", "at"])
-    return before.unionByName(
-        edges.filter("amount_local is not null"), allowMissingColumns=True
-    )
-
-
-def _attribute_split(dispositions: DataFrame, payments: DataFrame, split_rows: int) -> DataFrame:
-    """For at most ``MAX_HEAVY_KEYS`` contracts: slots of time instead of whole contracts.
-
-    Copies collapse map-side before any row is shuffled: of the dispositions at one instant only
-    the winner can own a payment, and equal payments are one.
-    """
-    winners = (
-        dispositions.filter(F.col("disposed_at_utc").isNotNull())
-        .groupBy("contract_id", "disposed_at_utc")
-        .agg(F.max(F.struct("call_log_id", "market")).alias("winner"))
-        .select("contract_id", "disposed_at_utc", "winner.*")
-    )
-    distinct_payments = payments.groupBy("contract_id", "pay_timestamp_utc", "amount_local").agg(
-        F.min("currency").alias("currency")
+    return (
+        neighbours.select("contract_id", "slot", F.lit(True).alias("edge"), F.explode(entry).alias("e"))
+        .filter("e.at is not null")
+        .select("contract_id", "slot", "edge", "e.at", "e.amount_local", "e.owner.*")
     )
-    times = _times(dispositions, payments)
-    # One row per contract in the heavy list.
-    widths = F.broadcast(_slot_seconds(times, split_rows))
-    edges = _slot_edges(_in_slots(times, widths), winners)
-    slotted = _in_slots(_timeline(winners, distinct_payments), widths)
-    with_edges = slotted.unionByName(edges, allowMissingColumns=True)
-    walked = _walk(with_edges, "contract_id", "slot").filter("edge is null")
-    others = dispositions.join(winners.select("call_log_id"), "call_log_id", "left_anti")
-    return _result(walked).unionByName(others, allowMissingColumns=True)
 
 
 def attribute_payments(
@@ -225,23 +216,20 @@ def attribute_payments(
 ) -> DataFrame:
     """Rows (disposition x attributed payment), and one row with null payment per unpaid one.
 
-    Takes staging frames. One pass over the contract ids finds contracts with more than
-    ``split_rows`` rows; only those take the split route.
+    Takes staging frames. Contracts with more than ``split_rows`` rows are found by a count of the
+    contract ids and have slots by time. Each input is read three times: the ids, the times of cut
+    contracts, and the rows.
     """
     dispositions = assessable_dispositions(dispositions)
     payments = recoverable_payments(payments)
-    contract = F.col("contract_id")
-    heavy = heavy_keys(
-        dispositions.select(contract).unionAll(payments.select(contract)), contract, split_rows
-    )
-    if not heavy:
-        return _attribute_whole(dispositions, payments)
-    in_heavy = contract.isin(list(heavy))
-    return _attribute_whole(
-        dispositions.filter(~in_heavy), payments.filter(~in_heavy)
-    ).unionByName(
-        _attribute_split(dispositions.filter(in_heavy), payments.filter(in_heavy), split_rows)
-    )
+    timeline = _timeline(dispositions, payments)
+    heavy = heavy_keys(timeline, F.col("contract_id"), split_rows).select(F.col("key").alias("contract_id"))
+    seconds = _per_second(timeline, heavy)
+    widths = _slot_seconds(seconds, split_rows)
+    slot = F.coalesce(F.floor(second_index(F.col("at")) / F.col("width")), F.lit(0))
+    slotted = timeline.join(widths, "contract_id", "left").withColumn("slot", slot).drop("width")
+    with_edges = slotted.unionByName(_slot_edges(seconds, widths), allowMissingColumns=True)
+    return _result(_walk(with_edges, "contract_id", "slot").filter("edge is null"))
 
 
 def with_window_state(attributed: DataFrame, as_of: datetime) -> DataFrame:

@@ -1,35 +1,22 @@
-"""Heavy keys: find them with a bounded result, and spread them over many tasks."""
+"""Heavy keys: count them, and spread them over many tasks."""
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Rows of one key that a single task may hold; a key above it is split.
 SPLIT_ROWS = 2_000_000
-# At most this many keys are treated as heavy. The key ranked next holds less than 1/1000 of all
-# rows, so leaving it whole is safe, and everything derived from the list has a fixed size.
-MAX_HEAVY_KEYS = 1000
 
 
-def heavy_keys(df: DataFrame, key: Column, split_rows: int = SPLIT_ROWS) -> dict[int, int]:
-    """``{key: rows}`` of the keys with more than ``split_rows`` rows, the largest first.
+def heavy_keys(df: DataFrame, key: Column, split_rows: int = SPLIT_ROWS) -> DataFrame:
+    """(key, n) of the keys with more than ``split_rows`` rows; null counts as no key.
 
-    Reads the key column only and counts map-side first; top-n keeps at most ``MAX_HEAVY_KEYS``
-    rows, and one for the null key, per task and on the driver. Null counts as no key.
+    Reads the key column only and counts map-side first. There are at most rows / split_rows such
+    keys, none is left out, and nothing runs before the result is used.
     """
-    counts = (
-        df.select(key.alias("key"))
-        .groupBy("key")
-        .agg(F.count("*").alias("n"))
-        .filter(F.col("n") > split_rows)
-        .orderBy(F.desc("n"), "key")
-        .limit(MAX_HEAVY_KEYS + 1)
-    )
-    found = [(r["key"], r["n"]) for r in counts.collect() if r["key"] is not None]
-    return dict(found[:MAX_HEAVY_KEYS])
+    counts = df.select(key.alias("key")).groupBy("key").agg(F.count("*").alias("n"))
+    return counts.filter((F.col("n") > split_rows) & F.col("key").isNotNull())
 
 
 def salted_join(
@@ -49,25 +36,20 @@ def salted_join(
     Keeps the columns of both sides for ``how="left"``, of the left side for ``how="left_anti"``.
     """
     heavy = heavy_keys(left, F.col(left_key), split_rows)
+    parts = heavy.select(F.col("key").alias("_heavy_key"), F.ceil(F.col("n") / split_rows).alias("_parts"))
     no_key = -1 - F.pmod(F.xxhash64(spread_by), F.lit(2**62))
-    left = left.withColumn("_key", F.coalesce(left_key, no_key))
-    right = right.filter(F.col(right_key) >= 0)
-    same_key = F.col("_key") == F.col(right_key)
-    if not heavy:
-        return left.join(right, same_key, how).drop("_key")
-    rows = [(k, math.ceil(n / split_rows)) for k, n in heavy.items()]
-    # At most MAX_HEAVY_KEYS rows.
-    parts = F.broadcast(
-        left.sparkSession.createDataFrame(rows, "_heavy_key bigint, _parts bigint")
+    one = F.coalesce("_parts", F.lit(1))
+    left = (
+        left.withColumn("_key", F.coalesce(left_key, no_key))
+        .join(parts, F.col("_key") == F.col("_heavy_key"), "left")
+        .withColumn("_part", F.pmod(F.xxhash64(spread_by), one))
     )
-    part = F.pmod(F.xxhash64(spread_by), F.coalesce("_parts", F.lit(1)))
-    left = left.join(parts, F.col("_key") == F.col("_heavy_key"), "left").withColumn("_part", part)
-    copies = F.sequence(F.lit(0).cast("bigint"), F.coalesce("_parts", F.lit(1)) - 1)
+    copies = F.sequence(F.lit(0).cast("bigint"), one - 1)
     right = (
-        right.join(parts, F.col(right_key) == F.col("_heavy_key"), "left")
+        right.filter(F.col(right_key) >= 0)
+        .join(parts, F.col(right_key) == F.col("_heavy_key"), "left")
         .withColumn("_copy", F.explode(copies))
         .drop("_heavy_key", "_parts")
     )
-    return left.join(right, same_key & (F.col("_part") == F.col("_copy")), how).drop(
-        "_key", "_part", "_copy", "_heavy_key", "_parts"
-    )
+    same = (F.col("_key") == F.col(right_key)) & (F.col("_part") == F.col("_copy"))
+    return left.join(right, same, how).drop("_key", "_part", "_copy", "_heavy_key", "_parts")

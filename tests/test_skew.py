@@ -10,8 +10,13 @@ def test_heavy_keys_counts_and_ignores_null(spark):
         "select 1L k from range(5) union all select 2L from range(3) "
         "union all select 3L from range(1) union all select null from range(9)"
     )
-    assert skew.heavy_keys(df, F.col("k"), 2) == {1: 5, 2: 3}
-    assert skew.heavy_keys(df, F.col("k"), 5) == {}
+    assert dict(map(tuple, skew.heavy_keys(df, F.col("k"), 2).collect())) == {1: 5, 2: 3}
+    assert skew.heavy_keys(df, F.col("k"), 5).isEmpty()
+
+
+def test_every_heavy_key_is_found(spark):
+    many = spark.range(3 * 5000).selectExpr("id % 5000 as k")
+    assert skew.heavy_keys(many, F.col("k"), 2).count() == 5000
 
 
 def test_salted_join_equals_plain_join(spark):
