@@ -18,6 +18,8 @@ def main() -> None:
     parser.add_argument("--fx-payload", help="landed JSON answer of the rate provider")
     parser.add_argument("--fx-rule", choices=["latest", "nearest"], default="latest")
     parser.add_argument("--full-refresh", action="store_true")
+    parser.add_argument("--max-blank-notes", type=float, help="share of blank notes that fails the run")
+    parser.add_argument("--provider", action="append", help="known payment provider; others fail the run")
     args = parser.parse_args()
 
     spark = SparkSession.builder.appName("callscope").getOrCreate()
@@ -29,11 +31,13 @@ def main() -> None:
         full_refresh=args.full_refresh,
         fx_payload=args.fx_payload,
         fx_rule=args.fx_rule,
+        max_blank_notes=args.max_blank_notes,
+        providers=args.provider,
     )
     for landed in report.landed:
-        print(f"raw.{landed.table}: {landed.rows} rows from {landed.files} file(s)")
+        print(f"landed {landed.table}: files {landed.files}, rows {landed.rows}")
     for table, rows in report.rows.items():
-        print(f"{table}: {rows} rows written")
+        print(f"wrote {table}: rows {rows}")
 
 
 if __name__ == "__main__":

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 from datetime import date, datetime
 
@@ -12,6 +13,7 @@ from callscope import schemas
 from callscope.functions import ntz
 from callscope.functions.times import ATTRIBUTION_DAYS
 from callscope.operators import quality
+from callscope.operators.coding import with_candidate_id
 from callscope.operators.skew import SPLIT_ROWS
 from callscope.plans import incremental, intermediate, marts, staging
 from callscope.plans.incremental import Scope
@@ -26,6 +28,9 @@ CODING = ("marts", "fct_coding_rate")
 PAID = ("marts", "fct_paid_post_call")
 VALUE = ("marts", "fct_value_recovered_usd")
 DRIVERS = ("marts", "fct_inbound_call_drivers")
+# Ids named in notes, by call date; and ids of dispositions whose extracts are landed again.
+NOTED = ("intermediate", "int_noted_ids")
+RELANDED = ("intermediate", "relanded_ids")
 MARTS = (CODING, PAID, VALUE, DRIVERS, DIM_AGENT)
 RUN_STATE = ("intermediate", "run_state")
 
@@ -53,7 +58,7 @@ def _last_as_of(tables: Tables) -> datetime | None:
 def land(
     spark: SparkSession, tables: Tables, raw_dir: str, full_refresh: bool = False
 ) -> list[Landed]:
-    """All files on a full refresh or a first run, else the new and changed ones.
+    """All files on a full refresh or a first run, else the extracts with new, changed or removed files.
 
     The hashes are taken first and count as known only after the whole run: a run that breaks off
     lands the same files again and still knows which dates they touch.
@@ -62,12 +67,34 @@ def land(
     tables.overwrite(manifest.file_hashes(spark, raw_dir, known), *manifest.SEEN)
     if known is None:
         return landing.land_all(spark, tables, raw_dir)
-    changed = manifest.changed_files(tables.read(*manifest.SEEN), known)
-    # Paths of one run's new files.
-    paths = [r["path"] for r in changed.select("path").collect()]
+    seen = tables.read(*manifest.SEEN)
+    other = manifest.changed_files(seen, known).select("path").union(
+        manifest.removed_files(seen, known).select("path")
+    )
+    # Paths of one run's changes.
+    paths = [r["path"] for r in other.collect()]
+    keep_ids(tables, paths)
     return landing.land_files(spark, tables, raw_dir, paths)
 
 
+def keep_ids(tables: Tables, paths: list[str]) -> None:
+    """Note the dispositions of extracts about to be replaced: calls may lose what they named.
+
+    What a run that broke off has noted stays until a run ends.
+    """
+    days = landing.days_of(paths, schemas.ENTITIES[schemas.DISPOSITIONS])
+    days -= {p[landing.EXTRACT_DATE] for p in tables.partitions(*RELANDED)}
+    if days and tables.exists("raw", schemas.DISPOSITIONS):
+        ids = _ids_of_extracts(tables, days)
+        tables.replace_partitions(ids, *RELANDED, [landing.EXTRACT_DATE], in_scope=lambda _: False)
+
+
+def _ids_of_extracts(tables: Tables, days: Iterable[str]) -> DataFrame:
+    raw = read_raw(tables, schemas.DISPOSITIONS).filter(F.col(landing.EXTRACT_DATE).isin(sorted(days)))
+    ids = raw.select(F.col("call_log_id").try_cast("bigint").alias("call_log_id"), landing.EXTRACT_DATE)
+    return ids.filter(F.col("call_log_id").isNotNull()).distinct()
+
+
 def build_attribution(
     tables: Tables, scope: Scope, as_of: datetime, split_rows: int = SPLIT_ROWS
 ) -> dict[str, int]:
@@ -114,15 +141,48 @@ def build_value(tables: Tables, scope: Scope, fx_rule: FxRule = "latest") -> dic
     return {VALUE[1]: incremental.rebuild(tables, value, *VALUE, CALL_DATE, pay_dates)}
 
 
+def coding_dates(tables: Tables, landed: list[Landed]) -> set[date]:
+    """Call dates whose coding can have changed without a call arriving.
+
+    Those of calls that name a disposition of an extract that landed, before or after, and of calls
+    by an agent whose mapping differs from the one in use. As many as the calendar has.
+    """
+    found: set[date] = set()
+    days = {d for load in landed if load.table == schemas.DISPOSITIONS for d in load.days}
+    if days and tables.exists(*NOTED):
+        ids = _ids_of_extracts(tables, days)
+        if tables.exists(*RELANDED):
+            ids = ids.unionByName(tables.read(*RELANDED))
+        named = tables.read(*NOTED).join(ids, F.col("candidate_call_log_id") == F.col("call_log_id"), "left_semi")
+        found |= {r[CALL_DATE] for r in named.select(CALL_DATE).distinct().collect()}
+    if tables.exists(*CODING) and any(load.table == schemas.AGENT_MAPPING for load in landed):
+        old, new = tables.read(*DIM_AGENT), _agents(tables).select(tables.read(*DIM_AGENT).columns)
+        other = old.exceptAll(new).union(new.exceptAll(old)).select("ameyo_user_id").distinct()
+        touched = tables.read(*CODING).join(other, "ameyo_user_id", "left_semi")
+        found |= {r[CALL_DATE] for r in touched.select(CALL_DATE).distinct().collect()}
+    return found - {None}
+
+
+def _agents(tables: Tables) -> DataFrame:
+    return marts.dim_agent(staging.stg_agent_mapping(read_raw(tables, schemas.AGENT_MAPPING)))
+
+
 def build_coding(tables: Tables, scope: Scope, split_rows: int = SPLIT_ROWS) -> dict[str, int]:
-    """Agents, few and rebuilt whole, and the coding rate of the call dates in scope."""
-    mapping = staging.stg_agent_mapping(read_raw(tables, schemas.AGENT_MAPPING))
-    agents = tables.overwrite(marts.dim_agent(mapping), *DIM_AGENT)
-    coded = intermediate.int_calls_coded(
-        staging.stg_calls(raw_of(tables, schemas.CALLS, scope)),
-        staging.stg_dispositions(read_raw(tables, schemas.DISPOSITIONS)),
-        split_rows,
+    """Agents, few and rebuilt whole, and the coding rate of the call dates in scope.
+
+    Of all dispositions only those that a note in scope names take part in the join.
+    """
+    agents = tables.overwrite(_agents(tables), *DIM_AGENT)
+    calls = staging.stg_calls(raw_of(tables, schemas.CALLS, scope))
+    noted = with_candidate_id(calls).select(
+        "candidate_call_log_id", F.to_date("called_at_local").alias(CALL_DATE)
     )
+    noted = noted.filter(F.col("candidate_call_log_id").isNotNull()).distinct()
+    incremental.rebuild(tables, noted, *NOTED, CALL_DATE, scope)
+    named = tables.read(*NOTED).filter(scope.holds(F.col(CALL_DATE))).select("candidate_call_log_id").distinct()
+    dispositions = staging.stg_dispositions(read_raw(tables, schemas.DISPOSITIONS))
+    dispositions = dispositions.join(named, F.col("call_log_id") == F.col("candidate_call_log_id"), "left_semi")
+    coded = intermediate.int_calls_coded(calls, dispositions, split_rows)
     coding = marts.fct_coding_rate(coded, tables.read(*DIM_AGENT))
     rows = incremental.rebuild(tables, coding, *CODING, CALL_DATE, scope)
     return {DIM_AGENT[1]: agents, CODING[1]: rows}
@@ -145,17 +205,23 @@ def build(
     full_refresh: bool = False,
     fx_rule: FxRule = "latest",
     split_rows: int = SPLIT_ROWS,
+    written: dict[str, Scope] | None = None,
 ) -> dict[str, int]:
-    """Bring intermediate and mart tables up to date with raw. Returns rows written per table."""
+    """Bring intermediate and mart tables up to date with raw. Returns rows written per table.
+
+    ``written`` gets the dates rebuilt of each mart.
+    """
     touched: dict[str, set[date]] = {name: set() for name in schemas.ENTITIES}
     for load in landed:
         touched[load.table] |= load.event_dates
 
-    def lookback(table: tuple[str, str], source: str) -> Scope:
-        if full_refresh:
+    def lookback(table: tuple[str, str], dates: set[date]) -> Scope:
+        if full_refresh or (table == CODING and not tables.exists(*NOTED)):
             return Scope.everything()
         existing = tables.dates(*table, CALL_DATE)
-        return incremental.lookback(existing, incremental.LOOKBACK_DAYS, touched[source])
+        return incremental.lookback(existing, incremental.LOOKBACK_DAYS, dates)
+
+    recoded = touched[schemas.CALLS] | (set() if full_refresh else coding_dates(tables, landed))
 
     attribution_scope = (
         Scope.everything()
@@ -167,29 +233,50 @@ def build(
             _last_as_of(tables),
         )
     )
+    coding_scope = lookback(CODING, recoded)
     rows = build_attribution(tables, attribution_scope, as_of, split_rows)
     rows |= build_value(tables, attribution_scope, fx_rule)
-    rows |= build_coding(tables, lookback(CODING, schemas.CALLS), split_rows)
-    rows |= build_drivers(tables, lookback(DRIVERS, schemas.DISPOSITIONS))
+    rows |= build_coding(tables, coding_scope, split_rows)
+    if written is not None:
+        value_scope = attribution_scope.and_days_after(ATTRIBUTION_DAYS)
+        written |= {PAID[1]: attribution_scope, VALUE[1]: value_scope, CODING[1]: coding_scope}
+    rows |= build_drivers(tables, lookback(DRIVERS, touched[schemas.DISPOSITIONS]))
+    if tables.exists(*RELANDED):
+        tables.overwrite(tables.read(*RELANDED).limit(0), *RELANDED, [landing.EXTRACT_DATE])
     # Last: a run that broke off before this is repeated with the same scope.
     tables.overwrite(spark.range(1).select(ntz(as_of).alias("as_of")), *RUN_STATE)
     return rows
 
 
-def source_checks(tables: Tables) -> list[quality.Check]:
-    calls = read_raw(tables, schemas.CALLS)
-    dispositions = read_raw(tables, schemas.DISPOSITIONS)
-    return [
-        quality.unique(schemas.CALLS, calls, "ch_call_id"),
-        quality.not_null(schemas.CALLS, calls, "ch_call_id"),
-        quality.unique(schemas.DISPOSITIONS, dispositions, "call_log_id"),
-        quality.not_null(schemas.DISPOSITIONS, dispositions, "call_log_id"),
-    ]
+def source_checks(tables: Tables, landed: list[Landed] | None = None) -> list[quality.Check]:
+    """Keys of calls and dispositions; with ``landed`` only of the extracts that landed.
 
+    Whether a landed key is unique is asked of all rows, of which only those with such a key move.
+    """
+    checks = []
+    for table, key in ((schemas.CALLS, "ch_call_id"), (schemas.DISPOSITIONS, "call_log_id")):
+        rows = read_raw(tables, table)
+        fresh = rows
+        if landed is not None:
+            days = sorted({d for load in landed if load.table == table for d in load.days})
+            fresh = rows.filter(F.col(landing.EXTRACT_DATE).isin(days)) if days else rows.limit(0)
+            rows = rows.join(fresh.select(key).distinct(), key, "left_semi")
+        checks += [quality.unique(table, rows, key), quality.not_null(table, fresh, key)]
+    return checks
+
+
+def mart_checks(tables: Tables, written: dict[str, Scope] | None = None) -> list[quality.Check]:
+    """Keys and ranges of the marts; with ``written`` only of the dates in scope.
+
+    A disposition has one date, so its row is unique if it is so within the date.
+    """
+
+    def rows(table: tuple[str, str], column: str) -> DataFrame:
+        scope = (written or {}).get(table[1], Scope.everything())
+        return tables.read(*table).filter(scope.holds(F.col(column)))
 
-def mart_checks(tables: Tables) -> list[quality.Check]:
-    agents, coding = tables.read(*DIM_AGENT), tables.read(*CODING)
-    paid, value = tables.read(*PAID), tables.read(*VALUE)
+    agents, coding = tables.read(*DIM_AGENT), rows(CODING, CALL_DATE)
+    paid, value = rows(PAID, DISPOSED_DATE), rows(VALUE, CALL_DATE)
     return [
         quality.unique(DIM_AGENT[1], agents, "ameyo_user_id"),
         quality.not_null(DIM_AGENT[1], agents, "ameyo_user_id"),
@@ -201,15 +288,17 @@ def mart_checks(tables: Tables) -> list[quality.Check]:
 
 
 def drift_checks(
-    tables: Tables, max_blank_notes: float, providers: list[str]
+    tables: Tables, max_blank_notes: float | None = None, providers: list[str] | None = None
 ) -> list[quality.Check]:
-    """Optional checks that notice a change in the deliveries: blank notes, unknown providers."""
-    calls = staging.stg_calls(read_raw(tables, schemas.CALLS))
-    payments = staging.stg_payments(read_raw(tables, schemas.PAYMENTS))
-    return [
-        quality.blank_share_at_most("stg_calls", calls, "call_notes_raw", max_blank_notes),
-        quality.accepted_values("stg_payments", payments, "payment_request_provider", providers),
-    ]
+    """Checks that notice a change in the deliveries, for the limits given: blank notes, providers."""
+    checks = []
+    if max_blank_notes is not None:
+        calls = staging.stg_calls(read_raw(tables, schemas.CALLS))
+        checks.append(quality.blank_share_at_most("stg_calls", calls, "call_notes_raw", max_blank_notes))
+    if providers is not None:
+        payments = staging.stg_payments(read_raw(tables, schemas.PAYMENTS))
+        checks.append(quality.accepted_values("stg_payments", payments, "payment_request_provider", providers))
+    return checks
 
 
 def run_daily(
@@ -221,22 +310,30 @@ def run_daily(
     fx_payload: str | None = None,
     fx_rule: FxRule = "latest",
     split_rows: int = SPLIT_ROWS,
+    max_blank_notes: float | None = None,
+    providers: list[str] | None = None,
 ) -> DailyReport:
     """Land what is new, load the day's rates, rebuild and check. ``as_of`` is naive UTC.
 
-    Steps follow each other; a failing check raises after its tables have been written.
+    Steps follow each other; a failing check raises after its tables have been written. The drift
+    checks run if their limits are given.
     """
     tables = Tables(spark, out_dir)
+    first = full_refresh or manifest.known_files(tables) is None
     report = DailyReport(land(spark, tables, raw_dir, full_refresh))
     if fx_payload:
         report.rows[schemas.FX_RATES] = fx.load_payload(tables, fx_payload, as_of)
-    quality.run_checks(source_checks(tables))
-    report.rows |= build(spark, tables, report.landed, as_of, full_refresh, fx_rule, split_rows)
-    quality.run_checks(mart_checks(tables))
+    quality.run_checks(source_checks(tables, None if first else report.landed))
+    written: dict[str, Scope] = {}
+    report.rows |= build(
+        spark, tables, report.landed, as_of, full_refresh, fx_rule, split_rows, written
+    )
+    drift = drift_checks(tables, max_blank_notes, providers)
+    quality.run_checks(mart_checks(tables, written) + drift)
     manifest.remember(tables, tables.read(*manifest.SEEN))
     return report
 
 
-def serving(tables: Tables) -> dict[str, DataFrame]:
-    """The marts as ``marts.<name>`` for ``SELECT *``."""
-    return {name: tables.register(schema, name) for schema, name in MARTS}
+def serving(tables: Tables, database: str | None = None) -> dict[str, DataFrame]:
+    """The marts as ``marts.<name>``, or in another database, for ``SELECT *``."""
+    return {name: tables.register(schema, name, database) for schema, name in MARTS}

@@ -24,6 +24,8 @@ class Entity:
     name: str
     columns: tuple[str, ...]
     event_time: str | None = None
+    #: Values may hold line ends. Such a file is read by one task; parts of an extract are parallel.
+    multi_line: bool = False
 
     @property
     def file_name(self) -> str:
@@ -47,6 +49,7 @@ ENTITIES: dict[str, Entity] = {
                 "udh_notes",
             ),
             "ch_date_added",
+            multi_line=True,
         ),
         Entity(
             DISPOSITIONS,

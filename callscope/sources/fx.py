@@ -35,12 +35,12 @@ def parse_payloads(payloads: DataFrame) -> DataFrame:
     problem = (
         F.when(
             F.col("p.result").isNull() | (F.col("p.result") != "success"),
-            F.lit("error payload"),
+            F.lit("the provider did not answer with success"),
         )
-        .when(F.col("p.conversion_rates").isNull(), F.lit("no conversion rates"))
+        .when(F.col("p.conversion_rates").isNull(), F.lit("the answer holds no rates"))
         .when(
             F.size(missing) > 0,
-            F.concat(F.lit("missing currencies: "), F.array_join(missing, ", ")),
+            F.concat(F.lit("no rate for "), F.array_join(missing, ", ")),
         )
         .when(not_positive, F.lit("rate not above zero"))
     )

@@ -16,22 +16,17 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date
 from functools import reduce
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from callscope.schemas import ENTITIES, Entity
-from callscope.sources import split_csv
 from callscope.sources.tables import Tables, list_files
 
 EXTRACT_DATE, EVENT_DATE = "extract_date", "event_date"
-# A larger file is read by many tasks.
-SPLIT_FILE_BYTES = 1024 * 1024 * 1024
-_RECORD = {"quote": '"', "escape": '"', "mode": "FAILFAST"}
 # Without pruning a malformed row fails whichever columns are used.
-_CSV = {**_RECORD, "header": True, "multiLine": True, "columnPruning": False}
+_CSV = {"quote": '"', "escape": '"', "mode": "FAILFAST", "header": True, "columnPruning": False}
 # A file whose header differs from the one planned for its folder fails instead of being misread.
 _STRICT = {**_CSV, "enforceSchema": False}
 
@@ -48,6 +43,7 @@ class Landed:
     files: int
     rows: int
     event_dates: frozenset[date] = field(default_factory=frozenset)
+    days: frozenset[str] = field(default_factory=frozenset)
 
 
 def _entity_path(entity: Entity) -> str:
@@ -61,6 +57,11 @@ def folder_of(path: str, entity: Entity) -> str | None:
     return match[1] if match else None
 
 
+def days_of(paths: Iterable[str], entity: Entity) -> set[str]:
+    """The dated folders of an entity's files."""
+    return {folder_of(p, entity) for p in paths} - {None}
+
+
 def extract_files(
     spark: SparkSession, raw_dir: str, entity: Entity, days: Iterable[str] | None = None
 ) -> dict[str, int]:
@@ -70,7 +71,7 @@ def extract_files(
     pattern = f"{base}/{below}/{entity.file_name}"
     files = list_files(spark, pattern) | list_files(spark, f"{pattern}/[!._]*")
     if not files:
-        raise MissingExtract(f"no files for {entity.name} matching {pattern}")
+        raise MissingExtract(f"{entity.name} was not delivered: nothing at {pattern}")
     return files
 
 
@@ -83,7 +84,7 @@ def _by_header(
         extracts[folder_of(path, entity)].append(path)
 
     def header(paths: list[str]) -> tuple[str, ...]:
-        return tuple(spark.read.options(**_CSV).csv(paths[0]).columns)
+        return tuple(spark.read.options(**_CSV, multiLine=entity.multi_line).csv(paths[0]).columns)
 
     by_header = defaultdict(list)
     with ThreadPoolExecutor(16) as pool:
@@ -94,46 +95,21 @@ def _by_header(
     return by_header
 
 
-def _scans(
-    spark: SparkSession, header: tuple[str, ...], files: dict[str, int], split_bytes: int
-) -> list[DataFrame]:
-    """Header columns as text plus ``_source_file``, as one scan per way of reading."""
-    large = [p for p, size in files.items() if size > split_bytes]
-    suspects = split_csv.needs_assembly(spark, large) if large else set()
-    spelled = {_plain(p) for p in suspects}
-    assembled = [p for p in large if _plain(p) in spelled]
-    by_line = [p for p in large if _plain(p) not in spelled]
-    whole = [p for p, size in files.items() if size <= split_bytes]
+def _scan(spark: SparkSession, entity: Entity, header: tuple[str, ...], paths: list[str]) -> DataFrame:
+    """Header columns as text plus ``_source_file``.
+
+    Files of an entity without line ends in its values are read in splits, whatever their size.
+    """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
+    options = {**_STRICT, "multiLine": entity.multi_line}
+    df = spark.read.schema(schema).options(**options).csv(paths)
+    return df.select("*", F.col("_metadata.file_path").alias("_source_file"))
 
-    def csv(paths: list[str], **options) -> DataFrame:
-        df = spark.read.schema(schema).options(**{**_STRICT, **options}).csv(paths)
-        return df.select("*", F.col("_metadata.file_path").alias("_source_file"))
 
-    scans = []
-    if whole:
-        scans.append(csv(whole))
-    if by_line:
-        scans.append(csv(by_line, multiLine=False))
-    if assembled:
-        scans.append(split_csv.read_records(spark, assembled, header, _RECORD))
-    return scans
-
-
-def _plain(path: str) -> str:
-    """A path in one spelling: file systems and file metadata differ in slashes and escapes."""
-    return re.sub(r"^(\w+):/+", r"\1:/", unquote(path))
-
-
-def read_extracts(
-    spark: SparkSession,
-    entity: Entity,
-    files: dict[str, int],
-    split_bytes: int = SPLIT_FILE_BYTES,
-) -> DataFrame:
+def read_extracts(spark: SparkSession, entity: Entity, files: dict[str, int]) -> DataFrame:
     """Declared columns of all files as text, with lineage, extract date and event date.
 
-    One scan per distinct header and way of reading. An empty field is null, quoted or not.
+    One scan per distinct header. An empty field is null, quoted or not.
     """
     scans = []
     for header, paths in _by_header(spark, entity, files).items():
@@ -143,10 +119,7 @@ def read_extracts(
             for c in entity.columns
             if c in present
         ]
-        scans += [
-            df.select(*columns, "_source_file")
-            for df in _scans(spark, header, {p: files[p] for p in paths}, split_bytes)
-        ]
+        scans.append(_scan(spark, entity, header, paths).select(*columns, "_source_file"))
     raw = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
     text = T.StringType()
     raw = raw.withColumns(
@@ -188,27 +161,35 @@ def land_all(spark: SparkSession, tables: Tables, raw_dir: str) -> list[Landed]:
             [EXTRACT_DATE, EVENT_DATE],
         )
         dates = _event_dates(tables, entity, None)
-        report.append(Landed(entity.name, len(files), rows, frozenset(dates)))
+        days = frozenset(days_of(files, entity))
+        report.append(Landed(entity.name, len(files), rows, frozenset(dates), days))
     return report
 
 
 def land_files(
     spark: SparkSession, tables: Tables, raw_dir: str, paths: Iterable[str]
 ) -> list[Landed]:
-    """Land the extracts that new or changed files belong to.
+    """Land the extracts that new, changed or removed files belong to.
 
-    An extract replaces the rows landed for it before, so a replay does not add rows twice.
+    An extract replaces the rows landed for it before, so a replay does not add rows twice. One of
+    which no file is left has no rows.
     """
     paths = list(paths)
     report = []
     for entity in ENTITIES.values():
-        days = {folder_of(p, entity) for p in paths} - {None}
+        days = days_of(paths, entity)
         if not days:
             continue
-        files = extract_files(spark, raw_dir, entity, days)
+        try:
+            files = extract_files(spark, raw_dir, entity, days)
+            arrived = read_extracts(spark, entity, files)
+        except MissingExtract:
+            if not tables.exists("raw", entity.name):
+                raise
+            files, arrived = {}, spark.createDataFrame([], tables.schema("raw", entity.name))
         before = _event_dates(tables, entity, days)
         rows = tables.replace_partitions(
-            read_extracts(spark, entity, files),
+            arrived,
             "raw",
             entity.name,
             [EXTRACT_DATE, EVENT_DATE],
@@ -216,7 +197,8 @@ def land_files(
             first=days,
         )
         after = _event_dates(tables, entity, days)
-        report.append(Landed(entity.name, len(files), rows, frozenset(before | after)))
+        touched = frozenset(before | after)
+        report.append(Landed(entity.name, len(files), rows, touched, frozenset(days)))
     return report
 
 

@@ -1,21 +1,20 @@
-"""Which files are new or changed, by content hash.
+"""Which files are new, changed or removed, by content hash.
 
-The manifest holds path, size, modification time and hash of every landed file. A file with the
+The manifest holds path, size, modification time and digest of every landed file. A file with the
 size and time it had is taken as unchanged without being read, so a daily run reads the new and
-rewritten files only. A rewritten file whose content is the same is not landed again.
+rewritten files only; ``verify`` reads them all. A rewritten file whose content is the same is not
+landed again.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from callscope.sources.tables import Tables
 
 MANIFEST = ("raw", "file_manifest")
 SEEN = ("raw", "files_seen")
-# Above this size a file is not held in one task's memory to hash it.
-WHOLE_FILE_BYTES = 128 * 1024 * 1024
 _STAT = ("path", "length", "modificationTime")
 
 
@@ -24,46 +23,62 @@ def _files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return spark.read.format("binaryFile").load(paths)
 
 
-def _hashed(spark: SparkSession, paths: str | list[str], whole_file_bytes: int) -> DataFrame:
-    """(path, length, modificationTime, md5) of files.
+def _hashed(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(path, length, modificationTime, digest) of files of any size, read in splits.
 
-    A large file is read in splits: md5 over its line count and two sums of line hashes.
+    A file is its lines between line feeds. The digest sums a hash of every line and its number in
+    the file, so it depends on order and on every byte, carriage returns included, but not on where
+    Spark splits the file. Lines are numbered within a split and by the lines of earlier splits.
     """
-    files = _files(spark, paths)
-    small = F.col("length") <= whole_file_bytes
-    whole = files.filter(small).select(*_STAT, F.md5("content").alias("md5"))
-    large = files.filter(~small).select(*_STAT)
-    large_paths = [r["path"] for r in large.select("path").collect()]
-    if not large_paths:
-        return whole
-    lines = spark.read.text(large_paths).select(F.col("_metadata.file_path").alias("path"), "value")
+    place = F.monotonically_increasing_id()
+    lines = spark.read.option("lineSep", "\n").text(paths).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.spark_partition_id().alias("task"),
+        place.alias("place"),
+        "value",
+    )
+    splits = lines.groupBy("file", "start", "task").agg(F.count("*").alias("n"), F.min("place").alias("first"))
+    earlier = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per split of a file
+    splits = splits.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    number = F.col("place") - F.col("first") + F.col("before")
     digest = F.md5(
         F.concat_ws(
             "-",
             F.count("*").cast("string"),
-            F.sum(F.xxhash64("value").cast("decimal(20,0)")).cast("string"),
-            F.bit_xor(F.xxhash64(F.lit("x"), "value")).cast("string"),
+            F.sum(F.xxhash64(number, "value").cast("decimal(20,0)")).cast("string"),
+            F.bit_xor(F.xxhash64("value", number)).cast("string"),
         )
     )
-    digests = lines.groupBy("path").agg(digest.alias("md5"))
-    return whole.unionByName(large.join(digests, "path", "left"))
+    digests = (
+        lines.join(splits.drop("n"), ["file", "start", "task"])
+        .groupBy("file")
+        .agg(digest.alias("digest"))
+    )
+    # Spark lists no files without a byte; one that was emptied counts as removed.
+    listed = _files(spark, paths).select(*_STAT)
+    same = _spelling("path") == _spelling("file")
+    return listed.join(digests, same).select(*_STAT, F.col("digest").alias("md5"))
+
+
+def _spelling(path: str):
+    """File listings and file metadata differ in slashes and escapes."""
+    return F.regexp_replace(F.url_decode(F.replace(F.col(path), F.lit("+"), F.lit("%2B"))), r"^(\w+):/+", "$1:/")
 
 
 def file_hashes(
-    spark: SparkSession,
-    raw_dir: str,
-    known: DataFrame | None = None,
-    whole_file_bytes: int = WHOLE_FILE_BYTES,
+    spark: SparkSession, raw_dir: str, known: DataFrame | None = None, verify: bool = False
 ) -> DataFrame:
     """The manifest of all files present, taking over what is known of files not written since."""
     everything = f"{raw_dir.rstrip('/')}/*/*.csv"
-    if known is None:
-        return _hashed(spark, everything, whole_file_bytes)
+    if known is None or verify:
+        return _hashed(spark, everything)
     present = _files(spark, everything).select(*_STAT)
     # Paths of the files written since the last run.
     written = [r["path"] for r in present.join(known, list(_STAT), "left_anti").collect()]
     kept = known.join(present, list(_STAT), "left_semi").select(*_STAT, "md5")
-    return kept.unionByName(_hashed(spark, written, whole_file_bytes)) if written else kept
+    return kept.unionByName(_hashed(spark, written)) if written else kept
 
 
 def changed_files(hashes: DataFrame, known: DataFrame | None) -> DataFrame:
@@ -71,6 +86,11 @@ def changed_files(hashes: DataFrame, known: DataFrame | None) -> DataFrame:
     return hashes if known is None else hashes.join(known, ["path", "md5"], "left_anti")
 
 
+def removed_files(hashes: DataFrame, known: DataFrame | None) -> DataFrame:
+    """Files of the manifest that are no longer there."""
+    return hashes.limit(0) if known is None else known.join(hashes, "path", "left_anti")
+
+
 def known_files(tables: Tables) -> DataFrame | None:
     return tables.read(*MANIFEST) if tables.exists(*MANIFEST) else None
 

@@ -92,19 +92,27 @@ class Tables:
                 _delete(self.spark, folder)
         return rows
 
-    def register(self, schema: str, table: str) -> DataFrame:
-        """Make the table known as ``schema.table`` and return it."""
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}`")
-        self.spark.sql(f"DROP TABLE IF EXISTS `{schema}`.`{table}`")
-        self.spark.catalog.createTable(
-            f"{schema}.{table}",
-            path=self.path(schema, table),
-            source="parquet",
-            **({} if self.partitions(schema, table) else {"schema": self.schema(schema, table)}),
-        )
-        if self.partitions(schema, table):
-            self.spark.catalog.recoverPartitions(f"{schema}.{table}")
-        return self.spark.table(f"{schema}.{table}")
+    def register(self, schema: str, table: str, database: str | None = None) -> DataFrame:
+        """Make the table known as ``database.table``, by default ``schema.table``, and return it.
+
+        A table of that name with its data elsewhere is not ours and is left alone: an error.
+        """
+        database = database or schema
+        name, path = f"`{database}`.`{table}`", self.path(schema, table)
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{self.root}/{schema}'")
+        partitioned = bool(self.partitions(schema, table))
+        if self.spark.catalog.tableExists(f"{database}.{table}"):
+            described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
+            location = described.filter("col_name = 'Location'").first()["data_type"]
+            if _qualified(self.spark, location) != _qualified(self.spark, path):
+                raise ValueError(f"{database}.{table} already exists at {location}")
+        else:
+            known = {} if partitioned else {"schema": self.schema(schema, table)}
+            self.spark.catalog.createTable(f"{database}.{table}", path=path, source="parquet", **known)
+        if partitioned:
+            self.spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+        self.spark.catalog.refreshTable(f"{database}.{table}")
+        return self.spark.table(f"{database}.{table}")
 
 
 def _write(
@@ -141,6 +149,11 @@ def file_system(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
+def _qualified(spark: SparkSession, path: str) -> str:
+    fs, at = file_system(spark, path)
+    return fs.makeQualified(at).toString()
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     fs, at = file_system(spark, path)
     out = fs.create(at, True)

@@ -48,6 +48,7 @@ def ingest_stream(
     def land(batch: DataFrame, _: int) -> None:
         # At most ``max_files`` paths.
         paths = [r["path"] for r in batch.collect()]
+        daily.keep_ids(tables, paths)
         landed = land_files(spark, tables, raw_dir, paths)
         if on_landed:
             on_landed(tables, landed)

@@ -3,15 +3,9 @@
 import csv
 import os
 
-COLUMNS = {
-    "ameyo_outbound_calls": "ch_call_id ch_date_added ch_contact_center_id ch_system_disposition "
-    "ch_call_type total_talk_time udh_user_id campaign_name udh_notes",
-    "atlas_calls_dispositions": "call_log_id tenant_id customer_id contract_id "
-    "created_timestamp_utc createdby call_type level_one level_two level_three",
-    "atlas_payments": "pay_timestamp_utc tenant_id contract_id payment_request_provider "
-    "create_program amount",
-    "atlas_ameyo_mapping": "contact_centre ameyo_user_id team atlas_user_name",
-}
+from callscope.schemas import ENTITIES
+
+COLUMNS = {name: " ".join(entity.columns) for name, entity in ENTITIES.items()}
 FX = '{"result": "success", "conversion_rates": {"KES": 100.0, "UGX": 1, "TZS": 1, "NGN": 1, "USD": 1}}'
 
 

@@ -1,3 +1,4 @@
+import os
 import random
 from datetime import date, datetime, timedelta
 
@@ -219,7 +220,7 @@ def test_random_arrivals_and_corrections_equal_a_full_build(world, seed):
         payments.setdefault(arrival(at), []).append(row)
     for n in range(40):
         at = moment()
-        calls.setdefault(at.date(), []).append(rf.call(n, str(at), rng.choice(["", "x", "zz\n7"])))
+        calls.setdefault(at.date(), []).append(rf.call(n, str(at), rng.choice(["", "x", "zz\n7", *map(str, range(0, 90, 3))])))
     for run in (date(2024, 1, 4), date(2024, 1, 8), date(2024, 1, 12)):
         due = [date(2024, 1, 1) + timedelta(n) for n in range(run.day)]
         for day in due:
@@ -236,6 +237,36 @@ def test_random_arrivals_and_corrections_equal_a_full_build(world, seed):
         world.assert_like_full_build(f"{run} 23:00")
 
 
+def test_calls_are_coded_again_when_what_they_name_changes(world):
+    call = [rf.call(1, "2024-01-05 10:00:00", "7"), rf.call(2, "2024-01-06 10:00:00", "8")]
+    first = [rf.disposition(8, 10, "2024-01-05 10:00:00")]
+    world.day("2024-01-05", calls=call, dispositions=first)
+    world.day("2024-01-20", calls=[rf.call(3, "2024-01-20 10:00:00", "")])
+    world.run("2024-01-20 23:00")
+    # Long after the lookback: a disposition arrives, another is corrected away, an agent is renamed.
+    world.day("2024-01-05", calls=call)
+    world.day(
+        "2024-01-21",
+        dispositions=[rf.disposition(7, 10, "2024-01-04 10:00:00")],
+        mapping=[("Kenya", "u1", "T", "aaa")],
+    )
+    world.run("2024-01-21 23:00")
+    coded = {r["call_date"].day: (r["coded_calls"], r["atlas_user_name"]) for r in world.tables.read(*daily.CODING).collect()}
+    assert coded == {5: (1, "aaa"), 6: (0, "aaa"), 20: (0, "aaa")}
+    world.assert_like_full_build("2024-01-21 23:00")
+
+
+def test_removed_extracts_leave_no_rows(world):
+    world.day("2024-01-05", dispositions=[rf.disposition(1, 10, "2024-01-05 10:00:00")])
+    rf.write(world.raw, "2024-01-06", "atlas_calls_dispositions", [rf.disposition(2, 10, "2024-01-06 10:00:00")])
+    world.run("2024-01-06 23:00")
+    assert set(world.paid()) == {1, 2}
+    os.remove(rf.local(f"{world.raw}/2024-01-06/atlas_calls_dispositions.csv"))
+    world.run("2024-01-07 23:00")
+    assert set(world.paid()) == {1}
+    world.assert_like_full_build("2024-01-07 23:00")
+
+
 def test_drift_checks(world):
     world.day(
         "2024-01-05",
@@ -247,3 +278,5 @@ def test_drift_checks(world):
     assert run_checks(daily.drift_checks(world.tables, 0.5, ["MPESA"]))
     with pytest.raises(QualityError, match="blank_share.*accepted_values"):
         run_checks(daily.drift_checks(world.tables, 0.4, ["CARD"]))
+    with pytest.raises(QualityError, match="accepted_values"):
+        world.run("2024-01-05 23:00", providers=["CARD"])

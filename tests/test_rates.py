@@ -32,12 +32,12 @@ def test_keeps_the_four_currencies(spark, folder):
 @pytest.mark.parametrize(
     ("body", "message"),
     [
-        ('{"result": "error", "error-type": "quota"}', "error payload"),
-        ("not json", "error payload"),
-        ('{"result": "success"}', "no conversion rates"),
+        ('{"result": "error", "error-type": "quota"}', "did not answer with success"),
+        ("not json", "did not answer with success"),
+        ('{"result": "success"}', "holds no rates"),
         (
             '{"result": "success", "conversion_rates": {"KES": 1.0}}',
-            "missing currencies: UGX, TZS, NGN",
+            "no rate for UGX, TZS, NGN",
         ),
         (rf.FX.replace("100.0", "0.0"), "not above zero"),
     ],
