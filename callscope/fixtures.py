@@ -180,11 +180,11 @@ raw_mapping AS (
 """
 
 _RATES = [
-    (date(2024, 1, 30), "KES", 128.0),
-    (date(2024, 1, 31), "KES", 129.5),
-    (date(2024, 1, 31), "UGX", 3700.0),
-    (date(2024, 1, 31), "TZS", 2600.0),
-    (date(2024, 1, 31), "NGN", 1550.0),
+    (date(2024, 1, 30), "KES", 131.3),
+    (date(2024, 1, 31), "KES", 133.7),
+    (date(2024, 1, 31), "UGX", 3791.3),
+    (date(2024, 1, 31), "TZS", 2533.9),
+    (date(2024, 1, 31), "NGN", 811.7),
 ]
 
 
@@ -197,9 +197,9 @@ def fx_rates(spark: SparkSession) -> DataFrame:
 FX_RATES_SQL = """
 raw_fx AS (
   SELECT * FROM (VALUES
-    (DATE '2024-01-30', 'KES', 128.0::DOUBLE), (DATE '2024-01-31', 'KES', 129.5::DOUBLE),
-    (DATE '2024-01-31', 'UGX', 3700.0::DOUBLE), (DATE '2024-01-31', 'TZS', 2600.0::DOUBLE),
-    (DATE '2024-01-31', 'NGN', 1550.0::DOUBLE)) AS t(rate_date, currency, local_units_per_usd))
+    (DATE '2024-01-30', 'KES', 131.3::DOUBLE), (DATE '2024-01-31', 'KES', 133.7::DOUBLE),
+    (DATE '2024-01-31', 'UGX', 3791.3::DOUBLE), (DATE '2024-01-31', 'TZS', 2533.9::DOUBLE),
+    (DATE '2024-01-31', 'NGN', 811.7::DOUBLE)) AS t(rate_date, currency, local_units_per_usd))
 """
 
 
@@ -221,10 +221,10 @@ def fx_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _RATE_RULE = [
-    ("KES", 125, 10),
-    ("UGX", 3700, 50),
-    ("TZS", 2600, 40),
-    ("NGN", 1500, 100),
+    ("KES", 131, 10),
+    ("UGX", 3803, 50),
+    ("TZS", 2539, 40),
+    ("NGN", 907, 100),
     ("USD", 1, 1),
 ]
 
@@ -234,6 +234,6 @@ days AS (
   WHERE isodow(ts) < 6 GROUP BY 1),
 raw_fx AS (
   SELECT rate_date, c.currency, (c.base + n % c.step)::DOUBLE AS local_units_per_usd
-  FROM days, (VALUES ('KES', 125, 10), ('UGX', 3700, 50), ('TZS', 2600, 40), ('NGN', 1500, 100))
+  FROM days, (VALUES ('KES', 131, 10), ('UGX', 3803, 50), ('TZS', 2539, 40), ('NGN', 907, 100))
     AS c(currency, base, step))
 """

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,7 +29,7 @@ _EARLY = {
     schemas.PAYMENTS: "pay_timestamp_utc < timestamp_ntz '2024-01-16'",
     schemas.AGENT_MAPPING: "team < 'F'",
 }
-_LATE = {entity: f"not ({early})" for entity, early in _EARLY.items()}
+_LATE = {entity: f"coalesce(not ({early}), true)" for entity, early in _EARLY.items()}
 
 
 def _folder(spark: SparkSession, name: str) -> tuple[str, Tables]:
@@ -56,28 +57,18 @@ _LANDED_CALLS_SQL = with_ctes(
 )
 
 
-def _landed_calls(spark: SparkSession, sf_dir: str, split_bytes: int) -> DataFrame:
+@query("s1_landed_calls", _LANDED_CALLS_SQL)
+def landed_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two days of files, the second with other column order and one column more."""
     raw_dir, _ = _folder(spark, "landed-calls")
     _deliver_both(spark, sf_dir, raw_dir, schemas.CALLS)
     entity = schemas.ENTITIES[schemas.CALLS]
     files = landing.extract_files(spark, raw_dir, entity)
-    return landing.read_extracts(spark, entity, files, split_bytes).select(
+    return landing.read_extracts(spark, entity, files).select(
         *entity.columns, F.regexp_replace("_source_file", r"/part-[^/]*$", "").alias("_source_file")
     )
 
 
-@query("s1_landed_calls", _LANDED_CALLS_SQL)
-def landed_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two days of files, the second with other column order and one column more."""
-    return _landed_calls(spark, sf_dir, landing.SPLIT_FILE_BYTES)
-
-
-@query("s3_landed_calls_in_blocks", _LANDED_CALLS_SQL)
-def landed_calls_in_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same rows when every file counts as too large for one task."""
-    return _landed_calls(spark, sf_dir, 0)
-
-
 @query(
     "s9_s10_rows_loaded",
     """
@@ -140,6 +131,44 @@ def changed_files_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "s5_lineage_of_payments",
+    """
+    SELECT 'ingestion' AS loaded_by, count(*) AS rows_loaded, count(DISTINCT day) AS extracts FROM (
+      SELECT ts < TIMESTAMP '2024-01-16' AS day FROM events WHERE event_type = 'purchase')""",
+)
+def lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed payments carry one shape of lineage: the file and the time of loading."""
+    raw_dir, tables = _folder(spark, "lineage")
+    _deliver_both(spark, sf_dir, raw_dir, schemas.PAYMENTS)
+    entity = schemas.ENTITIES[schemas.PAYMENTS]
+    raw = landing.read_extracts(spark, entity, landing.extract_files(spark, raw_dir, entity))
+    loaded = staging.unify_lineage(raw).where(" AND ".join(f"{c} IS NOT NULL" for c in schemas.LINEAGE))
+    folder = F.regexp_extract("_source_file", r"raw/([^/]+)/", 1)
+    return loaded.agg(F.count("*").alias("rows_loaded"), F.count_distinct(folder).alias("extracts")).select(
+        F.lit("ingestion").alias("loaded_by"), "rows_loaded", "extracts"
+    )
+
+
+@query(
+    "s8_missing_extracts",
+    """
+    SELECT 'atlas_payments' AS table_name, count(*) > 0 AS refused FROM events WHERE event_type = 'purchase'""",
+)
+def missing_extracts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With one entity not delivered the load fails and names it; the payments are the one left out."""
+    raw_dir, tables = _folder(spark, "missing")
+    _deliver_both(spark, sf_dir, raw_dir, *(e for e in _EARLY if e != schemas.PAYMENTS))
+    try:
+        landing.land_all(spark, tables, raw_dir)
+        refused = ""
+    except landing.MissingExtract as error:
+        refused = str(error)
+    return spark.createDataFrame(
+        [(schemas.PAYMENTS, schemas.PAYMENTS in refused)], "table_name string, refused boolean"
+    )
+
+
 def fx_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx_source.rate_rows(
         fx.fx_payloads(spark, sf_dir),
@@ -249,5 +278,6 @@ def served_drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A mart written as partitioned Parquet and read back by its schema-qualified name."""
     _, tables = _folder(spark, "served")
     tables.overwrite(models.inbound_drivers(spark, sf_dir), *daily.DRIVERS, [daily.CALL_DATE])
-    tables.register(*daily.DRIVERS)
-    return spark.sql("SELECT * FROM marts.fct_inbound_call_drivers")
+    database = f"served_{uuid.uuid4().hex}"
+    tables.register(*daily.DRIVERS, database)
+    return spark.sql(f"SELECT * FROM {database}.fct_inbound_call_drivers")

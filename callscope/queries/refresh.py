@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from callscope import fixtures as fx
 from callscope import schemas
@@ -16,10 +19,15 @@ from callscope.sources.tables import Tables, write_text
 from callscope.streaming.ingest import refresh_stream
 
 _RUNS = (date(2024, 1, 12), date(2024, 1, 20), date(2024, 1, 31))
-_RATES = (("KES", 129.5), ("UGX", 3700.0), ("TZS", 2600.0), ("NGN", 1550.0), ("USD", 1.0))
+_RATES = (("USD", 1.0), ("NGN", 811.7), ("KES", 133.7), ("TZS", 2533.9), ("UGX", 3791.3))
 _runs: dict[tuple[str, str, str], Tables] = {}
 
 
+def forget_runs() -> None:
+    """Let the next query run the job again."""
+    _runs.clear()
+
+
 def _deliver(spark: SparkSession, sf_dir: str, raw_dir: str, after: date, upto: date) -> None:
     def arrived(at: str, key: str) -> str:
         # Rows arrive up to two days after the event.
@@ -115,6 +123,23 @@ def daily_drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _daily(spark, sf_dir).read(*daily.DRIVERS)
 
 
+@query("i_daily_coding_rate", with_ctes(*ctes.ALL_CODING, select="SELECT * FROM fct_coding"))
+def daily_coding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All calls arrive first; the dispositions that their notes name follow up to weeks later."""
+    return _daily(spark, sf_dir).read(*daily.CODING)
+
+
+@query("i6_rerun_paid_post_call", with_ctes(*ctes.ALL_PAID, select="SELECT * FROM fct_paid"))
+def rerun_paid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last run again, over files that it has seen."""
+    tables = _daily(spark, sf_dir)
+    base = tables.root.rsplit("/", 1)[0]
+    daily.run_daily(
+        spark, f"{base}/raw", tables.root, deliveries.midnight(_RUNS[-1]), fx_payload=f"{base}/latest.json"
+    )
+    return tables.read(*daily.PAID).drop(daily.DISPOSED_DATE)
+
+
 def _full_build(spark: SparkSession, sf_dir: str) -> Tables:
     """All files in one run."""
     key = ("full", spark.sparkContext.applicationId, sf_dir)
@@ -151,6 +176,32 @@ def full_dim_agent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _full_build(spark, sf_dir).read(*daily.DIM_AGENT)
 
 
+_SERVED = {
+    "dim_agent": (ctes.MAPPING, "stg_mapping"),
+    "fct_coding_rate": (ctes.ALL_CODING, "fct_coding"),
+    "fct_paid_post_call": (ctes.ALL_PAID, "fct_paid"),
+    "fct_value_recovered_usd": (ctes.ALL_VALUE, "fct_value"),
+    "fct_inbound_call_drivers": (ctes.ALL_DRIVERS, "fct_drivers"),
+}
+
+
+@query(
+    "s18_served_rows",
+    " UNION ALL ".join(
+        f"(WITH {', '.join(c.strip() for c in parts)} SELECT '{name}' AS table_name, count(*) AS n FROM {cte})"
+        for name, (parts, cte) in _SERVED.items()
+    ),
+)
+def served_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of all five marts under their schema-qualified names."""
+    tables = _full_build(spark, sf_dir)
+    counted = [
+        df.agg(F.lit(name).alias("table_name"), F.count("*").alias("n"))
+        for name, df in daily.serving(tables, f"served_{uuid.uuid4().hex}").items()
+    ]
+    return reduce(DataFrame.unionAll, counted)
+
+
 @query("t2_streamed_paid_post_call", with_ctes(*ctes.ALL_PAID, select="SELECT * FROM fct_paid"))
 def streamed_paid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _streamed(spark, sf_dir).read(*daily.PAID).drop(daily.DISPOSED_DATE)
