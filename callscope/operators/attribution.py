@@ -217,8 +217,8 @@ def attribute_payments(
     """Rows (disposition x attributed payment), and one row with null payment per unpaid one.
 
     Takes staging frames. Contracts with more than ``split_rows`` rows are found by a count of the
-    contract ids and have slots by time. Each input is read three times: the ids, the times of cut
-    contracts, and the rows.
+    contract ids and have slots by time. Without such contracts each input is read twice, for the
+    ids and for the rows; the times of cut contracts are read for them alone.
     """
     dispositions = assessable_dispositions(dispositions)
     payments = recoverable_payments(payments)
