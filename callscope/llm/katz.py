@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callscope.llm.requests import dealt, grouped, groups_for, packed, unique, unpacked
+from callscope.llm.requests import dealt, grouped, groups_for, packed, unique, unpack, unpacked
 from callscope.llm.words import SPACED_LOWER, mix, words_of
 from callscope.llm.work import Scratch
 
@@ -154,7 +154,7 @@ def _answers(table: pa.Table, owner: int, kind: str, a: np.ndarray, b: np.ndarra
 def _answer_counts(n: int):
     def answer(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         """Whole counts, and for each n-gram one group that has it in training, to count it in sums."""
-        keys, row = unpacked(table.column("keys"), np.uint64)
+        keys, row = unpacked(table.column("keys"), np.uint64, ascending=True)
         own, _ = unpacked(table.column("counts"), np.int64)
         different, _, number = unique(keys)
         totals = np.zeros(len(different), np.int64)
@@ -170,13 +170,21 @@ def _answer_counts(n: int):
 
 def _answer_sums(n: int):
     def answer(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        keys, row = unpacked(table.column("keys"), np.uint64)
-        different, _, number = unique(keys)
+        """Each history's a(h), and whether its discounts leave nothing, which makes g(h) less than 1."""
+        keys, row = unpacked(table.column("keys"), np.uint64, ascending=True)
+        times, _ = unpacked(table.column("times"), np.int64)
+        needed, _ = unpacked(table.column("needed"), np.uint8)
+        different, place, number = unique(keys)
         sums = []
         for name in ("seen", "lower"):
             own, _ = unpacked(table.column(name), np.float64)
-            sums.append(np.bincount(number, own, minlength=len(different))[number])
-        return _answers(table, key[0].as_py(), f"sum-{n}", *sums, row, None)
+            sums.append(np.bincount(number, own, minlength=len(different)))
+        total = sums[0] / times[place]
+        full = total > 1 - 1e-9
+        scale = np.where(full, times[place] / (times[place] + 1.0), 1.0)
+        back = ((1 - scale * total) / np.maximum(1 - sums[1], 1e-300))[number]
+        told = np.where(needed > 0, back, 1.0)
+        return _answers(table, key[0].as_py(), f"sum-{n}", told, full[number].astype(np.uint8), row, None)
 
     return answer
 
@@ -194,8 +202,8 @@ class Evaluation:
 
     def _answer(self, kind: str, n: int, type_a, type_b) -> tuple[np.ndarray, np.ndarray]:
         parts = self.answers.get(kind, [])
-        a = np.concatenate([np.empty(0, type_a), *(np.frombuffer(x, type_a) for x, _ in parts)])
-        b = np.concatenate([np.empty(0, type_b), *(np.frombuffer(x, type_b) for _, x in parts)])
+        a = np.concatenate([np.empty(0, type_a), *(unpack(x, type_a) for x, _ in parts)])
+        b = np.concatenate([np.empty(0, type_b), *(unpack(x, type_b) for _, x in parts)])
         if len(a) != n or len(b) != n:
             raise ValueError(f"{len(a)} answers to {n} questions of {kind}")
         return a, b
@@ -223,32 +231,51 @@ class Evaluation:
         total = order.tokens if rest > 0 else order.tokens + 1
         return np.where(seen > 0, seen, rest if rest > 0 else 1) / total
 
+    def kept(self, n: int) -> np.ndarray:
+        """Discounted counts, 0 below the cutoff."""
+        counts = self.counts(n)[0]
+        return np.where(counts >= self.orders[n - 1].cutoff, self.orders[n - 1].discounted(counts), 0.0)
+
     def seen(self, n: int) -> np.ndarray:
         """Discounted relative frequency after the history, 0 below the cutoff."""
-        counts = self.counts(n)[0]
-        kept = np.where(counts >= self.orders[n - 1].cutoff, self.orders[n - 1].discounted(counts), 0.0)
-        return kept / np.maximum(self.of_history(n), 1)
+        return self.kept(n) / np.maximum(self.of_history(n), 1)
 
     def probability(self, n: int) -> np.ndarray:
         """P(token | history of n - 1), by recursion over shorter histories."""
         if n == 1:
             return self.unigram()
         lower, seen = self.probability(n - 1), self.seen(n)
-        keys, _, number = unique(self.tokens.history(n))
-        total, covered = (x[number] for x in self._answer(f"sum-{n}", len(keys), np.float64, np.float64))
-        of_history = self.of_history(n)
-        full = total > 1 - 1e-9
-        scale = np.where(full, of_history / (of_history + 1.0), 1.0)
-        back = (1 - scale * total) / np.maximum(1 - covered, 1e-300)
+        at, keys, number = self._histories(n)
+        answered, full = self._answer(f"sum-{n}", len(keys), np.float64, np.uint8)
+        back, scale = np.ones(len(seen)), np.ones(len(seen))
+        back[at] = answered[number]
+        times = self.of_history(n)[at]
+        scale[at] = np.where(full[number] > 0, times / (times + 1.0), 1.0)
         return np.where(seen > 0, scale * seen, back * lower)
 
+    def _histories(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places whose history has a sum, the different histories, and the number of each place's.
+
+        A history that occurs less often than the cutoff has no n-gram that reaches it: its whole
+        probability is left to the back-off, and nothing has to be asked.
+        """
+        at = np.flatnonzero(self.of_history(n) >= self.orders[n - 1].cutoff)
+        keys, _, number = unique(self.tokens.history(n)[at])
+        return at, keys, number
+
     def sums(self, n: int, bucket: int) -> pa.Table:
-        """This group's part of each history's sums."""
+        """This group's part of each history's sums, and which back-off weights it needs."""
         place = self.counts(n)[1]
-        keys, _, number = unique(self.tokens.history(n))
-        seen, lower = self.seen(n)[place], self.probability(n - 1)[place]
-        parts = [np.bincount(number[place], x, minlength=len(keys)) for x in (seen, lower)]
-        return dealt(bucket, self.owners, keys, seen=parts[0], lower=parts[1])
+        at, keys, number = self._histories(n)
+        of_place = np.full(len(self.tokens.token), -1, np.int64)
+        of_place[at] = number
+        times = np.zeros(len(keys), np.int64)
+        times[number] = self.of_history(n)[at]
+        kept, lower = self.kept(n), self.probability(n - 1)
+        parts = [np.bincount(of_place[place], x[place], minlength=len(keys)) for x in (kept, lower)]
+        needed = np.zeros(len(keys), np.uint8)
+        needed[number[kept[at] == 0]] = 1
+        return dealt(bucket, self.owners, keys, seen=parts[0], lower=parts[1], times=times, needed=needed)
 
 
 class Katz:
@@ -294,7 +321,7 @@ class Katz:
 
     def _normalise(self, n: int) -> None:
         asked = self._evaluated(
-            lambda bucket, _, evaluation: evaluation.sums(n, bucket), "owner int, bucket int, keys binary, seen binary, lower binary"
+            lambda bucket, _, evaluation: evaluation.sums(n, bucket), "owner int, bucket int, keys binary, seen binary, lower binary, times binary, needed binary"
         )
         self._keep(asked.groupBy("owner").applyInArrow(_answer_sums(n), _ANSWER), f"sum-{n}")
 

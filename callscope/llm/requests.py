@@ -50,21 +50,41 @@ def dealt(bucket: int, owners: int, keys: np.ndarray, **columns: np.ndarray) ->
     table = {
         "owner": pa.array(present, pa.int32()),
         "bucket": pa.array(np.full(len(present), bucket), pa.int32()),
-        "keys": packed(keys, bounds),
+        "keys": packed(keys, bounds, ascending=True),
     }
     return pa.table(table | {n: packed(c, bounds) for n, c in columns.items()})
 
 
-def packed(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
-    """One binary per stretch of the array."""
-    values = np.ascontiguousarray(values)
-    offsets = pa.py_buffer((bounds * values.itemsize).astype(np.int64))
-    whole = pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, [None, offsets, pa.py_buffer(values)])
-    return whole.cast(pa.binary())
+def packed(values: np.ndarray, bounds: np.ndarray, ascending: bool = False) -> pa.Array:
+    """One compressed binary per stretch of the array; steps instead of values where they ascend."""
+    return pa.array([_pack(values[a:b], ascending) for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())
 
 
-def unpacked(column, kind) -> tuple[np.ndarray, np.ndarray]:
+def unpacked(column, kind, ascending: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """All values of a packed column, and which row each is from."""
-    parts = [np.frombuffer(x, kind) for x in column.to_pylist()]
+    parts = [unpack(x, kind, ascending) for x in column.to_pylist()]
     row = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
     return np.concatenate([np.empty(0, kind), *parts]), row
+
+
+_CODEC = pa.Codec("zstd", compression_level=1)
+
+
+def _pack(values: np.ndarray, ascending: bool) -> bytes:
+    """The number of values, then the first bytes of all values, the second bytes, and so on."""
+    n = len(values)
+    if n == 0:
+        return bytes(8)
+    if ascending:
+        values = np.diff(values, prepend=values.dtype.type(0))
+    planes = np.ascontiguousarray(np.ascontiguousarray(values).view(np.uint8).reshape(n, -1).T)
+    return n.to_bytes(8, "little") + _CODEC.compress(planes, asbytes=True)
+
+
+def unpack(raw: bytes, kind, ascending: bool = False) -> np.ndarray:
+    n, size = int.from_bytes(raw[:8], "little"), np.dtype(kind).itemsize
+    if n == 0:
+        return np.empty(0, kind)
+    planes = np.frombuffer(_CODEC.decompress(raw[8:], decompressed_size=n * size, asbytes=True), np.uint8)
+    values = np.ascontiguousarray(planes.reshape(size, n).T).view(kind).ravel()
+    return np.cumsum(values, dtype=kind) if ascending else values

@@ -76,19 +76,19 @@ def _ask_anchors(owners: int):
 
 def _shared_anchors(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     """To each group, those of its anchors that another group or several of its documents have."""
-    anchor, row = unpacked(table.column("keys"), np.uint64)
+    anchor, row = unpacked(table.column("keys"), np.uint64, ascending=True)
     several, _ = unpacked(table.column("several"), np.uint8)
     keys, _, number = unique(anchor)
     shared = np.bincount(number, minlength=len(keys)) > 1
     shared[number[several > 0]] = True
     wanted = shared[number]
     bounds = np.concatenate([[0], np.cumsum(np.bincount(row[wanted], minlength=table.num_rows))])
-    return pa.table({"bucket": table.column("bucket"), "anchors": packed(anchor[wanted], bounds)})
+    return pa.table({"bucket": table.column("bucket"), "anchors": packed(anchor[wanted], bounds, ascending=True)})
 
 
 def _ask_windows(owners: int):
     def ask(key: tuple[pa.Scalar, ...], docs: pa.Table, answers: pa.Table) -> pa.Table:
-        shared = np.unique(unpacked(answers.column("anchors"), np.uint64)[0])
+        shared = np.unique(unpacked(answers.column("anchors"), np.uint64, ascending=True)[0])
         ids, known = _doc_ids(docs)
         windows, of_doc = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
         for words in words_of(docs.column("text"), SPACED):
@@ -113,7 +113,7 @@ def _among(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
 
 def _first_documents(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     """To each group, the windows that some document with a larger id than the first has, and that first id."""
-    window, row = unpacked(table.column("keys"), np.uint64)
+    window, row = unpacked(table.column("keys"), np.uint64, ascending=True)
     least, _ = unpacked(table.column("least"), np.int64)
     several, _ = unpacked(table.column("several"), np.uint8)
     keys, _, number = unique(window)
@@ -123,7 +123,7 @@ def _first_documents(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     return pa.table(
         {
             "bucket": table.column("bucket"),
-            "windows": packed(window[wanted], bounds),
+            "windows": packed(window[wanted], bounds, ascending=True),
             "first": packed(first[wanted], bounds),
         }
     )
@@ -144,7 +144,7 @@ def _removed(words: Words, ids: np.ndarray, known: np.ndarray, windows: np.ndarr
 
 def _cut(with_text: bool):
     def cut(key: tuple[pa.Scalar, ...], docs: pa.Table, answers: pa.Table) -> pa.Table:
-        windows, _ = unpacked(answers.column("windows"), np.uint64)
+        windows, _ = unpacked(answers.column("windows"), np.uint64, ascending=True)
         first, _ = unpacked(answers.column("first"), np.int64)
         order = np.argsort(windows)
         windows, first = windows[order], first[order]
