@@ -2,7 +2,8 @@
 
 The first pass decides each block by stop-word density, length and link density, and by elements
 that never hold the article (menus, footers, forms, and what their class or id says). The second
-lets every undecided block, mostly short ones, take the label of its nearest decided neighbour.
+lets every undecided block, mostly short ones, take the label of its nearest decided neighbour. In
+a marked article every block is kept that is not mostly links.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from pyspark.sql import types as T
 SHORT, LONG = 70, 200
 STOP_LOW, STOP_HIGH = 0.15, 0.3
 LINK_SHARE = 0.33
+#: In a marked article only blocks that are mostly links are left out.
+MAIN_LINK_SHARE = 0.5
 #: A heading counts with the block after it over this many characters at most.
 HEADING_REACH = 200
 
@@ -162,14 +165,15 @@ def _stop_density(text: str) -> float:
 
 def _decide(block: Block) -> bool | None:
     """First pass: article, not article, or undecided."""
-    if block.zone == "never" or block.linked > LINK_SHARE * len(block.text):
+    marked = block.zone == "main"
+    if block.zone == "never" or block.linked > (MAIN_LINK_SHARE if marked else LINK_SHARE) * len(block.text):
         return False
     if len(block.text) < SHORT:
-        return False if block.linked else None
+        return False if block.linked and not marked else None
     stops = _stop_density(block.text)
     if stops >= STOP_HIGH and len(block.text) > LONG:
         return True
-    return None if stops >= STOP_LOW or block.zone == "main" else False
+    return None if stops >= STOP_LOW or marked else False
 
 
 def _inherit(labels: list[bool | None], default: bool) -> list[bool]:
@@ -196,8 +200,12 @@ def main_text(html: str | None) -> str:
     inside = [b for b in found if b.zone == "main"]
     # a page that marks its article has nothing else of it outside
     body = inside or found
-    kept = _inherit([_decide(b) for b in body], default=bool(inside))
-    if not inside:
+    labels = [_decide(b) for b in body]
+    if inside:
+        # the mark speaks for what is undecided, not a list of links beside it
+        kept = [label is not False for label in labels]
+    else:
+        kept = _inherit(labels, default=False)
         reach = 0
         for i in range(len(body) - 1, -1, -1):
             reach = 0 if kept[i] else reach + len(body[i].text)

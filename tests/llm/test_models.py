@@ -126,6 +126,16 @@ def test_articles_of_generated_pages(spark):
         assert main_text(r.html) == " ".join(filter(None, parts))
 
 
+def test_linked_blocks_in_an_article():
+    plain_block = "Zylo mentrak osbun quilp dravon tessik. " * 6  # long, without stop words
+    see = "<p>See <a href=m>the manual</a> for details.</p>"
+    links = "<ul><li><a href=a>One</a><li><a href=b>Another one</a></ul>"
+    told = "See the manual for details."
+    assert main_text(f"<article>{see}</article>") == told
+    assert main_text(f"<article><h1>Title</h1><p>{plain_block}</p>{see}<p>Short.</p></article>") == f"Title {plain_block}{told} Short."
+    assert main_text(f"<main><p>{GOOD}</p>{see}{links}<p>{plain_block}</p>{links}</main>") == f"{GOOD}{told} {plain_block}".strip()
+
+
 def test_neighbours():
     assert _inherit([None, True, None, None, False, None], False) == [True, True, True, False, False, False]
     assert _inherit([None, None], True) == [True, True]
