@@ -19,6 +19,8 @@ from pyspark.sql import types as T
 SHORT, LONG = 70, 200
 STOP_LOW, STOP_HIGH = 0.15, 0.3
 LINK_SHARE = 0.33
+#: Where no block reaches STOP_HIGH: this share of the page's median stop density.
+RELATIVE_LOW = 0.25
 #: In a marked article only blocks that are mostly links are left out.
 MAIN_LINK_SHARE = 0.5
 #: A heading counts with the block after it over this many characters at most.
@@ -44,6 +46,9 @@ _TAG = re.compile(
 )
 _NAMES = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
+_LATIN = re.compile(r"[A-Za-z\u00c0-\u024f]+")
+#: Characters that say about as much as three of an alphabet.
+_WIDE = re.compile(r"[\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af\uf900-\ufaff]")
 
 #: Elements whose content is not text of the page.
 _DROPPED = frozenset("script style noscript template iframe object svg math canvas head title select textarea button audio video".split())
@@ -158,8 +163,19 @@ def blocks(html: str) -> list[Block]:
     return out
 
 
-def _stop_density(text: str) -> float:
+def _length(text: str) -> int:
+    return len(text) if text.isascii() else len(text) + 2 * len(_WIDE.findall(text))
+
+
+def _is_wording(text: str) -> bool:
+    return 4 * sum(map(len, _WORD.findall(text))) >= len(text)
+
+
+def _stop_density(text: str) -> float | None:
+    """None for text that is not in Latin letters, of which the stop words know nothing."""
     words = _WORD.findall(text.lower())
+    if not text.isascii() and 2 * sum(map(len, _LATIN.findall(text))) < sum(map(len, words)):
+        return None
     return sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
 
 
@@ -168,12 +184,62 @@ def _decide(block: Block) -> bool | None:
     marked = block.zone == "main"
     if block.zone == "never" or block.linked > (MAIN_LINK_SHARE if marked else LINK_SHARE) * len(block.text):
         return False
-    if len(block.text) < SHORT:
+    length = _length(block.text)
+    if length < SHORT:
         return False if block.linked and not marked else None
     stops = _stop_density(block.text)
-    if stops >= STOP_HIGH and len(block.text) > LONG:
+    if (stops is None or stops >= STOP_HIGH) and length > LONG:
         return True
-    return None if stops >= STOP_LOW or marked else False
+    return None if stops is None or stops >= STOP_LOW or marked else False
+
+
+def _decide_unmarked(body: list[Block]) -> list[bool | None]:
+    """First pass over a page without a marked article.
+
+    Where no block reaches the stop density of an article, the long ones that are no list of links
+    are measured against each other. Under a median of ``STOP_LOW`` the page is in a language of
+    which the stop words know nothing, and length and links decide alone.
+    """
+    labels = [_decide(b) for b in body]
+    able = [b.zone != "never" and b.linked <= LINK_SHARE * len(b.text) and _length(b.text) >= SHORT and _is_wording(b.text) for b in body]
+    prose = [i for i, a in enumerate(able) if a]
+    if True not in labels and sum(_length(body[i].text) for i in prose) > LONG:
+        seeds = [i for i in prose if _length(body[i].text) > LONG] or prose
+        stops = {i: _stop_density(body[i].text) or 0.0 for i in prose}
+        median = sorted(stops[i] for i in seeds)[(len(seeds) - 1) // 2]
+        least = median * RELATIVE_LOW if median >= STOP_LOW else 0.0
+        for i in prose:
+            labels[i] = None
+        for i in seeds:
+            labels[i] = stops[i] >= least
+    else:
+        stops = {i: _stop_density(body[i].text) or 0.0 for i in prose}
+        median = sorted(stops.values())[(len(prose) - 1) // 2] if prose else 0.0
+        for i in prose:
+            if labels[i] is False and _length(body[i].text) > LONG and stops[i] >= median * RELATIVE_LOW:
+                labels[i] = None
+    # stop words alone reject nothing between two blocks of the article
+    sure = [label if label or not a else None for label, a in zip(labels, able, strict=True)]
+    for i, inside in enumerate(_enclosed(sure)):
+        labels[i] = None if able[i] and inside and not labels[i] else labels[i]
+    # a long undecided block goes by text beside it that is sure, not by elements that are set aside
+    sure = [label if label or not a else None for label, a in zip(labels, able, strict=True)]
+    outside = [i for i, b in enumerate(body) if b.zone != "never"]
+    for i, kept in zip(outside, _inherit([sure[i] for i in outside], default=False), strict=True):
+        labels[i] = kept if able[i] and labels[i] is None else labels[i]
+    return labels
+
+
+def _enclosed(labels: list[bool | None]) -> list[bool]:
+    """Whether the next decided blocks before and after are both of the article."""
+    sides = []
+    for step in (1, -1):
+        last, side = False, []
+        for label in labels[::step]:
+            side.append(last)
+            last = last if label is None else label
+        sides.append(side[::step])
+    return [a and b for a, b in zip(*sides, strict=True)]
 
 
 def _inherit(labels: list[bool | None], default: bool) -> list[bool]:
@@ -200,12 +266,11 @@ def main_text(html: str | None) -> str:
     inside = [b for b in found if b.zone == "main"]
     # a page that marks its article has nothing else of it outside
     body = inside or found
-    labels = [_decide(b) for b in body]
     if inside:
         # the mark speaks for what is undecided, not a list of links beside it
-        kept = [label is not False for label in labels]
+        kept = [_decide(b) is not False for b in body]
     else:
-        kept = _inherit(labels, default=False)
+        kept = _inherit(_decide_unmarked(body), default=False)
         reach = 0
         for i in range(len(body) - 1, -1, -1):
             reach = 0 if kept[i] else reach + len(body[i].text)

@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 
 from callscope.llm import katz, quality
-from callscope.llm.html_text import _inherit, extract, main_text
+from callscope.llm.html_text import _inherit, _stop_density, extract, main_text
 
 SF, LARGER = "/root/testdata/sf0.01", "/root/testdata/sf0.1"
 
@@ -136,6 +136,30 @@ def test_linked_blocks_in_an_article():
     assert main_text(f"<main><p>{GOOD}</p>{see}{links}<p>{plain_block}</p>{links}</main>") == f"{GOOD}{told} {plain_block}".strip()
 
 
+ITALIAN = "Ieri mattina molti cittadini hanno visto arrivare grandi navi nuove, cariche di merci pregiate, mentre i pescatori ritornavano verso casa dopo una lunga notte passata lontano dalla costa sotto tante stelle luminose."
+RUSSIAN = "Вчера утром жители города увидели, как в гавань вошли большие новые корабли, а рыбаки возвращались домой после долгой ночи вдали от берега. Они рассказывали детям о звёздах, о ветре и о далёких странах, где никогда не бывает зимы."
+CHINESE = "昨天早上，许多市民看到满载货物的新船驶入港口，渔民们在远离海岸的地方度过漫长的夜晚之后正在回家的路上。他们给孩子们讲述星星、风和遥远国度的故事，那里从来没有冬天，人们整年都在海边唱歌跳舞。"
+
+
+def test_articles_in_div_markup_and_other_languages():
+    menu = "<div><a href=a>Uno</a> <a href=b>Due</a></div>"
+    for told in (ITALIAN, RUSSIAN, CHINESE):
+        page = f"<body>{menu}<div><h1>Titolo</h1><p>{told}</p><p>{told[: len(told) // 2]}</p><p>{told}</p></div>{menu}<footer>{told}</footer>"
+        assert main_text(page) == f"Titolo {told} {told[: len(told) // 2].strip()} {told}"
+    notice = f"<div>{GOOD}</div>"
+    assert RUSSIAN in main_text(f"<div><p>{RUSSIAN}</p></div>{menu}{notice}")
+    rare = "The ship of the harbour sailed to distant islands carrying heavy barrels, woollen blankets, copper kettles, wooden chairs, iron nails, dried fish, candles, salted butter, linen shirts, leather boots and tin plates. "
+    keywords = "tickets hotels flights cruises trains buses ferries cars bikes scooters boats planes tours guides maps " * 3
+    assert main_text(f"<div><p>{rare}</p><p>{rare}</p><p>{keywords}</p></div>") == (rare * 2).strip()
+    assert main_text(f"{menu}<div>Hello there</div><div>Contact us today</div>") == ""
+
+
+def test_long_blocks_beside_a_menu():
+    some = "Most ships of the harbour sailed to distant islands carrying heavy barrels, woollen blankets, copper kettles, wooden chairs and iron nails with dried fish, candles, salted butter, linen shirts and leather boots in it. "
+    assert 0.15 < _stop_density(some) < 0.3
+    assert main_text(f"<nav>Menu</nav><p>{some}</p><p>{some}</p><p>{GOOD}</p>") == f"{some}{some}{GOOD}".strip()
+
+
 def test_neighbours():
     assert _inherit([None, True, None, None, False, None], False) == [True, True, True, False, False, False]
     assert _inherit([None, None], True) == [True, True]
