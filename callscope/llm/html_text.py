@@ -60,7 +60,7 @@ _INLINE = frozenset(
 )
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _SELF_CLOSING = frozenset("p li dt dd tr td th option".split())
-_NEVER = frozenset("nav aside footer form menu dialog".split())
+_NEVER = frozenset("nav aside footer menu dialog".split())
 _MAIN = frozenset(("article", "main"))
 #: Words in a class, id or role of what surrounds an article.
 _SURROUNDING = frozenset(
@@ -73,24 +73,61 @@ _SURROUNDING = frozenset(
 )
 
 
+#: Those that hold articles of their own: remarks and teasers.
+_BESIDE = frozenset("comment comments disqus respond replies reply sidebar aside".split())
+#: In a class or id, what comes after one of these is a property of the layout.
+_MODIFIERS = frozenset("has no with without".split())
+
+
 @dataclass
 class Block:
     text: str
     linked: int
     heading: bool
+    #: What _zone says; its first word is the kind.
     zone: str
 
+    @property
+    def aside(self) -> bool:
+        return self.zone.split()[0] in ("never", "named", "beside")
 
-def _zone(name: str, attributes: str, outer: str) -> str:
-    """Whether what an element holds may be article text."""
-    if outer == "never" or name in _NEVER or (name == "header" and outer != "main"):
-        return "never"
+    @property
+    def marked(self) -> bool:
+        return self.zone.split()[0] in ("main", "wrapped")
+
+
+def _names(attributes: str) -> set[str]:
+    """The words of class, id and role, without those after a modifier."""
     named = set()
     for m in _NAMES.finditer(attributes):
-        named.update(re.split(r"[\s_-]+", (m[1] or m[2] or m[3] or "").lower()))
-    if name != "body" and named & _SURROUNDING:
+        for token in (m[1] or m[2] or m[3] or "").lower().split():
+            for word in re.split(r"[_-]+", token):
+                if word in _MODIFIERS:
+                    break
+                named.add(word)
+    return named
+
+
+def _zone(name: str, attributes: str, outer: str, at: int) -> str:
+    """Whether what an element at this place may hold is article text: a kind, and the wrapped articles around.
+
+    "never" is for all inside. In "named" and "beside" an article is "wrapped" and one of its own; in
+    "beside", remarks and sidebars, only <main> is, as none of them holds that.
+    """
+    kind, _, path = outer.partition(" ")
+    inner = kind in ("main", "wrapped")
+    if kind == "never" or name in _NEVER or (name == "header" and not inner):
         return "never"
-    return "main" if name in _MAIN or outer == "main" or "main" in named and name == "div" else outer
+    if name in ("html", "body"):
+        return outer
+    named = _names(attributes)
+    if kind == "beside" or named & _BESIDE:
+        return f"wrapped {path}/{at}" if name == "main" else f"beside {path}"
+    surrounding = name == "form" or bool(named & _SURROUNDING)
+    article = name in _MAIN or name == "div" and "main" in named and not surrounding
+    if kind == "named" or surrounding:
+        return f"wrapped {path}/{at}" if article else f"named {path}"
+    return "main" if article and not inner else outer
 
 
 def blocks(html: str) -> list[Block]:
@@ -158,7 +195,7 @@ def blocks(html: str) -> list[Block]:
                     open_.pop()
                 elif open_[-1][0] == "p":
                     open_.pop()
-                open_.append((name, _zone(name, attributes, open_[-1][1])))
+                open_.append((name, _zone(name, attributes, open_[-1][1], at)))
     flush()
     return out
 
@@ -181,8 +218,8 @@ def _stop_density(text: str) -> float | None:
 
 def _decide(block: Block) -> bool | None:
     """First pass: article, not article, or undecided."""
-    marked = block.zone == "main"
-    if block.zone == "never" or block.linked > (MAIN_LINK_SHARE if marked else LINK_SHARE) * len(block.text):
+    marked = block.marked
+    if block.aside or block.linked > (MAIN_LINK_SHARE if marked else LINK_SHARE) * len(block.text):
         return False
     length = _length(block.text)
     if length < SHORT:
@@ -201,7 +238,7 @@ def _decide_unmarked(body: list[Block]) -> list[bool | None]:
     which the stop words know nothing, and length and links decide alone.
     """
     labels = [_decide(b) for b in body]
-    able = [b.zone != "never" and b.linked <= LINK_SHARE * len(b.text) and _length(b.text) >= SHORT and _is_wording(b.text) for b in body]
+    able = [not b.aside and b.linked <= LINK_SHARE * len(b.text) and _length(b.text) >= SHORT and _is_wording(b.text) for b in body]
     prose = [i for i, a in enumerate(able) if a]
     if True not in labels and sum(_length(body[i].text) for i in prose) > LONG:
         seeds = [i for i in prose if _length(body[i].text) > LONG] or prose
@@ -224,7 +261,7 @@ def _decide_unmarked(body: list[Block]) -> list[bool | None]:
         labels[i] = None if able[i] and inside and not labels[i] else labels[i]
     # a long undecided block goes by text beside it that is sure, not by elements that are set aside
     sure = [label if label or not a else None for label, a in zip(labels, able, strict=True)]
-    outside = [i for i, b in enumerate(body) if b.zone != "never"]
+    outside = [i for i, b in enumerate(body) if not b.aside]
     for i, kept in zip(outside, _inherit([sure[i] for i in outside], default=False), strict=True):
         labels[i] = kept if able[i] and labels[i] is None else labels[i]
     return labels
@@ -260,10 +297,25 @@ def _inherit(labels: list[bool | None], default: bool) -> list[bool]:
     return out
 
 
+def _article(found: list[Block]) -> list[Block]:
+    """The blocks of marked articles; of wrapped ones, mostly teasers, those longer than every article around them and all that is not wrapped."""
+    sizes: dict[str, int] = {}
+    for b in found:
+        if b.marked:
+            sizes[b.zone] = sizes.get(b.zone, 0) + len(b.text)
+    kept = set()
+    for zone, size in sizes.items():
+        steps = zone.split("/")
+        around = ["main", *("/".join(steps[:k]) for k in range(2, len(steps)))]
+        if zone == "main" or all(size > sizes.get(z, 0) for z in around):
+            kept.add(zone)
+    return [b for b in found if b.zone in kept]
+
+
 def main_text(html: str | None) -> str:
     """The article's blocks joined by single spaces; empty if there is none."""
     found = blocks(html) if html else []
-    inside = [b for b in found if b.zone == "main"]
+    inside = _article(found)
     # a page that marks its article has nothing else of it outside
     body = inside or found
     if inside:
@@ -275,7 +327,7 @@ def main_text(html: str | None) -> str:
         for i in range(len(body) - 1, -1, -1):
             reach = 0 if kept[i] else reach + len(body[i].text)
             follows = any(kept[i + 1 :]) if reach <= HEADING_REACH and body[i].heading else False
-            kept[i] = kept[i] or (follows and body[i].zone != "never" and not body[i].linked)
+            kept[i] = kept[i] or (follows and not body[i].aside and not body[i].linked)
     return " ".join(b.text for b, keep in zip(body, kept, strict=True) if keep)
 
 

@@ -136,6 +136,24 @@ def test_linked_blocks_in_an_article():
     assert main_text(f"<main><p>{GOOD}</p>{see}{links}<p>{plain_block}</p>{links}</main>") == f"{GOOD}{told} {plain_block}".strip()
 
 
+def test_wrappers_around_an_article():
+    told = GOOD.strip()
+    for name in ("layout has-sidebar", "no-comments", "page with-banner", "related-content", "search-result", "main social"):
+        assert main_text(f"<div class='{name}'><div>Menu</div><article><p>{GOOD}</p></article></div>") == told, name
+    assert main_text(f"<html class=cookie><form id=search><main><p>{GOOD}</p></main></form>") == told
+    assert main_text(f"<div class='content-sidebar-wrap'><main><p>{GOOD}</p></main></div>") == told
+    assert main_text(f"<article class='post sponsored'><p>{GOOD}</p></article>") == told
+    teaser = "<article><p>A teaser of another text.</p></article>"
+    for name in ("related", "sidebar", "comments"):
+        assert main_text(f"<article><p>{GOOD}</p></article><div class={name}>{teaser}{teaser}</div>") == told
+        assert main_text(f"<div class=widget><main><p>{GOOD}</p><div class={name}>{teaser}</div></main></div>") == told
+    assert main_text(f"<main><h1>Head</h1><div class=social><article><p>{GOOD}</p></article></div></main>") == f"Head {told}"
+    for name in ("comments", "sidebar"):
+        assert main_text(f"<div class={name}><article><p>{GOOD}</p></article></div>") == ""
+    assert main_text(f"<div class=banner><p>{GOOD}</p></div>") == ""
+    assert main_text(f"<aside><article><p>{GOOD}</p></article></aside><nav><main>{GOOD}</main></nav>") == ""
+
+
 ITALIAN = "Ieri mattina molti cittadini hanno visto arrivare grandi navi nuove, cariche di merci pregiate, mentre i pescatori ritornavano verso casa dopo una lunga notte passata lontano dalla costa sotto tante stelle luminose."
 RUSSIAN = "Вчера утром жители города увидели, как в гавань вошли большие новые корабли, а рыбаки возвращались домой после долгой ночи вдали от берега. Они рассказывали детям о звёздах, о ветре и о далёких странах, где никогда не бывает зимы."
 CHINESE = "昨天早上，许多市民看到满载货物的新船驶入港口，渔民们在远离海岸的地方度过漫长的夜晚之后正在回家的路上。他们给孩子们讲述星星、风和遥远国度的故事，那里从来没有冬天，人们整年都在海边唱歌跳舞。"
