@@ -54,11 +54,22 @@ _WIDE = re.compile(r"[\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af\uf900-\ufaff]")
 _DROPPED = frozenset("script style noscript template iframe object svg math canvas head title select textarea button audio video".split())
 #: Elements whose content is not markup either.
 _RAW = frozenset("script style textarea title iframe noscript".split())
+#: Elements of _DROPPED whose end the markup inside them decides.
+_PARSED = _DROPPED - _RAW - {"head"}
+#: Those of which the next one of the same name ends the one before.
+_UNNESTED = frozenset(("button", "select"))
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var".split()
 )
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Blocks that end an element of _DROPPED without a closing tag.
+_BLOCKS = _HEADINGS | frozenset(
+    """
+    address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form
+    header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul
+    """.split()
+)
 _SELF_CLOSING = frozenset("p li dt dd tr td th option".split())
 _NEVER = frozenset("nav aside footer menu dialog".split())
 _MAIN = frozenset(("article", "main"))
@@ -130,6 +141,88 @@ def _zone(name: str, attributes: str, outer: str, at: int) -> str:
     return "main" if article and not inner else outer
 
 
+@dataclass
+class _Tag:
+    start: int
+    end: int
+    name: str
+    closing: bool
+    attributes: str
+
+
+def _tags(html: str) -> list[_Tag]:
+    """The tags and comments of a page in order; raw elements and the head are one with what they hold."""
+    out, at, end = [], 0, len(html)
+    while (m := _TAG.search(html, at)) is not None:
+        at = m.end()
+        name, closing = (m[2] or m[5] or "").lower(), bool(m[1] or m[4])
+        if name in _RAW or name == "head":
+            stop = None if closing else re.compile(rf"</{name}\b[^>]*>", re.I).search(html, at)
+            if stop is not None:
+                at = stop.end()
+            elif name == "head" and not closing:
+                body = re.compile(r"<body\b", re.I).search(html, at)
+                at = body.start() if body else at
+            elif not closing:
+                at = end
+        out.append(_Tag(m.start(), at, name, closing, (m[3] if m[2] else m[6]) or ""))
+    return out
+
+
+def _ends(tags: list[_Tag], end: int) -> dict[int, int]:
+    """By the place of its tag, the end of each dropped element that may hold markup.
+
+    One without a closing tag ends with the block around it or where the next block begins.
+    """
+    ends: dict[int, int] = {}
+    #: Elements without a closing tag so far, how many there are of a name, and dropped ones that wait for a block.
+    open_: list[_Tag] = []
+    depth: dict[str, int] = {}
+    begun: list[_Tag] = []
+    blocks_after: dict[int, int] = {}
+
+    def leave(tag: _Tag, at: int) -> None:
+        depth[tag.name] -= 1
+        if tag.name in _PARSED:
+            ends[tag.start] = min(blocks_after.get(tag.start, at), at)
+
+    for tag in tags:
+        name = tag.name
+        if not name or name in _RAW or name == "head" or name in _INLINE or name in _VOID and name != "hr":
+            continue
+        if name in _BLOCKS:
+            blocks_after.update((t.start, tag.start) for t in begun)
+            begun.clear()
+        if tag.closing:
+            if depth.get(name):
+                while open_[-1].name != name:
+                    leave(open_.pop(), tag.start)
+                last = open_.pop()
+                depth[name] -= 1
+                if name in _PARSED:
+                    ends[last.start] = tag.end
+            continue
+        if name in _MAIN and not depth.get("template") and any(depth.get(n) for n in _PARSED):
+            # no other element of these holds an article: what is open here was never closed
+            for t in open_:
+                if t.name in _PARSED:
+                    leave(t, tag.start)
+            open_ = [t for t in open_ if t.name not in _PARSED]
+        if name in _UNNESTED and depth.get(name):
+            while open_[-1].name != name:
+                leave(open_.pop(), tag.start)
+            leave(open_.pop(), tag.start)
+        if name == "hr" or name in _PARSED and tag.attributes.endswith("/"):
+            continue
+        open_.append(tag)
+        depth[name] = depth.get(name, 0) + 1
+        if name in _PARSED:
+            begun.append(tag)
+    while open_:
+        leave(open_.pop(), end)
+    return ends
+
+
 def blocks(html: str) -> list[Block]:
     """The page's blocks of text in order, character references decoded and white space joined."""
     out: list[Block] = []
@@ -154,27 +247,20 @@ def blocks(html: str) -> list[Block]:
             if in_link:
                 linked.append(text)
 
-    at, end = 0, len(html)
-    while at < end:
-        m = _TAG.search(html, at)
-        if m is None:
-            add(html[at:])
-            break
-        add(html[at : m.start()])
-        at = m.end()
-        name = (m[2] or m[5] or "").lower()
+    at, tags = 0, _tags(html)
+    ends = _ends(tags, len(html)) if any(t.name in _PARSED for t in tags) else {}
+    for tag in tags:
+        if tag.start < at:
+            continue
+        add(html[at : tag.start])
+        name, closing, attributes = tag.name, tag.closing, tag.attributes
+        at = tag.end
         if not name:
             continue
-        closing, attributes = m[1] or m[4], (m[3] if m[2] else m[6]) or ""
         if name in _DROPPED and not closing:
             if name != "head":
                 flush()
-            stop = re.compile(rf"</{name}\b[^>]*>", re.I).search(html, at)
-            if stop is None and name == "head":
-                stop = re.compile(r"<body\b", re.I).search(html, at)
-                at = stop.start() if stop else at
-            elif not attributes.endswith("/") or name in _RAW:
-                at = stop.end() if stop else end
+            at = ends.get(tag.start, at)
         elif name == "a":
             in_link = 0 if closing else 1
         elif name == "br":
@@ -196,6 +282,7 @@ def blocks(html: str) -> list[Block]:
                 elif open_[-1][0] == "p":
                     open_.pop()
                 open_.append((name, _zone(name, attributes, open_[-1][1], at)))
+    add(html[at:])
     flush()
     return out
 

@@ -154,6 +154,25 @@ def test_wrappers_around_an_article():
     assert main_text(f"<aside><article><p>{GOOD}</p></article></aside><nav><main>{GOOD}</main></nav>") == ""
 
 
+def test_dropped_elements_without_a_closing_tag():
+    told = GOOD.strip()
+    article = f"<article><p>{GOOD}</p></article>"
+    for name in ("button", "select", "object", "svg", "math", "canvas", "audio", "video", "template"):
+        assert main_text(f"<div><{name}>x <i>y</i></div>{article}") == told, name
+        assert main_text(f"<{name}>x<g>y<p>{GOOD}</p>") == told, name
+        assert main_text(f"<div><{name}>x</div><p>{GOOD}</p><div><{name}>y</{name}></div><p>{GOOD}</p>") == f"{told} {told}", name
+        assert main_text(f"<article><{name}><p>no</p>no</{name}><p>{GOOD}<{name}><{name}>x</{name}></p><p>on</p></article>") == f"{told} on", name
+    for name in ("button", "svg", "video"):
+        assert main_text(f"<{name}>x{article}<{name}>y</{name}></{name}>") == told, name
+        assert main_text(f"<{name}/>{article}") == told, name
+    assert main_text(f"<template>{article}</template><p>{GOOD}</p><svg><svg></svg><p>no</p></svg>") == told
+    for name in ("script", "style", "textarea"):
+        assert main_text(f"{article}<{name}>x<p>{GOOD}</p>") == told, name
+    assert main_text(f"<head><title>x</head><body>{article}") == told
+    many = 20000
+    assert main_text(f"{article}{'<svg><div>' * many}") == told and main_text(f"{article}{'<svg>' * many}") == told
+
+
 ITALIAN = "Ieri mattina molti cittadini hanno visto arrivare grandi navi nuove, cariche di merci pregiate, mentre i pescatori ritornavano verso casa dopo una lunga notte passata lontano dalla costa sotto tante stelle luminose."
 RUSSIAN = "Вчера утром жители города увидели, как в гавань вошли большие новые корабли, а рыбаки возвращались домой после долгой ночи вдали от берега. Они рассказывали детям о звёздах, о ветре и о далёких странах, где никогда не бывает зимы."
 CHINESE = "昨天早上，许多市民看到满载货物的新船驶入港口，渔民们在远离海岸的地方度过漫长的夜晚之后正在回家的路上。他们给孩子们讲述星星、风和遥远国度的故事，那里从来没有冬天，人们整年都在海边唱歌跳舞。"
