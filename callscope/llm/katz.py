@@ -12,8 +12,9 @@ and start after start marks, which are history only.
 
 Documents are dealt into groups. A group asks the owners of its different n-grams for their counts,
 then sends the owners of its different histories its part of both sums, each n-gram being counted
-by one group; answers are stored as tables partitioned by owner and come back in the order of the
-question. With the answers a group evaluates the recursion above for each of its tokens. What is
+by one group; answers are stored by owner, without n-gram keys, and come back in the order of the
+question: they are answers to this corpus's questions, not a model that could score other texts.
+With the answers a group evaluates the recursion above for each of its tokens. What is
 asked, summed and answered grows with the corpus; no table is sent to all tasks but the few numbers
 of ``Order``.
 """
