@@ -22,11 +22,9 @@ from pyspark.sql import types as T
 
 #: Different space-separated pieces a worker remembers before it starts anew.
 CACHE_PIECES = 1_000_000
-_SPACE = r"\t\n\v\f\r \x85\xa0  -     　"
-#: The vocabulary's published splitting pattern, with white space spelt out.
-_SPLIT = regex.compile(
-    rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
-)
+#: Code points that any version of Unicode assigns, but for private use.
+_ASSIGNED = (range(0xD800), range(0xE000, 0x34000), range(0xE0000, 0xE1000))
+_LETTER, _NUMBER, _OTHER, _SPACE = range(4)
 #: After a single space and before something else a piece always begins, so texts without
 #: two white spaces in a row are cut there first.
 _RUN = re.compile(r" (?:\s|$)")
@@ -45,6 +43,7 @@ class Vocabulary:
     def __init__(self, path: str) -> None:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        self.splitter = Splitter(path)
         of_symbol = byte_symbols()
         ids = spec["model"]["vocab"]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
@@ -169,15 +168,89 @@ def encode_pieces(pieces: list[bytes], vocabulary: Vocabulary) -> tuple[np.ndarr
     return index.result()
 
 
-def _split(text: str) -> list[str]:
-    """The pieces that the vocabulary's pattern gives."""
-    if text[0] == " " and text[1:].isalpha() or text.isalpha():
-        return [text]
-    if text[-1] in ".,":
-        word = text[:-1]
-        if word[:1] == " " and word[1:].isalpha() or word.isalpha():
-            return [word, text[-1]]
-    return _SPLIT.findall(text)
+def _class_of_code_points(path: str) -> np.ndarray:
+    """What the library takes each code point for: a letter, a number, a space or something else.
+
+    Every code point is shown to the file's own splitter between a letter, a digit and a mark. Unicode
+    versions differ in this, so no other module's classes will do.
+    """
+    from tokenizers import Tokenizer
+
+    split = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
+    out = np.full(0x110000, _OTHER, np.uint8)
+    for codes in _ASSIGNED:
+        for at in range(codes.start, codes.stop, 1 << 14):
+            part = range(at, min(at + (1 << 14), codes.stop))
+            begins = np.zeros(5 * len(part) + 1, bool)
+            begins[[start for _, (start, _) in split("".join(f"a{c}1{c}!" for c in map(chr, part)))]] = True
+            with_letter, with_number, with_mark = (~begins[i:-1:5] for i in (1, 2, 4))
+            out[part.start : part.stop] = np.select([with_letter, with_number, with_mark], [_LETTER, _NUMBER, _OTHER], _SPACE)
+    out[ord(" ")] = _SPACE
+    return out
+
+
+def _ranges(codes: np.ndarray) -> str:
+    """Code points as the inside of a character class."""
+    if not len(codes):
+        return ""
+    cuts = np.flatnonzero(np.diff(codes) > 1)
+    firsts, lasts = codes[np.concatenate([[0], cuts + 1])], codes[np.concatenate([cuts, [len(codes) - 1]])]
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(firsts.tolist(), lasts.tolist(), strict=True))
+
+
+def _pattern(letter: str, number: str, space: str):
+    """The vocabulary's published splitting pattern with its classes spelt out."""
+    other = f" ?[^{space}{letter}{number}]+"
+    return regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{number}]+|{other}|[{space}]+(?![^{space}])|[{space}]+")
+
+
+class Splitter:
+    """Cuts texts into the pieces that the library encodes apart."""
+
+    def __init__(self, path: str) -> None:
+        classes = _class_of_code_points(path)
+        self._classes = classes
+        space = _ranges(np.flatnonzero(classes == _SPACE))
+        self._known = _pattern(r"\p{L}", r"\p{N}", space)
+        self._exact = None
+        # texts with a character that this module or ``str.isalpha`` sees otherwise take the exact pattern
+        every = "".join(chr(c) for codes in _ASSIGNED for c in codes)
+        own = np.full(0x110000, _OTHER, np.uint8)
+        alpha = np.zeros(0x110000, bool)
+        own[[ord(c) for c in regex.findall(r"\p{L}", every)]] = _LETTER
+        own[[ord(c) for c in regex.findall(r"\p{N}", every)]] = _NUMBER
+        own[classes == _SPACE] = _SPACE
+        alpha[[ord(c) for c in every if c.isalpha()]] = True
+        differ = np.flatnonzero((own != classes) | (alpha != (classes == _LETTER)))
+        self._disputed = re.compile(f"[{_ranges(differ)}]") if len(differ) else None
+
+    def split(self, text: str) -> list[str]:
+        if self._disputed is not None and not text.isascii() and self._disputed.search(text):
+            if self._exact is None:
+                letter, number, space = (_ranges(np.flatnonzero(self._classes == c)) for c in (_LETTER, _NUMBER, _SPACE))
+                self._exact = _pattern(letter, number, space)
+            return self._exact.findall(text)
+        if text[0] == " " and text[1:].isalpha() or text.isalpha():
+            return [text]
+        if text[-1] in ".,":
+            word = text[:-1]
+            if word[:1] == " " and word[1:].isalpha() or word.isalpha():
+                return [word, text[-1]]
+        return self._known.findall(text)
+
+
+def encode_parts(parts: list[str], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """The token ids of some texts, all their different pieces encoded together, and how many each text has."""
+    split, cuts, pieces = _Slots(), [], []
+    for text in parts:
+        part = [split[m] for m in vocabulary.splitter.split(text)] if text else []
+        cuts.append(len(part))
+        pieces += part
+    flat, sizes = encode_pieces([p.encode() for p in split], vocabulary)
+    order = np.array(pieces, np.int64)
+    flat = _gather(flat, (np.cumsum(sizes) - sizes)[order], sizes[order])
+    whole = np.concatenate([[0], np.cumsum(sizes[order])])[np.concatenate([[0], np.cumsum(cuts, dtype=np.int64)])]
+    return flat, np.diff(whole)
 
 
 class _Slots(dict):
@@ -225,18 +298,9 @@ class Encoder:
         new = list(self.slots)[self.known :]
         if not new:
             return
-        split, cuts, pieces = _Slots(), [], []
-        for key in new:
-            text = key[1:] if key[0] == " " else " " + key
-            part = [split[m] for m in _split(text)] if text else []
-            cuts.append(len(part))
-            pieces += part
-        flat, sizes = encode_pieces([p.encode() for p in split], self.vocabulary)
-        order = np.array(pieces, np.int64)
-        flat = _gather(flat, (np.cumsum(sizes) - sizes)[order], sizes[order])
-        whole = np.concatenate([[0], np.cumsum(sizes[order])])[np.concatenate([[0], np.cumsum(cuts)])]
-        self.starts = np.concatenate([self.starts, len(self.flat) + whole[:-1]])
-        self.sizes = np.concatenate([self.sizes, np.diff(whole)])
+        flat, sizes = encode_parts([key[1:] if key[0] == " " else " " + key for key in new], self.vocabulary)
+        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
+        self.sizes = np.concatenate([self.sizes, sizes])
         self.flat = np.concatenate([self.flat, flat])
         self.known = len(self.slots)
 

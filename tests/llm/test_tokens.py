@@ -1,5 +1,6 @@
 """Encoders and counters against the libraries, and round trips through the files."""
 
+import itertools
 import hashlib
 import os
 import random
@@ -155,3 +156,20 @@ def test_hash_index_grows():
         index.insert(part, (part & np.uint64(0xFFFF)).astype(np.int32))
     assert (index.lookup(keys) == (keys & np.uint64(0xFFFF)).astype(np.int32)).all()
     assert (index.lookup(keys + np.uint64(1 << 63)) == -1).all()
+
+
+def test_every_code_point_is_split_as_the_library_does():
+    """Unicode versions of modules differ; only the library's classes count."""
+    from tokenizers import Tokenizer
+
+    from callscope.llm.bpe import Encoder, Vocabulary
+
+    path = vocabulary_file("byte_bpe_50k.json")
+    library, encoder = Tokenizer.from_file(path), Encoder(Vocabulary(path))
+    codes = [c for c in [*range(0x34000), *range(0xE0000, 0xE1000), 0xF0000, 0x10FFFF] if not 0xD800 <= c < 0xE000]
+    for shape in ("{}'s", "{}1", " {}", "a{}b"):
+        texts = [shape.format(chr(c)) for c in codes]
+        ids, bounds = encoder.encode(texts)
+        wanted = library.encode_batch(texts, add_special_tokens=False)
+        assert ids.tolist() == [i for e in wanted for i in e.ids]
+        assert bounds[1:].tolist() == list(itertools.accumulate(len(e.ids) for e in wanted))
