@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from callscope.llm import bpe, decontamination, exact_dedup, html_text, katz, near_dedup, quality, substring_dedup, token_counts, token_files
+from callscope.llm import alignment, bpe, decontamination, exact_dedup, html_text, katz, near_dedup, quality, repetition, runs, substring_dedup, token_counts, token_files
 from callscope.llm.vocabularies import vocabulary_file
 from callscope.llm.work import Scratch
 
@@ -154,3 +154,47 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: the equal document that stays, the group's size, and the hash of the text."""
     return exact_dedup.dedup_groups(_table(spark, sf_dir, "documents"))
+
+
+@_query(
+    "op11_repetition_rules",
+    r"""
+    WITH d AS (SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS t,
+                      string_split(trim(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g'), ' '), ' ') AS s FROM documents),
+    words AS (SELECT doc_id, r, t, CASE WHEN s = [''] THEN [] ELSE s END AS w FROM d),
+    sizes AS (SELECT unnest([3, 8, 101]) AS k),
+    windows AS (SELECT r, k, i, array_to_string(w[i:i + k - 1], ' ') AS s
+                FROM words, sizes, unnest(range(1, greatest(len(w) - k + 2, 1))) u(i)),
+    often AS (SELECT r, k, i FROM windows QUALIFY count(*) OVER (PARTITION BY r, k, s) > 1),
+    marked AS (SELECT r, k, count(DISTINCT p) AS n FROM often, unnest(range(i, i + k)) u(p) GROUP BY r, k),
+    by_doc AS (SELECT r, coalesce(max(n) FILTER (k = 3), 0) AS n3, coalesce(max(n) FILTER (k = 8), 0) AS n8,
+                      count(*) FILTER (k = 101) > 0 AS too_long FROM marked GROUP BY r),
+    lines AS (SELECT r, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM words),
+    figures AS (
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+               CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+               CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+               CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
+               CAST(coalesce(n3, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(n8, 0) AS BIGINT) AS n_covered,
+               coalesce(too_long, false) AS too_long
+        FROM words JOIN lines USING (r) LEFT JOIN by_doc USING (r)),
+    based AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM figures)
+    SELECT * EXCLUDE (too_long), NOT base_failed AND 100 * n_covered <= 30 * n_words AND NOT too_long AS kept FROM based
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: base figures, words in repeats of 8 words and more, and whether it is kept."""
+    return repetition.repetition_rules(_table(spark, sf_dir, "documents")).drop("longest_repeat")
+
+
+@_query("op12_token_alignment")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: tokens of both vocabularies, their groups and links, and the links' counts in the corpus."""
+    paths = vocabulary_file("byte_bpe_50k.json"), vocabulary_file("piece_bpe_32k.model")
+    return alignment.align(_table(spark, sf_dir, "documents"), *paths)
+
+
+@_query("op13_periodic_runs")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document, a tenth of them made periodic: its runs, the strongest one, and the text without them."""
+    return runs.collapse_runs(runs.with_periodic_tails(_table(spark, sf_dir, "documents")))

@@ -163,3 +163,155 @@ def katz(rows: list[tuple], cutoffs: tuple[int, ...], discounts) -> list[tuple]:
         base = sum(math.log10((count[1][(x,)] + 1) / (tokens + types + 1)) for x in w)
         out.append((d, held_out(d), len(w), sum(count[1][(x,)] > 0 for x in w), tokens, base, score))
     return out, p, [g[0] for g in count[1]], list(context[top])
+
+
+def repetition(doc, text: str | None, limits) -> tuple:
+    w, t = spaced(text), text or ""
+    n = len(w)
+
+    def repeated(k: int) -> int:
+        windows = [tuple(w[i : i + k]) for i in range(n - k + 1)]
+        often = Counter(windows)
+        return len({p for i, x in enumerate(windows) if often[x] > 1 for p in range(i, i + k)})
+
+    lines = [x for x in t.split("\n") if spaced(x)]
+    n_repeat, n_covered = repeated(3), repeated(limits.least)
+    longest = limits.least - 1
+    if len(set(w)) == 1:
+        longest = n - 1
+    else:
+        while repeated(longest + 1):
+            longest += 1
+    longest = longest if longest >= limits.least else 0
+    failed = n < 50 or 100 * n_repeat > 50 * n
+    kept = not failed and 100 * n_covered <= limits.percent * n and longest <= limits.longest
+    symbols = sum(c in "#*$%&|<>" for c in t)
+    return (doc, n, sum(map(len, w)), symbols, len(lines) - len(set(lines)), n_repeat, n_covered, longest, failed, kept)
+
+
+def maximal_repeats(w: list[str], least: int) -> set[tuple]:
+    """(words, occurrences, first word) of repeats that neither side extends everywhere."""
+    out, n, size = set(), len(w), least
+    while True:
+        at = defaultdict(list)
+        for i in range(n - size + 1):
+            at[tuple(w[i : i + size])].append(i)
+        several = [p for p in at.values() if len(p) > 1]
+        if not several:
+            return out
+        for p in several:
+            right = {w[i + size] if i + size < n else None for i in p}
+            left = {w[i - 1] if i else None for i in p}
+            if len(left) > 1 and len(right) > 1:
+                out.add((size, len(p), p[0]))
+        size += 1
+
+
+def periodic_tail(doc, w: list[str]) -> list[str]:
+    n = len(w)
+    h = zlib.crc32(str(doc).encode()) if doc is not None else 1
+    if h % 10 or not n:
+        return w
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return w[:a] + [w[a + (i - a) % p] for i in range(a, n)]
+
+
+def periodic(doc, text: str | None) -> tuple:
+    from fractions import Fraction
+
+    w = spaced(text)
+    n, found = len(w), {}
+    for q in range(1, n // 4 + 1):
+        i = 0
+        while i + q < n:
+            start = i
+            while i + q < n and w[i] == w[i + q]:
+                i += 1
+            if i - start + q >= max(6, 4 * q):
+                found.setdefault((start, i + q), q)
+            i += 1
+    own = sorted((a, b - a, q) for (a, b), q in found.items())
+    gone = {i for a, m, q in own for i in range(a + q, a + m)}
+    best = min(own, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2]), default=None)
+    strongest = (*best, 1000 * best[1] // best[2]) if best else (None,) * 4
+    lines = "".join(f"{a},{m},{q}\n" for a, m, q in own)
+    return (doc, len(own), *strongest, sha(lines), sha(" ".join(x for i, x in enumerate(w) if i not in gone)))
+
+
+def _linked(rows: list[tuple], a_path: str, b_path: str):
+    """Per document its tokens' ends under both libraries, or None, and its links."""
+    import json
+
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    a, b = Tokenizer.from_file(a_path), sentencepiece.SentencePieceProcessor(model_file=b_path)
+    a.encode_special_tokens = True
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    byte = {chr(x): x for x in shown} | {chr(256 + i): x for i, x in enumerate(x for x in range(256) if x not in shown)}
+    with open(a_path, encoding="utf-8") as f:
+        a_bytes = {i: bytes(byte[c] for c in t) for t, i in json.load(f)["model"]["vocab"].items() if all(c in byte for c in t)}
+
+    def b_bytes(i: int) -> bytes:
+        p = b.id_to_piece(i)
+        return bytes([int(p[3:5], 16)]) if b.is_byte(i) else p.replace("▁", " ").encode()
+
+    out = []
+    for doc, text in rows:
+        ids = (a.encode(" " + text, add_special_tokens=False).ids, b.encode(text)) if text else ([], [])
+        parts = [a_bytes[i] for i in ids[0]], [b_bytes(i) for i in ids[1]]
+        whole = (" " + (text or "")).encode()
+        if not text or any(b"".join(p) != whole for p in parts):
+            out.append((doc, [], [], [], []))
+            continue
+        ends = [[sum(map(len, p[: i + 1])) for i in range(len(p))] if len(p) < 50 else _ends(p) for p in parts]
+        i = j = start = 0
+        links, groups = [], []
+        group: tuple[list, list] = ([], [])
+        fresh = [True, True]
+        while i < len(ids[0]) and j < len(ids[1]):
+            links.append((ids[0][i], ids[1][j]))
+            for side, k in ((0, i), (1, j)):
+                if fresh[side]:
+                    group[side].append(ids[side][k])
+            x, y = ends[0][i], ends[1][j]
+            fresh = [x <= y, y <= x]
+            i, j = i + (x <= y), j + (y <= x)
+            if x == y:
+                groups.append(group)
+                group = ([], [])
+        assert i == len(ids[0]) and j == len(ids[1]) and start == 0
+        out.append((doc, *ids, links, groups))
+    return out
+
+
+def _ends(parts: list[bytes]) -> list[int]:
+    out, at = [], 0
+    for p in parts:
+        at += len(p)
+        out.append(at)
+    return out
+
+
+def pair_counts(rows: list[tuple], a_path: str, b_path: str) -> dict:
+    docs, links = Counter(), Counter()
+    for _, _, _, own, _ in _linked(rows, a_path, b_path):
+        links.update(own)
+        docs.update(set(own))
+    return {p: (docs[p], links[p]) for p in links}
+
+
+def aligned(rows: list[tuple], a_path: str, b_path: str) -> list[tuple]:
+    linked = _linked(rows, a_path, b_path)
+    count = Counter(x for r in linked for x in r[3])
+    most: dict[int, int] = {}
+    for (_, b), n in count.items():
+        most[b] = max(most.get(b, 0), n)
+    out = []
+    for doc, a, b, links, groups in linked:
+        text = ";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in groups)
+        best = sum(count[x] == most[x[1]] for x in links)
+        out.append((doc, len(a), len(b), len(groups), len(links), sha(text) if a else "", best, sum(count[x] for x in links)))
+    return out
