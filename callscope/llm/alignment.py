@@ -16,6 +16,7 @@ postings, which say for each document of the block what it gets.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 
 import numpy as np
@@ -30,12 +31,14 @@ from callscope.llm.token_counts import Counter
 from callscope.llm.work import Scratch
 
 #: Most documents of a block, and the bytes of text that end it.
-BLOCK_DOCS, BLOCK_BYTES = 4096, 16 << 20
+BLOCK_DOCS, BLOCK_BYTES = 4096, 8 << 20
 #: A bitmap of so many documents and more has a bit for each document of a block, others list them.
 _DENSE = BLOCK_DOCS // 16
 _BITMAP = BLOCK_DOCS // 8
-#: Different units a worker remembers before it starts anew.
-CACHE_UNITS = 500_000
+#: Text whose new units are learnt at once, and different units a worker remembers before it starts anew.
+SLICE_BYTES, CACHE_UNITS = 1 << 20, 300_000
+#: Room for an id of the second vocabulary, and for a document's number, in one 64-bit key.
+_ID_BITS, _DOC_BITS = 20, 12
 _SPACE_MARK = "▁"
 _ODD_SPACE = re.compile(r" (?:\s|$)")
 _CUT = re.compile(r"(?<! ) (?=\S)")
@@ -61,7 +64,7 @@ class Ragged:
     def extend(self, flat: np.ndarray, sizes: np.ndarray) -> None:
         self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
         self.sizes = np.concatenate([self.sizes, sizes])
-        self.flat = np.concatenate([self.flat, flat])
+        self.flat = np.concatenate([self.flat, flat.astype(self.flat.dtype, copy=False)])
 
     def take(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The rows one after the other, and the size of each."""
@@ -82,10 +85,15 @@ class Aligner:
             raise ValueError("a piece of the second vocabulary has a space after another character")
         self.b = counter.processor
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
-        self.b_bytes = [
-            bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(_SPACE_MARK, " ").encode() for i, p in enumerate(pieces)
-        ]
-        self.b_sizes = np.array([len(x) for x in self.b_bytes], np.int64)
+        b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(_SPACE_MARK, " ").encode() for i, p in enumerate(pieces)]
+        if max(len(self.a.bytes), len(b_bytes)) > 1 << _ID_BITS:
+            raise ValueError("more ids than a key has room for")
+        self.b_bytes = Ragged(np.uint8)
+        self.b_bytes.extend(np.frombuffer(b"".join(b_bytes), np.uint8), np.array([len(x) for x in b_bytes], np.int64))
+        self.b_sizes = self.b_bytes.sizes
+        shown = [str(i).encode() for i in range(max(len(self.a.bytes), len(b_bytes)))]
+        self.digits = np.array(shown, f"S{len(shown[-1])}").view(np.uint8).reshape(len(shown), -1)
+        self.n_digits = np.array([len(x) for x in shown], np.int64)
         self.space = self.b.piece_to_id(_SPACE_MARK)
         self.reset()
 
@@ -93,7 +101,7 @@ class Aligner:
         self.slots = bpe._Slots()
         self.known = 0
         self.pairs = Ragged(np.int64)
-        self.groups: list[bytes] = []
+        self.groups = Ragged(np.uint8)
         self.n_a, self.n_b, self.n_groups = (np.empty(0, np.int64) for _ in range(3))
         self.whole = np.empty(0, bool)
 
@@ -119,15 +127,8 @@ class Aligner:
         a_ids = a_ids.astype(np.int64)
         b_rows = [x or [self.space] for x in self.b.encode(new, num_threads=1)]
         b_n = np.array([len(x) for x in b_rows], np.int64)
-        b_ids = np.array([i for x in b_rows for i in x], np.int64)
-        raw = [b" " + u.encode() for u in new]
-        b_upto = np.concatenate([[0], np.cumsum(b_n)]).tolist()
-        flat = b_ids.tolist()
-        same = [b"".join([self.b_bytes[i] for i in flat[p:q]]) == r for p, q, r in zip(b_upto[:-1], b_upto[1:], raw, strict=True)]
-        a_upto = np.concatenate([[0], np.cumsum(a_n)]).tolist()
-        a_flat = a_ids.tolist()
-        same = [s and b"".join([self.a.bytes[i] for i in a_flat[p:q]]) == r for s, p, q, r in zip(same, a_upto[:-1], a_upto[1:], raw, strict=True)]
-        whole = np.array(same, bool)
+        b_ids = np.fromiter(itertools.chain.from_iterable(b_rows), np.int64, int(b_n.sum()))
+        whole = self._reads_alike([b" " + u.encode() for u in new], a_ids, a_n, b_ids, b_n)
         unit_a, unit_b = np.repeat(np.arange(len(new)), a_n), np.repeat(np.arange(len(new)), b_n)
         # units that do not read alike have no tokens here: their texts have none either
         a_ids, unit_a = a_ids[whole[unit_a]], unit_a[whole[unit_a]]
@@ -136,30 +137,53 @@ class Aligner:
         ends = np.union1d(a_ends, b_ends)
         # every stretch between two ends of either kind is one link
         of_a, of_b = np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
-        links = (a_ids[of_a] << 32) | b_ids[of_b]
+        links = (a_ids[of_a] << _ID_BITS) | b_ids[of_b]
         self.pairs.extend(links, np.bincount(unit_a[of_a], minlength=len(new)))
         common = np.intersect1d(a_ends, b_ends, assume_unique=True)
         n_groups = np.bincount(unit_a[np.searchsorted(a_ends, common)], minlength=len(new))
-        self.groups += _fragments(a_ids, np.searchsorted(common, a_ends), b_ids, np.searchsorted(common, b_ends), n_groups)
+        a_group, b_group = np.searchsorted(common, a_ends), np.searchsorted(common, b_ends)
+        self.groups.extend(*self._fragments(a_ids, a_group, unit_a, b_ids, b_group, unit_b, len(new)))
         self.n_a = np.concatenate([self.n_a, np.bincount(unit_a, minlength=len(new))])
         self.n_b = np.concatenate([self.n_b, np.bincount(unit_b, minlength=len(new))])
         self.n_groups = np.concatenate([self.n_groups, n_groups])
         self.whole = np.concatenate([self.whole, whole])
         self.known = len(self.slots)
 
-
-def _fragments(a_ids: np.ndarray, a_group: np.ndarray, b_ids: np.ndarray, b_group: np.ndarray, n_groups: np.ndarray) -> list[bytes]:
-    """Each unit's groups as text, ``a1,a2|b1;a3|b2,b3``."""
-    total = int(n_groups.sum())
-    a_cut = np.searchsorted(a_group, np.arange(total + 1)).tolist()
-    b_cut = np.searchsorted(b_group, np.arange(total + 1)).tolist()
-    a, b = [str(i) for i in a_ids.tolist()], [str(i) for i in b_ids.tolist()]
-    shown = [
-        f"{','.join(a[p:q])}|{','.join(b[r:s])}"
-        for p, q, r, s in zip(a_cut[:-1], a_cut[1:], b_cut[:-1], b_cut[1:], strict=True)
-    ]
-    upto = np.concatenate([[0], np.cumsum(n_groups)]).tolist()
-    return [";".join(shown[p:q]).encode() for p, q in zip(upto[:-1], upto[1:], strict=True)]
+    def _reads_alike(self, raw: list[bytes], a_ids: np.ndarray, a_n: np.ndarray, b_ids: np.ndarray, b_n: np.ndarray) -> np.ndarray:
+        """Of which units both vocabularies give every byte back. The first one's tokens are the unit's bytes, merged."""
+        n = len(raw)
+        sizes = np.array([len(r) for r in raw], np.int64)
+        a_sizes = np.bincount(np.repeat(np.arange(n), a_n), self.a_sizes[a_ids], minlength=n)
+        unit_b = np.repeat(np.arange(n), b_n)
+        b_sizes = np.bincount(unit_b, self.b_sizes[b_ids], minlength=n)
+        same = (a_sizes == sizes) & (b_sizes == sizes)
+        # of units of equal size the bytes are side by side
+        given, _ = self.b_bytes.take(b_ids[same[unit_b]])
+        wanted = np.frombuffer(b"".join(itertools.compress(raw, same.tolist())), np.uint8)
+        wrong = np.repeat(np.flatnonzero(same), sizes[same])[given != wanted]
+        same[wrong] = False
+        return same
+
+    def _fragments(self, a_ids, a_group, unit_a, b_ids, b_group, unit_b, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Each unit's groups as text, ``a1,a2|b1;a3|b2,b3;``, and its size."""
+        groups = int(a_group[-1]) + 1 if len(a_group) else 0
+        a_cut, b_cut = (np.searchsorted(g, np.arange(groups + 1)) for g in (a_group, b_group))
+        place_a = np.arange(len(a_ids)) + b_cut[a_group]
+        place_b = np.arange(len(b_ids)) + a_cut[b_group + 1]
+        ids = np.empty(len(a_ids) + len(b_ids), np.int64)
+        marks, unit = np.full(len(ids), ord(","), np.uint8), np.empty(len(ids), np.int64)
+        ids[place_a], ids[place_b] = a_ids, b_ids
+        unit[place_a], unit[place_b] = unit_a, unit_b
+        marks[place_a[a_cut[1:] - 1]] = ord("|")
+        marks[place_b[b_cut[1:] - 1]] = ord(";")
+        sizes = self.n_digits[ids]
+        ends = np.cumsum(sizes + 1)
+        out = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
+        out[ends - 1] = marks
+        for k in range(self.digits.shape[1]):
+            has = sizes > k
+            out[(ends - sizes - 1)[has] + k] = self.digits[ids[has], k]
+        return out, np.bincount(unit, sizes + 1, minlength=n).astype(np.int64)
 
 
 _LOADED: dict[tuple[str, str], Aligner] = {}
@@ -247,19 +271,27 @@ class _Block:
 
     def __init__(self) -> None:
         self.docs, self.n_bytes = 0, 0
-        self.parts: list[np.ndarray] = []
+        self.links: list[np.ndarray] = []
 
-    def add(self, doc: np.ndarray, pair: np.ndarray, times: np.ndarray) -> None:
-        self.parts.append(np.stack([pair, doc + self.docs, times]))
+    def add(self, doc: np.ndarray, pair: np.ndarray) -> None:
+        """Links of the next documents, counted from 0."""
+        self.links.append((pair << _DOC_BITS) | (doc + self.docs))
 
     def postings(self, number: int, id_type: pa.DataType) -> pa.RecordBatch:
-        pair, doc, times = np.concatenate([np.empty((3, 0), np.int64), *self.parts], axis=1)
-        pairs, row = np.unique(pair, return_inverse=True)
+        links = np.concatenate([np.empty(0, np.int64), *self.links])
+        self.links = []
+        links.sort()
+        firsts = np.flatnonzero(np.diff(links, prepend=-1))
+        times = np.diff(firsts, append=len(links))
+        links = links[firsts]
+        pair, doc = links >> _DOC_BITS, links & (BLOCK_DOCS - 1)
+        new = np.diff(pair, prepend=-1) != 0
+        pairs, row = pair[new], np.cumsum(new) - 1
         n = len(pairs)
         columns = {
             "block": pa.array(np.full(n, number)),
-            "a": pa.array((pairs >> 32).astype(np.int32)),
-            "b": pa.array((pairs & 0xFFFFFFFF).astype(np.int32)),
+            "a": pa.array((pairs >> _ID_BITS).astype(np.int32)),
+            "b": pa.array((pairs & ((1 << _ID_BITS) - 1)).astype(np.int32)),
             "planes": bit_planes(row, doc, times, n),
         }
         return _batch(columns, n, id_type)
@@ -282,16 +314,6 @@ def _batch(columns: dict, n: int, id_type: pa.DataType) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([columns[c] if c in columns else pa.nulls(n, t) for c, t in types.items()], names=list(types))
 
 
-def _counted(doc: np.ndarray, key: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Different (doc, key) and the sum of their times."""
-    order = np.lexsort((key, doc))
-    doc, key, times = doc[order], key[order], times[order]
-    new = np.ones(len(doc), bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])
-    at = np.flatnonzero(new)
-    return doc[at], key[at], np.add.reduceat(times, at) if len(at) else times
-
-
 def _align(a_path: str, b_path: str):
     def run(batches):
         aligner = loaded(a_path, b_path)
@@ -301,8 +323,9 @@ def _align(a_path: str, b_path: str):
             at, id_type = 0, batch.column(0).type
             sizes = pc.binary_length(batch.column(1)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
             while at < batch.num_rows:
-                room = np.searchsorted(np.cumsum(sizes[at : at + BLOCK_DOCS - block.docs]), BLOCK_BYTES - block.n_bytes)
-                upto = min(at + int(room) + 1, batch.num_rows, at + BLOCK_DOCS - block.docs)
+                own = sizes[at : at + BLOCK_DOCS - block.docs]
+                room = min(SLICE_BYTES, BLOCK_BYTES - block.n_bytes)
+                upto = at + min(int(np.searchsorted(np.cumsum(own), room)) + 1, len(own))
                 yield _documents(aligner, batch.slice(at, upto - at), number, block)
                 block.docs += upto - at
                 block.n_bytes += int(sizes[at:upto].sum())
@@ -327,16 +350,12 @@ def _documents(aligner: Aligner, batch: pa.RecordBatch, number: int, block: _Blo
     def summed(of_unit: np.ndarray) -> pa.Array:
         return pa.array(np.bincount(doc, of_unit[slots], minlength=n).astype(np.int64))
 
-    cuts = np.searchsorted(doc, np.arange(n + 1)).tolist()
-    used = slots.tolist()
-    groups = aligner.groups
-    hashes = [
-        hashlib.sha256(b";".join([groups[s] for s in used[p:q]])).hexdigest() if q > p else ""
-        for p, q in zip(cuts[:-1], cuts[1:], strict=True)
-    ]
-    unit_doc, unit, times = _counted(doc, slots, np.ones(len(doc), np.int64))
-    pairs, sizes = aligner.pairs.take(unit)
-    block.add(*_counted(np.repeat(unit_doc, sizes), pairs, np.repeat(times, sizes)))
+    shown, sizes = aligner.groups.take(slots)
+    ends = np.concatenate([[0], np.cumsum(sizes)])[np.searchsorted(doc, np.arange(n + 1))].tolist()
+    raw = memoryview(shown)
+    hashes = [hashlib.sha256(raw[p : q - 1]).hexdigest() if q > p else "" for p, q in zip(ends[:-1], ends[1:], strict=True)]
+    pairs, sizes = aligner.pairs.take(slots)
+    block.add(np.repeat(doc, sizes), pairs)
     columns = {
         "doc_id": batch.column(0),
         "block": pa.array(np.full(n, number)),
@@ -387,7 +406,8 @@ class Alignment:
         # one row per id of the second vocabulary
         best = counts.groupBy("b").agg(F.max("n_links").alias("most"))
         scored = counts.join(F.broadcast(best), "b").select("a", "b", F.col("n_links").alias("score"), (F.col("n_links") == F.col("most")).alias("best"))
-        told = self.postings.join(scored, ["a", "b"]).select(F.col("block").alias("of"), "planes", "score", "best")
+        # pairs grow with the corpus: the same join at every size
+        told = self.postings.join(scored.hint("merge"), ["a", "b"]).select(F.col("block").alias("of"), "planes", "score", "best")
         out = self.documents.schema
         schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in out if f.name not in ("block", "ord"))
         return self.documents.groupBy("block").cogroup(told.groupBy("of")).applyInArrow(_told, schema + ", n_best long, count_sum long")
