@@ -14,7 +14,7 @@ from callscope.functions.text import (
     strip_outer_whitespace,
     trim_blanks,
 )
-from callscope.functions.times import ntz, plus_days, second_index, window_close
+from callscope.functions.times import ntz, plus_days, window_close
 
 __all__ = [
     "CURRENCIES",
@@ -27,7 +27,6 @@ __all__ = [
     "ntz",
     "plain_number",
     "plus_days",
-    "second_index",
     "strip_outer_whitespace",
     "surrogate_key",
     "trim_blanks",

@@ -24,13 +24,3 @@ def plus_days(at: Column, days: int) -> Column:
 def window_close(disposed_at: Column) -> Column:
     """End, inclusive, of the period in which a payment can belong to a disposition."""
     return plus_days(disposed_at, ATTRIBUTION_DAYS)
-
-
-def second_index(at: Column) -> Column:
-    """Whole seconds since 1970-01-01 on the clock the timestamp was written in."""
-    return (
-        F.unix_date(F.to_date(at)).cast("bigint") * 86400
-        + F.hour(at) * 3600
-        + F.minute(at) * 60
-        + F.second(at)
-    )

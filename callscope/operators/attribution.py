@@ -10,9 +10,11 @@ window. So one shuffle on the contract gives the attributed payments and the unp
 without candidate pairs and without joining back. If the nearest preceding disposition is more than
 three days old, so are all others, hence checking the nearest alone is enough.
 
-A contract too large for one task is cut by time into slots; every other contract is one slot. Each
-slot of a cut contract gets its neighbours as extra rows, the last disposition before it and the
-next entry after it, so that slots are independent and all contracts take the same route.
+Where a contract has too many rows for one task, the whole timeline is scanned in segments instead: it
+is range-partitioned on its full order, so that the rows of one contract, of one second and even
+equal rows lie in as many segments as they fill. Each segment is walked alone; what one must know of
+the others, the last disposition before it and the entries next to it, is a prefix over one row per
+segment, and one pass over the walked rows puts it in.
 """
 
 from __future__ import annotations
@@ -22,10 +24,9 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from callscope.functions import ntz, plain_number, second_index, surrogate_key, window_close
-from callscope.operators.skew import SPLIT_ROWS, heavy_keys
-
-_DAY = 86400
+from callscope.functions import ntz, plain_number, surrogate_key, window_close
+from callscope.operators.skew import SPLIT_ROWS, Load, load_of_keys
+from callscope.session import shared_folder
 
 
 def assessable_dispositions(dispositions: DataFrame) -> DataFrame:
@@ -65,10 +66,11 @@ def _timeline(dispositions: DataFrame, payments: DataFrame) -> DataFrame:
 
 _IS_PAYMENT = "amount_local is not null"
 _OWNER = ("call_log_id", "market", "disposed_at_utc")
+_NEIGHBOUR = ("contract_id", "at", "amount_local")
 
 
-def _walk(timeline: DataFrame, *group: str) -> DataFrame:
-    """Attributed payments and unpaid dispositions of each group, in one sort.
+def _walked(timeline: DataFrame, *group: str) -> DataFrame:
+    """Each row of a group with the last disposition up to it and its neighbours, in one sort.
 
     Dispositions have no amount and so come before the payments of their instant, and equal
     payments are neighbours.
@@ -77,19 +79,21 @@ def _walk(timeline: DataFrame, *group: str) -> DataFrame:
         "at", F.asc_nulls_first("amount_local"), "call_log_id", F.asc_nulls_last("currency")
     )
     so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    walked = timeline.select(
+    return timeline.select(
         "*",
         # The last disposition up to the row; of a disposition, itself.
         *[F.last(c, ignorenulls=True).over(so_far).alias(f"owner_{c}") for c in _OWNER],
-        F.lag("at").over(order).alias("at_before"),
-        F.lag("amount_local").over(order).alias("amount_before"),
-        F.lead("at").over(order).alias("at_after"),
-        F.lead("amount_local").over(order).alias("amount_after"),
+        *[F.lag(c).over(order).alias(f"{c}_before") for c in _NEIGHBOUR],
+        *[F.lead(c).over(order).alias(f"{c}_after") for c in _NEIGHBOUR],
     )
+
+
+def _decided(walked: DataFrame) -> DataFrame:
+    """The attributed payments and unpaid dispositions."""
     is_payment = F.expr(_IS_PAYMENT)
-    copy = (F.col("at_before") == F.col("at")) & (F.col("amount_before") == F.col("amount_local"))
+    copy = (F.col("at_before") == F.col("at")) & (F.col("amount_local_before") == F.col("amount_local"))
     in_window = F.col("at") <= window_close(F.col("owner_disposed_at_utc"))
-    paid = F.col("amount_after").isNotNull() & (F.col("at_after") <= window_close(F.col("at")))
+    paid = F.col("amount_local_after").isNotNull() & (F.col("at_after") <= window_close(F.col("at")))
     attributed = is_payment & in_window & ~F.coalesce(copy, F.lit(False))
     unpaid = ~is_payment & ~F.coalesce(paid, F.lit(False))
     return walked.filter(attributed | unpaid)
@@ -107,108 +111,75 @@ def _result(walked: DataFrame) -> DataFrame:
     )
 
 
-def _per_second(timeline: DataFrame, heavy: DataFrame) -> DataFrame:
-    """Per heavy contract and second: rows, the last disposition in it, and its first entries.
+def in_segments(timeline: DataFrame, segments: int) -> DataFrame:
+    """The timeline dealt by its whole order, with the number of the ``segment`` a row is in.
 
-    Of the dispositions at one instant the one with the largest id can own a payment.
+    The last key is random: equal rows too go to as many segments as they fill.
     """
-    rows = timeline.filter("at is not null").select(
-        "contract_id",
-        "at",
-        F.when(F.expr(_IS_PAYMENT), F.col("at")).alias("paid"),
-        F.when(~F.expr(_IS_PAYMENT), F.col("at")).alias("disposed"),
-        F.when(~F.expr(_IS_PAYMENT), F.struct("disposed_at_utc", "call_log_id", "market")).alias("owner"),
-    )
-    rows = rows.join(heavy, "contract_id", "left_semi")
-    return rows.groupBy("contract_id", second_index(F.col("at")).alias("second")).agg(
-        F.count("*").alias("n"),
-        F.max("owner").alias("last_owner"),
-        F.min("disposed").alias("first_disposed"),
-        F.min("paid").alias("first_paid"),
-    )
+    order = ("contract_id", "at", F.asc_nulls_first("amount_local"), "call_log_id", F.asc_nulls_last("currency"))
+    salted = timeline.withColumn("salt", F.rand(7))
+    return salted.repartitionByRange(segments, *order, "salt").drop("salt").withColumn("segment", F.spark_partition_id())
 
 
-def _ends() -> list[Column]:
-    """The last disposition of a stretch of time, and its first entry if that is a payment.
+def _carries(walked: DataFrame) -> DataFrame:
+    """What each segment must know of the others, one row each.
 
-    A struct, so that a next stretch without a payment in front differs from no next one.
+    Structs compare by contract first, so the greatest disposition of all segments before is the
+    last one passed, whichever contract it is of.
     """
-    disposed, paid = F.min("first_disposed"), F.min("first_paid")
-    starts = F.when(disposed.isNull() | (paid < disposed), paid)
-    return [F.max("last_owner").alias("last_owner"), F.struct(starts.alias("at")).alias("starts")]
+    owner = F.struct("contract_id", "disposed_at_utc", "call_log_id", "market")
+    row = F.struct(*_NEIGHBOUR)
+    ends = walked.groupBy("segment").agg(
+        F.max(F.when(~F.expr(_IS_PAYMENT), owner)).alias("owner"), F.min(row).alias("first"), F.max(row).alias("last")
+    )
+    # Not split: there is one row per segment.
+    order = Window.orderBy("segment")
+    return ends.select(
+        "segment",
+        F.max("owner").over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("owner_before"),
+        F.lag("last").over(order).alias("before"),
+        F.lead("first").over(order).alias("after"),
+    )
 
 
-def _slot_seconds(seconds: DataFrame, split_rows: int) -> DataFrame:
-    """Per contract, the widest slot of which none holds more than ``split_rows`` rows.
+def _corrected(walked: DataFrame, carries: DataFrame) -> DataFrame:
+    """The walked rows with what lies outside their segment put in where the contract is the same."""
 
-    A second is the narrowest: its rows stay together.
-    """
-    counts = seconds.select("contract_id", F.col("second").alias("slot"), "n")
-    widths = {"minute": 60, "hour": 3600, "day": _DAY}
-    found: list[str] = []
-    for name, width in widths.items():
-        counts = counts.groupBy(
-            "contract_id", (F.floor(F.col("slot") / width) * width).alias("slot")
-        ).agg(
-            F.sum("n").alias("n"),
-            *[F.max(c).alias(c) for c in found],
-            F.max("n").alias(f"below_{name}"),
-        )
-        found.append(f"below_{name}")
-    peaks = counts.groupBy("contract_id").agg(
-        F.max("n").alias("day"),
-        F.max("below_day").alias("hour"),
-        F.max("below_hour").alias("minute"),
+    def of_same(carry: str, unknown: Column, column: str, name: str) -> Column:
+        same = unknown & (F.col(f"{carry}.contract_id") == F.col("contract_id"))
+        return F.when(same, F.col(f"{carry}.{column}")).otherwise(F.col(name)).alias(name)
+
+    no_owner = F.col("owner_call_log_id").isNull()
+    first, last = F.col("contract_id_before").isNull(), F.col("contract_id_after").isNull()
+    return walked.join(F.broadcast(carries), "segment").select(
+        "contract_id",
+        "at",
+        "currency",
+        "amount_local",
+        *[of_same("owner_before", no_owner, c, f"owner_{c}") for c in _OWNER],
+        *[of_same("before", first, c, f"{c}_before") for c in _NEIGHBOUR],
+        *[of_same("after", last, c, f"{c}_after") for c in _NEIGHBOUR],
     )
-    chosen = F.lit(1)
-    for name in ("minute", "hour", "day"):
-        chosen = F.when(F.col(name) <= split_rows, widths[name]).otherwise(chosen)
-    return peaks.select("contract_id", chosen.cast("bigint").alias("width"))
 
 
-def _slot_edges(seconds: DataFrame, widths: DataFrame) -> DataFrame:
-    """What each slot must know of its neighbours: the last disposition before it, and its next
-    entry after it if that is a payment. Marked by ``edge``.
+def _scanned_in_segments(timeline: DataFrame, segments: int) -> DataFrame:
+    """Attributed payments and unpaid dispositions by a segmented scan.
 
-    Slots are put in order within each day, and days within each contract, so no task holds all
-    slots of a contract.
+    The walked segments are a table: carries and rows must come from one dealing, also if an
+    executor is lost.
     """
-    day_order = Window.partitionBy("contract_id").orderBy("day")
-    days = seconds.groupBy("contract_id", F.floor(F.col("second") / _DAY).alias("day")).agg(*_ends())
-    days = days.select(
-        "contract_id",
-        "day",
-        F.max("last_owner")
-        .over(day_order.rowsBetween(Window.unboundedPreceding, -1))
-        .alias("owner_of_days"),
-        F.lead("starts").over(day_order).alias("next_day"),
-    )
-    slot = F.floor(F.col("second") / F.col("width"))
-    ends = (
-        seconds.join(widths, "contract_id")
-        .groupBy("contract_id", F.floor(F.col("second") / _DAY).alias("day"), slot.alias("slot"))
-        .agg(*_ends())
-    )
-    order = Window.partitionBy("contract_id", "day").orderBy("slot")
-    neighbours = ends.join(days, ["contract_id", "day"]).select(
-        "contract_id",
-        "slot",
-        F.coalesce(
-            F.max("last_owner").over(order.rowsBetween(Window.unboundedPreceding, -1)),
-            "owner_of_days",
-        ).alias("before"),
-        F.coalesce(F.lead("starts").over(order), "next_day")["at"].alias("after"),
-    )
-    nobody, no_amount = F.lit(None).cast(ends.schema["last_owner"].dataType), F.lit(None).cast("double")
-    entry = F.array(
-        F.struct(F.col("before.disposed_at_utc").alias("at"), F.col("before").alias("owner"), no_amount.alias("amount_local")),
-        F.struct(F.col("after").alias("at"), nobody.alias("owner"), F.lit(1.0).alias("amount_local")),
-    )
-    return (
-        neighbours.select("contract_id", "slot", F.lit(True).alias("edge"), F.explode(entry).alias("e"))
-        .filter("e.at is not null")
-        .select("contract_id", "slot", "edge", "e.at", "e.amount_local", "e.owner.*")
-    )
+    spark = timeline.sparkSession
+    walked = _walked(in_segments(timeline, segments), "segment", "contract_id")
+    path = shared_folder(spark, "attribution")
+    walked.write.parquet(path)
+    walked = spark.read.schema(walked.schema).parquet(path)
+    return _decided(_corrected(walked, _carries(walked)))
+
+
+def segments_for(timeline: DataFrame, load: Load) -> int:
+    """As many segments as shuffle partitions, and so many that none has more than ``SPLIT_ROWS`` rows."""
+    partitions = int(timeline.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(partitions, -(-load.rows // SPLIT_ROWS))
 
 
 def attribute_payments(
@@ -216,20 +187,15 @@ def attribute_payments(
 ) -> DataFrame:
     """Rows (disposition x attributed payment), and one row with null payment per unpaid one.
 
-    Takes staging frames. Contracts with more than ``split_rows`` rows are found by a count of the
-    contract ids and have slots by time. Without such contracts each input is read twice, for the
-    ids and for the rows; the times of cut contracts are read for them alone.
+    Takes staging frames. The rows of each contract are counted first, map-side; the largest count
+    says whether contracts fit in tasks (one shuffle on the contract) or the timeline is scanned in
+    segments. Both give the same rows.
     """
-    dispositions = assessable_dispositions(dispositions)
-    payments = recoverable_payments(payments)
-    timeline = _timeline(dispositions, payments)
-    heavy = heavy_keys(timeline, F.col("contract_id"), split_rows).select(F.col("key").alias("contract_id"))
-    seconds = _per_second(timeline, heavy)
-    widths = _slot_seconds(seconds, split_rows)
-    slot = F.coalesce(F.floor(second_index(F.col("at")) / F.col("width")), F.lit(0))
-    slotted = timeline.join(widths, "contract_id", "left").withColumn("slot", slot).drop("width")
-    with_edges = slotted.unionByName(_slot_edges(seconds, widths), allowMissingColumns=True)
-    return _result(_walk(with_edges, "contract_id", "slot").filter("edge is null"))
+    timeline = _timeline(assessable_dispositions(dispositions), recoverable_payments(payments))
+    load = load_of_keys(timeline, F.col("contract_id"))
+    if load.most <= split_rows:
+        return _result(_decided(_walked(timeline, "contract_id")))
+    return _result(_scanned_in_segments(timeline, segments_for(timeline, load)))
 
 
 def with_window_state(attributed: DataFrame, as_of: datetime) -> DataFrame:

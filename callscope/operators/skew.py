@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +21,21 @@ def heavy_keys(df: DataFrame, key: Column, split_rows: int = SPLIT_ROWS) -> Data
     return counts.filter((F.col("n") > split_rows) & F.col("key").isNotNull())
 
 
+@dataclass(frozen=True)
+class Load:
+    """Rows with a key, and rows of the most frequent key."""
+
+    rows: int
+    most: int
+
+
+def load_of_keys(df: DataFrame, key: Column) -> Load:
+    """Counts the rows of each key, map-side first, and brings two numbers to the driver."""
+    counts = df.select(key.alias("key")).filter("key is not null").groupBy("key").agg(F.count("*").alias("n"))
+    found = counts.agg(F.sum("n").alias("rows"), F.max("n").alias("most")).first()
+    return Load(found["rows"] or 0, found["most"] or 0)
+
+
 def salted_join(
     left: DataFrame,
     right: DataFrame,
@@ -31,23 +48,25 @@ def salted_join(
     """Equi join for a left side whose keys are missing or very frequent. Left keys are at least 0.
 
     A row without a key matches nothing; it gets a negative key from the hash of ``spread_by``, so
-    that such rows do not meet in one task. ``right`` holds at most one row per key. A heavy key is
-    cut into parts of about ``split_rows`` rows, and its one right row is repeated once per part.
-    Keeps the columns of both sides for ``how="left"``, of the left side for ``how="left_anti"``.
+    that such rows do not meet in one task. ``right`` holds at most one row per key. Keys are counted
+    first; if one has more than ``split_rows`` rows, heavy keys are cut into parts of about
+    ``split_rows`` rows, and the one right row of each is repeated once per part. Keeps the columns
+    of both sides for ``how="left"``, of the left side for ``how="left_anti"``.
     """
+    no_key = -1 - F.pmod(F.xxhash64(spread_by), F.lit(2**62))
+    keyed = left.withColumn("_key", F.coalesce(left_key, no_key))
+    right = right.filter(F.col(right_key) >= 0)
+    if load_of_keys(left, F.col(left_key)).most <= split_rows:
+        return keyed.join(right, F.col("_key") == F.col(right_key), how).drop("_key")
     heavy = heavy_keys(left, F.col(left_key), split_rows)
     parts = heavy.select(F.col("key").alias("_heavy_key"), F.ceil(F.col("n") / split_rows).alias("_parts"))
-    no_key = -1 - F.pmod(F.xxhash64(spread_by), F.lit(2**62))
     one = F.coalesce("_parts", F.lit(1))
-    left = (
-        left.withColumn("_key", F.coalesce(left_key, no_key))
-        .join(parts, F.col("_key") == F.col("_heavy_key"), "left")
-        .withColumn("_part", F.pmod(F.xxhash64(spread_by), one))
+    left = keyed.join(parts, F.col("_key") == F.col("_heavy_key"), "left").withColumn(
+        "_part", F.pmod(F.xxhash64(spread_by), one)
     )
     copies = F.sequence(F.lit(0).cast("bigint"), one - 1)
     right = (
-        right.filter(F.col(right_key) >= 0)
-        .join(parts, F.col(right_key) == F.col("_heavy_key"), "left")
+        right.join(parts, F.col(right_key) == F.col("_heavy_key"), "left")
         .withColumn("_copy", F.explode(copies))
         .drop("_heavy_key", "_parts")
     )

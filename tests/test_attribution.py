@@ -3,6 +3,8 @@ from datetime import datetime, timedelta
 
 import pytest
 
+from callscope import session
+from callscope.operators import attribution
 from callscope.operators.attribution import attribute_payments, with_window_state
 from callscope.plans import marts
 
@@ -161,6 +163,40 @@ def test_window_state_and_collapse(spark):
     assert paid[1]["window_closes_at_utc"] == START + WINDOW
 
 
+@pytest.mark.parametrize("segments", [2, 7, 40])
+def test_one_second_in_many_segments(spark, monkeypatch, segments):
+    """All rows of one contract in one second, most of them equal; others around it."""
+    rng = random.Random(segments)
+    monkeypatch.setattr(attribution, "segments_for", lambda timeline, load: segments)
+    micro = timedelta(microseconds=1)
+    dispositions = [(i, "Kenya", 5, START + rng.randrange(30) * micro) for i in range(60)]
+    dispositions += [(100 + i, None, i % 9, START - timedelta(days=i % 5)) for i in range(40)]
+    payments = [(5, START + rng.randrange(60) * micro, "KES", float(rng.randrange(1, 3))) for _ in range(150)]
+    payments += [(5, START + timedelta(days=2), "KES", 1.0)] * 50
+    payments += [(i % 9, START + timedelta(days=i % 4), "UGX", 2.0) for i in range(30)]
+    same(attribute(spark, dispositions, payments, split_rows=1), by_hand(dispositions, payments))
+
+
+def test_segments_share_one_instant_evenly(spark):
+    """Equal rows of one contract and instant lie in all segments."""
+    rows = spark.range(60_000).selectExpr(
+        "1L as contract_id", "timestamp_ntz '2024-01-01 10:00:00' as at",
+        "cast(null as bigint) as call_log_id", "'KES' as currency", "5.0D as amount_local",
+    )
+    sizes = [r["count"] for r in attribution.in_segments(rows, 12).groupBy("segment").count().collect()]
+    assert len(sizes) == 12 and max(sizes) < 2 * 60_000 / 12
+
+
+def test_plan_without_heavy_contracts(spark):
+    """Each input is read once, and one shuffle on the contract brings both together."""
+    folder = session.shared_folder(spark, "plan")
+    spark.createDataFrame([(1, "Kenya", 1, START)], DISPOSITION).write.parquet(f"{folder}/d")
+    spark.createDataFrame([(1, START, "KES", 1.0)], PAYMENT).write.parquet(f"{folder}/p")
+    rows = attribute_payments(spark.read.parquet(f"{folder}/d"), spark.read.parquet(f"{folder}/p"))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2 and plan.count("Exchange") == 1
+
+
 def test_no_pairs(spark):
     dispositions = spark.range(100).selectExpr(
         "id as call_log_id", "'Kenya' as market", "id % 9 as contract_id",
