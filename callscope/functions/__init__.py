@@ -14,7 +14,7 @@ from callscope.functions.text import (
     strip_outer_whitespace,
     trim_blanks,
 )
-from callscope.functions.times import ntz, plus_days, window_close
+from callscope.functions.times import from_micros, micros, ntz, plus_days, window_close
 
 __all__ = [
     "CURRENCIES",
@@ -22,7 +22,9 @@ __all__ = [
     "MARKET_BY_CENTRE",
     "MARKET_BY_TENANT",
     "blank_to_null",
+    "from_micros",
     "label",
+    "micros",
     "note_to_id",
     "ntz",
     "plain_number",

@@ -16,16 +16,19 @@ from callscope.queries import ctes, deliveries, models
 from callscope.queries.registry import query, with_ctes
 from callscope.session import shared_folder
 from callscope.sources.tables import Tables, write_text
+from callscope.streaming import owners
 from callscope.streaming.ingest import refresh_stream
 
 _RUNS = (date(2024, 1, 12), date(2024, 1, 20), date(2024, 1, 31))
 _RATES = (("USD", 1.0), ("NGN", 811.7), ("KES", 133.7), ("TZS", 2533.9), ("UGX", 3791.3))
 _runs: dict[tuple[str, str, str], Tables] = {}
+_changes: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def forget_runs() -> None:
     """Let the next query run the job again."""
     _runs.clear()
+    _changes.clear()
 
 
 def _deliver(spark: SparkSession, sf_dir: str, raw_dir: str, after: date, upto: date) -> None:
@@ -205,3 +208,59 @@ def served_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("t2_streamed_paid_post_call", with_ctes(*ctes.ALL_PAID, select="SELECT * FROM fct_paid"))
 def streamed_paid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _streamed(spark, sf_dir).read(*daily.PAID).drop(daily.DISPOSED_DATE)
+
+
+_STORE = "spark.sql.streaming.stateStore.providerClass"
+_FAR = 10**18
+
+
+def _owner_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes of the streamed owners: rows arrive up to two days after the event, in three deliveries
+    whose last also holds a row of a far time, with which all windows close."""
+    key = ("owners", spark.sparkContext.applicationId, sf_dir)
+    if key in _changes:
+        return _changes[key]
+    base = shared_folder(spark, "owners")
+    rows = owners.arrivals(models.dispositions(spark, sf_dir), models.payments(spark, sf_dir))
+    delay = F.pmod(F.xxhash64("us", "call_log_id", "contract_id"), F.lit(2 * 86_400_000_000))
+    arrives = F.to_date(F.timestamp_micros(F.col("us") + delay))
+    end = spark.range(1).select(
+        F.lit(-1).cast("bigint").alias("contract_id"),
+        F.lit(_FAR // 1000 * 2).cast("bigint").alias("us"),
+        F.lit(-1).cast("bigint").alias("call_log_id"),
+        F.lit("").alias("market"),
+        F.lit("~").alias("currency"),
+        F.lit(1.0).alias("amount_local"),
+    )
+    old = spark.conf.get(_STORE)
+    spark.conf.set(_STORE, owners.PROVIDER)
+    try:
+        for (after, upto), last in zip(_spans(), (False, False, True), strict=True):
+            part = rows.filter((arrives > F.lit(after)) & (arrives <= F.lit(upto)))
+            part.write.parquet(f"{base}/in/{upto}")
+            if last:
+                end.write.mode("append").parquet(f"{base}/in/{upto}")
+            source = spark.readStream.schema(rows.schema).option("recursiveFileLookup", True).parquet(f"{base}/in")
+            owners.owner_changes(source, "2 days 1 second").writeStream.option(
+                "checkpointLocation", f"{base}/checkpoint"
+            ).trigger(availableNow=True).format("parquet").start(f"{base}/out").awaitTermination()
+    finally:
+        spark.conf.set(_STORE, old)
+    _changes[key] = spark.read.parquet(f"{base}/out")
+    return _changes[key]
+
+
+@query("t2_streamed_owners", with_ctes(*ctes.ALL_PAID, select="SELECT * FROM fct_paid"))
+def streamed_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paid post call from the changes of the stateful stream: opened, paid, retracted."""
+    return owners.paid_post_call_of(_owner_changes(spark, sf_dir), fx.AS_OF)
+
+
+@query(
+    "t2_closed_windows",
+    with_ctes(*ctes.ALL_PAID, select="SELECT call_log_id, attributed_payment_count AS payments FROM fct_paid"),
+)
+def closed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the stream says of each disposition when its window closes."""
+    changes = _owner_changes(spark, sf_dir)
+    return changes.filter("change = 'closed'").select("call_log_id", "payments")
