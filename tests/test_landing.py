@@ -136,6 +136,32 @@ def digest_of(spark, folder, text, split=None):
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
+def test_split_digests_merge(spark):
+    """However lines are dealt to splits and splits to tasks, the digest is that of the whole file."""
+    import random
+
+    lines = [f"line {i % 5}" for i in range(300)] + ["", "\r", "line 1\r"]
+
+    def digest(cuts, offset):
+        rows = [
+            ("f", start, (task << 33) + offset + i, text)
+            for task, (start, end) in enumerate(zip([0, *cuts], [*cuts, len(lines)], strict=True))
+            for i, text in enumerate(lines[start:end])
+        ]
+        random.Random(offset).shuffle(rows)
+        df = spark.createDataFrame(rows, "file string, start bigint, place bigint, value string")
+        return manifest.line_digests(df)
+
+    whole = digest([], 0)
+    plan = whole._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+    wanted = {tuple(r) for r in whole.collect()}
+    for cuts, offset in (([1], 0), ([7, 8, 150], 90_000), ([100, 200], 2**32 + 5)):
+        assert {tuple(r) for r in digest(cuts, offset).collect()} == wanted
+    lines[3], lines[4] = lines[4], lines[3]
+    assert {tuple(r) for r in digest([100], 0).collect()} != wanted
+
+
 def test_digest_notices_order_and_line_ends_but_not_splits(spark, folder):
     text = '1,"a\nb"\n2,c\n2,c\n1,"a\n'
     digest = digest_of(spark, folder, text)
