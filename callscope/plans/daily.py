@@ -56,7 +56,7 @@ def _last_as_of(tables: Tables) -> datetime | None:
 
 
 def land(
-    spark: SparkSession, tables: Tables, raw_dir: str, full_refresh: bool = False
+    spark: SparkSession, tables: Tables, raw_dir: str, full_refresh: bool = False, verify: bool = False
 ) -> list[Landed]:
     """All files on a full refresh or a first run, else the extracts with new, changed or removed files.
 
@@ -64,7 +64,7 @@ def land(
     lands the same files again and still knows which dates they touch.
     """
     known = None if full_refresh else manifest.known_files(tables)
-    tables.overwrite(manifest.file_hashes(spark, raw_dir, known), *manifest.SEEN)
+    tables.overwrite(manifest.file_hashes(spark, raw_dir, known, verify), *manifest.SEEN)
     if known is None:
         return landing.land_all(spark, tables, raw_dir)
     seen = tables.read(*manifest.SEEN)
@@ -241,11 +241,14 @@ def build(
         value_scope = attribution_scope.and_days_after(ATTRIBUTION_DAYS)
         written |= {PAID[1]: attribution_scope, VALUE[1]: value_scope, CODING[1]: coding_scope}
     rows |= build_drivers(tables, lookback(DRIVERS, touched[schemas.DISPOSITIONS]))
+    return rows
+
+
+def finish(tables: Tables, as_of: datetime) -> None:
+    """After the marts were published: a run that breaks off before this is repeated with the same scope."""
     if tables.exists(*RELANDED):
         tables.overwrite(tables.read(*RELANDED).limit(0), *RELANDED, [landing.EXTRACT_DATE])
-    # Last: a run that broke off before this is repeated with the same scope.
-    tables.overwrite(spark.range(1).select(ntz(as_of).alias("as_of")), *RUN_STATE)
-    return rows
+    tables.overwrite(tables.spark.range(1).select(ntz(as_of).alias("as_of")), *RUN_STATE)
 
 
 def source_checks(tables: Tables, landed: list[Landed] | None = None) -> list[quality.Check]:
@@ -312,24 +315,28 @@ def run_daily(
     split_rows: int = SPLIT_ROWS,
     max_blank_notes: float | None = None,
     providers: list[str] | None = None,
+    verify: bool = False,
 ) -> DailyReport:
     """Land what is new, load the day's rates, rebuild and check. ``as_of`` is naive UTC.
 
-    Steps follow each other; a failing check raises after its tables have been written. The drift
-    checks run if their limits are given.
+    Steps follow each other. The marts are written, checked and then published in one commit; a
+    failing check raises and leaves all marts as they were. The drift checks run if their limits are
+    given. With ``verify`` every delivered file is read to see whether it changed.
     """
     tables = Tables(spark, out_dir)
     first = full_refresh or manifest.known_files(tables) is None
-    report = DailyReport(land(spark, tables, raw_dir, full_refresh))
+    report = DailyReport(land(spark, tables, raw_dir, full_refresh, verify))
     if fx_payload:
         report.rows[schemas.FX_RATES] = fx.load_payload(tables, fx_payload, as_of)
     quality.run_checks(source_checks(tables, None if first else report.landed))
     written: dict[str, Scope] = {}
-    report.rows |= build(
-        spark, tables, report.landed, as_of, full_refresh, fx_rule, split_rows, written
-    )
-    drift = drift_checks(tables, max_blank_notes, providers)
-    quality.run_checks(mart_checks(tables, written) + drift)
+    with tables.publishing():
+        report.rows |= build(
+            spark, tables, report.landed, as_of, full_refresh, fx_rule, split_rows, written
+        )
+        drift = drift_checks(tables, max_blank_notes, providers)
+        quality.run_checks(mart_checks(tables, written) + drift)
+    finish(tables, as_of)
     manifest.remember(tables, tables.read(*manifest.SEEN))
     return report
 

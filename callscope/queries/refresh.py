@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from callscope import fixtures as fx
 from callscope import schemas
+from callscope.operators.quality import QualityError
 from callscope.plans import daily
 from callscope.queries import ctes, deliveries, models
 from callscope.queries.registry import query, with_ctes
@@ -210,6 +211,25 @@ def streamed_paid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _streamed(spark, sf_dir).read(*daily.PAID).drop(daily.DISPOSED_DATE)
 
 
+@query("d4_marts_after_failing_day", with_ctes(*ctes.ALL_PAID, select="SELECT * FROM fct_paid"))
+def after_failing_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All files in one run, then a day with more payments whose checks fail: the marts are those of before."""
+    base = shared_folder(spark, "failing")
+    payload = f"{base}/latest.json"
+    write_text(spark, payload, deliveries.payload(_RATES))
+    for after, upto in _spans():
+        _deliver(spark, sf_dir, f"{base}/raw", after, upto)
+    run = {"raw_dir": f"{base}/raw", "out_dir": f"{base}/out", "as_of": fx.AS_OF, "fx_payload": payload}
+    daily.run_daily(spark, **run)
+    more = fx.payments(spark, sf_dir).withColumn("amount", F.col("amount") + 1000)
+    deliveries.write_csv(more, f"{base}/raw", date(2024, 2, 1), schemas.PAYMENTS)
+    try:
+        daily.run_daily(spark, **run, providers=["none of these"])
+        raise RuntimeError("a day with payments of unknown providers was published")
+    except QualityError:
+        return Tables(spark, f"{base}/out").read(*daily.PAID).drop(daily.DISPOSED_DATE)
+
+
 _STORE = "spark.sql.streaming.stateStore.providerClass"
 _FAR = 10**18
 

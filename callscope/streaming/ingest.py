@@ -78,6 +78,9 @@ def refresh_stream(
 
     def rebuild(tables: Tables, landed: list[Landed]) -> None:
         if all(tables.exists("raw", name) for name in ENTITIES):
-            daily.build(spark, tables, landed, clock(), split_rows=split_rows)
+            as_of = clock()
+            with tables.publishing():
+                daily.build(spark, tables, landed, as_of, split_rows=split_rows)
+            daily.finish(tables, as_of)
 
     return ingest_stream(spark, raw_dir, out_dir, checkpoint, max_files, rebuild)

@@ -4,10 +4,11 @@ from datetime import date, datetime, timedelta
 
 import pytest
 import raw_files as rf
+from pyspark.sql import functions as F
 
 from callscope.operators.quality import QualityError, run_checks
 from callscope.plans import daily
-from callscope.sources.tables import Tables
+from callscope.sources.tables import Tables, list_files
 from callscope.streaming.ingest import ingest_stream, refresh_stream
 
 MARTS = (daily.ATTRIBUTION, *daily.MARTS)
@@ -147,6 +148,66 @@ def test_failed_run_is_repeated_with_the_same_files(world):
     assert set(world.paid()) == {1, 3}
 
 
+def test_marts_are_published_together_after_their_checks(world):
+    world.day(
+        "2024-01-05",
+        calls=[rf.call(1, "2024-01-05 09:00:00", note="1")],
+        dispositions=[rf.disposition(1, 10, "2024-01-05 10:00:00")],
+        payments=[rf.payment(10, "2024-01-05 11:00:00", 5)],
+    )
+    world.run("2024-01-05 23:00")
+    before = {t: world.rows(t) for t in daily.MARTS}
+    commits = world.tables.commits()
+    world.day(
+        "2024-01-06",
+        calls=[rf.call(2, "2024-01-06 09:00:00", note="2")],
+        dispositions=[rf.disposition(2, 10, "2024-01-06 10:00:00")],
+        payments=[rf.payment(10, "2024-01-06 11:00:00", 7)],
+    )
+    with pytest.raises(QualityError, match="accepted_values"):
+        world.run("2024-01-06 23:00", providers=["NOBODY"])
+    assert {t: world.rows(t) for t in daily.MARTS} == before
+    assert world.tables.commits() == commits
+    runs = {f.split("/run=")[1].split("/")[0] for f in list_files(world.spark, f"{world.out}/marts/*/run=*/*/*")}
+    assert len(runs) == 1  # what failed is gone
+    world.run("2024-01-06 23:00")
+    assert set(world.paid()) == {1, 2} and len(world.tables.commits()) == len(commits) + 1
+    world.assert_like_full_build("2024-01-06 23:00")
+
+
+def test_readers_see_the_last_commit_only(spark, folder):
+    tables, other = Tables(spark, folder), Tables(spark, folder)
+
+    def rows(n, extra=""):
+        return spark.sql(f"select id as n, date '2024-01-01' + int(id % 3) as day, 'x' as text {extra} from range({n})")
+
+    tables.overwrite(rows(6), "marts", "a", ["day"])
+    with tables.publishing():
+        only = date(2024, 1, 2)
+        tables.replace_partitions(rows(9).filter(F.col("day") == only), "marts", "a", ["day"], lambda p: p["day"] == str(only))
+        tables.overwrite(rows(2), "marts", "b")
+        assert (tables.read("marts", "a").count(), other.read("marts", "a").count()) == (7, 6)
+        assert not other.exists("marts", "b")
+    assert (other.read("marts", "a").count(), other.read("marts", "b").count()) == (7, 2)
+    assert other.dates("marts", "a", "day") == {date(2024, 1, d) for d in (1, 2, 3)}
+    tables.replace_partitions(rows(0), "marts", "a", ["day"], lambda p: p["day"] == "2024-01-03")
+    assert other.dates("marts", "a", "day") == {date(2024, 1, 1), date(2024, 1, 2)}
+    for n in range(4):
+        tables.overwrite(rows(n), "marts", "b")
+    assert other.read("marts", "a").count() == 5 and len(tables.commits()) == 3
+    database = f"c{os.path.basename(folder).replace('-', '_')}"
+    assert tables.register("marts", "a", database).count() == 5
+    tables.overwrite(rows(3, ", 1 as more"), "marts", "a", ["day"])
+    assert tables.register("marts", "a", database).select("more", "day").distinct().count() == 3
+    assert tables.register("marts", "b", database).count() == 3
+    with tables.publishing():
+        other.overwrite(rows(4), "marts", "b")
+        tables.overwrite(rows(5), "marts", "b")
+        with pytest.raises(Exception, match="xist"):
+            tables._commit()
+        tables._open = (tables._open[0] + 1, *tables._open[1:])
+
+
 def test_unknown_currency_fails_the_run(world):
     world.day(
         "2024-01-05",
