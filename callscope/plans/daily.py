@@ -18,7 +18,8 @@ from callscope.operators.skew import SPLIT_ROWS
 from callscope.plans import incremental, intermediate, marts, staging
 from callscope.plans.incremental import Scope
 from callscope.plans.marts import FxRule
-from callscope.sources import fx, landing, manifest
+from callscope.sources import fx, key_index, landing, manifest
+from callscope.sources.key_index import BUCKET
 from callscope.sources.landing import EVENT_DATE, Landed, read_raw
 from callscope.sources.tables import Tables
 
@@ -28,8 +29,8 @@ CODING = ("marts", "fct_coding_rate")
 PAID = ("marts", "fct_paid_post_call")
 VALUE = ("marts", "fct_value_recovered_usd")
 DRIVERS = ("marts", "fct_inbound_call_drivers")
-# Ids named in notes, by call date; and ids of dispositions whose extracts are landed again.
-NOTED = ("intermediate", "int_noted_ids")
+# Ids named in notes, by call date and bucket; and ids of dispositions whose extracts are landed again.
+NOTED = ("intermediate", "int_note_index")
 RELANDED = ("intermediate", "relanded_ids")
 MARTS = (CODING, PAID, VALUE, DRIVERS, DIM_AGENT)
 RUN_STATE = ("intermediate", "run_state")
@@ -150,19 +151,53 @@ def coding_dates(tables: Tables, landed: list[Landed]) -> set[date]:
     found: set[date] = set()
     days = {d for load in landed if load.table == schemas.DISPOSITIONS for d in load.days}
     if days and tables.exists(*NOTED):
-        ids = _ids_of_extracts(tables, days)
-        if tables.exists(*RELANDED):
-            ids = ids.unionByName(tables.read(*RELANDED))
-        named = tables.read(*NOTED).join(ids, F.col("candidate_call_log_id") == F.col("call_log_id"), "left_semi")
+        named = notes_naming(tables, days)
         found |= {r[CALL_DATE] for r in named.select(CALL_DATE).distinct().collect()}
     if tables.exists(*CODING) and any(load.table == schemas.AGENT_MAPPING for load in landed):
         old, new = tables.read(*DIM_AGENT), _agents(tables).select(tables.read(*DIM_AGENT).columns)
         other = old.exceptAll(new).union(new.exceptAll(old)).select("ameyo_user_id").distinct()
-        touched = tables.read(*CODING).join(other, "ameyo_user_id", "left_semi")
-        found |= {r[CALL_DATE] for r in touched.select(CALL_DATE).distinct().collect()}
+        if not other.isEmpty():
+            touched = tables.read(*CODING).join(other, "ameyo_user_id", "left_semi")
+            found |= {r[CALL_DATE] for r in touched.select(CALL_DATE).distinct().collect()}
     return found - {None}
 
 
+def notes_naming(tables: Tables, days: Iterable[str]) -> DataFrame:
+    """Note ids, with their call date, that name a disposition which these extracts have or had.
+
+    Only the buckets of these dispositions are opened, of the index of notes too.
+    """
+    key_index.ensure(tables, schemas.DISPOSITIONS)
+    buckets = key_index.buckets_of_extracts(tables, schemas.DISPOSITIONS, days)
+    landed = key_index.of_extracts(tables, schemas.DISPOSITIONS, days)
+    ids = landed.select(F.col(key_index.KEY).try_cast("bigint").alias("call_log_id"))
+    if tables.exists(*RELANDED):
+        before = tables.read(*RELANDED).select("call_log_id")
+        of_key = key_index.bucket_of(F.col("call_log_id")).alias(BUCKET)
+        # As many as there are buckets.
+        buckets |= {r[BUCKET] for r in before.select(of_key).distinct().collect()}
+        ids = ids.unionByName(before)
+    noted = key_index.in_buckets(tables.read(*NOTED), buckets)
+    return noted.join(ids.distinct(), F.col("candidate_call_log_id") == F.col("call_log_id"), "left_semi")
+
+
+def dispositions_named(tables: Tables, scope: Scope) -> DataFrame:
+    """Id, contract and time of the dispositions named in notes of the call dates in scope.
+
+    They come from the index, from the buckets that these notes have.
+    """
+    in_scope = scope.has_partition(CALL_DATE)
+    days = {d for d in tables.first_values(*NOTED) if in_scope({CALL_DATE: d})}
+    buckets = key_index.buckets_of(tables.partitions(*NOTED, days))
+    noted = tables.read(*NOTED).filter(scope.holds(F.col(CALL_DATE)))
+    named = noted.select("candidate_call_log_id").distinct()
+    key_index.ensure(tables, schemas.DISPOSITIONS)
+    known = key_index.in_buckets(tables.read("index", schemas.DISPOSITIONS), buckets)
+    return staging.stg_disposition_keys(known).join(
+        named, F.col("call_log_id") == F.col("candidate_call_log_id"), "left_semi"
+    )
+
+
 def _agents(tables: Tables) -> DataFrame:
     return marts.dim_agent(staging.stg_agent_mapping(read_raw(tables, schemas.AGENT_MAPPING)))
 
@@ -170,7 +205,7 @@ def _agents(tables: Tables) -> DataFrame:
 def build_coding(tables: Tables, scope: Scope, split_rows: int = SPLIT_ROWS) -> dict[str, int]:
     """Agents, few and rebuilt whole, and the coding rate of the call dates in scope.
 
-    Of all dispositions only those that a note in scope names take part in the join.
+    Only the dispositions that a note in scope names take part in the join, without reading others.
     """
     agents = tables.overwrite(_agents(tables), *DIM_AGENT)
     calls = staging.stg_calls(raw_of(tables, schemas.CALLS, scope))
@@ -178,11 +213,9 @@ def build_coding(tables: Tables, scope: Scope, split_rows: int = SPLIT_ROWS) ->
         "candidate_call_log_id", F.to_date("called_at_local").alias(CALL_DATE)
     )
     noted = noted.filter(F.col("candidate_call_log_id").isNotNull()).distinct()
-    incremental.rebuild(tables, noted, *NOTED, CALL_DATE, scope)
-    named = tables.read(*NOTED).filter(scope.holds(F.col(CALL_DATE))).select("candidate_call_log_id").distinct()
-    dispositions = staging.stg_dispositions(read_raw(tables, schemas.DISPOSITIONS))
-    dispositions = dispositions.join(named, F.col("call_log_id") == F.col("candidate_call_log_id"), "left_semi")
-    coded = intermediate.int_calls_coded(calls, dispositions, split_rows)
+    noted = noted.withColumn(BUCKET, key_index.bucket_of(F.col("candidate_call_log_id")))
+    incremental.rebuild(tables, noted, *NOTED, CALL_DATE, scope, [BUCKET])
+    coded = intermediate.int_calls_coded(calls, dispositions_named(tables, scope), split_rows)
     coding = marts.fct_coding_rate(coded, tables.read(*DIM_AGENT))
     rows = incremental.rebuild(tables, coding, *CODING, CALL_DATE, scope)
     return {DIM_AGENT[1]: agents, CODING[1]: rows}
@@ -254,16 +287,16 @@ def finish(tables: Tables, as_of: datetime) -> None:
 def source_checks(tables: Tables, landed: list[Landed] | None = None) -> list[quality.Check]:
     """Keys of calls and dispositions; with ``landed`` only of the extracts that landed.
 
-    Whether a landed key is unique is asked of all rows, of which only those with such a key move.
+    Whether a landed key is unique is asked of the key index, in the buckets of the landed keys.
     """
     checks = []
     for table, key in ((schemas.CALLS, "ch_call_id"), (schemas.DISPOSITIONS, "call_log_id")):
-        rows = read_raw(tables, table)
-        fresh = rows
+        rows = fresh = read_raw(tables, table)
         if landed is not None:
-            days = sorted({d for load in landed if load.table == table for d in load.days})
-            fresh = rows.filter(F.col(landing.EXTRACT_DATE).isin(days)) if days else rows.limit(0)
-            rows = rows.join(fresh.select(key).distinct(), key, "left_semi")
+            key_index.ensure(tables, table)
+            days = {d for load in landed if load.table == table for d in load.days}
+            fresh = rows.filter(F.col(landing.EXTRACT_DATE).isin(sorted(days)))
+            rows = key_index.sharing_keys(tables, table, days).withColumnRenamed(key_index.KEY, key)
         checks += [quality.unique(table, rows, key), quality.not_null(table, fresh, key)]
     return checks
 

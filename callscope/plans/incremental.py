@@ -101,9 +101,18 @@ def attribution_scope(
 
 
 def rebuild(
-    tables: Tables, df: DataFrame, schema: str, table: str, day: str, scope: Scope
+    tables: Tables,
+    df: DataFrame,
+    schema: str,
+    table: str,
+    day: str,
+    scope: Scope,
+    then_by: Iterable[str] = (),
 ) -> int:
     """Replace the dates in scope by ``df``, which holds all their rows."""
+    by = [day, *then_by]
     if scope.is_everything:
-        return tables.overwrite(df, schema, table, [day])
-    return tables.replace_partitions(df, schema, table, [day], scope.has_partition(day))
+        return tables.overwrite(df, schema, table, by)
+    in_scope = scope.has_partition(day)
+    days = {v for v in tables.first_values(schema, table) if in_scope({day: v})}
+    return tables.replace_partitions(df, schema, table, by, in_scope, days)

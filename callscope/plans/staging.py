@@ -69,6 +69,15 @@ def stg_dispositions(raw: DataFrame) -> DataFrame:
     )
 
 
+def stg_disposition_keys(entries: DataFrame) -> DataFrame:
+    """What coding needs of dispositions, from entries of their key index."""
+    return entries.select(
+        F.col("key").cast("bigint").alias("call_log_id"),
+        F.col("contract_id").cast("bigint").alias("contract_id"),
+        F.col("created_timestamp_utc").cast("timestamp_ntz").alias("disposed_at_utc"),
+    )
+
+
 def stg_payments(raw: DataFrame) -> DataFrame:
     """One row per payment, in local currency. Bad amounts and odd providers stay in."""
     raw = unify_lineage(raw)

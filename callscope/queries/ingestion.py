@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 
 from callscope import fixtures as fx
 from callscope import schemas
+from callscope.operators import quality
 from callscope.operators.rates import latest_rates
 from callscope.plans import daily, marts, staging
 from callscope.queries import ctes, deliveries, models
 from callscope.queries.registry import query, with_ctes
 from callscope.session import shared_folder
 from callscope.sources import fx as fx_source
-from callscope.sources import landing, manifest
+from callscope.sources import key_index, landing, manifest
 from callscope.sources.tables import Tables
 from callscope.streaming.ingest import ingest_stream
 
@@ -131,6 +132,29 @@ def changed_files_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "d1_duplicates_of_an_extract",
+    with_ctes(
+        fx.DISPOSITIONS_SQL,
+        select="""
+        SELECT call_log_id::VARCHAR AS call_log_id, count(*) + 1 AS n FROM raw_dispositions
+        WHERE call_log_id % 50 = 0 GROUP BY call_log_id""",
+    ),
+)
+def duplicates_of_an_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second day delivers some dispositions again; the key index finds them."""
+    raw_dir, tables = _folder(spark, "duplicates")
+    name = schemas.DISPOSITIONS
+    paths = [f"{raw_dir}/{day}/{name}.csv" for day in (DAY_ONE, DAY_TWO)]
+    deliveries.deliver(spark, sf_dir, raw_dir, DAY_ONE, {name: "true"})
+    landing.land_files(spark, tables, raw_dir, paths[:1])
+    deliveries.deliver(spark, sf_dir, raw_dir, DAY_TWO, {name: "call_log_id % 50 = 0"})
+    landed = landing.land_files(spark, tables, raw_dir, paths[1:])
+    days = {day for load in landed for day in load.days}
+    rows = key_index.sharing_keys(tables, name, days).withColumnRenamed(key_index.KEY, "call_log_id")
+    return quality.unique(name, rows, "call_log_id").violations
+
+
 @query(
     "s5_lineage_of_payments",
     """

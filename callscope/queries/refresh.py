@@ -133,6 +133,23 @@ def daily_coding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _daily(spark, sf_dir).read(*daily.CODING)
 
 
+@query(
+    "i2_dates_recoded",
+    with_ctes(
+        *ctes.ALL_CODED,
+        select=f"""
+        SELECT DISTINCT called_at_local::DATE AS call_date FROM coded
+        WHERE matched_disposed_at_utc::DATE + (matched_call_log_id % 3)::INTEGER > DATE '{_RUNS[-2]}'""",
+    ),
+)
+def dates_recoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Call dates that the last day's dispositions code anew, from the two indexes."""
+    tables = _daily(spark, sf_dir)
+    last = max(tables.first_values("raw", schemas.DISPOSITIONS))
+    named = daily.notes_naming(tables, {last})
+    return named.select(daily.CALL_DATE).distinct()
+
+
 @query("i6_rerun_paid_post_call", with_ctes(*ctes.ALL_PAID, select="SELECT * FROM fct_paid"))
 def rerun_paid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last run again, over files that it has seen."""

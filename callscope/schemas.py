@@ -26,6 +26,9 @@ class Entity:
     event_time: str | None = None
     #: Values may hold line ends. Such a file is read by one task; parts of an extract are parallel.
     multi_line: bool = False
+    #: Unique column, and the columns kept with it in the key index.
+    key: str | None = None
+    indexed: tuple[str, ...] = ()
 
     @property
     def file_name(self) -> str:
@@ -50,6 +53,7 @@ ENTITIES: dict[str, Entity] = {
             ),
             "ch_date_added",
             multi_line=True,
+            key="ch_call_id",
         ),
         Entity(
             DISPOSITIONS,
@@ -66,6 +70,8 @@ ENTITIES: dict[str, Entity] = {
                 "level_three",
             ),
             "created_timestamp_utc",
+            key="call_log_id",
+            indexed=("contract_id", "created_timestamp_utc"),
         ),
         Entity(
             PAYMENTS,

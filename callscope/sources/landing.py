@@ -22,9 +22,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from callscope.schemas import ENTITIES, Entity
+from callscope.sources import key_index
+from callscope.sources.key_index import EXTRACT_DATE
 from callscope.sources.tables import Tables, list_files
 
-EXTRACT_DATE, EVENT_DATE = "extract_date", "event_date"
+EVENT_DATE = "event_date"
 # Without pruning a malformed row fails whichever columns are used.
 _CSV = {"quote": '"', "escape": '"', "mode": "FAILFAST", "header": True, "columnPruning": False}
 # A file whose header differs from the one planned for its folder fails instead of being misread.
@@ -160,6 +162,7 @@ def land_all(spark: SparkSession, tables: Tables, raw_dir: str) -> list[Landed]:
             entity.name,
             [EXTRACT_DATE, EVENT_DATE],
         )
+        key_index.update(tables, entity.name)
         dates = _event_dates(tables, entity, None)
         days = frozenset(days_of(files, entity))
         report.append(Landed(entity.name, len(files), rows, frozenset(dates), days))
@@ -196,6 +199,7 @@ def land_files(
             in_scope=lambda p, days=days: p[EXTRACT_DATE] in days,
             first=days,
         )
+        key_index.update(tables, entity.name, days)
         after = _event_dates(tables, entity, days)
         touched = frozenset(before | after)
         report.append(Landed(entity.name, len(files), rows, touched, frozenset(days)))

@@ -79,6 +79,13 @@ class Tables:
             return []
         return [p for p, _ in _partitions(self.spark, path, first)]
 
+    def first_values(self, schema: str, table: str) -> set[str | None]:
+        """Values of the first partition column; folders below are not listed."""
+        if schema in PUBLISHED:
+            return {next(iter(p.values())) for p in self.partitions(schema, table)}
+        path = self.path(schema, table)
+        return {v for _, v, _ in _subfolders(self.spark, path)} if _exists(self.spark, path) else set()
+
     def dates(self, schema: str, table: str, column: str) -> set[date]:
         values = {p[column] for p in self.partitions(schema, table)}
         return {date.fromisoformat(v) for v in values if v is not None}
@@ -343,6 +350,17 @@ def _partitions(
     spark: SparkSession, path: str, first: Collection[str] | None = None
 ) -> list[tuple[Partition, str]]:
     """Leaf partition folders, depth first; stops at folders that hold files only."""
+    found = []
+    for column, value, folder in _subfolders(spark, path):
+        if first is not None and value not in first:
+            continue
+        below = _partitions(spark, folder)
+        found += [({column: value, **v}, f) for v, f in below] or [({column: value}, folder)]
+    return found
+
+
+def _subfolders(spark: SparkSession, path: str) -> list[tuple[str, str | None, str]]:
+    """Column, value and path of the partition folders directly below."""
     fs, at = file_system(spark, path)
     found = []
     for status in fs.listStatus(at):
@@ -351,11 +369,7 @@ def _partitions(
             continue
         column, text = name.split("=", 1)
         value = None if text == NULL_PARTITION else unquote(text)
-        if first is not None and value not in first:
-            continue
-        folder = status.getPath().toString()
-        below = _partitions(spark, folder)
-        found += [({column: value, **v}, f) for v, f in below] or [({column: value}, folder)]
+        found.append((column, value, status.getPath().toString()))
     return found
 
 
