@@ -15,7 +15,7 @@ from callscope.functions.times import ATTRIBUTION_DAYS
 from callscope.operators import quality
 from callscope.operators.coding import with_candidate_id
 from callscope.operators.skew import SPLIT_ROWS
-from callscope.plans import incremental, intermediate, marts, staging
+from callscope.plans import incremental, intermediate, marts, restate, staging
 from callscope.plans.incremental import Scope
 from callscope.plans.marts import FxRule
 from callscope.sources import fx, key_index, landing, manifest
@@ -34,6 +34,13 @@ NOTED = ("intermediate", "int_note_index")
 RELANDED = ("intermediate", "relanded_ids")
 MARTS = (CODING, PAID, VALUE, DRIVERS, DIM_AGENT)
 RUN_STATE = ("intermediate", "run_state")
+# Date column and key of the marts whose changes can be kept.
+CHANGE_KEYS = {
+    CODING: ("call_date", "coding_rate_id"),
+    PAID: ("disposed_date", "call_log_id"),
+    VALUE: ("call_date", "value_recovered_id"),
+    DRIVERS: ("call_date", "driver_id"),
+}
 
 DISPOSED_DATE = "disposed_date"
 CALL_DATE = "call_date"
@@ -349,12 +356,14 @@ def run_daily(
     max_blank_notes: float | None = None,
     providers: list[str] | None = None,
     verify: bool = False,
+    keep_changes: Iterable[tuple[str, str]] = (),
 ) -> DailyReport:
     """Land what is new, load the day's rates, rebuild and check. ``as_of`` is naive UTC.
 
     Steps follow each other. The marts are written, checked and then published in one commit; a
     failing check raises and leaves all marts as they were. The drift checks run if their limits are
-    given. With ``verify`` every delivered file is read to see whether it changed.
+    given. With ``verify`` every delivered file is read to see whether it changed. Of the marts in
+    ``keep_changes`` the differences from what was published before are kept (``plans.restate``).
     """
     tables = Tables(spark, out_dir)
     first = full_refresh or manifest.known_files(tables) is None
@@ -369,6 +378,8 @@ def run_daily(
         )
         drift = drift_checks(tables, max_blank_notes, providers)
         quality.run_checks(mart_checks(tables, written) + drift)
+        for mart in keep_changes:
+            restate.keep(tables, mart, *CHANGE_KEYS[mart])
     finish(tables, as_of)
     manifest.remember(tables, tables.read(*manifest.SEEN))
     return report

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from callscope import fixtures as fx
 from callscope import schemas
 from callscope.operators.quality import QualityError
-from callscope.plans import daily
+from callscope.plans import daily, restate
 from callscope.queries import ctes, deliveries, models
 from callscope.queries.registry import query, with_ctes
 from callscope.session import shared_folder
@@ -66,6 +66,7 @@ def _daily(spark: SparkSession, sf_dir: str) -> Tables:
                 f"{base}/out",
                 deliveries.midnight(run),
                 fx_payload=payload,
+                keep_changes=[daily.PAID],
             )
         _runs[key] = Tables(spark, f"{base}/out")
     return _runs[key]
@@ -150,6 +151,51 @@ def dates_recoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select(daily.CALL_DATE).distinct()
 
 
+_SEEN = f"<= DATE '{_RUNS[1]}'"
+# Paid post call as the second run published it: of the rows that had arrived, at that run's clock.
+_PUBLISHED_SQL = with_ctes(
+    fx.DISPOSITIONS_SQL.replace("raw_dispositions AS", "all_dispositions AS"),
+    fx.PAYMENTS_SQL.replace("raw_payments AS", "all_payments AS"),
+    f"""raw_dispositions AS (SELECT * FROM all_dispositions
+        WHERE created_timestamp_utc::DATE + (call_log_id % 3)::INTEGER {_SEEN})""",
+    f"""raw_payments AS (SELECT * FROM all_payments
+        WHERE pay_timestamp_utc::DATE + (contract_id % 3)::INTEGER {_SEEN})""",
+    ctes.STG_DISPOSITIONS,
+    ctes.STG_PAYMENTS,
+    ctes.ATTRIBUTION.replace(fx.AS_OF_SQL, f"TIMESTAMP '{_RUNS[1]} 00:00:00'"),
+    ctes.FCT_PAID,
+    select="SELECT *, disposed_at_utc::DATE AS day FROM fct_paid",
+)
+
+
+@query(
+    "t3_restated_paid_post_call",
+    with_ctes(
+        f"old AS ({_PUBLISHED_SQL})",
+        *ctes.ALL_PAID,
+        "new AS (SELECT *, disposed_at_utc::DATE AS day FROM fct_paid WHERE disposed_at_utc::DATE IN (SELECT day FROM old))",
+        select="""
+        SELECT day AS published_date,
+               count(*) FILTER (o.call_log_id IS NULL) AS added,
+               count(*) FILTER (n.call_log_id IS NULL) AS removed,
+               count(*) FILTER (o.call_log_id = n.call_log_id) AS changed,
+               coalesce(sum(o.is_paid_post_call::BIGINT), 0)::BIGINT AS paid_before,
+               coalesce(sum(n.is_paid_post_call::BIGINT), 0)::BIGINT AS paid_after,
+               coalesce(sum(o.attributed_payment_count), 0)::BIGINT AS payments_before,
+               coalesce(sum(n.attributed_payment_count), 0)::BIGINT AS payments_after
+        FROM old o FULL JOIN new n USING (day, call_log_id)
+        WHERE (o.call_log_id, o.is_window_closed, o.attributed_payment_count)
+          IS DISTINCT FROM (n.call_log_id, n.is_window_closed, n.attributed_payment_count)
+        GROUP BY day""",
+    ),
+)
+def restated_paid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the third run moved on dates that the second had published."""
+    kept = restate.changes(_daily(spark, sf_dir), daily.PAID, [len(_RUNS)])
+    paid = F.col("row.is_paid_post_call").cast("bigint")
+    return restate.moved(kept, paid=paid, payments=F.col("row.attributed_payment_count")).drop(restate.COMMIT)
+
+
 @query("i6_rerun_paid_post_call", with_ctes(*ctes.ALL_PAID, select="SELECT * FROM fct_paid"))
 def rerun_paid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last run again, over files that it has seen."""

@@ -171,6 +171,19 @@ class Tables:
         finally:
             self._open = None
 
+    def number_under_way(self) -> int:
+        """Number of the commit that is being prepared."""
+        return self._open[0]
+
+    def replaced(self, schema: str, table: str) -> tuple[DataFrame, DataFrame]:
+        """Partitions of the last commit that the one under way replaces: as they were, and as they
+        will be. A table that was not published before has none."""
+        new = self._open[2][f"{schema}.{table}"]
+        old = self._last_commit()[1].get(f"{schema}.{table}", {"schema": new["schema"], "parts": {}})
+        changed = [p for p, run in old["parts"].items() if new["parts"].get(p) != run]
+        still = [p for p in changed if p in new["parts"]]
+        return self._read_version(schema, table, old, changed), self._read_version(schema, table, new, still)
+
     def commits(self) -> list[int]:
         """Numbers of the commits there are, oldest first."""
         return sorted(int(p.rsplit("/", 1)[1].removesuffix(".json")) for p in list_files(self.spark, f"{self.root}/_commits/*.json"))
@@ -216,13 +229,17 @@ class Tables:
                             _delete(self.spark, leaf)
 
     def _read_published(self, schema: str, table: str) -> DataFrame:
-        written = self.schema(schema, table)
+        entry = self._state()[f"{schema}.{table}"]
+        return self._read_version(schema, table, entry, entry["parts"])
+
+    def _read_version(self, schema: str, table: str, entry: dict, parts: Iterable[str]) -> DataFrame:
+        """These partitions as one commit's entry has them."""
+        written = T.StructType.fromJson(entry["schema"])
         path = self.path(schema, table)
-        parts = self._state()[f"{schema}.{table}"]["parts"]
-        if not parts:
-            return self.spark.createDataFrame([], written)
         # one path per date: as many as the calendar has
-        paths = [f"{path}/run={run}/{part}".rstrip("/") for part, run in parts.items()]
+        paths = [f"{path}/run={entry['parts'][part]}/{part}".rstrip("/") for part in parts]
+        if not paths:
+            return self.spark.createDataFrame([], written)
         run = T.StructField("run", T.StringType())
         rows = self.spark.read.schema(T.StructType([*written.fields, run])).option("basePath", path).parquet(*paths)
         return rows.select(*written.names)
