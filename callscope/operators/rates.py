@@ -1,10 +1,29 @@
-"""Exchange rates per currency: the latest one, or the one nearest to a date."""
+"""Exchange rates per currency: the latest one, or the one nearest to a date; as known at a time."""
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from callscope.functions import ntz
+
+
+def known_rates(versions: DataFrame, known_at: datetime) -> DataFrame:
+    """Of each date and currency the rate fetched last by ``known_at``, naive UTC, inclusive.
+
+    A rate without a time of fetching was never known. Two fetches at one instant: the larger rate.
+    """
+    others = [c for c in versions.columns if c not in ("rate_date", "currency")]
+    newest = F.max(F.struct("fetched_at", *[c for c in others if c != "fetched_at"])).alias("v")
+    return (
+        versions.filter(F.col("fetched_at") <= ntz(known_at))
+        .groupBy("rate_date", "currency")
+        .agg(newest)
+        .select(*[F.col(f"v.{c}") if c in others else F.col(c) for c in versions.columns])
+    )
+
 
 def latest_rates(rates: DataFrame) -> DataFrame:
     """One row per currency."""

@@ -129,13 +129,16 @@ def build_attribution(
     return {ATTRIBUTION[1]: attributed, PAID[1]: calls}
 
 
-def build_value(tables: Tables, scope: Scope, fx_rule: FxRule = "latest") -> dict[str, int]:
+def build_value(
+    tables: Tables, scope: Scope, fx_rule: FxRule = "latest", known_at: datetime | None = None
+) -> dict[str, int]:
     """Value recovered, by payment date, after the disposition dates in scope were rebuilt.
 
     These can own payments of the three days after them. Those payment dates are summed again from
-    all dispositions that can own their payments. A payment without a rate fails the run.
+    all dispositions that can own their payments. A payment without a rate fails the run. With
+    ``known_at`` only rates fetched by then are used.
     """
-    rates = fx.read_rates(tables)
+    rates = fx.read_rates(tables, known_at)
     attribution = tables.read(*ATTRIBUTION)
     disposed = F.col(DISPOSED_DATE)
     rebuilt = attribution.filter(scope.holds(disposed))
@@ -246,6 +249,7 @@ def build(
     fx_rule: FxRule = "latest",
     split_rows: int = SPLIT_ROWS,
     written: dict[str, Scope] | None = None,
+    rates_as_known: bool = False,
 ) -> dict[str, int]:
     """Bring intermediate and mart tables up to date with raw. Returns rows written per table.
 
@@ -275,7 +279,7 @@ def build(
     )
     coding_scope = lookback(CODING, recoded)
     rows = build_attribution(tables, attribution_scope, as_of, split_rows)
-    rows |= build_value(tables, attribution_scope, fx_rule)
+    rows |= build_value(tables, attribution_scope, fx_rule, as_of if rates_as_known else None)
     rows |= build_coding(tables, coding_scope, split_rows)
     if written is not None:
         value_scope = attribution_scope.and_days_after(ATTRIBUTION_DAYS)
@@ -357,6 +361,7 @@ def run_daily(
     providers: list[str] | None = None,
     verify: bool = False,
     keep_changes: Iterable[tuple[str, str]] = (),
+    rates_as_known: bool = False,
 ) -> DailyReport:
     """Land what is new, load the day's rates, rebuild and check. ``as_of`` is naive UTC.
 
@@ -364,6 +369,8 @@ def run_daily(
     failing check raises and leaves all marts as they were. The drift checks run if their limits are
     given. With ``verify`` every delivered file is read to see whether it changed. Of the marts in
     ``keep_changes`` the differences from what was published before are kept (``plans.restate``).
+    With ``rates_as_known`` payments are priced with the rates fetched by ``as_of``, so that a rerun
+    for an old day prices them as then.
     """
     tables = Tables(spark, out_dir)
     first = full_refresh or manifest.known_files(tables) is None
@@ -374,7 +381,7 @@ def run_daily(
     written: dict[str, Scope] = {}
     with tables.publishing():
         report.rows |= build(
-            spark, tables, report.landed, as_of, full_refresh, fx_rule, split_rows, written
+            spark, tables, report.landed, as_of, full_refresh, fx_rule, split_rows, written, rates_as_known
         )
         drift = drift_checks(tables, max_blank_notes, providers)
         quality.run_checks(mart_checks(tables, written) + drift)

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import uuid
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callscope import fixtures as fx
 from callscope import schemas
+from callscope.functions import plus_days
 from callscope.operators import quality
 from callscope.operators.rates import latest_rates
 from callscope.plans import daily, marts, staging
@@ -238,6 +239,72 @@ def fx_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.stg_fx_rates(fx_source.read_rates(tables))
 
 
+# Every date is fetched on its day, and from the twentieth on again two days later at twice the rate.
+_VERSIONS_SQL = """
+versions AS (
+  SELECT rate_date, currency, local_units_per_usd, rate_date::TIMESTAMP AS fetched_at FROM raw_fx
+  UNION ALL
+  SELECT rate_date, currency, 2 * local_units_per_usd, rate_date::TIMESTAMP + INTERVAL 2 DAY
+  FROM raw_fx WHERE rate_date >= DATE '2024-01-20'),
+known AS (
+  SELECT rate_date, currency, arg_max(local_units_per_usd, fetched_at) AS local_units_per_usd,
+         max(fetched_at) AS fetched_at
+  FROM versions WHERE fetched_at <= TIMESTAMP '2024-01-24 00:00:00' GROUP BY rate_date, currency)
+"""
+_KNOWN_AT = datetime(2024, 1, 24)
+
+
+def _fetched_twice(spark: SparkSession, sf_dir: str) -> Tables:
+    _, tables = _folder(spark, "fx-versions")
+    history = fx_history(spark, sf_dir)
+    fx_source.upsert_rates(tables, history)
+    again = history.filter(F.col("rate_date") >= F.lit(date(2024, 1, 20)))
+    later = {
+        "local_units_per_usd": F.col("local_units_per_usd") * 2,
+        "fetched_at": plus_days(F.col("fetched_at"), 2),
+    }
+    fx_source.upsert_rates(tables, again.withColumns(later))
+    return tables
+
+
+@query(
+    "s15_rates_as_known",
+    with_ctes(fx.FX_HISTORY_SQL, _VERSIONS_SQL, select="SELECT * FROM known"),
+)
+def rates_as_known(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history as it was known on a day, after later fetches have replaced rates."""
+    return staging.stg_fx_rates(fx_source.read_rates(_fetched_twice(spark, sf_dir), _KNOWN_AT))
+
+
+@query(
+    "g9_value_as_known",
+    with_ctes(
+        *ctes.ALL_ATTRIBUTION,
+        fx.FX_HISTORY_SQL,
+        _VERSIONS_SQL,
+        """paid_days AS (
+          SELECT DISTINCT pay_timestamp_utc::DATE AS call_date, currency FROM attribution
+          WHERE is_paid_post_call)""",
+        """nearest AS (
+          SELECT call_date, p.currency,
+                 arg_min(struct_pack(d := rate_date, r := local_units_per_usd),
+                         abs(call_date - rate_date) * 2 + (rate_date > call_date)::INTEGER) AS pick
+          FROM paid_days p JOIN known k ON p.currency = k.currency GROUP BY ALL)""",
+        select="""
+        SELECT call_date, market, max(pick.d) AS fx_rate_date_used,
+               round(sum(amount_local / pick.r), 4) AS value_recovered_usd
+        FROM attribution a JOIN nearest n
+          ON n.call_date = a.pay_timestamp_utc::DATE AND n.currency = a.currency
+        WHERE is_paid_post_call GROUP BY ALL""",
+    ),
+)
+def value_as_known(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Value at the rate nearest to each payment, of the rates known on a day."""
+    rates = fx_source.read_rates(_fetched_twice(spark, sf_dir), _KNOWN_AT)
+    value = marts.fct_value_recovered_usd(models.attribution(spark, sf_dir), rates, "nearest")
+    return models.money(value, "value_recovered_usd").drop("value_recovered_id")
+
+
 @query(
     "stg_fx_rates",
     with_ctes(

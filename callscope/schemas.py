@@ -15,6 +15,8 @@ DISPOSITIONS = "atlas_calls_dispositions"
 PAYMENTS = "atlas_payments"
 AGENT_MAPPING = "atlas_ameyo_mapping"
 FX_RATES = "fx_rates"
+# Every fetch of every rate; ``FX_RATES`` holds the last one of each date.
+FX_VERSIONS = "fx_rate_versions"
 
 
 @dataclass(frozen=True)

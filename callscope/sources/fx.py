@@ -11,11 +11,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callscope.functions import CURRENCIES, ntz
-from callscope.schemas import FX_RATES, FX_SCHEMA
+from callscope.operators.rates import known_rates
+from callscope.schemas import FX_RATES, FX_SCHEMA, FX_VERSIONS
 from callscope.sources.tables import Tables
 
 # Fixed value: name of the rate provider.
 SOURCE = "exchangerate-api.com"
+_VERSION = ["rate_date", "fetch"]
 _PAYLOAD = "result string, conversion_rates map<string,double>"
 
 
@@ -74,12 +76,24 @@ def stamp(payloads: DataFrame, fetched_at: datetime) -> DataFrame:
 def upsert_rates(tables: Tables, rows: DataFrame) -> int:
     """Replace the rates of the dates in ``rows``; other dates stay.
 
-    Partitions of dates without rows are untouched, so no date is in scope for removal.
+    Partitions of dates without rows are untouched, so no date is in scope for removal. What was
+    fetched before stays in the versions.
     """
-    columns = [F.col(f.name).cast(f.dataType) for f in FX_SCHEMA]
-    return tables.replace_partitions(
-        rows.select(*columns), "raw", FX_RATES, ["rate_date"], lambda p: False
-    )
+    rows = rows.select(*[F.col(f.name).cast(f.dataType) for f in FX_SCHEMA])
+    _keep_versions(tables, rows)
+    return tables.replace_partitions(rows, "raw", FX_RATES, ["rate_date"], lambda p: False)
+
+
+def _keep_versions(tables: Tables, rows: DataFrame) -> None:
+    """Add a fetch of the dates in ``rows``; the same fetch again replaces itself."""
+    if not tables.exists("raw", FX_VERSIONS) and tables.exists("raw", FX_RATES):
+        # rates loaded before versions were kept
+        tables.overwrite(_by_fetch(read_rates(tables)), "raw", FX_VERSIONS, _VERSION)
+    tables.replace_partitions(_by_fetch(rows), "raw", FX_VERSIONS, _VERSION, lambda p: False, first=())
+
+
+def _by_fetch(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("fetch", F.date_format("fetched_at", "yyyyMMdd'T'HHmmssSSSSSS"))
 
 
 def load_payload(tables: Tables, path: str, fetched_at: datetime) -> int:
@@ -91,6 +105,9 @@ def load_payload(tables: Tables, path: str, fetched_at: datetime) -> int:
     return upsert_rates(tables, stamp(payloads, fetched_at))
 
 
-def read_rates(tables: Tables) -> DataFrame:
-    """The rate history."""
-    return tables.read("raw", FX_RATES)
+def read_rates(tables: Tables, known_at: datetime | None = None) -> DataFrame:
+    """The rate history; with ``known_at`` as it was then, before later fetches of the same dates."""
+    if known_at is None or not tables.exists("raw", FX_VERSIONS):
+        rates = tables.read("raw", FX_RATES)
+        return rates if known_at is None else known_rates(rates, known_at)
+    return known_rates(tables.read("raw", FX_VERSIONS).drop("fetch"), known_at)

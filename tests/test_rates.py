@@ -4,8 +4,8 @@ import pytest
 import raw_files as rf
 
 from callscope.operators import quality
-from callscope.operators.rates import latest_rates, price_nearest
-from callscope.plans import marts
+from callscope.operators.rates import known_rates, latest_rates, price_nearest
+from callscope.plans import daily, marts
 from callscope.sources import fx
 from callscope.sources.tables import Tables
 
@@ -99,3 +99,61 @@ def test_payment_without_rate_fails(spark):
     with pytest.raises(quality.QualityError, match="rate for every attributed payment"):
         quality.require_rates(priced)
     assert marts.value_by_day(priced).head()["value_recovered_usd"] == 1 / 20
+
+
+def test_known_rates_by_both_times(spark):
+    versions = spark.sql(
+        "select date(d) as rate_date, c as currency, r as local_units_per_usd, cast(f as timestamp_ntz) as fetched_at"
+        " from values ('2024-01-01', 'KES', 1.0D, '2024-01-01 06:00:00'), ('2024-01-01', 'KES', 2.0D, '2024-01-03 06:00:00'),"
+        " ('2024-01-02', 'KES', 3.0D, '2024-01-02 06:00:00'), ('2024-01-02', 'UGX', 9.0D, null),"
+        " ('2024-01-01', 'KES', 1.5D, '2024-01-01 06:00:00') t(d, c, r, f)"
+    )
+
+    def known(at):
+        rows = known_rates(versions, datetime.fromisoformat(at)).collect()
+        return sorted((r["rate_date"].day, r["currency"], r["local_units_per_usd"]) for r in rows)
+
+    assert known("2024-01-01 05:59:59") == []
+    assert known("2024-01-01 06:00:00") == [(1, "KES", 1.5)]
+    assert known("2024-01-02 23:00:00") == [(1, "KES", 1.5), (2, "KES", 3.0)]
+    assert known("2024-02-01 00:00:00") == [(1, "KES", 2.0), (2, "KES", 3.0)]
+    assert known_rates(versions, datetime(2024, 1, 1, 6)).columns == versions.columns
+
+
+def test_versions_are_kept_and_replayed_loads_change_nothing(spark, folder):
+    tables = Tables(spark, folder)
+
+    def load(rate, fetched):
+        row = spark.sql(f"select date '2024-01-01' as rate_date, 'KES' as currency, {rate}D as local_units_per_usd,"
+                        f" timestamp_ntz '{fetched}' as fetched_at, 's' as source")
+        fx.upsert_rates(tables, row)
+
+    def rate(*known_at):
+        return [r["local_units_per_usd"] for r in fx.read_rates(tables, *known_at).collect()]
+
+    load(1.0, "2024-01-01 06:00:00")
+    for _ in range(2):
+        load(2.0, "2024-01-05 06:00:00.123456")
+    assert tables.read("raw", "fx_rate_versions").count() == 2
+    assert (rate(), rate(datetime(2024, 1, 4)), rate(datetime(2024, 1, 6))) == ([2.0], [1.0], [2.0])
+    assert rate(datetime(2023, 1, 1)) == []
+
+
+def test_rerun_for_an_old_day_prices_as_then(spark, folder):
+    rf.write_day(
+        f"{folder}/raw",
+        "2024-01-05",
+        dispositions=[rf.disposition(1, 10, "2024-01-05 10:00:00")],
+        payments=[rf.payment(10, "2024-01-05 11:00:00", 50)],
+    )
+    cheap = rf.write_text(f"{folder}/fx/later.json", rf.FX.replace("100.0", "25.0"))
+
+    def run(at, **options):
+        daily.run_daily(spark, f"{folder}/raw", f"{folder}/out", datetime.fromisoformat(at), **options)
+        (row,) = Tables(spark, f"{folder}/out").read(*daily.VALUE).collect()
+        return row["value_recovered_usd"]
+
+    assert run("2024-01-05 23:00", fx_payload=rf.write_text(f"{folder}/fx/first.json", rf.FX)) == 0.5
+    assert run("2024-01-07 23:00", fx_payload=cheap) == 2.0
+    assert run("2024-01-06 23:00", rates_as_known=True) == 0.5
+    assert run("2024-01-06 23:00") == 2.0
