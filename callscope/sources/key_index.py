@@ -74,7 +74,8 @@ def buckets_of_extracts(tables: Tables, table: str, days: Collection[str]) -> se
 
 
 def buckets_of(partitions: list[dict[str, str | None]]) -> set[int]:
-    return {int(p[BUCKET]) for p in partitions}
+    # A folder whose buckets are all gone has none.
+    return {int(p[BUCKET]) for p in partitions if p.get(BUCKET) is not None}
 
 
 def in_buckets(rows: DataFrame, buckets: Collection[int]) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 _SCHEMA_FILE = "_schema.json"
 Partition = dict[str, str | None]
-PUBLISHED = ("marts",)
+PUBLISHED = ("marts", "states")
 # Commits that may still be read: older folders are removed.
 KEPT_COMMITS = 3
 
@@ -121,7 +121,8 @@ class Tables:
             return self.overwrite(df, schema, table, keys)
         rows, written = _write(df, path, keys, dynamic=True)
         for values, folder in _partitions(self.spark, path, first):
-            key = tuple(values[k] for k in keys)
+            # A folder whose partitions are all gone has the first values only.
+            key = tuple(values.get(k) for k in keys)
             if in_scope(values) and key not in written:
                 _delete(self.spark, folder)
         return rows

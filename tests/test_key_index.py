@@ -128,6 +128,24 @@ def test_a_day_reads_no_history(world):
     assert coded == {f"2024-01-0{d}": 1 for d in range(1, 6)} | {"2024-02-20": 1, "2024-02-21": 1}
 
 
+def test_days_that_lose_all_their_notes_and_rows(world):
+    full = dict(
+        calls=[rf.call(n, f"2024-01-0{n} 10:00:00", str(n)) for n in (1, 2)],
+        dispositions=[rf.disposition(n, n, f"2024-01-0{n} 10:00:00") for n in (1, 2)],
+    )
+    world.day("2024-01-02", **full)
+    world.run("2024-01-02 23:00")
+    for _ in range(2):  # emptied, and emptied folders met again
+        world.day("2024-01-02", calls=[rf.call(1, "2024-01-01 10:00:00", "2")])
+        world.run("2024-01-03 23:00")
+        assert entries(world.tables) == []
+        world.day("2024-01-02")
+        world.run("2024-01-03 23:00")
+    world.day("2024-01-02", **full)
+    world.run("2024-01-03 23:00")
+    world.assert_like_full_build("2024-01-03 23:00")
+
+
 def test_warehouse_without_an_index(world):
     world.day("2024-01-05", calls=[rf.call(1, "2024-01-05 10:00:00", "7")], dispositions=[rf.disposition(1, 10, "2024-01-05 10:00:00")])
     world.run("2024-01-05 23:00")
