@@ -15,7 +15,7 @@ from callscope.functions.times import ATTRIBUTION_DAYS
 from callscope.operators import quality
 from callscope.operators.coding import with_candidate_id
 from callscope.operators.skew import SPLIT_ROWS
-from callscope.plans import incremental, intermediate, marts, restate, staging
+from callscope.plans import incremental, intermediate, marts, restate, staging, states
 from callscope.plans.incremental import Scope
 from callscope.plans.marts import FxRule
 from callscope.sources import fx, key_index, landing, manifest
@@ -281,10 +281,14 @@ def build(
     rows = build_attribution(tables, attribution_scope, as_of, split_rows)
     rows |= build_value(tables, attribution_scope, fx_rule, as_of if rates_as_known else None)
     rows |= build_coding(tables, coding_scope, split_rows)
+    drivers_scope = lookback(DRIVERS, touched[schemas.DISPOSITIONS])
+    rows |= build_drivers(tables, drivers_scope)
+    value_scope = attribution_scope.and_days_after(ATTRIBUTION_DAYS)
+    rebuilt = {PAID: attribution_scope, VALUE: value_scope, CODING: coding_scope, DRIVERS: drivers_scope}
+    for mart, scope in rebuilt.items():
+        states.rebuild(tables, mart, scope)
     if written is not None:
-        value_scope = attribution_scope.and_days_after(ATTRIBUTION_DAYS)
-        written |= {PAID[1]: attribution_scope, VALUE[1]: value_scope, CODING[1]: coding_scope}
-    rows |= build_drivers(tables, lookback(DRIVERS, touched[schemas.DISPOSITIONS]))
+        written |= {mart[1]: scope for mart, scope in rebuilt.items()}
     return rows
 
 

@@ -15,16 +15,29 @@ def coding_rate_overall(coding: DataFrame) -> DataFrame:
 
 def paid_post_call_overall(paid: DataFrame) -> DataFrame:
     """Share of paid dispositions among those whose window has closed."""
-    return (
-        settled(paid)
-        .agg(
+    return _with_paid_rate(
+        settled(paid).agg(
             F.count_if("is_paid_post_call").alias("paid_calls"),
             F.count("*").alias("assessable_calls"),
         )
-        .withColumn("paid_rate", F.col("paid_calls").cast("double") / F.col("assessable_calls"))
     )
 
 
+def paid_post_call_of_states(states: DataFrame) -> DataFrame:
+    """The same share from the mart's states."""
+    return _with_paid_rate(
+        settled(states).agg(
+            F.coalesce(F.sum("paid_calls"), F.lit(0)).alias("paid_calls"),
+            F.coalesce(F.sum("assessable_calls"), F.lit(0)).alias("assessable_calls"),
+        )
+    )
+
+
+def _with_paid_rate(counts: DataFrame) -> DataFrame:
+    rate = F.try_divide(F.col("paid_calls").cast("double"), F.col("assessable_calls"))
+    return counts.withColumn("paid_rate", rate)
+
+
 def settled(paid: DataFrame) -> DataFrame:
     """Only rows whose answer can no longer change."""
     return paid.filter("is_window_closed")

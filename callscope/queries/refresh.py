@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from callscope import fixtures as fx
 from callscope import schemas
 from callscope.operators.quality import QualityError
-from callscope.plans import daily, restate
+from callscope.plans import daily, restate, rollups, states
 from callscope.queries import ctes, deliveries, models
 from callscope.queries.registry import query, with_ctes
 from callscope.session import shared_folder
@@ -151,6 +151,75 @@ def dates_recoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select(daily.CALL_DATE).distinct()
 
 
+_CALLED = (date(1995, 1, 1), date(1996, 12, 31))
+_DISPOSED = (date(2024, 1, 10), date(2024, 1, 24))
+
+
+def _within(column: str, days: tuple[date, date]) -> str:
+    return f"{column} BETWEEN DATE '{days[0]}' AND DATE '{days[1]}'"
+
+
+@query(
+    "k1_coding_rate_of_a_period",
+    with_ctes(
+        *ctes.ALL_CODED,
+        select=f"""
+        SELECT count(*) FILTER (is_coded) AS coded_calls, count(*) AS total_calls,
+               count(*) FILTER (is_coded)::DOUBLE / count(*) AS coding_rate
+        FROM coded WHERE {_within("called_at_local::DATE", _CALLED)}""",
+    ),
+)
+def k1_of_a_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollups.coding_rate_overall(states.period(_daily(spark, sf_dir), daily.CODING, *_CALLED))
+
+
+@query(
+    "k2_paid_post_call_of_a_period",
+    with_ctes(
+        *ctes.ALL_PAID,
+        select=f"""
+        SELECT count(*) FILTER (is_paid_post_call) AS paid_calls, count(*) AS assessable_calls,
+               count(*) FILTER (is_paid_post_call)::DOUBLE / count(*) AS paid_rate
+        FROM fct_paid WHERE is_window_closed AND {_within("disposed_at_utc::DATE", _DISPOSED)}""",
+    ),
+)
+def k2_of_a_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollups.paid_post_call_of_states(states.period(_daily(spark, sf_dir), daily.PAID, *_DISPOSED))
+
+
+@query(
+    "k3_value_recovered_of_a_period",
+    with_ctes(
+        *ctes.ALL_VALUE,
+        select=f"""
+        SELECT market, grouping(market)::INTEGER AS is_total,
+               round(sum(amount_local / rate), 4) AS value_recovered_usd
+        FROM attribution LEFT JOIN newest USING (currency)
+        WHERE is_paid_post_call AND {_within("pay_timestamp_utc::DATE", _DISPOSED)}
+        GROUP BY ROLLUP (market)""",
+    ),
+)
+def k3_of_a_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    value = states.period(_daily(spark, sf_dir), daily.VALUE, *_DISPOSED)
+    return models.money(rollups.value_recovered_by_market(value), "value_recovered_usd")
+
+
+@query(
+    "a10_drill_down_of_a_period",
+    with_ctes(
+        *ctes.ALL_DRIVERS,
+        select=f"""
+        SELECT level_one, level_two, level_three,
+               grouping(level_one, level_two, level_three)::INTEGER AS depth_id,
+               count(*) AS call_count
+        FROM hierarchy WHERE {_within("disposed_at_utc::DATE", _DISPOSED)}
+        GROUP BY ROLLUP (level_one, level_two, level_three)""",
+    ),
+)
+def a10_of_a_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollups.driver_drill_down(states.period(_daily(spark, sf_dir), daily.DRIVERS, *_DISPOSED))
+
+
 _SEEN = f"<= DATE '{_RUNS[1]}'"
 # Paid post call as the second run published it: of the rows that had arrived, at that run's clock.
 _PUBLISHED_SQL = with_ctes(
