@@ -44,6 +44,11 @@ _TAG = re.compile(
     r"|<[a-zA-Z!?/][^>]*\Z",
     re.S,
 )
+_HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s=/]|$)", re.I)
+_QUOTED = re.compile(r"\"[^\"]*\"|'[^']*'")
+_STYLE = re.compile(r"""(?:^|\s)style\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_UNSEEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\b", re.I)
+_CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _NAMES = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
 _LATIN = re.compile(r"[A-Za-z\u00c0-\u024f]+")
@@ -73,6 +78,7 @@ _BLOCKS = _HEADINGS | frozenset(
 _SELF_CLOSING = frozenset("p li dt dd tr td th option".split())
 _NEVER = frozenset("nav aside footer menu dialog".split())
 _MAIN = frozenset(("article", "main"))
+_CONTAINERS = frozenset("article body center div form header main section table td".split())
 #: Words in a class, id or role of what surrounds an article.
 _SURROUNDING = frozenset(
     """
@@ -84,19 +90,58 @@ _SURROUNDING = frozenset(
 )
 
 
+#: Words for what stands above and below an article, unless the name speaks of the article too. What
+#: holds most of a page's text is neither that nor a form.
+_EDGES = frozenset("header top topbar bottom branding tagline copyright colophon".split())
+_OF_ARTICLE = frozenset("article entry post story content page section title".split())
+#: A name of one word may be joined of a place, one of these words, and a kind of container.
+_JOINED = re.compile(
+    r"(?:top|main|site|page|left|right|bottom|sub|side|user|post)?"
+    rf"({'|'.join(sorted(_SURROUNDING | _EDGES, key=len, reverse=True))})"
+    r"(?:s|bar|list|box|area|wrap|wrapper|container|section|block|panel|links?|items?|thread|body|text|left|right)?"
+)
+#: In a class or id, a word that tells the state of a page: comments-open.
+_STATES = frozenset("open closed enabled disabled allowed off on".split())
+#: Headings of lists that lead away from an article.
+_LEADING_AWAY = re.compile(
+    r"(?:related|recommended)(?: (?:articles?|posts?|stories|content|links|reading|news|pages|topics))?"
+    r"|(?:you (?:may|might) also (?:like|enjoy)|read (?:next|more|also)|more (?:stories|articles|posts)|more from .{1,60})",
+    re.I,
+)
+_NOTICE = re.compile(r"\s*(?:©|\(c\)|copyright\b)|.{0,200}\ball rights reserved\b", re.I | re.S)
+_SENTENCE = re.compile(r"(?:\S+\s+){3,}\S*[.!?…][\"'”’»)]*\Z|.*[。！？]\Z", re.S)
+
 #: Those that hold articles of their own: remarks and teasers.
 _BESIDE = frozenset("comment comments disqus respond replies reply sidebar aside".split())
 #: In a class or id, what comes after one of these is a property of the layout.
 _MODIFIERS = frozenset("has no with without".split())
 
 
+@dataclass
+class _Span:
+    """The blocks from ``begin`` to before ``end``, all of one container."""
+
+    begin: int
+    end: int
+    #: The container around it.
+    parent: int
+    #: Where its tag ends, and whether it is surroundings only if it doesn't hold most of the text.
+    at: int
+    weak: bool
+
+
 @dataclass
 class Block:
     text: str
     linked: int
-    heading: bool
+    #: Level of a heading, 0 for other blocks.
+    heading: int
     #: What _zone says; its first word is the kind.
     zone: str
+    #: Whether it is in a list.
+    listed: bool
+    #: The place of its container among the spans of the page.
+    within: int
 
     @property
     def aside(self) -> bool:
@@ -111,17 +156,38 @@ def _names(attributes: str) -> set[str]:
     """The words of class, id and role, without those after a modifier."""
     named = set()
     for m in _NAMES.finditer(attributes):
-        for token in (m[1] or m[2] or m[3] or "").lower().split():
-            for word in re.split(r"[_-]+", token):
+        for token in (m[1] or m[2] or m[3] or "").split():
+            words = re.split(r"[_-]+", _CAMEL.sub("-", token).lower())
+            if len(words) > 1 and words[-1] in _STATES:
+                continue
+            for word in words:
                 if word in _MODIFIERS:
                     break
-                named.add(word)
+                joined = _JOINED.fullmatch(word)
+                named.add(joined[1] if joined else word)
     return named
 
 
-def _zone(name: str, attributes: str, outer: str, at: int) -> str:
+def _hidden(attributes: str) -> bool:
+    if "hidden" not in attributes.lower() and "none" not in attributes.lower():
+        return False
+    style = _STYLE.search(attributes)
+    if style and _UNSEEN.search(style[1] or style[2] or style[3] or ""):
+        return True
+    return _HIDDEN.search(_QUOTED.sub("", attributes)) is not None
+
+
+def _weak(name: str, named: set[str]) -> bool:
+    """Whether a form or a name of the page's edge makes this surroundings, and nothing surer does."""
+    edge = named & _EDGES and not named & _OF_ARTICLE
+    return name not in _MAIN and (name == "form" or bool(edge)) and not named & (_SURROUNDING - {"form", "search"})
+
+
+def _zone(name: str, attributes: str, outer: str, at: int, cleared: bool = False) -> str:
     """Whether what an element at this place may hold is article text: a kind, and the wrapped articles around.
 
+    ``cleared`` is an element that holds most of the page's text and so is none of its surroundings.
+
     "never" is for all inside. In "named" and "beside" an article is "wrapped" and one of its own; in
     "beside", remarks and sidebars, only <main> is, as none of them holds that.
     """
@@ -131,10 +197,15 @@ def _zone(name: str, attributes: str, outer: str, at: int) -> str:
         return "never"
     if name in ("html", "body"):
         return outer
-    named = _names(attributes)
-    if kind == "beside" or named & _BESIDE:
+    if _hidden(attributes):
+        return "never"
+    named = set() if cleared else _names(attributes)
+    if kind == "beside" or name not in _MAIN and named & _BESIDE:
         return f"wrapped {path}/{at}" if name == "main" else f"beside {path}"
-    surrounding = name == "form" or bool(named & _SURROUNDING)
+    if name in _MAIN and named & _BESIDE:
+        # a remark in an article, or one that names what it has: its length tells
+        return f"wrapped {path}/{at}"
+    surrounding = not cleared and (name == "form" or bool(named & _SURROUNDING) or not inner and _weak(name, named))
     article = name in _MAIN or name == "div" and "main" in named and not surrounding
     if kind == "named" or surrounding:
         return f"wrapped {path}/{at}" if article else f"named {path}"
@@ -225,28 +296,65 @@ def _ends(tags: list[_Tag], end: int) -> dict[int, int]:
 
 def blocks(html: str) -> list[Block]:
     """The page's blocks of text in order, character references decoded and white space joined."""
+    return _blocks_and_spans(html)[0]
+
+
+def _blocks_and_spans(html: str) -> tuple[list[Block], list[_Span]]:
+    """A form or an edge of the page that holds most of the text without a link is neither."""
+    out, spans = _parse(html, frozenset())
+    if any(s.weak for s in spans):
+        sums = [0]
+        for b in out:
+            sums.append(sums[-1] + (0 if b.zone.split()[0] in ("never", "beside") else len(b.text) - b.linked))
+        cleared = frozenset(s.at for s in spans if s.weak and 2 * (sums[s.end] - sums[s.begin]) > sums[-1])
+        if cleared:
+            return _parse(html, cleared)
+    return out, spans
+
+
+@dataclass
+class _Open:
+    name: str
+    zone: str
+    listed: bool
+    #: Its span, or that of the container around it.
+    span: int
+    own: bool
+
+
+def _parse(html: str, cleared: frozenset[int]) -> tuple[list[Block], list[_Span]]:
     out: list[Block] = []
-    open_: list[tuple[str, str]] = [("", "page")]
+    spans = [_Span(0, 0, -1, 0, False)]
+    open_ = [_Open("", "page", False, 0, True)]
     parts: list[str] = []
     linked: list[str] = []
     in_link = 0
-    heading = False
+    heading = 0
+    #: An inline element that is not shown, and how many of its name are open.
+    unseen, unseen_depth = "", 0
 
     def flush() -> None:
         if parts:
             text = " ".join(unescape("".join(parts)).split())
             if text:
                 inside = len(" ".join(unescape("".join(linked)).split()))
-                out.append(Block(text, inside, heading, open_[-1][1]))
+                last = open_[-1]
+                out.append(Block(text, inside, heading, last.zone, last.listed, last.span))
             parts.clear()
             linked.clear()
 
     def add(text: str) -> None:
-        if text:
+        if text and not unseen:
             parts.append(text)
             if in_link:
                 linked.append(text)
 
+    def leave(k: int) -> None:
+        for e in open_[k:]:
+            if e.own:
+                spans[e.span].end = len(out)
+        del open_[k:]
+
     at, tags = 0, _tags(html)
     ends = _ends(tags, len(html)) if any(t.name in _PARSED for t in tags) else {}
     for tag in tags:
@@ -257,6 +365,11 @@ def blocks(html: str) -> list[Block]:
         at = tag.end
         if not name:
             continue
+        if name in _INLINE and name == unseen:
+            unseen_depth += -1 if closing else 1
+            unseen = unseen if unseen_depth else ""
+        elif name in _INLINE and not closing and not unseen and _hidden(attributes):
+            unseen, unseen_depth = name, 1
         if name in _DROPPED and not closing:
             if name != "head":
                 flush()
@@ -270,21 +383,28 @@ def blocks(html: str) -> list[Block]:
         else:
             flush()
             in_link = 0
-            heading = name in _HEADINGS and not closing
+            unseen = ""
+            heading = int(name[1]) if name in _HEADINGS and not closing else 0
             if closing:
                 for k in range(len(open_) - 1, 0, -1):
-                    if open_[k][0] == name:
-                        del open_[k:]
+                    if open_[k].name == name:
+                        leave(k)
                         break
             elif name not in _VOID:
-                if name in _SELF_CLOSING and open_[-1][0] == name:
-                    open_.pop()
-                elif open_[-1][0] == "p":
-                    open_.pop()
-                open_.append((name, _zone(name, attributes, open_[-1][1], at)))
+                if name in _SELF_CLOSING and open_[-1].name == name or open_[-1].name == "p":
+                    leave(len(open_) - 1)
+                around = open_[-1]
+                zone = _zone(name, attributes, around.zone, at, at in cleared)
+                listed = around.listed or name in ("ul", "ol", "dl")
+                own = name in _CONTAINERS
+                if own:
+                    weak = around.zone == "page" and zone.startswith("named") and _weak(name, _names(attributes))
+                    spans.append(_Span(len(out), len(out), around.span, at, weak))
+                open_.append(_Open(name, zone, listed, len(spans) - 1 if own else around.span, own))
     add(html[at:])
     flush()
-    return out
+    leave(0)
+    return out, spans
 
 
 def _length(text: str) -> int:
@@ -309,6 +429,8 @@ def _decide(block: Block) -> bool | None:
     if block.aside or block.linked > (MAIN_LINK_SHARE if marked else LINK_SHARE) * len(block.text):
         return False
     length = _length(block.text)
+    if not marked and length <= LONG and _NOTICE.match(block.text):
+        return False
     if length < SHORT:
         return False if block.linked and not marked else None
     stops = _stop_density(block.text)
@@ -325,9 +447,12 @@ def _decide_unmarked(body: list[Block]) -> list[bool | None]:
     which the stop words know nothing, and length and links decide alone.
     """
     labels = [_decide(b) for b in body]
-    able = [not b.aside and b.linked <= LINK_SHARE * len(b.text) and _length(b.text) >= SHORT and _is_wording(b.text) for b in body]
+    able = [not b.aside and b.linked <= LINK_SHARE * len(b.text) and _length(b.text) >= SHORT and _is_wording(b.text) and not (_length(b.text) <= LONG and _NOTICE.match(b.text)) for b in body]
     prose = [i for i, a in enumerate(able) if a]
-    if True not in labels and sum(_length(body[i].text) for i in prose) > LONG:
+    if not prose:
+        # nothing but short blocks: sentences without a link
+        return [label if label is False else bool(_SENTENCE.match(b.text)) and not b.linked for b, label in zip(body, labels, strict=True)]
+    if True not in labels:
         seeds = [i for i in prose if _length(body[i].text) > LONG] or prose
         stops = {i: _stop_density(body[i].text) or 0.0 for i in prose}
         median = sorted(stops[i] for i in seeds)[(len(seeds) - 1) // 2]
@@ -354,6 +479,31 @@ def _decide_unmarked(body: list[Block]) -> list[bool | None]:
     return labels
 
 
+def _reach(body: list[Block], spans: list[_Span], labels: list[bool | None]) -> tuple[int, int]:
+    """From where to where a page without a marked article has it: the least container of all blocks that are sure.
+
+    It begins with its title where that stands above the container and nothing inside does for one.
+    """
+    sure = [i for i, label in enumerate(labels) if label]
+    if not sure:
+        return 0, len(body)
+    span = spans[body[sure[0]].within]
+    while span.parent >= 0 and (span.end <= sure[-1] or span.end - span.begin == 1):
+        span = spans[span.parent]
+    begin, end = span.begin, span.end
+    if not any(b.heading for b in body[begin : sure[0]]):
+        between = 0
+        for i in range(begin - 1, -1, -1):
+            b = body[i]
+            if b.heading and not b.aside and not b.linked:
+                begin = i
+                break
+            between += len(b.text)
+            if between > HEADING_REACH or b.aside:
+                break
+    return begin, end
+
+
 def _enclosed(labels: list[bool | None]) -> list[bool]:
     """Whether the next decided blocks before and after are both of the article."""
     sides = []
@@ -401,7 +551,7 @@ def _article(found: list[Block]) -> list[Block]:
 
 def main_text(html: str | None) -> str:
     """The article's blocks joined by single spaces; empty if there is none."""
-    found = blocks(html) if html else []
+    found, spans = _blocks_and_spans(html) if html else ([], [])
     inside = _article(found)
     # a page that marks its article has nothing else of it outside
     body = inside or found
@@ -409,12 +559,25 @@ def main_text(html: str | None) -> str:
         # the mark speaks for what is undecided, not a list of links beside it
         kept = [_decide(b) is not False for b in body]
     else:
-        kept = _inherit(_decide_unmarked(body), default=False)
+        labels = _decide_unmarked(body)
+        begin, end = _reach(body, spans, labels)
+        # above and below the article's container only sentences may belong to it
+        for i, b in enumerate(body):
+            if labels[i] is None and not begin <= i < end and not _SENTENCE.match(b.text):
+                labels[i] = False
+        kept = _inherit(labels, default=False)
         reach = 0
         for i in range(len(body) - 1, -1, -1):
             reach = 0 if kept[i] else reach + len(body[i].text)
             follows = any(kept[i + 1 :]) if reach <= HEADING_REACH and body[i].heading else False
-            kept[i] = kept[i] or (follows and not body[i].aside and not body[i].linked)
+            kept[i] = kept[i] or (follows and begin <= i < end and not body[i].aside and not body[i].linked)
+    for i, b in enumerate(body):
+        if b.heading and _LEADING_AWAY.fullmatch(b.text.rstrip(" :.…")) and i + 1 < len(body) and body[i + 1].listed:
+            kept[i] = False
+            for j in range(i + 1, len(body)):
+                if not body[j].listed:
+                    break
+                kept[j] = False
     return " ".join(b.text for b, keep in zip(body, kept, strict=True) if keep)
 
 

@@ -197,6 +197,59 @@ def test_long_blocks_beside_a_menu():
     assert main_text(f"<nav>Menu</nav><p>{some}</p><p>{some}</p><p>{GOOD}</p>") == f"{some}{some}{GOOD}".strip()
 
 
+def test_surroundings_of_an_unmarked_article():
+    told = GOOD.strip()
+    article = f"<div class=text><h2>Title</h2><p>{GOOD}</p><p>{GOOD}</p></div>"
+    whole = f"Title {told} {told}"
+    above = "<div id=header><h1>My Site</h1><p>News of the day for all</p></div>"
+    below = "<div id=bottom>Copyright 2020 by the people of the site</div>"
+    assert main_text(f"<body>{above}{article}{below}</body>") == whole
+    assert main_text(f"<body><div><h1>My Site</h1><p>News of the day for all</p></div>{article}<div>© 2020 The people</div></body>") == whole
+    for name in ("commentlist", "commentList", "comment-list", "cookiebar", "cookieBar", "topnav", "adbox", "siteHeader"):
+        assert main_text(f"<body>{article}<div class={name}><p>{GOOD}</p></div></body>") == whole, name
+    for name in ("entry-header", "article-title", "page-header"):
+        assert main_text(f"<body><div><div class={name}><h1>Head</h1></div><p>{GOOD}</p></div></body>") == f"Head {told}", name
+    # titles above the container of the text
+    assert main_text(f"<body><h1>Head</h1><p>By the people</p><div class=x><p>{GOOD}</p><p>{GOOD}</p></div></body>") == f"Head By the people {told} {told}"
+    # what holds most of the page is none of its edges
+    for opened in ("form id=aspnetForm", "form", "div id=top", "div class=header-fixed"):
+        closed = opened.split()[0]
+        assert main_text(f"<body><{opened}><div class=menu>Menu</div>{article}</{closed}></body>") == whole, opened
+    assert main_text(f"<body>{article}<form><p>Your name, and what you want to say to the people.</p></form></body>") == whole
+
+
+def test_names_of_the_article_itself_and_hidden_blocks():
+    told = GOOD.strip()
+    for name in ("post comments-open", "post comments-closed", "comments", "has-sidebar", "hentry sidebar-right"):
+        assert main_text(f"<body><article class='{name}'><p>{GOOD}</p></article></body>") == told, name
+    remark = "<article class=comment><p>What a text this is, for all of us.</p></article>"
+    assert main_text(f"<body><article><p>{GOOD}</p></article>{remark}{remark}</body>") == told
+    assert main_text(f"<body><article><p>{GOOD}</p>{remark}{remark}</article></body>") == told
+    for hidden in ("hidden", "hidden=''", "style='color:red; display: none'", "STYLE=display:none", "style='visibility:hidden'"):
+        assert main_text(f"<article><p>{GOOD}</p><div {hidden}><p>{GOOD}</p></div></article>") == told, hidden
+        assert main_text(f"<article><p>{GOOD}<span {hidden}>no <span>no</span> no</span></p></article>") == told, hidden
+    assert main_text(f"<body style='display:none'><article><p title='hidden'>{GOOD}</p></article></body>") == told
+    away = "<h3>Related</h3><ul><li>Another text<li>One more text</ul>"
+    assert main_text(f"<article><p>{GOOD}</p>{away}<p>The end of it.</p></article>") == f"{told} The end of it."
+    assert main_text(f"<article><h3>Related</h3><p>{GOOD}</p></article>") == f"Related {told}"
+
+
+def test_short_unmarked_pages():
+    menu = "<div><a href=a>Uno</a> <a href=b>Due</a></div>"
+    one = "The ship of the harbour sailed at noon, and nobody saw it again on that day."
+    assert main_text(f"<body>{menu}<p>{one}</p><div>© 2020</div></body>") == one
+    assert main_text(f"<body>{menu}<p>The ship sailed at noon.</p></body>") == "The ship sailed at noon."
+    assert main_text(f"<body>{menu}<div>Copyright 2020 by the people. All rights reserved.</div></body>") == ""
+
+
+def test_deep_and_long_pages():
+    many = 30000
+    assert main_text("<div id=top><form>" * many + f"<article><p>{GOOD}</p></article>") == GOOD.strip()
+    assert main_text(("<div class=header><p>" + GOOD) * many).count("house") <= 3 * many
+    long = main_text(f"<body><div><ul><li>{'<div><p>' + GOOD + '</p></div>' * 3}</ul></div></body>" + f"<p>{GOOD}</p>" * many)
+    assert long.startswith(GOOD.strip()) and long.count("house") >= 3 * many
+
+
 def test_neighbours():
     assert _inherit([None, True, None, None, False, None], False) == [True, True, True, False, False, False]
     assert _inherit([None, None], True) == [True, True]
