@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import lru_cache
 from html import unescape
 
 import pyarrow as pa
@@ -152,7 +153,8 @@ class Block:
         return self.zone.split()[0] in ("main", "wrapped")
 
 
-def _names(attributes: str) -> set[str]:
+@lru_cache(maxsize=1 << 12)
+def _names(attributes: str) -> frozenset[str]:
     """The words of class, id and role, without those after a modifier."""
     named = set()
     for m in _NAMES.finditer(attributes):
@@ -165,7 +167,7 @@ def _names(attributes: str) -> set[str]:
                     break
                 joined = _JOINED.fullmatch(word)
                 named.add(joined[1] if joined else word)
-    return named
+    return frozenset(named)
 
 
 def _hidden(attributes: str) -> bool:
@@ -177,7 +179,7 @@ def _hidden(attributes: str) -> bool:
     return _HIDDEN.search(_QUOTED.sub("", attributes)) is not None
 
 
-def _weak(name: str, named: set[str]) -> bool:
+def _weak(name: str, named: frozenset[str]) -> bool:
     """Whether a form or a name of the page's edge makes this surroundings, and nothing surer does."""
     edge = named & _EDGES and not named & _OF_ARTICLE
     return name not in _MAIN and (name == "form" or bool(edge)) and not named & (_SURROUNDING - {"form", "search"})
@@ -199,7 +201,7 @@ def _zone(name: str, attributes: str, outer: str, at: int, cleared: bool = False
         return outer
     if _hidden(attributes):
         return "never"
-    named = set() if cleared else _names(attributes)
+    named = frozenset() if cleared else _names(attributes)
     if kind == "beside" or name not in _MAIN and named & _BESIDE:
         return f"wrapped {path}/{at}" if name == "main" else f"beside {path}"
     if name in _MAIN and named & _BESIDE:
@@ -439,7 +441,7 @@ def _decide(block: Block) -> bool | None:
     return None if stops is None or stops >= STOP_LOW or marked else False
 
 
-def _decide_unmarked(body: list[Block]) -> list[bool | None]:
+def _decide_unmarked(body: list[Block], spans: list[_Span]) -> list[bool | None]:
     """First pass over a page without a marked article.
 
     Where no block reaches the stop density of an article, the long ones that are no list of links
@@ -464,8 +466,9 @@ def _decide_unmarked(body: list[Block]) -> list[bool | None]:
     else:
         stops = {i: _stop_density(body[i].text) or 0.0 for i in prose}
         median = sorted(stops.values())[(len(prose) - 1) // 2] if prose else 0.0
+        begin, end = _reach(body, spans, labels)
         for i in prose:
-            if labels[i] is False and _length(body[i].text) > LONG and stops[i] >= median * RELATIVE_LOW:
+            if labels[i] is False and (begin <= i < end or _length(body[i].text) > LONG) and stops[i] >= median * RELATIVE_LOW:
                 labels[i] = None
     # stop words alone reject nothing between two blocks of the article
     sure = [label if label or not a else None for label, a in zip(labels, able, strict=True)]
@@ -559,13 +562,15 @@ def main_text(html: str | None) -> str:
         # the mark speaks for what is undecided, not a list of links beside it
         kept = [_decide(b) is not False for b in body]
     else:
-        labels = _decide_unmarked(body)
+        labels = _decide_unmarked(body, spans)
         begin, end = _reach(body, spans, labels)
         # above and below the article's container only sentences may belong to it
         for i, b in enumerate(body):
             if labels[i] is None and not begin <= i < end and not _SENTENCE.match(b.text):
                 labels[i] = False
+        nearest = _inherit(labels[begin:end], default=False)
         kept = _inherit(labels, default=False)
+        kept[begin:end] = nearest
         reach = 0
         for i in range(len(body) - 1, -1, -1):
             reach = 0 if kept[i] else reach + len(body[i].text)
