@@ -15,7 +15,7 @@ from callscope.functions.times import ATTRIBUTION_DAYS
 from callscope.operators import quality
 from callscope.operators.coding import with_candidate_id
 from callscope.operators.skew import SPLIT_ROWS
-from callscope.plans import incremental, intermediate, marts, restate, staging, states
+from callscope.plans import incremental, intermediate, marts, restate, sketches, staging, states
 from callscope.plans.incremental import Scope
 from callscope.plans.marts import FxRule
 from callscope.sources import fx, key_index, landing, manifest
@@ -366,6 +366,7 @@ def run_daily(
     verify: bool = False,
     keep_changes: Iterable[tuple[str, str]] = (),
     rates_as_known: bool = False,
+    keep_sketches: bool = False,
 ) -> DailyReport:
     """Land what is new, load the day's rates, rebuild and check. ``as_of`` is naive UTC.
 
@@ -374,11 +375,15 @@ def run_daily(
     given. With ``verify`` every delivered file is read to see whether it changed. Of the marts in
     ``keep_changes`` the differences from what was published before are kept (``plans.restate``).
     With ``rates_as_known`` payments are priced with the rates fetched by ``as_of``, so that a rerun
-    for an old day prices them as then.
+    for an old day prices them as then. With ``keep_sketches`` extracts are sketched as they
+    land, in this and all later runs (``plans.sketches``).
     """
     tables = Tables(spark, out_dir)
     first = full_refresh or manifest.known_files(tables) is None
     report = DailyReport(land(spark, tables, raw_dir, full_refresh, verify))
+    for landed in report.landed:
+        if keep_sketches or tables.exists(sketches.SCHEMA, landed.table):
+            sketches.update(tables, landed.table, None if first else landed.days)
     if fx_payload:
         report.rows[schemas.FX_RATES] = fx.load_payload(tables, fx_payload, as_of)
     quality.run_checks(source_checks(tables, None if first else report.landed))

@@ -13,7 +13,7 @@ from callscope import schemas
 from callscope.functions import plus_days
 from callscope.operators import quality
 from callscope.operators.rates import latest_rates
-from callscope.plans import daily, marts, staging
+from callscope.plans import daily, marts, sketches, staging
 from callscope.queries import ctes, deliveries, models
 from callscope.queries.registry import query, with_ctes
 from callscope.session import shared_folder
@@ -156,6 +156,55 @@ def duplicates_of_an_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.unique(name, rows, "call_log_id").violations
 
 
+def _sketched(spark: SparkSession, sf_dir: str, *entities: str) -> list[DataFrame]:
+    """Sketches of two extracts each, landed one after the other."""
+    raw_dir, tables = _folder(spark, "sketches")
+    _deliver_both(spark, sf_dir, raw_dir, *entities)
+    for day in (DAY_ONE, DAY_TWO):
+        landed = landing.land_files(spark, tables, raw_dir, [f"{raw_dir}/{day}/{e}.csv" for e in entities])
+        for load in landed:
+            sketches.update(tables, load.table, load.days)
+    return [sketches.of_extracts(tables, e) for e in entities]
+
+
+@query(
+    "g2_note_ids_of_sketches",
+    with_ctes(
+        *ctes.ALL_CODED,
+        select="""
+        SELECT count(call_notes_raw) AS notes,
+               count(*) FILTER (call_notes_raw IS NOT NULL AND candidate_call_log_id IS NULL) AS not_an_id,
+               count(DISTINCT candidate_call_log_id) AS ids_named,
+               count(DISTINCT candidate_call_log_id) FILTER (is_coded) AS ids_matched
+        FROM coded""",
+    ),
+)
+def note_ids_of_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merged from sketches per extract; equal to the SQL up to 65,536 different ids, close beyond."""
+    return sketches.note_ids(*_sketched(spark, sf_dir, schemas.CALLS, schemas.DISPOSITIONS))
+
+
+@query(
+    "g6_g8_contracts_of_sketches",
+    with_ctes(
+        *ctes.DISPOSITIONS,
+        *ctes.PAYMENTS,
+        """
+        loads AS (SELECT contract_id, count(*) AS n, count(DISTINCT disposed_at_utc) AS moments
+                  FROM stg_dispositions WHERE contract_id IS NOT NULL GROUP BY 1),
+        paid AS (SELECT DISTINCT contract_id FROM stg_payments WHERE contract_id IS NOT NULL)""",
+        select="""
+        SELECT count(*) AS called, (SELECT count(*) FROM paid) AS paying,
+               count(*) FILTER (contract_id IN (FROM paid)) AS called_and_paying,
+               sum(n - moments)::BIGINT AS tied_rows, max(n) AS most_dispositions
+        FROM loads""",
+    ),
+)
+def contracts_of_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merged from sketches per extract; equal to the SQL up to 65,536 different values, close beyond."""
+    return sketches.contract_load(*_sketched(spark, sf_dir, schemas.DISPOSITIONS, schemas.PAYMENTS))
+
+
 @query(
     "s5_lineage_of_payments",
     """
