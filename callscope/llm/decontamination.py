@@ -195,17 +195,14 @@ def contamination(
 
     ``_hits`` has one bit per word, null if none is hit. Null and empty texts have no words and no
     hit; equal rows each get their own result; without benchmark rows nothing is hit, and items
-    without an id or without words are passed over. Columns of the documents keep their values;
+    without an id or without words are passed over. Ids may be of any type that casts to a string. Columns of the documents keep their values;
     where one starts with ``_``, choose another prefix for the four.
     """
     spark = docs.sparkSession
     n_words, n_hit, items, hits = (prefix + n for n in ("n_words", "n_hit", "items", "hits"))
-    kind = benchmark.schema[item].dataType
-    arrow = pa.string() if isinstance(kind, T.StringType) else pa.int64()
-    benchmark = benchmark.where(F.col(item).isNotNull())
-    if isinstance(kind, T.IntegralType):
-        benchmark = benchmark.withColumn(item, F.col(item).cast("long"))
-        kind = T.LongType()
+    whole = isinstance(benchmark.schema[item].dataType, T.IntegralType)
+    kind, arrow = (T.LongType(), pa.int64()) if whole else (T.StringType(), pa.string())
+    benchmark = benchmark.where(F.col(item).isNotNull()).withColumn(item, F.col(item).cast(kind))
     added = [(n_words, T.LongType()), (hits, T.BinaryType()), (items, T.ArrayType(kind))]
     schema = T.StructType([*docs.schema.fields, *(T.StructField(n, k) for n, k in added)])
     out = docs

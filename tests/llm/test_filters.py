@@ -113,6 +113,14 @@ def test_contamination(spark, odd_docs, odd_rows, no_docs, collected, monkeypatc
     assert clean.where("contaminated").count() == 0 and clean.count() == len(odd_rows)
 
 
+def test_item_ids_of_any_type(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f g h i j k l"), (2, "x")], "doc_id long, text string")
+    items = spark.sql("SELECT 1.5D AS d, date '2024-01-02' AS t, true AS b, 7Y AS y, 'z' AS s, 2.50BD AS n, 'b c d e f g h i j k' AS text")
+    for item, shown in (("d", "1.5"), ("t", "2024-01-02"), ("b", "true"), ("y", "7"), ("s", "z"), ("n", "2.50")):
+        found = {r.doc_id: (r._n_hit, r._items) for r in decontamination.contamination(docs, items, item=item).collect()}
+        assert found == {1: (10, [shown]), 2: (0, [])}, item
+
+
 def test_decontaminate(spark, odd_docs, odd_rows):
     rows, items = _items(spark, odd_rows)
     hits = plain.contamination(odd_rows, [r for r in rows if r[0] is not None])
