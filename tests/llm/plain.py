@@ -315,3 +315,35 @@ def aligned(rows: list[tuple], a_path: str, b_path: str) -> list[tuple]:
         best = sum(count[x] == most[x[1]] for x in links)
         out.append((doc, len(a), len(b), len(groups), len(links), sha(text) if a else "", best, sum(count[x] for x in links)))
     return out
+
+
+def ordinal_fit(rows: list[set[int]], grades: list[int], features: list[int], penalty: float = 1.0) -> tuple[dict[int, float], list[float]]:
+    """Weights and thresholds that maximise the penalised likelihood, by a pattern search over each number."""
+    top = max(grades)
+
+    def cuts(params):
+        out = [params[len(features)]]
+        for gap in params[len(features) + 1 :]:
+            out.append(out[-1] + math.exp(gap))
+        return out
+
+    def loss(params):
+        w, t = dict(zip(features, params)), cuts(params)
+        total = penalty / 2 * sum(x * x for x in w.values())
+        for row, grade in zip(rows, grades, strict=True):
+            score = sum(w.get(f, 0.0) for f in row)
+            above = [1.0, *(1 / (1 + math.exp(k - score)) for k in t), 0.0]
+            total -= math.log(above[grade] - above[grade + 1])
+        return total
+
+    params = [0.0] * (len(features) + top)
+    best, step = loss(params), 1.0
+    while step > 1e-5:
+        better = False
+        for i in range(len(params)):
+            for move in (step, -step):
+                tried = [*params[:i], params[i] + move, *params[i + 1 :]]
+                if (value := loss(tried)) < best - 1e-12:
+                    params, best, better = tried, value, True
+        step = step if better else step / 2
+    return dict(zip(features, params)), cuts(params)

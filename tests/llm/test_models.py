@@ -60,6 +60,37 @@ def test_training_without_ratings(odd_docs, rated):
     assert ((tails >= 0.5).sum(axis=1) == grades).mean() > 0.99
 
 
+def test_fit_reaches_the_plain_maximum():
+    rng = np.random.default_rng(3)
+    for top in (1, 2, 3):
+        rows = [set(np.flatnonzero(rng.random(6) < 0.5).tolist()) | {9} for _ in range(120)]
+        grades = [int(np.clip(round(0.8 * len(r & {0, 1, 2}) - 0.7 * len(r & {3, 4}) + rng.normal(0, 0.8) + 0.6), 0, top)) for r in rows]
+        numbers = np.array([f for r in rows for f in sorted(r)])
+        starts = np.concatenate([[0], np.cumsum([len(r) for r in rows])])
+        model = quality.fit(starts, numbers, np.array(grades))
+        # what all rows have tells nothing and is left out
+        weights, cuts = plain.ordinal_fit(rows, grades, list(range(6)))
+        assert np.abs(model.weights[:6] - [weights[f] for f in range(6)]).max() < 0.02 and model.weights[9] == 0
+        assert np.abs(model.thresholds - cuts).max() < 0.02
+
+
+def test_first_stage_keeps_what_the_model_selects(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    model = quality.train(docs, quality.graded(labels))
+    wanted = set()
+    for r in docs.collect():
+        _, numbers, _ = quality.features(pa.array([r.text], pa.string()))
+        score = sum(model.weights[f] for f in numbers.tolist())
+        if 1 / (1 + math.exp(model.thresholds[1] - score)) >= 0.5:
+            wanted.add(r.doc_id)
+    kept = corpus_pipeline.keep_good(spark, docs, "/root/testdata/sf0.001")
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == wanted
+    assert 0 < len(wanted) < docs.count()
+
+
 def test_katz_is_its_definition(odd_docs, odd_rows, no_docs):
     held = "crc32(cast(doc_id AS string)) % 7 = 2"
     from pyspark.sql import functions as F
