@@ -41,10 +41,15 @@ def note_classes(calls: DataFrame, dispositions: DataFrame) -> DataFrame:
     )
 
 
+def mapping_variants(raw_mapping: DataFrame) -> DataFrame:
+    """The different rows of the mapping, each with the number of its copies; nulls are equal."""
+    columns = ("contact_centre", "ameyo_user_id", "team", "atlas_user_name")
+    return raw_mapping.groupBy(*columns).agg(F.count("*").alias("n"))
+
+
 def mapping_duplicates(raw_mapping: DataFrame) -> DataFrame:
     """Logins on several mapping rows: copies only, differing, or differing in the team."""
-    columns = ("contact_centre", "ameyo_user_id", "team", "atlas_user_name")
-    variants = raw_mapping.groupBy(*columns).agg(F.count("*").alias("n"))
+    variants = mapping_variants(raw_mapping)
     team = F.coalesce("team", F.lit(""))
     per_login = variants.groupBy("ameyo_user_id").agg(
         F.sum("n").alias("n"),

@@ -252,7 +252,7 @@ def j4(spark, sf_dir):
     with_ctes(fx.AGENT_MAPPING_SQL, select="SELECT DISTINCT * FROM raw_mapping"),
 )
 def a9(spark, sf_dir):
-    return fx.agent_mapping(spark, sf_dir).dropDuplicates()
+    return profile.mapping_variants(fx.agent_mapping(spark, sf_dir)).drop("n")
 
 
 @query(
