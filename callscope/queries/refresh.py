@@ -384,6 +384,7 @@ def _owner_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("~").alias("currency"),
         F.lit(1.0).alias("amount_local"),
     )
+    buckets = owners.buckets_for(rows.agg(F.approx_count_distinct("contract_id")).first()[0])
     old = spark.conf.get(_STORE)
     spark.conf.set(_STORE, owners.PROVIDER)
     try:
@@ -393,7 +394,7 @@ def _owner_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
             if last:
                 end.write.mode("append").parquet(f"{base}/in/{upto}")
             source = spark.readStream.schema(rows.schema).option("recursiveFileLookup", True).parquet(f"{base}/in")
-            owners.owner_changes(source, "2 days 1 second").writeStream.option(
+            owners.owner_changes(source, "2 days 1 second", buckets).writeStream.option(
                 "checkpointLocation", f"{base}/checkpoint"
             ).trigger(availableNow=True).format("parquet").start(f"{base}/out").awaitTermination()
     finally:

@@ -9,17 +9,20 @@ belong to a disposition and the lateness that is allowed. Every arrival gives th
     closed     no row that is still allowed can change the disposition's payments; their number
 
 Paid less retracted rows of a disposition are its payments at any time, and after its ``closed`` row
-for good. The close of a window is an event-time timer. When it fires, the disposition and its
-payments leave the state, and so does a payment without an owner once no earlier disposition can
+for good. A bucket of contracts has one event-time timer, for the first window that closes. When it
+fires, all dispositions due by the watermark and their payments leave the state, and so does a payment without an owner once no earlier disposition can
 come. Rows behind the watermark are dropped, as the daily job's lookback repairs those.
 
-A contract is one key: its rows of the window and the lateness are held by one task. The batch route
-(``operators/attribution.py``) splits contracts that are larger.
+Contracts are dealt by hash into buckets, which are the keys of the state. The window and the lateness
+of a bucket are held by one task and written anew by each batch that touches it, so there should be
+enough of them. A contract has one bucket; the batch route (``operators/attribution.py``) splits
+contracts that are larger.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_right
+from collections import defaultdict
 from collections.abc import Iterator
 from datetime import datetime
 
@@ -41,80 +44,119 @@ _CHANGES = (
 _COLUMNS = [c.split()[0] for c in _CHANGES.split(", ")]
 
 
+_ARRIVAL = ("contract_id", "us", "call_log_id", "market", "currency", "amount_local")
+# Of calls and of payments, a list per column.
+_KEPT = (
+    "of_call array<bigint>, ids array<bigint>, ats array<bigint>, markets array<string>, "
+    "of_payment array<bigint>, paid array<bigint>, amounts array<double>, currencies array<string>, owners array<bigint>"
+)
+# Contracts that share a bucket where their number is known.
+CONTRACTS_PER_BUCKET = 64
+
+
 def _after(us: int) -> int:
     """The first millisecond that is not before a microsecond."""
     return -(-us // 1000)
 
 
+def _due(contracts: dict) -> int | None:
+    """When the first call closes or the first payment without an owner can leave, in milliseconds."""
+    ends = [at + _WINDOW for calls, _ in contracts.values() for at, _ in calls.values()]
+    ends += [at for _, payments in contracts.values() for (at, _), (_, _, owned) in payments.items() if not owned]
+    return _after(min(ends)) if ends else None
+
+
 class PaymentOwners(StatefulProcessor):
-    """The calls and payments of one contract that can still change.
+    """The calls and payments of a bucket of contracts that can still change.
 
-    A currency that is not known is '~', which comes after the others, and a market ''.
+    They are one value with a list per column, read and written once per batch, and have one timer,
+    for the first of them that can leave: what a batch costs in calls of the state store goes by the
+    buckets it touches, not by rows, timers or contracts. An owner of -1 is none. A currency that is
+    not known is '~', which comes after the others, and a market ''.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.calls = handle.getMapState("calls", "call_log_id bigint", "at bigint, market string")
-        self.payments = handle.getMapState(
-            "payments", "at bigint, amount double", "currency string, owner bigint, owned boolean"
-        )
+        self.kept = handle.getValueState("kept", _KEPT)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        calls, payments = self._load()
+        contracts = self._load()
+        timer = _due(contracts)
         out: list[tuple] = []
-        fresh_calls, touched = set(), set()
+        fresh = set()
         for batch in rows:
-            for at, call, market, currency, amount in zip(
-                *(batch[c].tolist() for c in ("us", "call_log_id", "market", "currency", "amount_local")), strict=True
-            ):
+            for contract, at, call, market, currency, amount in zip(*(batch[c].tolist() for c in _ARRIVAL), strict=True):
+                fresh.add(contract)
+                calls, payments = contracts[contract]
                 if call >= 0:
                     if call not in calls:
-                        out.append(("opened", call, market, at, None, None, None, None))
+                        out.append((contract, "opened", call, market, at, None, None, None, None))
                     calls[call] = (at, market)
-                    fresh_calls.add(call)
                 elif (at, amount) not in payments or currency < payments[at, amount][0]:
                     if (at, amount) in payments and payments[at, amount][2]:
-                        out.append(self._told("retracted", calls, (at, amount), payments[at, amount]))
+                        out.append(self._told(contract, "retracted", calls, (at, amount), payments[at, amount]))
                     payments[at, amount] = (currency, -1, False)
-                    touched.add((at, amount))
-        out += self._owned(calls, payments, touched)
-        for call in fresh_calls:
-            self.calls.updateValue((call,), calls[call])
-            self.handle.registerTimer(_after(calls[call][0] + _WINDOW))
-        for pay in touched:
-            self.payments.updateValue(pay, payments[pay])
-            self.handle.registerTimer(_after(pay[0]))
-        yield self._frame(key, out)
+        for contract in fresh:
+            out += self._owned(contract, *contracts[contract])
+        self._keep(contracts)
+        due = _due(contracts)
+        if due != timer:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(due)
+        if out:
+            yield self._frame(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        now = expiredTimerInfo.getExpiryTimeInMs()
-        calls, payments = self._load()
-        closed = {c: 0 for c, (at, _) in calls.items() if _after(at + _WINDOW) <= now}
-        for pay, (_, owner, owned) in payments.items():
-            if owned and owner in closed:
-                closed[owner] += 1
-            if owned and owner in closed or not owned and _after(pay[0]) <= now:
-                self.payments.removeKey(pay)
+        """Lets go of all that is due by the watermark, not only of what the timer was set for."""
+        now = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
+        contracts = self._load()
         out = []
-        for call, n in closed.items():
-            at, market = calls[call]
-            out.append(("closed", call, market, at, None, None, None, n))
-            self.calls.removeKey((call,))
-        yield self._frame(key, out)
+        for contract, (calls, payments) in contracts.items():
+            closed = {c: 0 for c, (at, _) in calls.items() if _after(at + _WINDOW) <= now}
+            for pay, (_, owner, owned) in list(payments.items()):
+                if owned and owner in closed:
+                    closed[owner] += 1
+                if owned and owner in closed or not owned and _after(pay[0]) <= now:
+                    del payments[pay]
+            for call, n in closed.items():
+                at, market = calls.pop(call)
+                out.append((contract, "closed", call, market, at, None, None, None, n))
+        self._keep(contracts)
+        due = _due(contracts)
+        if due is not None:
+            self.handle.registerTimer(due)
+        if out:
+            yield self._frame(out)
 
     def close(self) -> None:
         pass
 
-    def _load(self) -> tuple[dict, dict]:
-        calls = {k[0]: tuple(v) for k, v in self.calls.iterator()}
-        return calls, {tuple(k): tuple(v) for k, v in self.payments.iterator()}
+    def _load(self) -> defaultdict:
+        """Calls and payments by contract."""
+        contracts = defaultdict(lambda: ({}, {}))
+        of_call, ids, ats, markets, of_payment, paid, amounts, currencies, owners = self.kept.get() or [[]] * 9
+        for contract, call, at, market in zip(of_call, ids, ats, markets, strict=True):
+            contracts[contract][0][call] = (at, market)
+        for contract, at, amount, currency, owner in zip(of_payment, paid, amounts, currencies, owners, strict=True):
+            contracts[contract][1][at, amount] = (currency, owner, owner >= 0)
+        return contracts
+
+    def _keep(self, contracts: dict) -> None:
+        calls = [(c, call, *v) for c, (calls, _) in contracts.items() for call, v in calls.items()]
+        payments = [(c, *pay, *v[:2]) for c, (_, payments) in contracts.items() for pay, v in payments.items()]
+        if calls or payments:
+            columns = ([r[i] for r in rows] for rows, n in ((calls, 4), (payments, 5)) for i in range(n))
+            self.kept.update(tuple(columns))
+        else:
+            self.kept.clear()
 
     @staticmethod
-    def _told(change: str, calls: dict, pay: tuple, value: tuple) -> tuple:
+    def _told(contract: int, change: str, calls: dict, pay: tuple, value: tuple) -> tuple:
         currency, owner, _ = value
-        return change, owner, calls[owner][1], calls[owner][0], pay[0], currency, pay[1], None
+        return contract, change, owner, calls[owner][1], calls[owner][0], pay[0], currency, pay[1], None
 
-    def _owned(self, calls: dict, payments: dict, touched: set) -> list[tuple]:
+    def _owned(self, contract: int, calls: dict, payments: dict) -> list[tuple]:
         """Give every payment to the nearest call before it; what that changes."""
         order = sorted((at, call) for call, (at, _) in calls.items())
         out = []
@@ -125,18 +167,15 @@ class PaymentOwners(StatefulProcessor):
             if (owner, near is not None) == value[1:]:
                 continue
             if value[2]:
-                out.append(self._told("retracted", calls, pay, value))
+                out.append(self._told(contract, "retracted", calls, pay, value))
             payments[pay] = (value[0], owner, near is not None)
             if near:
-                out.append(self._told("paid", calls, pay, payments[pay]))
-            touched.add(pay)
+                out.append(self._told(contract, "paid", calls, pay, payments[pay]))
         return out
 
     @staticmethod
-    def _frame(key, changes: list[tuple]) -> pd.DataFrame:
-        rows = [(key[0], *c) for c in changes]
-        frame = pd.DataFrame(rows, columns=_COLUMNS)
-        return frame.astype({"paid_us": "Int64", "payments": "Int64", "amount_local": "Float64"})
+    def _frame(changes: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame({c: list(v) for c, v in zip(_COLUMNS, zip(*changes, strict=True), strict=True)}, dtype=object)
 
 
 def arrivals(dispositions: DataFrame, payments: DataFrame) -> DataFrame:
@@ -160,14 +199,20 @@ def arrivals(dispositions: DataFrame, payments: DataFrame) -> DataFrame:
     return calls.unionByName(paid).filter(F.col("us").isNotNull())
 
 
-def owner_changes(arriving: DataFrame, lateness: str) -> DataFrame:
+def buckets_for(contracts: int) -> int:
+    return max(8, -(-contracts // CONTRACTS_PER_BUCKET))
+
+
+def owner_changes(arriving: DataFrame, lateness: str, buckets: int = 4096) -> DataFrame:
     """The stream of changes that the stream of ``arrivals`` makes.
 
-    ``lateness`` is how far behind the latest time seen a row may be, like ``"2 days"``. Needs the
-    state store ``PROVIDER``. A disposition id is not negative and occurs once.
+    ``lateness`` is how far behind the latest time seen a row may be, like ``"2 days"``. ``buckets``
+    stays as it is for the life of a checkpoint. Needs the state store ``PROVIDER``. A disposition id
+    is not negative and occurs once.
     """
-    marked = arriving.withColumn("seen_at", F.timestamp_micros("us")).withWatermark("seen_at", lateness)
-    changes = marked.groupBy("contract_id").transformWithStateInPandas(
+    bucket = F.pmod(F.xxhash64("contract_id"), F.lit(buckets))
+    marked = arriving.withColumns({"bucket": bucket, "seen_at": F.timestamp_micros("us")})
+    changes = marked.withWatermark("seen_at", lateness).groupBy("bucket").transformWithStateInPandas(
         statefulProcessor=PaymentOwners(), outputStructType=_CHANGES, outputMode="Append", timeMode="EventTime"
     )
     return changes.select(

@@ -115,3 +115,26 @@ def test_micros_and_back(spark):
     df = spark.sql("select explode(array(timestamp_ntz '1969-12-31 23:59:59.999999', timestamp_ntz '2024-03-10 02:30:15.000001')) as t")
     rows = df.select("t", micros(F.col("t")).alias("us"), from_micros(micros(F.col("t"))).alias("back")).collect()
     assert [r.us for r in rows] == [-1, 1710037815000001] and all(r.t == r.back for r in rows)
+
+
+def test_state_goes_by_contracts_not_by_rows(spark, rocksdb):
+    rows = [(c, day, call, "Kenya", "~", 0.0) for c in range(20) for day in range(30) for call in [c * 100 + day]]
+    changes, left = run(spark, [spark.createDataFrame([(c, _DAY + i, *r) for c, i, *r in rows], ARRIVAL)], "2 days")
+    assert changes.count() == len(rows)
+    assert left <= 3 * 20  # a value and a timer, which is kept by key and by time
+
+
+def test_contracts_of_one_bucket_are_apart(spark, rocksdb):
+    rng = random.Random(5)
+    rows = [(c, _DAY * rng.randrange(1, 9) + i, 50 * c + i if i % 2 else -1, "", "KES", 1.0 + i) for c in range(9) for i in range(40)]
+    split = [spark.createDataFrame(rows[i::3], ARRIVAL) for i in range(3)]
+    base = shared_folder(spark, "owners")
+    for part in split:
+        part.coalesce(1).write.mode("append").parquet(f"{base}/in")
+    found = []
+    for buckets in (1, 500):
+        source = spark.readStream.schema(ARRIVAL).parquet(f"{base}/in")
+        stream = owners.owner_changes(source, "30 days", buckets).writeStream.option("checkpointLocation", f"{base}/checkpoint{buckets}")
+        stream.trigger(availableNow=True).format("parquet").start(f"{base}/out{buckets}").awaitTermination()
+        found.append(sorted(map(tuple, spark.read.parquet(f"{base}/out{buckets}").collect()), key=repr))
+    assert found[0] == found[1] and len(found[0]) > len(rows) // 2
