@@ -132,13 +132,16 @@ def read_extracts(spark: SparkSession, entity: Entity, files: dict[str, int]) ->
         if entity.event_time
         else F.lit(None).cast("date")
     )
-    location = _entity_path(entity)
-    return raw.select(
+    # Relative to the parent of the landing folder. Cut at slashes: a pattern takes longer than reading the row.
+    path = F.col("_source_file")
+    below = F.when(path.endswith(f"/{entity.file_name}"), F.substring_index(path, "/", -3)).otherwise(
+        F.substring_index(path, "/", -4)
+    )
+    return raw.withColumn("_source_file", below).select(
         *entity.columns,
-        # Relative to the parent of the landing folder.
-        F.regexp_replace("_source_file", rf"^.*/(?=[^/]+/{location})", "").alias("_source_file"),
+        "_source_file",
         F.current_timestamp().alias("_loaded_at"),
-        F.regexp_extract("_source_file", location, 1).alias(EXTRACT_DATE),
+        F.substring_index(F.substring_index("_source_file", "/", 2), "/", -1).alias(EXTRACT_DATE),
         event_date.alias(EVENT_DATE),
     )
 

@@ -1,8 +1,10 @@
 import os
+import shutil
 from datetime import date
 
 import pytest
 import raw_files as rf
+from pyspark.sql import functions as F
 
 from callscope import schemas
 from callscope.sources import landing, manifest
@@ -275,3 +277,21 @@ def test_a_record_broken_over_lines_fails_where_none_may_be(spark, folder):
     raw = landing.read_extracts(spark, PAYMENTS, landing.extract_files(spark, folder, PAYMENTS))
     with pytest.raises(Exception, match="(?i)malformed"):
         raw.collect()
+
+
+def test_lineage_is_cut_without_patterns(spark, folder):
+    """One file or a folder of parts; a pattern per row took longer than reading it."""
+    entity = schemas.ENTITIES[schemas.PAYMENTS]
+    rows = spark.range(3).select(*[F.col("id").cast("string").alias(c) for c in entity.columns])
+    rows.coalesce(1).write.option("header", True).csv(f"{folder}/raw/2024-01-01/{entity.file_name}")
+    part = next(iter(landing.extract_files(spark, f"{folder}/raw", entity)))
+    os.makedirs(f"{folder}/raw/2024-01-02")
+    shutil.copy(part.removeprefix("file:"), f"{folder}/raw/2024-01-02/{entity.file_name}")
+    found = landing.read_extracts(spark, entity, landing.extract_files(spark, f"{folder}/raw", entity))
+    lineage = {(r._source_file, r.extract_date) for r in found.collect()}
+    name = entity.file_name
+    assert lineage == {
+        (f"raw/2024-01-01/{name}/{part.rsplit('/', 1)[1]}", "2024-01-01"),
+        (f"raw/2024-01-02/{name}", "2024-01-02"),
+    }
+    assert "regexp" not in found._jdf.queryExecution().optimizedPlan().toString()
