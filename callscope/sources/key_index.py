@@ -20,6 +20,9 @@ from callscope.sources.tables import Tables
 # Stay as they are for the life of a warehouse: they say where a key is.
 BUCKETS = 1024
 BLOCK_BITS = 24
+# Parts of a block that may be written by different tasks, and entries for each task.
+SLICE_BITS = 20
+ENTRIES_PER_TASK = 2_000_000
 
 KEY, BUCKET, EXTRACT_DATE = "key", "bucket", "extract_date"
 
@@ -37,6 +40,14 @@ def _entries(raw: DataFrame, entity: Entity) -> DataFrame:
     )
 
 
+def _dealt(entries: DataFrame, rows: int) -> DataFrame:
+    """Entries dealt to tasks by their number: neighbouring ids compress so well that a rebalance, which
+    goes by bytes, gives tens of millions, and the sort of them, to one task."""
+    part = F.coalesce(F.shiftright(F.col(KEY).try_cast("bigint"), SLICE_BITS), F.xxhash64(KEY))
+    part = F.pmod(part, F.lit(1 << (BLOCK_BITS - SLICE_BITS)))
+    return entries.repartition(max(1, -(-rows // ENTRIES_PER_TASK)), EXTRACT_DATE, BUCKET, part)
+
+
 def update(tables: Tables, table: str, days: Collection[str] | None = None) -> None:
     """Index the extracts of ``days`` as they are in raw now; all of them if there is no index yet."""
     entity = ENTITIES[table]
@@ -45,15 +56,17 @@ def update(tables: Tables, table: str, days: Collection[str] | None = None) -> N
     raw = tables.read("raw", table)
     by = [EXTRACT_DATE, BUCKET]
     if days is None or not tables.exists("index", table):
-        tables.overwrite(_entries(raw, entity), "index", table, by)
+        tables.overwrite(_dealt(_entries(raw, entity), raw.count()), "index", table, by, rebalance=False)
         return
+    raw = raw.filter(F.col(EXTRACT_DATE).isin(sorted(days)))
     tables.replace_partitions(
-        _entries(raw.filter(F.col(EXTRACT_DATE).isin(sorted(days))), entity),
+        _dealt(_entries(raw, entity), raw.count()),
         "index",
         table,
         by,
         in_scope=lambda p: p[EXTRACT_DATE] in days,
         first=days,
+        rebalance=False,
     )
 
 

@@ -91,12 +91,12 @@ class Tables:
         return {date.fromisoformat(v) for v in values if v is not None}
 
     def overwrite(
-        self, df: DataFrame, schema: str, table: str, partition_by: Iterable[str] = ()
+        self, df: DataFrame, schema: str, table: str, partition_by: Iterable[str] = (), rebalance: bool = True
     ) -> int:
-        """Replace the table and return its number of rows."""
+        """Replace the table and return its number of rows. Without ``rebalance`` the tasks are those of ``df``."""
         if schema in PUBLISHED:
             return self._write_published(df, schema, table, list(partition_by), lambda _: True)
-        rows, _ = _write(df, self.path(schema, table), list(partition_by), dynamic=False)
+        rows, _ = _write(df, self.path(schema, table), list(partition_by), dynamic=False, rebalance=rebalance)
         return rows
 
     def replace_partitions(
@@ -107,6 +107,7 @@ class Tables:
         partition_by: Iterable[str],
         in_scope: Callable[[Partition], bool],
         first: Collection[str] | None = None,
+        rebalance: bool = True,
     ) -> int:
         """Replace exactly the partitions ``in_scope`` by the rows of ``df``.
 
@@ -118,8 +119,8 @@ class Tables:
         if schema in PUBLISHED:
             return self._write_published(df, schema, table, keys, in_scope)
         if not self.exists(schema, table):
-            return self.overwrite(df, schema, table, keys)
-        rows, written = _write(df, path, keys, dynamic=True)
+            return self.overwrite(df, schema, table, keys, rebalance)
+        rows, written = _write(df, path, keys, dynamic=True, rebalance=rebalance)
         for values, folder in _partitions(self.spark, path, first):
             # A folder whose partitions are all gone has the first values only.
             key = tuple(values.get(k) for k in keys)
@@ -291,14 +292,14 @@ def _literal(value: str | None) -> str:
 
 
 def _write(
-    df: DataFrame, path: str, keys: list[str], dynamic: bool
+    df: DataFrame, path: str, keys: list[str], dynamic: bool, rebalance: bool = True
 ) -> tuple[int, set[tuple[str | None, ...]]]:
     """Write, and report the rows and the partitions written.
 
     The rebalance lets adaptive execution join small and cut large partitions, so a date holding
     much of the data is written by many tasks and a small one as few files.
     """
-    if keys:
+    if keys and rebalance:
         df = df.hint("rebalance", *keys)
     observed = Observation()
     metrics = [F.count(F.lit(1)).alias("rows")]

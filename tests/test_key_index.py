@@ -156,3 +156,18 @@ def test_warehouse_without_an_index(world):
     assert entries(world.tables) == [("1", "2024-01-05"), ("7", "2024-01-06")]
     assert run_checks(daily.source_checks(world.tables))
     world.assert_like_full_build("2024-01-06 23:00")
+
+
+def test_index_is_dealt_by_entries_not_bytes(spark, folder, monkeypatch):
+    """Neighbouring ids are few bytes; a task still writes about as many as it shall."""
+    monkeypatch.setattr(key_index, "BLOCK_BITS", 14)
+    monkeypatch.setattr(key_index, "SLICE_BITS", 10, raising=False)
+    monkeypatch.setattr(key_index, "ENTRIES_PER_TASK", 1000, raising=False)
+    tables, entity = Tables(spark, folder), schemas.ENTITIES[schemas.CALLS]
+    rows = spark.range(16_000).select(F.col("id").cast("string").alias(entity.key), F.lit("2024-01-01").alias("extract_date"))
+    tables.overwrite(rows, "raw", schemas.CALLS, ["extract_date"])
+    key_index.update(tables, schemas.CALLS)
+    index = tables.read("index", schemas.CALLS)
+    per_file = [r.n for r in index.groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()]
+    assert sum(per_file) == 16_000 and index.select("key").distinct().count() == 16_000
+    assert len(per_file) > 4 and max(per_file) <= 6 * 1024
