@@ -20,9 +20,8 @@ from callscope.sources.tables import Tables
 # Stay as they are for the life of a warehouse: they say where a key is.
 BUCKETS = 1024
 BLOCK_BITS = 24
-# Parts of a block that may be written by different tasks, and entries for each task.
-SLICE_BITS = 20
-ENTRIES_PER_TASK = 2_000_000
+# Entries sorted and written by each task.
+ENTRIES_PER_TASK = 500_000
 
 KEY, BUCKET, EXTRACT_DATE = "key", "bucket", "extract_date"
 
@@ -41,11 +40,14 @@ def _entries(raw: DataFrame, entity: Entity) -> DataFrame:
 
 
 def _dealt(entries: DataFrame, rows: int) -> DataFrame:
-    """Entries dealt to tasks by their number: neighbouring ids compress so well that a rebalance, which
-    goes by bytes, gives tens of millions, and the sort of them, to one task."""
-    part = F.coalesce(F.shiftright(F.col(KEY).try_cast("bigint"), SLICE_BITS), F.xxhash64(KEY))
-    part = F.pmod(part, F.lit(1 << (BLOCK_BITS - SLICE_BITS)))
-    return entries.repartition(max(1, -(-rows // ENTRIES_PER_TASK)), EXTRACT_DATE, BUCKET, part)
+    """Entries dealt to tasks by ranges of extract, bucket and key, each task the same number of them.
+
+    Not by bytes, as a rebalance does: neighbouring ids compress so well that one task would get, and
+    sort, tens of millions. Nor by hash: a few slices of ids are dealt unevenly. A folder is written by
+    the few tasks whose ranges meet in it.
+    """
+    number = F.coalesce(F.col(KEY).try_cast("bigint"), F.xxhash64(KEY))
+    return entries.repartitionByRange(max(1, -(-rows // ENTRIES_PER_TASK)), EXTRACT_DATE, BUCKET, number)
 
 
 def update(tables: Tables, table: str, days: Collection[str] | None = None) -> None:

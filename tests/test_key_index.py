@@ -171,3 +171,18 @@ def test_index_is_dealt_by_entries_not_bytes(spark, folder, monkeypatch):
     per_file = [r.n for r in index.groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()]
     assert sum(per_file) == 16_000 and index.select("key").distinct().count() == 16_000
     assert len(per_file) > 4 and max(per_file) <= 6 * 1024
+
+
+def test_neighbouring_ids_are_dealt_evenly(spark, folder, monkeypatch):
+    """One slice of ids, of two extracts: no task writes much more than its share."""
+    monkeypatch.setattr(key_index, "ENTRIES_PER_TASK", 1000)
+    raw, tables = f"{folder}/raw", Tables(spark, f"{folder}/out")
+    for day, first in (("2024-01-05", 0), ("2024-01-06", 6000)):
+        at = f"{day} 10:00:00"
+        rf.write_day(raw, day, dispositions=[rf.disposition(n, 1, at) for n in range(first, first + 6000)])
+    land_all(spark, tables, raw)
+    index = tables.read("index", schemas.DISPOSITIONS)
+    per_file = [r["count"] for r in index.groupBy(F.col("_metadata.file_path")).count().collect()]
+    assert sum(per_file) == 12000
+    assert max(per_file) < 2000
+    assert len(per_file) <= 12 + 1  # the two folders share one task at most
