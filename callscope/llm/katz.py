@@ -11,7 +11,7 @@ leaves its rest to one class of unknown words. Texts end with an end mark, a tok
 and start after start marks, which are history only.
 
 Documents are dealt into groups. A group asks the owners of its different n-grams for their counts,
-then sends the owners of its different histories its part of both sums, each n-gram being counted
+those of all orders but the longest at once, then sends the owners of its different histories its part of both sums, each n-gram being counted
 by one group; answers are stored by owner, without n-gram keys, and come back in the order of the
 question: they are answers to this corpus's questions, not a model that could score other texts.
 With the answers a group evaluates the recursion above for each of its tokens. What is
@@ -81,7 +81,7 @@ def discounts(of_counts: list[int], cutoff: int) -> tuple[float, ...]:
 
 
 class Tokens:
-    """The tokens of a group of documents, with a key for each n-gram and history that ends there."""
+    """The tokens of a group of documents, with a key for each n-gram that ends there."""
 
     def __init__(self, table: pa.Table) -> None:
         tokens, sizes = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
@@ -106,26 +106,32 @@ class Tokens:
         out[self.place < j] = _START
         return out
 
-    def _key(self, first: int, n: int) -> np.ndarray:
+    def ngram(self, n: int) -> np.ndarray:
         key = np.full(len(self.token), np.uint64(n), np.uint64)
-        for j in range(first, first + n):
+        for j in range(n):
             key = mix(key * _STEP + self._back(j))
         return key
 
-    def ngram(self, n: int) -> np.ndarray:
-        return self._key(0, n)
+    def start_history(self, n: int) -> np.uint64:
+        """The history of a text's first token: start marks."""
+        key = np.full(1, np.uint64(n - 1), np.uint64)
+        for _ in range(n - 1):
+            key = mix(key * _STEP + _START)
+        return key[0]
 
-    def history(self, n: int) -> np.ndarray:
-        """Of the n-gram that ends here."""
-        return self._key(1, n - 1)
 
+def _ask_counts(orders: list[int], owners: int):
+    """The counts of n-grams of several orders, for which the texts are read and cut into tokens once."""
 
-def _ask_counts(n: int, owners: int):
     def ask(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         tokens = Tokens(table)
-        keys, _, number = unique(tokens.ngram(n))
-        counts = np.bincount(number, tokens.training, minlength=len(keys)).astype(np.int64)
-        return dealt(key[0].as_py(), owners, keys, counts=counts)
+        asked = []
+        for n in orders:
+            keys, _, number = unique(tokens.ngram(n))
+            counts = np.bincount(number, tokens.training, minlength=len(keys)).astype(np.int64)
+            part = dealt(key[0].as_py(), owners, keys, counts=counts)
+            asked.append(part.append_column("n", pa.array(np.full(part.num_rows, n), pa.int32())))
+        return pa.concat_tables(asked)
 
     return ask
 
@@ -152,21 +158,19 @@ def _answers(table: pa.Table, owner: int, kind: str, a: np.ndarray, b: np.ndarra
     return pa.concat_tables([out, pa.table(one, schema=out.schema)])
 
 
-def _answer_counts(n: int):
-    def answer(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        """Whole counts, and for each n-gram one group that has it in training, to count it in sums."""
-        keys, row = unpacked(table.column("keys"), np.uint64, ascending=True)
-        own, _ = unpacked(table.column("counts"), np.int64)
-        different, _, number = unique(keys)
-        totals = np.zeros(len(different), np.int64)
-        np.add.at(totals, number, own)
-        chosen = np.full(len(different), table.num_rows)
-        np.minimum.at(chosen, number[own > 0], row[own > 0])
-        stats = [int(totals.sum()), int((totals > 0).sum()), *np.bincount(totals[totals <= _SHOWN], minlength=_SHOWN + 1)[1:].tolist()]
-        first = (chosen[number] == row).astype(np.uint8)
-        return _answers(table, key[0].as_py(), f"count-{n}", totals[number], first, row, stats)
-
-    return answer
+def _answer_counts(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    """Whole counts, and for each n-gram one group that has it in training, to count it in sums."""
+    owner, n = (k.as_py() for k in key)
+    keys, row = unpacked(table.column("keys"), np.uint64, ascending=True)
+    own, _ = unpacked(table.column("counts"), np.int64)
+    different, _, number = unique(keys)
+    totals = np.zeros(len(different), np.int64)
+    np.add.at(totals, number, own)
+    chosen = np.full(len(different), table.num_rows)
+    np.minimum.at(chosen, number[own > 0], row[own > 0])
+    stats = [int(totals.sum()), int((totals > 0).sum()), *np.bincount(totals[totals <= _SHOWN], minlength=_SHOWN + 1)[1:].tolist()]
+    first = (chosen[number] == row).astype(np.uint8)
+    return _answers(table, owner, f"count-{n}", totals[number], first, row, stats)
 
 
 def _answer_sums(n: int):
@@ -200,6 +204,8 @@ class Evaluation:
         for kind, owner, a, b in sorted(rows, key=lambda r: r[1]):
             self.answers.setdefault(kind, []).append((a, b))
         self._counts: dict[int, tuple] = {}
+        self._numbered: dict[int, tuple] = {}
+        self._of_history: dict[int, np.ndarray] = {}
 
     def _answer(self, kind: str, n: int, type_a, type_b) -> tuple[np.ndarray, np.ndarray]:
         parts = self.answers.get(kind, [])
@@ -216,14 +222,18 @@ class Evaluation:
             totals, first = self._answer(f"count-{n}", len(keys), np.int64, np.uint8)
             kept = (first > 0) & (totals >= self.orders[n - 1].cutoff)
             self._counts[n] = totals[number], place[kept]
+            if n < len(self.orders):
+                self._numbered[n] = keys, number.astype(np.int32)
         return self._counts[n]
 
     def of_history(self, n: int) -> np.ndarray:
         """How often the n-gram's history occurs in training."""
-        out = np.full(len(self.tokens.token), self.documents, np.int64)
-        later = np.flatnonzero(self.tokens.place > 0)
-        out[later] = self.counts(n - 1)[0][later - 1]
-        return out
+        if n not in self._of_history:
+            out = np.empty(len(self.tokens.token), np.int64)
+            out[1:] = self.counts(n - 1)[0][:-1]
+            out[self.tokens.starts] = self.documents
+            self._of_history[n] = out
+        return self._of_history[n]
 
     def unigram(self) -> np.ndarray:
         order = self.orders[0]
@@ -261,8 +271,21 @@ class Evaluation:
         probability is left to the back-off, and nothing has to be asked.
         """
         at = np.flatnonzero(self.of_history(n) >= self.orders[n - 1].cutoff)
-        keys, _, number = unique(self.tokens.history(n)[at])
-        return at, keys, number
+        # The history is the n-gram, one shorter, that ends a place before, numbered when it was counted.
+        self.counts(n - 1)
+        keys, number = self._numbered[n - 1]
+        before = np.empty(len(number), np.int32)
+        before[1:] = number[:-1]
+        starts = self.tokens.starts
+        start = self.tokens.start_history(n)
+        before[starts] = place = np.searchsorted(keys, start)
+        if len(starts) and (place == len(keys) or keys[place] != start):
+            before[before >= place] += 1
+            before[starts] = place
+            keys = np.insert(keys, place, start)
+        present = np.zeros(len(keys), bool)
+        present[before[at]] = True
+        return at, keys[present], (np.cumsum(present, dtype=np.int32) - 1)[before[at]]
 
     def sums(self, n: int, bucket: int) -> pa.Table:
         """This group's part of each history's sums, and which back-off weights it needs."""
@@ -292,10 +315,12 @@ class Katz:
         self.documents = self.rows.where("NOT held").count()
         self.orders: list[Order] = []
         self.answers: DataFrame | None = None
-        for n in range(1, len(cutoffs) + 1):
-            self._count(n)
-            if n > 1:
-                self._normalise(n)
+        # The longest n-grams ask as much as all others; asked with them, they would not fit on the disk.
+        *shorter, longest = range(1, len(cutoffs) + 1)
+        for asked in filter(None, (shorter, [longest])):
+            self._count(asked)
+        for n in range(2, len(cutoffs) + 1):
+            self._normalise(n)
 
     def _keep(self, answers: DataFrame, name: str) -> DataFrame:
         stored = self.scratch.store(answers, name)
@@ -303,14 +328,18 @@ class Katz:
         self.answers = own if self.answers is None else self.answers.union(own)
         return stored
 
-    def _count(self, n: int) -> None:
+    def _count(self, orders: list[int]) -> None:
         asked = self.rows.groupBy("bucket").applyInArrow(
-            _ask_counts(n, self.owners), "owner int, bucket int, keys binary, counts binary"
+            _ask_counts(orders, self.owners), "owner int, bucket int, keys binary, counts binary, n int"
         )
-        stored = self._keep(asked.groupBy("owner").applyInArrow(_answer_counts(n), _ANSWER), f"count-{n}")
-        of = stored.where("bucket = -1").agg(*(F.coalesce(F.sum(F.col("stats")[i]), F.lit(0)).alias(f"s{i}") for i in range(_SHOWN + 2)))
-        tokens, types, *of_counts = of.first()
-        self.orders.append(Order(tokens, types, discounts(of_counts, self.cutoffs[n - 1]), self.cutoffs[n - 1], tuple(of_counts)))
+        stored = self._keep(asked.groupBy("owner", "n").applyInArrow(_answer_counts, _ANSWER), f"count-{orders[-1]}")
+        sums = [F.sum(F.col("stats")[i]).alias(f"s{i}") for i in range(_SHOWN + 2)]
+        # One row per order.
+        of = {r[0]: r[1:] for r in stored.where("bucket = -1").groupBy("kind").agg(*sums).collect()}
+        for n in orders:
+            cutoff = self.cutoffs[n - 1]
+            tokens, types, *of_counts = of.get(f"count-{n}", (0,) * (_SHOWN + 2))
+            self.orders.append(Order(tokens, types, discounts(of_counts, cutoff), cutoff, tuple(of_counts)))
 
     def _evaluated(self, run, schema: str) -> DataFrame:
         owners, documents, orders = self.owners, self.documents, list(self.orders)

@@ -6,9 +6,11 @@ import numpy as np
 import plain
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from callscope.llm import katz, quality
 from callscope.llm.html_text import _inherit, _stop_density, extract, main_text
+from callscope.llm.requests import _pack, unique
 
 SF, LARGER = "/root/testdata/sf0.01", "/root/testdata/sf0.1"
 
@@ -106,6 +108,36 @@ def test_katz_is_its_definition(odd_docs, odd_rows, no_docs):
     assert katz.Katz(no_docs, F.expr(held)).scores().count() == 0
 
 
+def test_katz_reads_the_texts_once_for_all_shorter_orders(odd_docs, monkeypatch):
+    stored = []
+    store = katz.Scratch.store
+    monkeypatch.setattr(katz.Scratch, "store", lambda self, df, name: stored.append(name) or store(self, df, name))
+    katz.Katz(odd_docs, F.expr("false"))
+    assert stored == ["count-2", "count-3", "sum-2", "sum-3"]
+
+
+@pytest.mark.parametrize("texts", [["a b a b c", None, "", "b"], ["a"], [" "]])
+def test_katz_histories_are_the_shorter_ngrams_before(texts):
+    """Numbered from the n-grams of the place before, as if each place's history had been hashed and sorted."""
+    docs = pa.table({"text": texts, "held": [False] * len(texts)})
+    tokens = katz.Tokens(docs)
+    orders = [katz.Order(1, 1, (0.0,) + (1.0,) * 5, 1, (0,) * 6)] * 3
+    evaluation = katz.Evaluation(docs, pa.table({c: [] for c in ("kind", "owner", "a", "b")}), 1, len(texts), orders)
+    for n in (1, 2, 3):
+        keys, place, number = unique(tokens.ngram(n))
+        counts = np.bincount(number)
+        evaluation.answers[f"count-{n}"] = [(_pack(counts, False), _pack(np.ones(len(keys), np.uint8), False))]
+    for n in (2, 3):
+        at, keys, number = evaluation._histories(n)
+        assert (np.diff(keys.astype(object)) > 0).all() and len(at) == len(tokens.token)
+        for i, key in enumerate(keys[number]):
+            first = [tokens._back(j)[i] for j in range(1, n)]
+            wanted = np.full(1, np.uint64(n - 1))
+            for token in first:
+                wanted = katz.mix(wanted * katz._STEP + token)
+            assert key == wanted[0]
+
+
 def test_katz_beats_the_base_on_held_out_texts(spark):
     rows = katz.scored(spark.read.parquet("/root/testdata/sf0.001/documents.parquet")).where("held_out").collect()
     assert rows and sum(r.score for r in rows) > sum(r.base_score for r in rows)
