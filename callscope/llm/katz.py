@@ -93,24 +93,24 @@ class Tokens:
         self.sizes = np.concatenate(sizes)
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.doc = np.repeat(np.arange(len(self.sizes)), self.sizes)
-        self.place = np.arange(len(self.token)) - self.starts[self.doc]
         held = table.column("held").combine_chunks().to_numpy(zero_copy_only=False).astype(bool)
-        self.training = ~held[self.doc] if len(self.doc) else np.empty(0, bool)
+        self.training = np.repeat(~held, self.sizes)
 
     def _back(self, j: int) -> np.ndarray:
         """The token j places before each, the start mark before a text."""
         if j == 0:
             return self.token
-        out = np.full(len(self.token), _START, np.uint64)
+        out = np.empty(len(self.token), np.uint64)
         out[j:] = self.token[:-j]
-        out[self.place < j] = _START
+        for i in range(j):
+            out[self.starts[self.sizes > i] + i] = _START
         return out
 
     def ngram(self, n: int) -> np.ndarray:
-        key = np.full(len(self.token), np.uint64(n), np.uint64)
-        for j in range(n):
-            key = mix(key * _STEP + self._back(j))
-        return key
+        key = self.token + np.array([n], np.uint64) * _STEP
+        for j in range(1, n):
+            key = mix(key) * _STEP + self._back(j)
+        return mix(key)
 
     def start_history(self, n: int) -> np.uint64:
         """The history of a text's first token: start marks."""
@@ -167,7 +167,9 @@ def _answer_counts(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     totals = np.zeros(len(different), np.int64)
     np.add.at(totals, number, own)
     chosen = np.full(len(different), table.num_rows)
-    np.minimum.at(chosen, number[own > 0], row[own > 0])
+    # Rows ascend: the first is what is assigned last.
+    training = np.flatnonzero(own)[::-1]
+    chosen[number[training]] = row[training]
     stats = [int(totals.sum()), int((totals > 0).sum()), *np.bincount(totals[totals <= _SHOWN], minlength=_SHOWN + 1)[1:].tolist()]
     first = (chosen[number] == row).astype(np.uint8)
     return _answers(table, owner, f"count-{n}", totals[number], first, row, stats)
@@ -283,9 +285,10 @@ class Evaluation:
             before[before >= place] += 1
             before[starts] = place
             keys = np.insert(keys, place, start)
+        before = before[at]
         present = np.zeros(len(keys), bool)
-        present[before[at]] = True
-        return at, keys[present], (np.cumsum(present, dtype=np.int32) - 1)[before[at]]
+        present[before] = True
+        return at, keys[present], (np.cumsum(present, dtype=np.int32) - 1)[before]
 
     def sums(self, n: int, bucket: int) -> pa.Table:
         """This group's part of each history's sums, and which back-off weights it needs."""
