@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from callscope.llm.work import Scratch
 
+#: Links that one task turns and writes; fewer tasks than the session's shuffles have only where links are few.
+LINKS_PER_TASK = 250_000
+
 
 def _to_smallest(pairs: DataFrame) -> DataFrame:
     """Each u with the smallest of itself and its neighbours v."""
@@ -42,7 +45,8 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     before, turn = _mark(current), 0
     while before[0]:
         turn += 1
-        following = scratch.store(_turn(current), f"{name}-{turn}")
+        turned = _turn(current).coalesce(-(-before[0] // LINKS_PER_TASK))
+        following = scratch.store(turned, f"{name}-{turn}")
         scratch.drop(f"{name}-{turn - 1}")
         current, now = following, _mark(following)
         if now == before:

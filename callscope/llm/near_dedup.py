@@ -183,6 +183,7 @@ def _alike(a: np.ndarray, b: np.ndarray, chance: float, slack: float) -> np.ndar
 def _across(band: int, same_block: bool, block: np.ndarray, component, n, regs, wide) -> tuple[np.ndarray, np.ndarray]:
     """Places of the pairs of a bucket's members that may be links between components."""
     first, second = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    keys = _band_matrix(regs).view(np.int64)
     left = np.arange(len(n)) if same_block else np.flatnonzero(block == block.min())
     right = np.arange(len(n)) if same_block else np.flatnonzero(block != block.min())
     for start in range(0, len(left), 64):
@@ -198,16 +199,20 @@ def _across(band: int, same_block: bool, block: np.ndarray, component, n, regs,
             a, b = a[keep], b[keep]
             # a filled register is 0 in one case of 256 and then counts as empty
             keep = _alike(wide[a], wide[b], 1 / 256, WIDE_SLACK)
-            first.append(a[keep])
-            second.append(b[keep])
-    i, j = np.concatenate(first), np.concatenate(second)
-    if len(i):
-        equal = (regs[i] == regs[j]).reshape(len(i), -1, ROWS).all(axis=2)
-        filled = (regs[i] != 0).reshape(len(i), -1, ROWS).any(axis=2)
-        shared = (equal & filled).argmax(axis=1)
-        own = _band_matrix(regs[i])[np.arange(len(i)), shared].view(np.int64) == band
-        i, j = i[own], j[own]
-    return i, j
+            a, b = a[keep], b[keep]
+            # here, where a bounded number of pairs is held: a bucket may have millions that are alike
+            own = _first_shared(regs[a], regs[b], keys[a]) == band
+            first.append(a[own])
+            second.append(b[own])
+    return np.concatenate(first), np.concatenate(second)
+
+
+def _first_shared(a: np.ndarray, b: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Key of the first filled band that each pair shares, out of the keys of all bands of its first member."""
+    bands = (len(a), a.shape[1] // ROWS, ROWS)
+    equal = (a == b).reshape(bands).all(axis=2)
+    filled = (a != 0).reshape(bands).any(axis=2)
+    return keys[np.arange(len(a)), (equal & filled).argmax(axis=1)]
 
 
 def _compare(batches):

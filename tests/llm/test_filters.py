@@ -1,5 +1,6 @@
 """Exact and near dedup, repeats, contamination: against plain versions, on odd rows and none."""
 
+import numpy as np
 import plain
 
 from callscope.llm import decontamination, exact_dedup, near_dedup, substring_dedup
@@ -72,9 +73,29 @@ def test_links_that_no_leader_has(make_docs, collected):
     assert collected(near_dedup.near_components(make_docs(rows)), *columns) == sorted(plain.near(rows), key=repr)
 
 
-def test_estimate_follows_similarity():
-    import numpy as np
+def test_alike_members_of_a_bucket_are_compared_in_bounded_memory():
+    """Every pair of 700 members is alike and of two components; each band but the first leaves them to it."""
+    import tracemalloc
+
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 2**63, 900).astype(np.uint64))] * 700
+    regs = near_dedup.registers(sets[:1]).repeat(700, axis=0)
+    wide = (near_dedup.registers(sets[:1], near_dedup._SEEDS[near_dedup.ROUNDS :]) & 255).astype(np.uint8).repeat(700, axis=0)
+    n, block, component = np.full(700, 900), np.zeros(700, np.int64), np.arange(700)
+    keys = near_dedup._band_matrix(regs[:1]).view(np.int64)[0]
+    tracemalloc.start()
+    pairs = [near_dedup._across(int(k), True, block, component, n, regs, wide) for k in keys[:2]]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert set(zip(*(x.tolist() for x in pairs[0]), strict=True)) == {(i, j) for j in range(700) for i in range(j)}
+    assert len(pairs[1][0]) == 0
+    assert peak < 100 << 20
+    other = rng.integers(1, 256, wide.shape).astype(np.uint8)
+    none, _ = near_dedup._across(int(keys[0]), True, block, component, n, regs, other)
+    assert len(none) == 0
+
 
+def test_estimate_follows_similarity():
     rng = np.random.default_rng(3)
     whole = rng.integers(0, 2**63, 4000).astype(np.uint64)
     for share in (0.5, 0.75, 0.9):
