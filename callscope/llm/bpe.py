@@ -11,17 +11,22 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Iterator
 from hashlib import sha256
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 
 #: Different space-separated pieces a worker remembers before it starts anew.
-CACHE_PIECES = 1_000_000
+CACHE_PIECES = 250_000
+#: Bytes of the texts that a worker encodes, decodes and hashes together; a longer text is alone.
+SLICE_BYTES = 4_000_000
 #: Code points that any version of Unicode assigns, but for private use.
 _ASSIGNED = (range(0xD800), range(0xE000, 0x34000), range(0xE0000, 0xE1000))
 _LETTER, _NUMBER, _OTHER, _SPACE = range(4)
@@ -52,7 +57,7 @@ class Vocabulary:
             self.bytes[i] = bytes(of_symbol[c] for c in token)
         for token, i in self.special.items():
             self.bytes[i] = token.encode()
-        self.of_byte = np.zeros(256, np.int64)
+        self.of_byte = np.zeros(256, np.int32)
         for symbol, b in of_symbol.items():
             self.of_byte[b] = ids[symbol]
         self.pair: list[tuple[int, int]] = []
@@ -71,7 +76,7 @@ class Vocabulary:
 
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The rank of each pair, -1 if it has none."""
-        key = (left << 32) | right
+        key = (left.astype(np.int64) << 32) | right
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[at] == key, self.rank_of_key[at], -1)
 
@@ -84,15 +89,16 @@ class PairIndex:
         sizes = np.array([len(p) for p in pieces], np.int64)
         self.bounds = np.concatenate([[0], np.cumsum(sizes)])
         n = int(self.bounds[-1])
+        place = np.int32 if n < 2**31 - 1 else np.int64
         raw = np.frombuffer(b"".join(pieces), np.uint8)
         self.token = vocabulary.of_byte[raw]
-        self.following = np.arange(1, n + 1)
-        self.before = np.arange(-1, n - 1)
+        self.following = np.arange(1, n + 1, dtype=place)
+        self.before = np.arange(-1, n - 1, dtype=place)
         filled = sizes > 0
         self.following[self.bounds[1:][filled] - 1] = -1
         self.before[self.bounds[:-1][filled]] = -1
         self.places: list[list[np.ndarray] | None] = [None] * len(vocabulary.pair)
-        self._list(np.arange(n))
+        self._list(np.arange(n, dtype=place))
 
     def _list(self, at: np.ndarray) -> None:
         """Enter the pairs that begin at these positions."""
@@ -295,7 +301,7 @@ class Encoder:
         return joined
 
     def _learn(self) -> None:
-        new = list(self.slots)[self.known :]
+        new = list(islice(self.slots, self.known, None))
         if not new:
             return
         flat, sizes = encode_parts([key[1:] if key[0] == " " else " " + key for key in new], self.vocabulary)
@@ -373,6 +379,22 @@ def loaded(path: str) -> tuple[Encoder, Decoder]:
     return _LOADED[path]
 
 
+def _slices(batch: pa.RecordBatch, sizes: pa.Array) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in order, cut where the sizes of the rows reach another ``SLICE_BYTES``.
+
+    A batch has a number of rows, whatever their texts' length; what a worker holds for its texts at
+    once is many times the texts.
+    """
+    slot = np.cumsum(np.asarray(sizes.fill_null(0), np.int64)) // SLICE_BYTES
+    edges = [0, *(np.flatnonzero(np.diff(slot)) + 1).tolist(), len(slot)]
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        yield batch.slice(a, b - a)
+
+
+def _text_slices(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
+    return _slices(batch, pc.binary_length(batch.column(text)))
+
+
 def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """The documents with their token ids; null and empty texts have none. An older column ``ids`` is replaced."""
     docs = docs.drop(ids)
@@ -380,9 +402,11 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
     def run(batches):
         encoder, _ = loaded(path)
         for batch in batches:
-            flat, bounds = encoder.encode(batch.column(batch.schema.get_field_index(text)).to_pylist())
-            lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat.view(np.int32)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=[*batch.schema.names, ids])
+            at = batch.schema.get_field_index(text)
+            for part in _text_slices(batch, at):
+                flat, bounds = encoder.encode(part.column(at).to_pylist())
+                lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat.view(np.int32)))
+                yield pa.RecordBatch.from_arrays([*part.columns, lists], names=[*part.schema.names, ids])
 
     schema = T.StructType([*docs.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))])
     return docs.mapInArrow(run, schema)
@@ -395,11 +419,13 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", text: str = "decoded
     def run(batches):
         _, decoder = loaded(path)
         for batch in batches:
-            lists = batch.column(batch.schema.get_field_index(ids))
-            flat = np.asarray(lists.flatten(), np.int64)
-            sizes = np.asarray(lists.value_lengths().fill_null(0), np.int64)
-            texts = decoder.decode(flat, np.concatenate([[0], np.cumsum(sizes)]))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, text])
+            at = batch.schema.get_field_index(ids)
+            for part in _slices(batch, batch.column(at).value_lengths()):
+                lists = part.column(at)
+                flat = np.asarray(lists.flatten(), np.int64)
+                sizes = np.asarray(lists.value_lengths().fill_null(0), np.int64)
+                texts = decoder.decode(flat, np.concatenate([[0], np.cumsum(sizes)]))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*part.schema.names, text])
 
     return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField(text, T.StringType())]))
 
@@ -415,19 +441,19 @@ def round_trip(docs: DataFrame, path: str, id_column: str = "doc_id", text: str
     def run(batches):
         encoder, decoder = loaded(path)
         for batch in batches:
-            flat, bounds = encoder.encode(batch.column(1).to_pylist())
-            texts = decoder.decode(flat, bounds)
-            raw = flat.astype("<u4", copy=False)
-            cuts = zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)
-            columns = [
-                batch.column(0),
-                pa.array(np.diff(bounds)),
-                pa.array([sha256(raw[a:b]).hexdigest() for a, b in cuts]),
-                pa.array([sha256(t.encode()).hexdigest() for t in texts]),
-            ]
-            if with_ids:
-                columns.append(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat.view(np.int32))))
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", *(n for n, _ in kinds)])
+            for part in _text_slices(batch, 1):
+                flat, bounds = encoder.encode(part.column(1).to_pylist())
+                raw = flat.astype("<u4", copy=False)
+                cuts = zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)
+                columns = [
+                    part.column(0),
+                    pa.array(np.diff(bounds)),
+                    pa.array([sha256(raw[a:b]).hexdigest() for a, b in cuts]),
+                    pa.array([sha256(t.encode()).hexdigest() for t in decoder.decode(flat, bounds)]),
+                ]
+                if with_ids:
+                    columns.append(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat.view(np.int32))))
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", *(n for n, _ in kinds)])
 
     rows = docs.select(docs[id_column].alias("doc_id"), docs[text].alias("text"))
     schema = T.StructType([rows.schema["doc_id"], *(T.StructField(n, k) for n, k in kinds)])

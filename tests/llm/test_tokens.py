@@ -4,6 +4,7 @@ import itertools
 import hashlib
 import os
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -70,6 +71,35 @@ def test_bpe_forgets_and_goes_on(texts, byte_level, monkeypatch):
         assert [flat[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == [ids_of(byte_level, t) for t in part]
 
 
+def test_bpe_slices(monkeypatch):
+    monkeypatch.setattr(bpe, "SLICE_BYTES", 8)
+    texts = ["abc", None, "", "\u00e9" * 10, "abcd", "abcd", "x" * 9]
+    batch = pa.record_batch({"doc_id": list(range(7)), "text": texts})
+    parts = list(bpe._text_slices(batch, 1))
+    assert pa.Table.from_batches(parts).to_pydict() == batch.to_pydict()
+    assert [p.num_rows for p in parts] == [3, 1, 2, 1]
+    assert [p.num_rows for p in bpe._text_slices(batch.slice(0, 0), 1)] == [0]
+
+
+def test_bpe_memory_of_a_batch(monkeypatch):
+    """What a worker holds goes by the slices of a batch, not by the batch."""
+    monkeypatch.setattr(bpe, "SLICE_BYTES", 250_000)
+    monkeypatch.setattr(bpe, "CACHE_PIECES", 10_000)
+    vocabulary = bpe.Vocabulary(vocabulary_file("byte_bpe_50k.json"))
+    batch = pa.record_batch({"text": [" ".join(f"w{i * 7919 + j}" for j in range(800)) for i in range(250)]})
+
+    def peak(parts):
+        encoder = bpe.Encoder(vocabulary)
+        tracemalloc.start()
+        for part in parts:
+            encoder.encode(part.column(0).to_pylist())
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return most
+
+    assert 3 * peak(bpe._text_slices(batch, 0)) < peak([batch])
+
+
 def test_bpe_rows(odd_docs, odd_rows, no_docs, byte_level, collected):
     path = vocabulary_file("byte_bpe_50k.json")
     wanted = []
